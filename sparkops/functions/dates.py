@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -21,6 +22,38 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _shape(fmt: str) -> str | None:
+    """A regex every text parsable with ``fmt`` matches (a necessary
+    condition), or None when the pattern has fields this does not model."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "y":
+            out.append(r"[+-]?\d+")
+        elif ch in "Md" and run <= 2:
+            out.append(r"\d{1,2}")
+        elif ch == "M":
+            out.append(r"[^\d\s]+")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
+def _try_date(col: Column, fmt: str) -> Column:
+    # A failed parse raises inside Spark and costs microseconds; a text that
+    # does not even have the pattern's shape is skipped with a cheap regex.
+    shape = _shape(fmt)
+    parsed = F.try_to_date(col, fmt)
+    return parsed if shape is None else F.when(col.rlike(shape), parsed)
+
+
 def parse_date_any(c: Column | str, formats: Sequence[str] = DEFAULT_DATE_FORMATS,
                    as_of: Column | str | None = None) -> Column:
     """First pattern that parses the text wins; none (or null text) -> ``as_of``.
@@ -31,7 +64,7 @@ def parse_date_any(c: Column | str, formats: Sequence[str] = DEFAULT_DATE_FORMAT
     col = _c(c)
     fallback = F.current_date() if as_of is None else (
         F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
-    return F.coalesce(*[F.try_to_date(col, f) for f in formats], fallback)
+    return F.coalesce(*[_try_date(col, f) for f in formats], fallback)
 
 
 def whole_years(start: Column | str, end: Column | str) -> Column:

@@ -15,8 +15,10 @@ def int_avg(total: Column | str, count: Column | str) -> Column:
 
     The jobs divide a Long sum by a Long count, which truncates toward zero;
     SQL ``div`` does the same, exactly, with no detour through double.
+    A zero count gives null (no rows: no average) instead of an error.
     """
-    return F.call_function("div", _c(total).cast("bigint"), _c(count).cast("bigint"))
+    n = _c(count).cast("bigint")
+    return F.when(n != 0, F.call_function("div", _c(total).cast("bigint"), n))
 
 
 def avg_null_zero(c: Column | str) -> Column:

@@ -42,8 +42,11 @@ def leading_int(c: Column | str, sep: str = " ", default: str | None = None) ->
     col = _c(c)
     if default is not None:
         col = F.coalesce(col, F.lit(default))
-    first = F.split(col, sep, 2).getItem(0)
-    return F.regexp_replace(first, WORD_SEPARATOR, "").try_cast("int")
+    token = F.regexp_replace(F.split(col, sep, 2).getItem(0), WORD_SEPARATOR, "")
+    # Only an all-digit token can be an int. Testing that first keeps the
+    # (exception-driven, ~20x slower) failing cast out of the hot path;
+    # try_cast still turns an overflow into null.
+    return F.when(token.rlike("^[0-9]+$"), token.try_cast("int"))
 
 
 def prefix_any(c: Column | str, prefixes: Iterable[str], ignore_case: bool = True) -> Column:

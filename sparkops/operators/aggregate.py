@@ -81,6 +81,21 @@ def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
     return df.groupBy(*_list(by)).agg(F.min(col).alias(min_name), F.max(col).alias(max_name))
 
 
+def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int = 1,
+                   product_name: str = "most_popular_product",
+                   avg_name: str = "avg_transaction") -> DataFrame:
+    """One row over basket lines: the most frequent product (ties ->
+    smallest) and items per transaction = lines div distinct transactions,
+    as ``decimal(38, scale)`` (null when there are no lines).
+
+    The product mode runs as a scalar subquery next to the single global
+    aggregate, so neither result passes through the driver.
+    """
+    popular = mode(items, product_col, product_name)
+    per_tx = int_avg(F.count(F.lit(1)), F.count_distinct(tx_col)).cast(f"decimal(38,{scale})")
+    return items.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
+
+
 def attach_global(df: DataFrame, agg: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate ``agg`` to every row of ``df``.
 

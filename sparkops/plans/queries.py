@@ -413,11 +413,9 @@ def lookup_filter_basket(spark, d):
                           & (F.col("l_shipdate") < _ntz("1999-05-01 00:00:00")))
           .select("l_orderkey", "l_partkey", "l_suppkey")
           .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")))
-    popular = agg.mode(tx, "l_partkey", "most_popular_product")
-    stats = tx.agg(F.call_function("div", F.count(F.lit(1)), F.count_distinct("l_orderkey"))
-                   .cast("decimal(38,1)").alias("avg_transaction"))
-    return stats.select(code.scalar().alias("country_code"), F.lit(country).alias("country_name"),
-                        popular.scalar().alias("most_popular_product"), "avg_transaction")
+    summary = agg.basket_summary(tx, "l_orderkey", "l_partkey")
+    return summary.select(code.scalar().alias("country_code"), F.lit(country).alias("country_name"),
+                          "most_popular_product", "avg_transaction")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
