@@ -80,26 +80,33 @@ def top_entity_extremes(df: DataFrame, entities: Mapping[str, str], location: st
     """
     kinds = F.array(*[F.struct(F.lit(t).alias("type"), F.col(c).cast("string").alias("name"))
                       for t, c in entities.items()])
-    base = df.select(F.explode(kinds).alias("_e"), F.col(location).alias("location"),
-                     F.col(measure).alias("_m")).select("_e.type", "_e.name", "location", "_m")
+    base = (df.select(F.explode(kinds).alias("_e"), F.col(location).alias("location"),
+                      F.col(measure).alias("_m"))
+            .select("_e.type", "_e.name", "location", "_m")
+            .filter(F.col("name").isNotNull()))
+    # One shared aggregate. Both branches below read it unfiltered, so Spark
+    # runs its scan and shuffle once (ReusedExchange); exclusions are made by
+    # ordering flags inside the aggregates and by filters on their results.
     per_loc = base.groupBy("type", "name", "location").agg(F.sum("_m").alias("count"))
 
-    totals = (per_loc.filter(F.col("name") != "")
-              .groupBy("type", "name").agg(F.sum("count").alias("_t")))
+    totals = per_loc.groupBy("type", "name").agg(F.sum("count").alias("_t"))
+    t = F.col("_t")
     winners = (totals.groupBy("type")
-               .agg(_min_first(F.col("_t").isNull().alias("z"), (-F.col("_t")).alias("k"),
+               .agg(_min_first((F.col("name") == "").alias("e"), t.isNull().alias("z"), (-t).alias("k"),
                                F.col("name")).alias("_w"))
+               .filter(~F.col("_w.e"))
                .select("type", F.col("_w.name").alias("name")))
     # One winner per kind: a broadcast bounded by len(entities).
-    locs = per_loc.filter(F.col("location").isNotNull()).join(F.broadcast(winners), ["type", "name"])
-    c = F.col("count")
+    locs = per_loc.join(F.broadcast(winners), ["type", "name"])
+    c, loc = F.col("count"), F.col("location")
     ext = locs.groupBy("type", "name").agg(
-        _min_first(c.isNull().alias("z"), (-c).alias("k"), F.col("location")).alias("_mx"),
-        _min_first(c.isNull().alias("z"), c.alias("k"), F.col("location")).alias("_mn"))
+        _min_first(loc.isNull().alias("l"), c.isNull().alias("z"), (-c).alias("k"), loc).alias("_mx"),
+        _min_first(loc.isNull().alias("l"), c.isNull().alias("z"), c.alias("k"), loc).alias("_mn"))
     rows = F.array(
         F.struct(F.col("_mx.location").alias("location"), (-F.col("_mx.k")).alias("count"),
                  F.lit("max").alias("count_type")),
         F.struct(F.col("_mn.location").alias("location"), F.col("_mn.k").alias("count"),
                  F.lit("min").alias("count_type")))
     return (ext.select("name", "type", F.explode(rows).alias("_r"))
-            .select("name", "type", "_r.location", "_r.count", "_r.count_type"))
+            .select("name", "type", "_r.location", "_r.count", "_r.count_type")
+            .filter(F.col("location").isNotNull()))

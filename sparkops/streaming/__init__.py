@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The jobs this library reproduces are batch only -- no stream sources,
+watermarks, windows or state. The operators are plain DataFrame functions,
+so the stateless ones (projections, filters, parsing helpers) also apply
+to a streaming DataFrame, but no streaming job is provided.
+"""

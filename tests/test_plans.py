@@ -106,3 +106,11 @@ def test_global_value_is_a_subquery_not_a_join(spark):
 def test_top_k_is_take_ordered(spark):
     for name in ("project_topk", "top3_by_count", "top3_weekdays_ru", "mode_month"):
         assert "TakeOrderedAndProject" in physical_plan(QUERIES[name](spark, SF001)), name
+
+
+def test_shared_aggregate_is_scanned_once(spark):
+    df = QUERIES["top_entity_location_extremes"](spark, SF001)
+    df.collect()  # the final adaptive plan shows the reuse
+    final = physical_plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1
