@@ -57,25 +57,55 @@ def salt(df: DataFrame, n: int, by: str | Sequence[str], salt_col: str = "salt")
     return df.withColumn(salt_col, F.pmod(F.xxhash64(*[F.col(c) for c in _list(by)]), F.lit(n)).cast("bigint"))
 
 
+def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows of ``df``.
+
+    At most ``1 / share`` keys can qualify, so the result is a table of
+    bounded size (e.g. <= 1000 rows for share = 0.001), safe to broadcast.
+    Found with one partial aggregation over the keys.
+    """
+    ks = _list(keys)
+    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_c"))
+    # The total comes from the same per-key counts (one shared exchange).
+    total = counts.agg(F.sum("_c")).scalar()
+    return counts.filter(F.col("_c") >= total * F.lit(share)).select(*ks)
+
+
 def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
                 row_key: str | Sequence[str], n: int = 32, how: str = "inner",
-                salt_col: str = "_salt") -> DataFrame:
-    """Equi-join on ``keys`` that survives one hot key.
+                salt_col: str = "_salt", hot_share: float | None = None) -> DataFrame:
+    """Equi-join on ``keys`` that survives a hot key.
 
     ``big`` is spread over ``n`` salts by a hash of its ``row_key``;
     ``small`` is replicated ``n`` times, so each salt meets its own copy.
-    The result equals the plain join on ``keys`` (null keys never match).
+    With ``hot_share`` only the keys holding at least that share of ``big``
+    are salted and replicated (found by :func:`hot_keys`, at most
+    ``1 / hot_share`` of them); every other key joins unsalted, so the
+    replication cost stays proportional to the skew. The result equals the
+    plain join on ``keys`` either way (null keys never match).
     """
     ks = _list(keys)
-    return (salt(big, n, row_key, salt_col)
-            .join(replicate(small, n, salt_col), ks + [salt_col], how)
-            .drop(salt_col))
+    if hot_share is None:
+        return (salt(big, n, row_key, salt_col)
+                .join(replicate(small, n, salt_col), ks + [salt_col], how)
+                .drop(salt_col))
+    hot = F.broadcast(hot_keys(big, ks, hot_share).withColumn("_hot", F.lit(True)))
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    big_s = (big.join(hot, ks, "left")
+             .withColumn(salt_col, F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in _list(row_key)]),
+                                                         F.lit(n))).otherwise(F.lit(0)).cast("bigint"))
+             .drop("_hot"))
+    copies = F.when(is_hot, F.lit(n - 1)).otherwise(F.lit(0)).cast("bigint")
+    small_s = (small.join(hot, ks, "left")
+               .withColumn(salt_col, F.explode(F.sequence(F.lit(0).cast("bigint"), copies)))
+               .drop("_hot"))
+    return big_s.join(small_s, ks + [salt_col], how).drop(salt_col)
 
 
 def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                   left_level: str, right_level: str, left_id: str, value: str,
                   band: float = 1, salt_n: int = 32, id_name: str = "id",
-                  avg_name: str = "avg") -> DataFrame:
+                  avg_name: str = "avg", hot_share: float | None = 0.001) -> DataFrame:
     """For every ``left_id``: average ``value`` over all (left, right) row
     pairs with equal ``keys`` and ``|left_level - right_level| <= band``.
 
@@ -84,7 +114,9 @@ def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     count), the band becomes an equi-join on level buckets of width
     ``band`` (neighbouring buckets included, exact test as residual), and
     the left side is salted by id against an ``salt_n``-fold copy of the
-    reduced right side, so a hot key is spread over ``salt_n`` tasks.
+    reduced right side, so a hot key is spread over ``salt_n`` tasks. With
+    ``hot_share`` (default 0.1%) only keys holding that share of the left
+    rows are salted; ``None`` salts every key.
     Ids without any partner are absent; ids whose partners all have null
     values get a null average.
     """
@@ -98,7 +130,8 @@ def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     spread = F.sequence(lb - 1, lb + 1) if band > 0 else F.array(lb)
     lft = (left.select(F.col(left_id).alias("_id"), *ks, F.col(left_level).alias("_ll"))
            .withColumn("_b", F.explode(spread)))
-    joined = salted_join(lft, r, ks + ["_b"], "_id", salt_n) if salt_n > 1 else lft.join(r, ks + ["_b"])
+    joined = (salted_join(lft, r, ks + ["_b"], "_id", salt_n, hot_share=hot_share)
+              if salt_n > 1 else lft.join(r, ks + ["_b"]))
     matched = joined.filter(F.abs(F.col("_ll") - F.col("_rl")) <= F.lit(band))
     return (matched.groupBy("_id")
             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))

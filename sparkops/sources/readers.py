@@ -133,9 +133,12 @@ def decode_json_lines(lines: DataFrame, schema: T.StructType | str, line_col: st
     with_bad = T.StructType(list(st.fields) + [T.StructField(BAD_RECORD, T.StringType())])
     parsed = F.from_json(F.col(line_col), with_bad,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD})
-    out = (lines.select(*(keep or []), parsed.alias("_r"))
-           .filter(F.col("_r").isNotNull() & F.col(f"_r.{BAD_RECORD}").isNull())
-           .select(*(keep or []), *[F.col(f"_r.{f.name}").alias(f.name) for f in st.fields]))
+    # Parse once per line: a filter on the parsed struct would be pushed
+    # below the projection and re-run the parser for every referenced field.
+    # Instead the struct goes through a 0-or-1 element generator.
+    accepted = F.filter(F.array(parsed), lambda r: r.isNotNull() & r.getField(BAD_RECORD).isNull())
+    out = (lines.select(*(keep or []), F.inline(accepted))
+           .select(*(keep or []), *[F.col(f.name) for f in st.fields]))
     if defaults:
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items()})
     return out

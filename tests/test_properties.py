@@ -34,8 +34,25 @@ def test_salted_join_equals_plain_join(spark, n):
     assert sorted_rows(salted.select(*plain.columns)) == sorted_rows(plain)
 
 
-@pytest.mark.parametrize("band,salt_n", [(1, 1), (1, 4), (1, 32), (0, 8), (2, 3), (0.5, 4)])
-def test_band_avg_join_equals_brute_force(spark, band, salt_n):
+@pytest.mark.parametrize("n,share", [(8, 0.01), (32, 0.001), (32, 0.5)])
+def test_hot_key_salting_equals_plain_join_under_skew(spark, n, share):
+    ev = table(spark, SF0001, "events")
+    # a third of all rows share one key
+    big = ev.select("event_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("k"))
+    small = ev.filter(F.col("event_id") % 5 == 0).select(
+        F.when(F.col("event_id") % 2 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("k"), F.col("value").alias("v"))
+    hot = [r.k for r in joins.hot_keys(big, "k", share).collect()]
+    assert len(hot) <= 1 / share
+    if share < 0.3:
+        assert 0 in hot
+    plain = big.join(small, "k")
+    salted = joins.salted_join(big, small, "k", "event_id", n, hot_share=share)
+    assert sorted_rows(salted.select(*plain.columns)) == sorted_rows(plain)
+
+
+@pytest.mark.parametrize("band,salt_n,share", [(1, 1, None), (1, 4, None), (1, 32, None), (1, 32, 0.001),
+                                               (1, 8, 0.2), (0, 8, 0.001), (2, 3, None), (0.5, 4, 0.01)])
+def test_band_avg_join_equals_brute_force(spark, band, salt_n, share):
     ev = table(spark, SF0001, "events")
     left = ev.select("event_id", "event_type", "user_id",
                      ((F.col("event_id") % 9) / F.lit(2.0) if band == 0.5 else F.col("event_id") % 5).alias("lvl"))
@@ -43,7 +60,7 @@ def test_band_avg_join_equals_brute_force(spark, band, salt_n):
                       ((F.col("event_id") % 7) / F.lit(2.0) if band == 0.5 else F.col("event_id") % 7).alias("lvl"),
                       F.when(F.col("event_id") % 11 == 0, None).otherwise(F.round(F.col("value") * 100).cast("bigint")).alias("p"))
     got = joins.band_avg_join(left, right, ["event_type", "user_id"], "lvl", "lvl", "event_id", "p",
-                              band=band, salt_n=salt_n)
+                              band=band, salt_n=salt_n, hot_share=share)
     a, b = left.alias("a"), right.alias("b")
     brute = (a.join(b, (F.col("a.event_type") == F.col("b.event_type")) & (F.col("a.user_id") == F.col("b.user_id")))
              .filter(F.abs(F.col("a.lvl") - F.col("b.lvl")) <= band)
