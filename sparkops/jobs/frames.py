@@ -1,5 +1,9 @@
 """DataFrame basics: local tables, declared-schema JSON/CSV scans, projections,
-flags, min/max, shifted age bands and the two-season word count."""
+flags, min/max, shifted age bands and the two-season word count.
+
+Jobs that read CSV infer column types like the original programs unless a
+``schema`` (DDL of the whole file, in column order) is given; at scale, pass
+it: inference is an extra full pass over the input."""
 
 from __future__ import annotations
 
@@ -58,29 +62,29 @@ def movies(spark: SparkSession, path: str, out_path: str | None = None) -> DataF
     return df
 
 
-def bike_projection(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
+def bike_projection(spark: SparkSession, path: str, n: int = 3, schema: str | None = None) -> DataFrame:
     """Four weather columns of the first ``n`` rows."""
-    return read_csv(spark, path).select("Hour", "TEMPERATURE", "HUMIDITY", "WIND_SPEED").limit(n)
+    return read_csv(spark, path, schema).select("Hour", "TEMPERATURE", "HUMIDITY", "WIND_SPEED").limit(n)
 
 
-def bike_workday(spark: SparkSession, path: str) -> DataFrame:
+def bike_workday(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Distinct (HOLIDAY, FUNCTIONING_DAY, is_workday); a day is not a
     workday (0) only when it is a holiday and not a functioning day."""
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, schema)
     off = (F.col("HOLIDAY") == "Holiday") & (F.col("FUNCTIONING_DAY") == "No")
     return df.withColumn("is_workday", flag(off, 0, 1)).select("HOLIDAY", "FUNCTIONING_DAY", "is_workday").distinct()
 
 
-def bike_min_max(spark: SparkSession, path: str) -> DataFrame:
+def bike_min_max(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Min and max temperature per date."""
-    return group_extremes(read_csv(spark, path), "Date", "TEMPERATURE", "min_temp", "max_temp")
+    return group_extremes(read_csv(spark, path, schema), "Date", "TEMPERATURE", "min_temp", "max_temp")
 
 
 def mall_income(spark: SparkSession, path: str, out_path: str | None = None, shift: int = 2,
-                low: int = 30, high: int = 35) -> DataFrame:
+                low: int = 30, high: int = 35, schema: str | None = None) -> DataFrame:
     """Ages shifted by ``shift``, kept in [low, high]; average income per
     (Gender, Age) rounded half-even to 1 digit, gender_code 1 for Male."""
-    df = read_csv(spark, path).withColumn("Age", F.col("Age") + shift)
+    df = read_csv(spark, path, schema).withColumn("Age", F.col("Age") + shift)
     out = (df.where(F.col("Age").between(low, high))
            .groupBy("Gender", "Age")
            .agg(F.bround(F.avg("Annual Income (k$)"), 1).alias("avg_Annual_Income"))

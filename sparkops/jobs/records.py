@@ -1,5 +1,8 @@
 """Record-cleaning jobs: null defaults, job reviews, cars, position search
-and the pizza order summary."""
+and the pizza order summary.
+
+CSV inputs are type-inferred like the original programs unless ``schema``
+(DDL of the whole file) is passed, which saves the inference pass."""
 
 from __future__ import annotations
 
@@ -26,14 +29,14 @@ POSITION_SCHEMA = "PositionID INT, Position STRING"
 PIZZA_SCHEMA = "order_type STRING, address_id INT"
 
 
-def shoes(spark: SparkSession, path: str) -> DataFrame:
+def shoes(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Defaults for missing values, rows without name/category dropped,
     text columns filled with 'n/a', bound to the declared record type.
 
     ``percentage_solds`` is listed for filling but is numeric, so it keeps
     its nulls (text fill only touches text columns).
     """
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, schema)
     out = (df.select("item_category", "item_name",
                      F.coalesce("item_after_discount", "item_price").alias("item_after_discount"),
                      "item_price", "percentage_solds",
@@ -64,29 +67,31 @@ def job_reviews(spark: SparkSession, path: str, drop_null_location: bool = False
 
 
 def cars(spark: SparkSession, path: str, as_of: str | None = None,
-         formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
+         formats: Sequence[str] = DEFAULT_DATE_FORMATS, schema: str | None = None) -> DataFrame:
     """Every car with the fleet's average mileage (missing = 0) and the
     whole years since purchase. Purchase dates may use any of ``formats``;
     an unparseable or missing date counts as ``as_of`` (default today)."""
-    df = conform(read_csv(spark, path).withColumnRenamed("type", "types"), CAR_SCHEMA)
+    df = conform(read_csv(spark, path, schema).withColumnRenamed("type", "types"), CAR_SCHEMA)
     mean = df.agg(avg_null_zero("mileage").alias("avg_mileage"))
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     bought = parse_date_any("date_of_purchase", formats, today)
     return attach_global(df, mean).withColumn("years_since_purchase", whole_years(bought, today))
 
 
-def positions(spark: SparkSession, path: str, prefixes: Sequence[str] = ("BI", "it")) -> DataFrame:
+def positions(spark: SparkSession, path: str, prefixes: Sequence[str] = ("BI", "it"),
+              schema: str | None = None) -> DataFrame:
     """Distinct positions whose title starts with any prefix, ignoring
     case, ordered by PositionID."""
-    df = conform(read_csv(spark, path), POSITION_SCHEMA)
+    df = conform(read_csv(spark, path, schema), POSITION_SCHEMA)
     return df.filter(prefix_any("Position", prefixes)).distinct().orderBy("PositionID")
 
 
-def pizza(spark: SparkSession, in_path: str, out_path: str | None = None) -> DataFrame:
+def pizza(spark: SparkSession, in_path: str, out_path: str | None = None,
+          schema: str | None = None) -> DataFrame:
     """Per order type the number of orders, the address with most
     orders (ties -> smallest id) and its count; optionally saved as CSV
     without header."""
-    df = conform(read_csv(spark, in_path), PIZZA_SCHEMA)
+    df = conform(read_csv(spark, in_path, schema), PIZZA_SCHEMA)
     out = total_and_mode(df, "order_type", "address_id", "orders_total", "address_id", "orders_cnt")
     if out_path:
         write_table(out, out_path, "csv")

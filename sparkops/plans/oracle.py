@@ -223,4 +223,14 @@ ORACLE_SQL: dict[str, str] = {
         'SELECT o_custkey AS id, o_orderkey, c_acctbal FROM orders JOIN customer ON '
         'o_custkey=c_custkey'
     ),
+    'season_word_ranks': (
+        r"""WITH l AS (SELECT lang, unnest(regexp_split_to_array(replace(text, '"', ''''), """
+        r"""'\r\n|\r|\n')) AS line FROM documents WHERE lang IN ('en','fr')), """
+        r"""t AS (SELECT lang, unnest(regexp_split_to_array(lower(split_part(line, ',', 1)), '\W+')) AS w FROM l), """
+        r"""c AS (SELECT lang, w, count(*) AS n FROM t WHERE w <> '' GROUP BY 1,2), """
+        r"""r AS (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) - 1 AS id FROM c) """
+        r"""SELECT a.w AS w_s1, CAST(a.n AS INT) AS cnt_s1, CAST(a.id AS INT) AS id, b.w AS w_s2, """
+        r"""CAST(b.n AS INT) AS cnt_s2 FROM r a JOIN r b ON a.id=b.id AND a.lang='en' AND b.lang='fr' """
+        r"""WHERE a.id <= 20"""
+    ),
 }

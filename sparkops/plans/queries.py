@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkops.functions import dates, text
+from sparkops.jobs import frames as season_jobs
 from sparkops.functions.numeric import avg_null_zero
 from sparkops.operators import aggregate as agg
 from sparkops.operators import joins, ranking, shape
@@ -312,6 +313,18 @@ def topn_zip_by_rank(spark, d):
     return ranking.zip_by_rank(counts, "lang", ["en", "fr"], "w", "n", limit=20)
 
 
+def season_word_ranks(spark, d):
+    # The subtitle job end to end: English and French texts written as plain
+    # text files (one write, partitioned by language; double quotes turned
+    # into single ones so no CSV quoting applies), each read back as
+    # headerless CSV, so only the text before a line's first comma counts.
+    path = scratch_path(spark, "subtitles")
+    docs = table(spark, d, "documents").filter(F.col("lang").isin("en", "fr"))
+    (docs.select("lang", F.translate("text", '"', "'").alias("value"))
+     .write.mode("overwrite").partitionBy("lang").text(path))
+    return season_jobs.season_word_ranks(spark, {"en": f"{path}/lang=en", "fr": f"{path}/lang=fr"}, limit=20)
+
+
 def top_entity_location_extremes(spark, d):
     li = table(spark, d, "lineitem").select(
         F.col("l_returnflag").alias("company"), F.col("l_linestatus").alias("job"),
@@ -423,7 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         local_rows, json_scan_nested, csv_scan_typed, csv_scan_multiline, parquet_roundtrip,
         csv_quoted_lines, load_accounting, json_lines_decode, project_topk, case_when_distinct,
         group_min_max, shift_between_bround, word_count, topn_zip_by_rank, null_defaults,
-        na_drop_subset, leading_int, strip_newlines, top_entity_location_extremes,
+        na_drop_subset, leading_int, strip_newlines, top_entity_location_extremes, season_word_ranks,
         avg_null_as_zero, multi_format_years_since, prefix_filter_distinct, group_total_and_mode,
         distinct_count, date_string_filter, mode_month, global_extremes, group_avg_round,
         group_count_sorted, numeric_stats, top3_by_count, top3_weekdays_ru, join_inner_using,

@@ -270,3 +270,10 @@ def test_basket_unknown_country_is_null_not_error(spark, write_text):
     tx = write_text("tx.csv", "TransactionNo,Date,X,ProductName,A,B,C,CountryCode\nt1,2018-12-01,x,Tea,1,1,1,44\n")
     got = rows(jobs.basket(spark, tx, countries))
     assert got == [(None, "United Kingdom", dt.date(2018, 12, 1), None, None)]
+
+
+def test_declared_schema_skips_inference(spark, write_text):
+    p = write_text("pizza.csv", "order_id,order_type,address_id\n1,a,7\n2,a,7\n3,b,x\n")
+    df = jobs.pizza(spark, p, schema="order_id INT, order_type STRING, address_id INT")
+    # the non-numeric address becomes null under the declared schema
+    assert rows(df, "order_type") == [("a", 2, 7, 2), ("b", 1, None, 1)]
