@@ -49,17 +49,23 @@ def zip_by_rank(counts: DataFrame, side_col: str, sides: Sequence[str], word_col
     told apart by ``side_col``.
     """
     left, right = sides
-    top = top_per_group(counts.filter(F.col(side_col).isin(left, right)), side_col,
+    side = F.col(side_col)
+    top = top_per_group(counts.filter(side.isin(left, right)), side_col,
                         [F.desc(count_col), F.asc(word_col)], limit + 1, "_rn")
     w1, c1, idn, w2, c2 = names
-    a = top.filter(F.col(side_col) == left).select(
-        F.col(word_col).alias(w1), F.col(count_col).cast("int").alias(c1),
-        (F.col("_rn") - 1).cast("int").alias(idn))
-    b = top.filter(F.col(side_col) == right).select(
-        F.col(word_col).alias(w2), F.col(count_col).cast("int").alias(c2),
-        (F.col("_rn") - 1).cast("int").alias(idn))
-    # Both sides are at most limit+1 rows: a bounded broadcast.
-    return a.join(F.broadcast(b), idn).select(w1, c1, idn, w2, c2)
+
+    def pick(which, c):
+        return F.max(F.when(side == which, F.col(c)))
+
+    # Both sides come out of one window; a small aggregation over at most
+    # 2 * (limit + 1) rows lines them up by rank (one scan, no self-join).
+    # Ranks present on one side only are dropped: the zip ends at the
+    # shorter side.
+    z = top.groupBy("_rn").agg(pick(left, word_col).alias(w1), pick(left, count_col).alias(c1),
+                               pick(right, word_col).alias(w2), pick(right, count_col).alias(c2))
+    return (z.filter(F.col(c1).isNotNull() & F.col(c2).isNotNull())
+            .select(w1, F.col(c1).cast("int").alias(c1), (F.col("_rn") - 1).cast("int").alias(idn),
+                    w2, F.col(c2).cast("int").alias(c2)))
 
 
 def _min_first(*fields: Column) -> Column:
