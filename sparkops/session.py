@@ -43,14 +43,17 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors: the session's checkpoint dir.
 
-    It is read from ``spark.checkpoint.dir`` (or the SparkContext). Only if
-    neither is set -- a local test session -- a private folder is created and
-    registered as checkpoint dir.
+    It is read from ``spark.checkpoint.dir`` (or the SparkContext). Only a
+    local-mode session (tests) without one gets a private folder, registered
+    as its checkpoint dir; on a cluster a machine-local folder would not be
+    visible to other executors, so a missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="sparkops-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
