@@ -92,16 +92,18 @@ def _ddl_text(st: T.StructType) -> str:
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType | str, sep: str = ",",
                     line_col: str = "value", header_value: str | None = None,
-                    keep: Sequence[str] | None = None) -> DataFrame:
+                    keep: Sequence[str] | None = None, escape: str = "\\") -> DataFrame:
     """Delimited text lines -> typed columns, by position.
 
-    Quoted cells may contain the separator (``a,"b, c",d`` has 3 cells).
+    Quoted cells may contain the separator (``a,"b, c",d`` has 3 cells); the
+    quotes are removed. ``escape='"'`` reads doubled quotes inside a quoted
+    cell as one quote (RFC 4180); the default escape is a backslash.
     A cell that does not fit its type becomes null. With ``header_value``,
     lines whose first cell equals it (header lines) are dropped. ``keep``
     names extra input columns to carry along.
     """
     st = _ddl(schema)
-    parsed = F.from_csv(F.col(line_col), _ddl_text(st), {"sep": sep, "mode": "PERMISSIVE"})
+    parsed = F.from_csv(F.col(line_col), _ddl_text(st), {"sep": sep, "mode": "PERMISSIVE", "escape": escape})
     cols = list(keep or [])
     if header_value is not None:
         raw_first = F.split(F.col(line_col), sep, 2).getItem(0)
