@@ -84,8 +84,9 @@ def mall_income(spark: SparkSession, path: str, out_path: str | None = None, shi
                 low: int = 30, high: int = 35, schema: str | None = None) -> DataFrame:
     """Ages shifted by ``shift``, kept in [low, high]; average income per
     (Gender, Age) rounded half-even to 1 digit, gender_code 1 for Male."""
-    df = read_csv(spark, path, schema).withColumn("Age", F.col("Age") + shift)
-    out = (df.where(F.col("Age").between(low, high))
+    # Filter on the unshifted age (same rows, and the scan can apply it).
+    df = read_csv(spark, path, schema).where(F.col("Age").between(low - shift, high - shift))
+    out = (df.withColumn("Age", F.col("Age") + shift)
            .groupBy("Gender", "Age")
            .agg(F.bround(F.avg("Annual Income (k$)"), 1).alias("avg_Annual_Income"))
            .withColumn("gender_code", flag(F.col("Gender") == "Male"))

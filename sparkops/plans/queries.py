@@ -229,8 +229,10 @@ def date_string_filter(spark, d):
 
 
 def shift_between_bround(spark, d):
-    p = table(spark, d, "part").withColumn("p_size", F.col("p_size") + 2)
-    return (p.filter(F.col("p_size").between(30, 35))
+    # Band test on the unshifted column (28..33 before +2 is 30..35 after), so
+    # the parquet scan can use it; then the column is replaced in place.
+    p = table(spark, d, "part").filter(F.col("p_size").between(30 - 2, 35 - 2))
+    return (p.withColumn("p_size", F.col("p_size") + 2)
             .groupBy("p_brand", "p_size").agg(F.bround(F.avg("p_partkey"), 1).alias("avg_price"))
             .withColumn("brand_code", text.flag(F.col("p_brand") == "Brand#1")))
 

@@ -76,6 +76,8 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     plan = physical_plan(QUERIES["lookup_filter_basket"](spark, SF001))
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+    plan = physical_plan(QUERIES["shift_between_bround"](spark, SF001))
+    assert "GreaterThanOrEqual(p_size,28)" in plan and "LessThanOrEqual(p_size,33)" in plan
 
 
 def test_scan_reads_only_needed_columns(spark):
