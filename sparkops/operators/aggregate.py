@@ -31,12 +31,26 @@ def top_groups(df: DataFrame, keys: str | Sequence[str], k: int, name: str = "co
     return count_by(df, ks, name).orderBy(F.desc(name), *[F.asc(c) for c in ks]).limit(k)
 
 
-def mode(df: DataFrame, col: str, name: str | None = None, count_name: str | None = None) -> DataFrame:
-    """Most frequent non-null value of ``col`` (one row; ties -> smallest)."""
-    out = top_groups(df.filter(F.col(col).isNotNull()), col, 1, name="_n")
-    cols = [F.col(col).alias(name or col)]
+def mode(df: DataFrame, col: str, name: str | None = None, count_name: str | None = None,
+         by: str | Sequence[str] = ()) -> DataFrame:
+    """Most frequent non-null value of ``col`` (ties -> smallest value).
+
+    Without ``by``: one row. With ``by``: one row per group, found with an
+    ordered ``min(struct)`` aggregate, so no group is ever sorted whole.
+    """
+    gs = _list(by)
+    nonnull = df.filter(F.col(col).isNotNull())
+    if not gs:
+        out = top_groups(nonnull, col, 1, name="_n")
+        cols = [F.col(col).alias(name or col)]
+        if count_name:
+            cols.append(F.col("_n").alias(count_name))
+        return out.select(*cols)
+    best = _argmax_key(F.col("_n"), F.col(col))
+    out = count_by(nonnull, gs + [col], "_n").groupBy(*gs).agg(best.alias("_m"))
+    cols = [*gs, F.col("_m.key").alias(name or col)]
     if count_name:
-        cols.append(F.col("_n").alias(count_name))
+        cols.append((-F.col("_m.neg")).alias(count_name))
     return out.select(*cols)
 
 
@@ -83,17 +97,23 @@ def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
 
 def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int = 1,
                    product_name: str = "most_popular_product",
-                   avg_name: str = "avg_transaction") -> DataFrame:
-    """One row over basket lines: the most frequent product (ties ->
-    smallest) and items per transaction = lines div distinct transactions,
-    as ``decimal(38, scale)`` (null when there are no lines).
-
-    The product mode runs as a scalar subquery next to the single global
-    aggregate, so neither result passes through the driver.
+                   avg_name: str = "avg_transaction", by: str | Sequence[str] = ()) -> DataFrame:
+    """Over basket lines: the most frequent product (ties -> smallest) and
+    items per transaction = lines div distinct transactions, as
+    ``decimal(38, scale)`` (null when there are no lines).
+
+    Without ``by`` one row; the product mode runs as a scalar subquery next
+    to the single global aggregate. With ``by`` one row per group, the two
+    per-group aggregates joined on the group keys.
     """
-    popular = mode(items, product_col, product_name)
+    gs = _list(by)
     per_tx = int_avg(F.count(F.lit(1)), F.count_distinct(tx_col)).cast(f"decimal(38,{scale})")
-    return items.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
+    if not gs:
+        popular = mode(items, product_col, product_name)
+        return items.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
+    popular = mode(items, product_col, product_name, by=gs)
+    return (items.groupBy(*gs).agg(per_tx.alias(avg_name))
+            .join(popular, gs, "left").select(*gs, product_name, avg_name))
 
 
 def attach_global(df: DataFrame, agg: DataFrame) -> DataFrame:

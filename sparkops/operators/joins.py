@@ -31,6 +31,20 @@ def lookup_key(dim: DataFrame, name_col: str, name: str, key_col: str, alias: st
             .agg(F.min(key_col).alias(alias or key_col)))
 
 
+def lookup_filter(fact: DataFrame, dim: DataFrame, dim_pred: Column, on: Column,
+                  max_broadcast_rows: int | None = None) -> DataFrame:
+    """Rows of ``fact`` that have a partner among the ``dim`` rows passing
+    ``dim_pred`` (a left-semi join: ``fact`` rows are never duplicated).
+
+    With ``max_broadcast_rows`` the filtered dimension is broadcast after a
+    size check; otherwise the planner decides, with AQE's runtime sizes.
+    """
+    side = dim.filter(dim_pred)
+    if max_broadcast_rows is not None:
+        side = bounded_broadcast(side, max_broadcast_rows)
+    return fact.join(side, on, "left_semi")
+
+
 def xor_mismatches(left: DataFrame, codes: DataFrame, cond: Column, p: Column, q: Column,
                    name: str = "errors", codes_max_rows: int | None = 100_000) -> DataFrame:
     """Count joined rows where exactly one of two predicates holds.
@@ -73,7 +87,8 @@ def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float) -> DataFram
 
 def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
                 row_key: str | Sequence[str], n: int = 32, how: str = "inner",
-                salt_col: str = "_salt", hot_share: float | None = None) -> DataFrame:
+                salt_col: str = "_salt", hot_share: float | None = None,
+                residual: Column | None = None) -> DataFrame:
     """Equi-join on ``keys`` that survives a hot key.
 
     ``big`` is spread over ``n`` salts by a hash of its ``row_key``;
@@ -82,13 +97,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
     are salted and replicated (found by :func:`hot_keys`, at most
     ``1 / hot_share`` of them); every other key joins unsalted, so the
     replication cost stays proportional to the skew. The result equals the
-    plain join on ``keys`` either way (null keys never match).
+    plain join on ``keys`` either way (null keys never match). ``residual``
+    is an extra condition on the joined row (e.g. a band test).
     """
     ks = _list(keys)
     if hot_share is None:
-        return (salt(big, n, row_key, salt_col)
-                .join(replicate(small, n, salt_col), ks + [salt_col], how)
-                .drop(salt_col))
+        joined = (salt(big, n, row_key, salt_col)
+                  .join(replicate(small, n, salt_col), ks + [salt_col], how)
+                  .drop(salt_col))
+        return joined if residual is None else joined.filter(residual)
     hot = F.broadcast(hot_keys(big, ks, hot_share).withColumn("_hot", F.lit(True)))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     big_s = (big.join(hot, ks, "left")
@@ -99,7 +116,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
     small_s = (small.join(hot, ks, "left")
                .withColumn(salt_col, F.explode(F.sequence(F.lit(0).cast("bigint"), copies)))
                .drop("_hot"))
-    return big_s.join(small_s, ks + [salt_col], how).drop(salt_col)
+    joined = big_s.join(small_s, ks + [salt_col], how).drop(salt_col)
+    return joined if residual is None else joined.filter(residual)
 
 
 def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
@@ -130,9 +148,9 @@ def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     spread = F.sequence(lb - 1, lb + 1) if band > 0 else F.array(lb)
     lft = (left.select(F.col(left_id).alias("_id"), *ks, F.col(left_level).alias("_ll"))
            .withColumn("_b", F.explode(spread)))
-    joined = (salted_join(lft, r, ks + ["_b"], "_id", salt_n, hot_share=hot_share)
-              if salt_n > 1 else lft.join(r, ks + ["_b"]))
-    matched = joined.filter(F.abs(F.col("_ll") - F.col("_rl")) <= F.lit(band))
+    in_band = F.abs(F.col("_ll") - F.col("_rl")) <= F.lit(band)
+    matched = (salted_join(lft, r, ks + ["_b"], "_id", salt_n, hot_share=hot_share, residual=in_band)
+               if salt_n > 1 else lft.join(r, ks + ["_b"]).filter(in_band))
     return (matched.groupBy("_id")
             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
             .select(F.col("_id").alias(id_name),

@@ -233,4 +233,15 @@ ORACLE_SQL: dict[str, str] = {
         r"""CAST(b.n AS INT) AS cnt_s2 FROM r a JOIN r b ON a.id=b.id AND a.lang='en' AND b.lang='fr' """
         r"""WHERE a.id <= 20"""
     ),
+    'basket_per_group': (
+        "WITH t AS (SELECT o_orderpriority AS grp, l_orderkey, l_partkey FROM lineitem JOIN orders "
+        "ON l_orderkey = o_orderkey), "
+        "c AS (SELECT grp, l_partkey, count(*) AS n FROM t GROUP BY 1, 2), "
+        "m AS (SELECT grp, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY grp "
+        "ORDER BY n DESC, l_partkey) AS rn FROM c) WHERE rn = 1), "
+        "a AS (SELECT grp, CAST(count(*) // count(DISTINCT l_orderkey) AS DECIMAL(38,1)) AS avg_transaction "
+        "FROM t GROUP BY 1) "
+        "SELECT a.grp AS o_orderpriority, m.l_partkey AS most_popular_product, a.avg_transaction "
+        "FROM a LEFT JOIN m ON a.grp = m.grp"
+    ),
 }

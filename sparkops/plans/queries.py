@@ -423,16 +423,25 @@ def lookup_filter_basket(spark, d):
     nation, supplier, lineitem = (table(spark, d, t) for t in ("nation", "supplier", "lineitem"))
     country = "NATION_5"
     code = joins.lookup_key(nation, "n_name", country, "n_nationkey", "country_code")
-    suppliers = supplier.filter(F.col("s_nationkey") == code.scalar()).select("s_suppkey")
-    tx = (lineitem.filter((F.col("l_shipdate") >= _ntz("1999-04-01 00:00:00"))
-                          & (F.col("l_shipdate") < _ntz("1999-05-01 00:00:00")))
-          .select("l_orderkey", "l_partkey", "l_suppkey")
-          .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")))
+    month = (lineitem.filter((F.col("l_shipdate") >= _ntz("1999-04-01 00:00:00"))
+                             & (F.col("l_shipdate") < _ntz("1999-05-01 00:00:00")))
+             .select("l_orderkey", "l_partkey", "l_suppkey"))
+    tx = joins.lookup_filter(month, supplier.select("s_suppkey", "s_nationkey"),
+                             F.col("s_nationkey") == code.scalar(), F.col("l_suppkey") == F.col("s_suppkey"))
     summary = agg.basket_summary(tx, "l_orderkey", "l_partkey")
     return summary.select(code.scalar().alias("country_code"), F.lit(country).alias("country_name"),
                           "most_popular_product", "avg_transaction")
 
 
+def basket_per_group(spark, d):
+    # The basket summary per order priority over all line items: most
+    # popular part (ties -> smallest key) and items per order.
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    items = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return agg.basket_summary(items, "l_orderkey", "l_partkey", by="o_orderpriority")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         local_rows, json_scan_nested, csv_scan_typed, csv_scan_multiline, parquet_roundtrip,
@@ -445,6 +454,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         join_scaled_distinct, union_all_rows, join_global_avg, group_sum, join_broadcast_xor_count,
         cross_join_range, salted_join_band_avg, lookup_filter_basket, group_avg, csv_scan_inferred,
         csv_delimited_lines, json_roundtrip, csv_roundtrip, rename_drop, conform_schema,
-        json_lines_defaults, global_avg_attached, join_prepartitioned,
+        json_lines_defaults, global_avg_attached, join_prepartitioned, basket_per_group,
     ]
 }

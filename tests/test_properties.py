@@ -201,3 +201,25 @@ def test_bounded_broadcast_checks_size(spark):
 def test_replicate_tags_every_copy(spark):
     r = joins.replicate(table(spark, SF001, "region"), 4, "salt")
     assert sorted_rows(r.groupBy("salt").count()) == [(i, 5) for i in range(4)]
+
+
+def test_mode_per_group_matches_pandas(spark):
+    o = table(spark, SF0001, "orders").select("o_orderstatus", "o_custkey")
+    got = sorted_rows(agg.mode(o, "o_custkey", "best", "n", by="o_orderstatus"))
+    pdf = o.toPandas()
+    exp = []
+    for g, part in pdf.groupby("o_orderstatus"):
+        vc = part["o_custkey"].value_counts()
+        exp.append((g, int(min(vc[vc == vc.max()].index)), int(vc.max())))
+    assert got == sorted(exp)
+
+
+def test_lookup_filter_is_a_semi_join(spark):
+    from sparkops.plans.inspect import physical_plan
+    li = table(spark, SF0001, "lineitem").select("l_orderkey", "l_suppkey")
+    supp = table(spark, SF0001, "supplier")
+    dup = supp.union(supp)  # duplicated dimension rows must not duplicate facts
+    out = joins.lookup_filter(li, dup, F.col("s_nationkey") < 5, F.col("l_suppkey") == F.col("s_suppkey"))
+    keep = {r.s_suppkey for r in supp.filter(F.col("s_nationkey") < 5).collect()}
+    assert out.count() == li.filter(F.col("l_suppkey").isin(list(keep))).count()
+    assert "LeftSemi" in physical_plan(out)
