@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkops._cols import as_col as _c
+
 # Fixed values (must equal the reference jobs' behaviour).
 # Date patterns tried in order by the car job. Its first pattern,
 # "dd/mm/yyyy", uses minutes ("mm") and can never produce a date there, so it
@@ -18,10 +20,6 @@ DEFAULT_DATE_FORMATS = ("yyyy-MM-dd", "yyyy MM dd", "yyyy-MMM-dd", "yyyy MMM dd"
 RU_WEEKDAYS = ("Понедельник", "Вторник", "Среда", "Четверг", "Пятница", "Суббота", "Воскресенье")
 
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _shape(fmt: str) -> str | None:
     """A regex every text parsable with ``fmt`` matches (a necessary
     condition), or None when the pattern has fields this does not model."""

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from sparkops._cols import as_col as _c
 
 
 def int_avg(total: Column | str, count: Column | str) -> Column:

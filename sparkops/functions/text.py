@@ -7,15 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkops._cols import as_col as _c
+
 # Token separator of the word-count job: a run of non-word characters
 # (word character = ASCII letter, digit or underscore).
 WORD_SEPARATOR = r"\W+"
 
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def clean_text(c: Column | str, null_as: str | None = "") -> Column:
     """Remove CR/LF characters; a null becomes ``null_as`` (``''`` by default)."""
     col = _c(c)

@@ -9,11 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkops.functions.numeric import int_avg
-
+from sparkops._cols import as_list as _list
 
-def _list(x: str | Sequence[str]) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)
+from sparkops.functions.numeric import int_avg
 
 
 def count_by(df: DataFrame, keys: str | Sequence[str], name: str = "count") -> DataFrame:

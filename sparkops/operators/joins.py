@@ -8,9 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _list(x: str | Sequence[str]) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)
+from sparkops._cols import as_list as _list
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

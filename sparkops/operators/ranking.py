@@ -8,11 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkops.functions.text import words
-
+from sparkops._cols import as_list as _list
 
-def _list(x: str | Sequence[str]) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)
+from sparkops.functions.text import words
 
 
 def top_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], k: int,
