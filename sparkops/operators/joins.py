@@ -16,7 +16,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
     The check reads at most ``max_rows + 1`` rows. Above the bound the side
     is returned as it is, and the planner (with AQE's runtime statistics)
-    picks a shuffled join.
+    picks a shuffled join. Choose ``max_rows`` with the row width in mind:
+    the broadcast copy goes to every executor.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
@@ -44,7 +45,7 @@ def lookup_filter(fact: DataFrame, dim: DataFrame, dim_pred: Column, on: Column,
 
 
 def xor_mismatches(left: DataFrame, codes: DataFrame, cond: Column, p: Column, q: Column,
-                   name: str = "errors", codes_max_rows: int | None = 100_000) -> DataFrame:
+                   name: str = "errors", codes_max_rows: int | None = 10_000) -> DataFrame:
     """Count joined rows where exactly one of two predicates holds.
 
     Rows where either predicate is null are not counted. ``codes`` (the

@@ -40,6 +40,24 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data: about ``partition_bytes`` per shuffle
+    partition (never fewer than 2 per core) and splits of 128-256 MB, so
+    each task's share fits in executor memory and spills stay rare. AQE
+    then coalesces small partitions and splits skewed ones at run time.
+
+    Example: 100 TB (1e14 bytes) on 1000 executors x 8 cores -> 372,530
+    shuffle partitions of 256 MiB.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 256 << 20)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors: the session's checkpoint dir.
 

@@ -89,3 +89,10 @@ def test_add_constants_single_projection(spark):
     df = shape.add_constants(spark.range(3), 10)
     assert df.columns == ["id"] + [f"col_{i}" for i in range(1, 11)]
     assert physical_plan(df).count("Project") == 1
+
+
+def test_scale_conf_sizes_partitions():
+    from sparkops.session import scale_conf
+    conf = scale_conf(10**14, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-10**14 // (256 << 20))
+    assert scale_conf(10**6, 16)["spark.sql.shuffle.partitions"] == "32"
