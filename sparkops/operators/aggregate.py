@@ -5,6 +5,7 @@ Ties are always broken by the smaller key, so results are deterministic."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,22 +97,34 @@ def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
 def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int = 1,
                    product_name: str = "most_popular_product",
                    avg_name: str = "avg_transaction", by: str | Sequence[str] = ()) -> DataFrame:
-    """Over basket lines: the most frequent product (ties -> smallest) and
-    items per transaction = lines div distinct transactions, as
-    ``decimal(38, scale)`` (null when there are no lines).
-
-    Without ``by`` one row; the product mode runs as a scalar subquery next
-    to the single global aggregate. With ``by`` one row per group, the two
-    per-group aggregates joined on the group keys.
+    """Over basket lines: the most frequent non-null product (ties ->
+    smallest) and items per transaction = lines div distinct transactions,
+    as ``decimal(38, scale)`` (null when there are no lines).
+
+    Without ``by`` one row, with ``by`` one row per group. Both results are
+    derived from ONE aggregate by (group, transaction, product), read
+    unfiltered by both branches, so the input (often a large join) is
+    computed once and its exchange reused; null products lose through an
+    ordering flag rather than a filter.
     """
     gs = _list(by)
-    per_tx = int_avg(F.count(F.lit(1)), F.count_distinct(tx_col)).cast(f"decimal(38,{scale})")
+    prod = F.col(product_col)
+    shared = items.groupBy(*gs, tx_col, product_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_prod = shared.groupBy(*gs, product_col).agg(F.sum("_n").alias("_pn"))
+    per_tx = int_avg(F.sum("_n"), F.count_distinct(tx_col)).cast(f"decimal(38,{scale})")
     if not gs:
-        popular = mode(items, product_col, product_name)
-        return items.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
-    popular = mode(items, product_col, product_name, by=gs)
-    return (items.groupBy(*gs).agg(per_tx.alias(avg_name))
-            .join(popular, gs, "left").select(*gs, product_name, avg_name))
+        popular = (per_prod.orderBy(prod.isNull(), F.desc("_pn"), prod).limit(1)
+                   .select(F.when(prod.isNotNull(), prod).alias(product_name)))
+        return shared.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
+    best = F.min(F.struct(prod.isNull().alias("z"), (-F.col("_pn")).alias("neg"), prod.alias("key")))
+    popular = (per_prod.groupBy(*gs).agg(best.alias("_m"))
+               .select(*gs, F.col("_m.key").alias(product_name)).alias("_p"))
+    stats = shared.groupBy(*gs).agg(per_tx.alias(avg_name)).alias("_s")
+    # Null-safe keys: a null group is a group too, and no not-null filter is
+    # inferred and pushed into one branch only (which would stop the reuse).
+    cond = reduce(lambda a, b: a & b, [F.col(f"_s.{g}").eqNullSafe(F.col(f"_p.{g}")) for g in gs])
+    return (stats.join(popular, cond, "left")
+            .select(*[F.col(f"_s.{g}") for g in gs], F.col(f"_p.{product_name}"), F.col(f"_s.{avg_name}")))
 
 
 def attach_global(df: DataFrame, agg: DataFrame) -> DataFrame:

@@ -242,6 +242,6 @@ ORACLE_SQL: dict[str, str] = {
         "a AS (SELECT grp, CAST(count(*) // count(DISTINCT l_orderkey) AS DECIMAL(38,1)) AS avg_transaction "
         "FROM t GROUP BY 1) "
         "SELECT a.grp AS o_orderpriority, m.l_partkey AS most_popular_product, a.avg_transaction "
-        "FROM a LEFT JOIN m ON a.grp = m.grp"
+        "FROM a LEFT JOIN m ON a.grp IS NOT DISTINCT FROM m.grp"
     ),
 }

@@ -116,3 +116,20 @@ def test_shared_aggregate_is_scanned_once(spark):
     final = physical_plan(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan parquet") == 1
+
+
+def test_basket_branches_share_the_join(spark, no_autobroadcast):
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["basket_per_group"](spark, SF001)
+        df.collect()
+        final = physical_plan(df).split("== Initial Plan ==")[0]
+        # both join inputs are shuffled once and reused by the second branch
+        assert final.count("ReusedExchange") == 2
+        assert final.count("FileScan parquet") == 2
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
