@@ -277,3 +277,16 @@ def test_declared_schema_skips_inference(spark, write_text):
     df = jobs.pizza(spark, p, schema="order_id INT, order_type STRING, address_id INT")
     # the non-numeric address becomes null under the declared schema
     assert rows(df, "order_type") == [("a", 2, 7, 2), ("b", 1, None, 1)]
+
+
+def test_command_line_runs_a_job(spark, write_text, tmp_path):
+    from sparkops.jobs.__main__ import main
+    p = write_text("emp.csv", "id,city,country,salary,department\n0,London,England,123,IT\n2,Rome,Italy,10,HR")
+    out = str(tmp_path / "cli_out")
+    assert main(["salary_by_department", p, out], stop=False) == 0
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("HR", 10.0), ("IT", 123.0)]
+    pizza = write_text("pizza.csv", "order_type,address_id\na,1\na,1\nb,2\n")
+    pizza_out = str(tmp_path / "pizza_cli")
+    assert main(["pizza", pizza, pizza_out], stop=False) == 0  # the job writes CSV itself
+    back = spark.read.csv(pizza_out, schema="t STRING, total LONG, a INT, n LONG")
+    assert sorted(tuple(r) for r in back.collect()) == [("a", 2, 1, 2), ("b", 1, 2, 1)]
