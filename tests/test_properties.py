@@ -223,3 +223,21 @@ def test_lookup_filter_is_a_semi_join(spark):
     keep = {r.s_suppkey for r in supp.filter(F.col("s_nationkey") < 5).collect()}
     assert out.count() == li.filter(F.col("l_suppkey").isin(list(keep))).count()
     assert "LeftSemi" in physical_plan(out)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_salted_join_outer_variants_equal_plain(spark, how):
+    ev = table(spark, SF0001, "events")
+    big = ev.select("event_id", (F.col("event_id") % 50).alias("k"))
+    small = ev.filter(F.col("event_id") % 3 == 0).select((F.col("event_id") % 40).alias("k"), F.col("value").alias("v"))
+    plain = big.join(small, "k", how)
+    for share in (None, 0.01):
+        salted = joins.salted_join(big, small, "k", "event_id", 8, how=how, hot_share=share)
+        assert sorted_rows(salted.select(*plain.columns)) == sorted_rows(plain)
+
+
+def test_salted_join_rejects_right_and_full(spark):
+    df = spark.range(3)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            joins.salted_join(df, df, "id", "id", 4, how=how)
