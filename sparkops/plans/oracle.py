@@ -186,7 +186,7 @@ ORACLE_SQL: dict[str, str] = {
         "n_nationkey FROM nation WHERE n_name='NATION_5')), m AS (SELECT l_partkey FROM t GROUP BY "
         '1 ORDER BY count(*) DESC, l_partkey LIMIT 1) SELECT (SELECT n_nationkey FROM nation WHERE '
         "n_name='NATION_5') AS country_code, 'NATION_5' AS country_name, (SELECT l_partkey FROM m) "
-        'AS most_popular_product, CAST(count(*)//count(DISTINCT l_orderkey) AS DECIMAL(38,1)) AS '
+        'AS most_popular_product, CAST(count(*)//nullif(count(DISTINCT l_orderkey), 0) AS DECIMAL(38,1)) AS '
         'avg_transaction FROM t'
     ),
     'group_avg': (
@@ -239,7 +239,7 @@ ORACLE_SQL: dict[str, str] = {
         "c AS (SELECT grp, l_partkey, count(*) AS n FROM t GROUP BY 1, 2), "
         "m AS (SELECT grp, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY grp "
         "ORDER BY n DESC, l_partkey) AS rn FROM c) WHERE rn = 1), "
-        "a AS (SELECT grp, CAST(count(*) // count(DISTINCT l_orderkey) AS DECIMAL(38,1)) AS avg_transaction "
+        "a AS (SELECT grp, CAST(count(*) // nullif(count(DISTINCT l_orderkey), 0) AS DECIMAL(38,1)) AS avg_transaction "
         "FROM t GROUP BY 1) "
         "SELECT a.grp AS o_orderpriority, m.l_partkey AS most_popular_product, a.avg_transaction "
         "FROM a LEFT JOIN m ON a.grp IS NOT DISTINCT FROM m.grp"
