@@ -33,3 +33,11 @@ def test_entry_runs_on_smallest_scale(spark):
     assert df.count() > 0
     assert set(e.queries()) == set(e.oracle_sql())
     assert len(QUERIES["group_count_sorted"](spark, SF0001).collect()) > 0
+
+
+def test_empty_basket_gives_nulls_not_errors(spark):
+    # at the smallest scale the basket's month holds no lines
+    r = compare(spark, "lookup_filter_basket", SF0001, duckdb_conn(SF0001))
+    assert r["exact"], r
+    row = QUERIES["lookup_filter_basket"](spark, SF0001).first()
+    assert row.most_popular_product is None and row.avg_transaction is None
