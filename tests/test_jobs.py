@@ -290,3 +290,28 @@ def test_command_line_runs_a_job(spark, write_text, tmp_path):
     assert main(["pizza", pizza, pizza_out], stop=False) == 0  # the job writes CSV itself
     back = spark.read.csv(pizza_out, schema="t STRING, total LONG, a INT, n LONG")
     assert sorted(tuple(r) for r in back.collect()) == [("a", 2, 1, 2), ("b", 1, 2, 1)]
+
+
+def test_mall_income_half_even_at_x5(spark, write_text):
+    p = write_text("mall2.csv", "\n".join([
+        "CustomerID,Gender,Age,Annual Income (k$)",
+        "1,Male,29,15.0", "2,Male,29,15.5",      # avg 15.25 -> 15.2 (half-even)
+        "3,Female,30,15.0", "4,Female,30,15.7",  # avg 15.35 -> 15.4
+    ]))
+    assert rows(jobs.mall_income(spark, p)) == [("Female", 32, 15.4, 0), ("Male", 31, 15.2, 1)]
+
+
+def test_bike_columns_resolve_in_any_case(spark, write_text):
+    p = write_text("bikes2.csv", "date,hour,Temperature,humidity,wind_speed,holiday,functioning_day\n"
+                                 "01/12/2017,0,-5.2,37,2.2,Holiday,No\n")
+    assert jobs.bike_projection(spark, p).count() == 1
+    assert rows(jobs.bike_min_max(spark, p)) == [("01/12/2017", -5.2, -5.2)]
+
+
+def test_job_reviews_tied_totals_go_to_smaller_name(spark, write_text):
+    p = write_text("jobs2.csv", "\n".join([
+        "JobTitle,Company,Location,CompanyReviews,Link",
+        "Dev,Zeta,Paris,10 reviews,l1", "Dev,Alpha,Rome,10 reviews,l2",
+    ]))
+    got = rows(jobs.job_reviews(spark, p).filter("type = 'company'"), "count_type")
+    assert got == [("Alpha", "company", "Rome", 10, "max"), ("Alpha", "company", "Rome", 10, "min")]
