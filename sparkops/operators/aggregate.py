@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkops._cols import as_list as _list
 
@@ -45,34 +46,84 @@ def mode(df: DataFrame, col: str, name: str | None = None, count_name: str | Non
         if count_name:
             cols.append(F.col("_n").alias(count_name))
         return out.select(*cols)
-    best = _argmax_key(F.col("_n"), F.col(col))
-    out = count_by(nonnull, gs + [col], "_n").groupBy(*gs).agg(best.alias("_m"))
-    cols = [*gs, F.col("_m.key").alias(name or col)]
+    pairs = count_by(nonnull, gs + [col], "_n")
+    best = _Argmax(pairs, "_n", col)
+    out = pairs.groupBy(*gs).agg(best.agg.alias("_m"))
+    cols = [*gs, best.key(F.col("_m")).alias(name or col)]
     if count_name:
-        cols.append((-F.col("_m.neg")).alias(count_name))
+        cols.append(best.count(F.col("_m")).alias(count_name))
     return out.select(*cols)
 
 
-def _argmax_key(count: Column, key: Column) -> Column:
-    # min over (count is null, -count, key): largest count first, nulls last,
-    # then the smallest key. A plain aggregate, so it combines map-side.
-    return F.min(F.struct(count.isNull().alias("z"), (-count).alias("neg"), key.alias("key")))
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_D38 = "decimal(38,0)"
+
+
+def _shift() -> Column:
+    return F.lit(str(10 ** 20)).cast(_D38)
+
+
+def _top() -> Column:
+    return F.lit(str(2 ** 63)).cast(_D38)
+
+
+class _Argmax:
+    """The key with the largest count per group; ties -> smallest key.
+
+    ``null_key="last"``: a null key competes but loses ties (SQL's
+    ``ORDER BY count DESC, key`` with nulls last); ``"never"``: a null key
+    only comes out when there is no other. Counts must be non-negative.
+
+    For an integral key the whole ordering is packed into one
+    ``decimal(38,0)`` -- count * 10^20 + (2^63 - key) -- whose plain ``max``
+    runs in a hash aggregate with code generation. Other keys use an
+    ordered ``min(struct)``, which Spark runs as a sort aggregate. Both
+    combine map-side.
+    """
+
+    def __init__(self, df: DataFrame, count_col: str, key_col: str, null_key: str = "last"):
+        n, k = F.col(count_col), F.col(key_col)
+        kt = df.schema[key_col].dataType
+        self.packed = isinstance(kt, _INTEGRAL)
+        self.key_type = kt
+        if self.packed:
+            rank = _top() - k.cast(_D38)
+            if null_key == "last":
+                rank = F.coalesce(rank, F.lit(0).cast(_D38))
+            self.agg = F.max(n.cast(_D38) * _shift() + rank)
+        else:
+            first = [k.isNull().alias("kn")] if null_key == "never" else []
+            last = [] if null_key == "never" else [k.isNull().alias("kn")]
+            self.agg = F.min(F.struct(*first, n.isNull().alias("z"), (-n).alias("neg"), *last,
+                                      k.alias("key")))
+
+    def key(self, m: Column) -> Column:
+        if self.packed:
+            r = m % _shift()
+            return F.when(r != 0, (_top() - r).cast(self.key_type))
+        return m.getField("key")
+
+    def count(self, m: Column) -> Column:
+        if self.packed:
+            return F.call_function("div", m, _shift()).cast("bigint")
+        return -m.getField("neg")
 
 
 def total_and_mode(df: DataFrame, by: str, col: str, total_name: str = "total",
                    value_name: str | None = None, count_name: str = "count") -> DataFrame:
     """Per ``by`` group: number of rows, its most frequent ``col`` value and
-    that value's count (ties -> smallest value).
+    that value's count (ties -> smallest value; a null value competes but
+    loses ties).
 
     Two partial aggregations -- by (by, col), then by ``by`` -- and never a
     whole group in memory.
     """
     pairs = count_by(df, [by, col], "_n")
-    best = _argmax_key(F.col("_n"), F.col(col))
+    best = _Argmax(pairs, "_n", col)
     return (pairs.groupBy(by)
-            .agg(F.sum("_n").alias(total_name), best.alias("_m"))
-            .select(by, total_name, F.col("_m.key").alias(value_name or col),
-                    (-F.col("_m.neg")).alias(count_name)))
+            .agg(F.sum("_n").alias(total_name), best.agg.alias("_m"))
+            .select(by, total_name, best.key(F.col("_m")).alias(value_name or col),
+                    best.count(F.col("_m")).alias(count_name)))
 
 
 def numeric_stats(df: DataFrame, col: str, names: Sequence[str] = ("total", "average", "largest", "smallest")) -> DataFrame:
@@ -116,9 +167,9 @@ def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int =
         popular = (per_prod.orderBy(prod.isNull(), F.desc("_pn"), prod).limit(1)
                    .select(F.when(prod.isNotNull(), prod).alias(product_name)))
         return shared.agg(per_tx.alias(avg_name)).select(popular.scalar().alias(product_name), avg_name)
-    best = F.min(F.struct(prod.isNull().alias("z"), (-F.col("_pn")).alias("neg"), prod.alias("key")))
-    popular = (per_prod.groupBy(*gs).agg(best.alias("_m"))
-               .select(*gs, F.col("_m.key").alias(product_name)).alias("_p"))
+    best = _Argmax(per_prod, "_pn", product_col, null_key="never")
+    popular = (per_prod.groupBy(*gs).agg(best.agg.alias("_m"))
+               .select(*gs, best.key(F.col("_m")).alias(product_name)).alias("_p"))
     stats = shared.groupBy(*gs).agg(per_tx.alias(avg_name)).alias("_s")
     # Null-safe keys: a null group is a group too, and no not-null filter is
     # inferred and pushed into one branch only (which would stop the reuse).

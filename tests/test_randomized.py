@@ -66,8 +66,8 @@ def test_total_and_mode_with_text_keys(spark, rows):
         vals = [r[1] for r in rows if r[0] == g]
         cnt = Counter(vals)
         # nulls form a value of their own in the pair count; the winner is the
-        # largest count, ties to the smallest value (null first, as Spark orders)
-        best = min(cnt, key=lambda v: (-cnt[v], v is not None, v or ""))
+        # largest count, ties to the smallest value, a null value losing ties
+        best = min(cnt, key=lambda v: (-cnt[v], v is None, v or ""))
         exp.append((g, len(vals), best, cnt[best]))
     assert got == sorted(exp, key=str)
 
@@ -88,3 +88,40 @@ def test_zip_by_rank_matches_rule(spark, sides, words, limit):
     a, b = ranked("s1"), ranked("s2")
     exp = [(a[i][0], a[i][1], i, b[i][0], b[i][1]) for i in range(min(len(a), len(b)))]
     assert got == exp
+
+
+big = 2 ** 63
+
+
+@FAST
+@given(st.lists(st.tuples(st.sampled_from(["p", "q"]),
+                          st.one_of(st.none(), st.sampled_from([-big, -5, 0, 3, 7, big - 1]))),
+                min_size=1, max_size=30))
+def test_total_and_mode_integral_keys_packed(spark, rows):
+    from sparkops.plans.inspect import physical_plan
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    out = agg.total_and_mode(df, "g", "v", "t", "m", "c")
+    assert "SortAggregate" not in physical_plan(out)
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    exp = []
+    for g in {r[0] for r in rows}:
+        vals = [r[1] for r in rows if r[0] == g]
+        cnt = Counter(vals)
+        best = min(cnt, key=lambda v: (-cnt[v], v is None, v if v is not None else 0))
+        exp.append((g, len(vals), best, cnt[best]))
+    assert got == sorted(exp, key=str)
+
+
+@FAST
+@given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.one_of(st.none(), st.integers(-3, 3))),
+                min_size=1, max_size=30))
+def test_mode_by_group_ignores_nulls(spark, rows):
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = sorted((tuple(r) for r in agg.mode(df, "v", "m", "c", by="g").collect()), key=str)
+    exp = []
+    for g in {r[0] for r in rows}:
+        cnt = Counter(r[1] for r in rows if r[0] == g and r[1] is not None)
+        if cnt:
+            best = min(cnt, key=lambda v: (-cnt[v], v))
+            exp.append((g, best, cnt[best]))
+    assert got == sorted(exp, key=str)
