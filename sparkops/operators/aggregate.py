@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkops._cols import as_list as _list
-
 from sparkops.functions.numeric import int_avg
 
 

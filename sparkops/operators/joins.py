@@ -97,9 +97,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
     ``1 / hot_share`` of them); every other key joins unsalted, so the
     replication cost stays proportional to the skew. The result equals the
     plain join on ``keys`` either way (null keys never match). ``residual``
-    is an extra condition on the joined row (e.g. a band test). Only
-    ``inner`` and ``left`` joins are possible: unmatched rows of the
-    replicated side would otherwise come out once per salt.
+    is an extra condition on the joined row (e.g. a band test). Inner,
+    left, left-semi and left-anti joins are supported; right and full joins
+    are not, since unmatched rows of the replicated side would come out once
+    per salt.
     """
     if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"):
         raise ValueError(f"salted_join supports inner/left/semi/anti joins, not {how!r}")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkops._cols import as_list as _list
-
 from sparkops.functions.text import words
 
 
