@@ -21,13 +21,14 @@ def count_by(df: DataFrame, keys: str | Sequence[str], name: str = "count") -> D
 
 
 def top_groups(df: DataFrame, keys: str | Sequence[str], k: int, name: str = "count") -> DataFrame:
-    """The ``k`` most frequent keys with their counts, ties by key.
+    """The ``k`` most frequent keys with their counts, ties by key (a null
+    key loses ties).
 
     Planned as aggregate + TakeOrderedAndProject: every task keeps its own
     top ``k`` and only those reach the final merge.
     """
     ks = _list(keys)
-    return count_by(df, ks, name).orderBy(F.desc(name), *[F.asc(c) for c in ks]).limit(k)
+    return count_by(df, ks, name).orderBy(F.desc(name), *[F.asc_nulls_last(c) for c in ks]).limit(k)
 
 
 def mode(df: DataFrame, col: str, name: str | None = None, count_name: str | None = None,
@@ -35,7 +36,7 @@ def mode(df: DataFrame, col: str, name: str | None = None, count_name: str | Non
     """Most frequent non-null value of ``col`` (ties -> smallest value).
 
     Without ``by``: one row. With ``by``: one row per group, found with an
-    ordered ``min(struct)`` aggregate, so no group is ever sorted whole.
+    ordered aggregate (see ``_Argmax``), so no group is ever sorted whole.
     """
     gs = _list(by)
     nonnull = df.filter(F.col(col).isNotNull())

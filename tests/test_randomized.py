@@ -125,3 +125,13 @@ def test_mode_by_group_ignores_nulls(spark, rows):
             best = min(cnt, key=lambda v: (-cnt[v], v))
             exp.append((g, best, cnt[best]))
     assert got == sorted(exp, key=str)
+
+
+@FAST
+@given(st.lists(st.one_of(st.none(), st.integers(0, 4)), min_size=1, max_size=30), st.integers(1, 4))
+def test_top_groups_nulls_lose_ties(spark, values, k):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    got = [tuple(r) for r in agg.top_groups(df, "v", k).collect()]
+    cnt = Counter(values)
+    exp = sorted(cnt.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or 0))[:k]
+    assert got == exp
