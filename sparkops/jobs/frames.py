@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkops.functions.text import flag
+from sparkops.jobs import fixed
 from sparkops.operators.aggregate import group_extremes
 from sparkops.operators.ranking import word_count, zip_by_rank
 from sparkops.sources.readers import local_rows, read_csv, read_json, read_tagged
@@ -62,7 +63,8 @@ def movies(spark: SparkSession, path: str, out_path: str | None = None) -> DataF
     return df
 
 
-def bike_projection(spark: SparkSession, path: str, n: int = 3, schema: str | None = None) -> DataFrame:
+def bike_projection(spark: SparkSession, path: str, n: int = fixed.BIKE_ROWS,
+                    schema: str | None = None) -> DataFrame:
     """Four weather columns of the first ``n`` rows."""
     return read_csv(spark, path, schema).select("Hour", "TEMPERATURE", "HUMIDITY", "WIND_SPEED").limit(n)
 
@@ -71,7 +73,7 @@ def bike_workday(spark: SparkSession, path: str, schema: str | None = None) -> D
     """Distinct (HOLIDAY, FUNCTIONING_DAY, is_workday); a day is not a
     workday (0) only when it is a holiday and not a functioning day."""
     df = read_csv(spark, path, schema)
-    off = (F.col("HOLIDAY") == "Holiday") & (F.col("FUNCTIONING_DAY") == "No")
+    off = (F.col("HOLIDAY") == fixed.BIKE_HOLIDAY) & (F.col("FUNCTIONING_DAY") == fixed.BIKE_NOT_FUNCTIONING)
     return df.withColumn("is_workday", flag(off, 0, 1)).select("HOLIDAY", "FUNCTIONING_DAY", "is_workday").distinct()
 
 
@@ -80,8 +82,9 @@ def bike_min_max(spark: SparkSession, path: str, schema: str | None = None) -> D
     return group_extremes(read_csv(spark, path, schema), "Date", "TEMPERATURE", "min_temp", "max_temp")
 
 
-def mall_income(spark: SparkSession, path: str, out_path: str | None = None, shift: int = 2,
-                low: int = 30, high: int = 35, schema: str | None = None) -> DataFrame:
+def mall_income(spark: SparkSession, path: str, out_path: str | None = None,
+                shift: int = fixed.MALL_AGE_SHIFT, low: int = fixed.MALL_AGE_LOW,
+                high: int = fixed.MALL_AGE_HIGH, schema: str | None = None) -> DataFrame:
     """Ages shifted by ``shift``, kept in [low, high]; average income per
     (Gender, Age) rounded half-even to 1 digit, gender_code 1 for Male."""
     # Filter on the unshifted age (same rows, and the scan can apply it).
@@ -89,14 +92,14 @@ def mall_income(spark: SparkSession, path: str, out_path: str | None = None, shi
     out = (df.withColumn("Age", F.col("Age") + shift)
            .groupBy("Gender", "Age")
            .agg(F.bround(F.avg("Annual Income (k$)"), 1).alias("avg_Annual_Income"))
-           .withColumn("gender_code", flag(F.col("Gender") == "Male"))
+           .withColumn("gender_code", flag(F.col("Gender") == fixed.MALL_CODE_ONE_GENDER))
            .orderBy("Gender", "Age"))
     if out_path:
         write_table(out, out_path)
     return out
 
 
-def season_word_ranks(spark: SparkSession, paths: Mapping[str, str], limit: int = 20,
+def season_word_ranks(spark: SparkSession, paths: Mapping[str, str], limit: int = fixed.WORD_RANK_LIMIT,
                       out_path: str | None = None) -> DataFrame:
     """Word counts of two subtitle files aligned by rank
     (``w_s1, cnt_s1, id, w_s2, cnt_s2``, ids 0..limit).

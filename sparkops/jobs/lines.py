@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkops.functions.dates import RU_WEEKDAYS, month_of, weekday_name
+from sparkops.jobs import fixed
 from sparkops.operators.aggregate import count_by, distinct_count, mode, numeric_stats, top_groups
 from sparkops.sources.readers import decode_json_lines, load_accounting, parse_csv_lines, read_lines
 
@@ -24,7 +25,7 @@ PRODUCT_DEFAULTS = {"uniq_id": "", "product_name": "", "manufacturer": "", "pric
                     "number_available": "", "number_of_reviews": 0}
 
 
-def avocado(spark: SparkSession, path: str, after: str = "2018-02-11") -> dict[str, DataFrame]:
+def avocado(spark: SparkSession, path: str, after: str = fixed.AVOCADO_AFTER) -> dict[str, DataFrame]:
     """Five results over avocado sales lines (header line starts 'id').
 
     regions: number of distinct regions; after_date: sales dated after
@@ -44,7 +45,7 @@ def avocado(spark: SparkSession, path: str, after: str = "2018-02-11") -> dict[s
     }
 
 
-def access_log(spark: SparkSession, path: str, status: str = "404", top: int = 3,
+def access_log(spark: SparkSession, path: str, status: str = fixed.LOG_STATUS, top: int = fixed.LOG_TOP,
                names: Sequence[str] = RU_WEEKDAYS) -> dict[str, DataFrame]:
     """Report over access-log lines ``id,host,time,method,url,response,bytes``
     (quoted cells may hold commas; lines with an empty id are skipped).

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparkops.functions.dates import DEFAULT_DATE_FORMATS, parse_date_any, whole_years
 from sparkops.functions.numeric import avg_null_zero
 from sparkops.functions.text import clean_text, leading_int, prefix_any
+from sparkops.jobs import fixed
 from sparkops.operators.aggregate import attach_global, total_and_mode
 from sparkops.operators.ranking import top_entity_extremes
 from sparkops.operators.shape import conform, fill_text
@@ -40,11 +41,11 @@ def shoes(spark: SparkSession, path: str, schema: str | None = None) -> DataFram
     out = (df.select("item_category", "item_name",
                      F.coalesce("item_after_discount", "item_price").alias("item_after_discount"),
                      "item_price", "percentage_solds",
-                     F.coalesce("item_rating", F.lit(0)).alias("item_rating"),
+                     F.coalesce("item_rating", F.lit(fixed.SHOES_RATING_DEFAULT)).alias("item_rating"),
                      "item_shipping",
-                     F.coalesce("buyer_gender", F.lit("unknown")).alias("buyer_gender"))
+                     F.coalesce("buyer_gender", F.lit(fixed.SHOES_GENDER_DEFAULT)).alias("buyer_gender"))
            .filter(F.col("item_name").isNotNull() & F.col("item_category").isNotNull()))
-    out = fill_text(out, "n/a", ["item_category", "item_name", "item_price", "percentage_solds", "item_shipping"])
+    out = fill_text(out, fixed.SHOES_FILL, ["item_category", "item_name", "item_price", "percentage_solds", "item_shipping"])
     return conform(out, SHOES_SCHEMA)
 
 
@@ -78,7 +79,7 @@ def cars(spark: SparkSession, path: str, as_of: str | None = None,
     return attach_global(df, mean).withColumn("years_since_purchase", whole_years(bought, today))
 
 
-def positions(spark: SparkSession, path: str, prefixes: Sequence[str] = ("BI", "it"),
+def positions(spark: SparkSession, path: str, prefixes: Sequence[str] = fixed.POSITION_PREFIXES,
               schema: str | None = None) -> DataFrame:
     """Distinct positions whose title starts with any prefix, ignoring
     case, ordered by PositionID."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkops.functions import dates, text
+from sparkops.jobs import fixed
 from sparkops.jobs import frames as season_jobs
 from sparkops.functions.numeric import avg_null_zero
 from sparkops.operators import aggregate as agg
@@ -415,7 +416,8 @@ def salted_join_band_avg(spark, d):
     offers = ev.select("event_type", "user_id", (F.col("event_id") % 7).alias("level"),
                        F.round(F.col("value") * 100).cast("bigint").alias("price"))
     return joins.band_avg_join(freelancers, offers, ["event_type", "user_id"], "level", "level",
-                               "event_id", "price", band=1, salt_n=32, id_name="id",
+                               "event_id", "price", band=fixed.OFFER_LEVEL_BAND, salt_n=fixed.OFFER_SALT,
+                               id_name="id",
                                avg_name="avg_price_cents")
 
 
