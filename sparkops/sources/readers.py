@@ -31,17 +31,21 @@ def local_rows(spark: SparkSession, rows: Iterable[Sequence], names: Sequence[st
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
              header: bool = True, multiline: bool = False, sep: str = ",",
-             **options: str) -> DataFrame:
+             escape: str | None = None, **options: str) -> DataFrame:
     """CSV scan. With ``schema`` the data is read once; without it the types
     are inferred (an extra pass). Malformed cells become null (PERMISSIVE).
 
     ``multiline=True`` allows line breaks inside quoted cells; such files are
-    not split, so write them as many moderate files.
+    not split, so write them as many moderate files. ``escape`` defaults to
+    a doubled quote for multi-line files (RFC 4180) and to Spark's backslash
+    otherwise.
     """
     reader = (spark.read.option("header", header).option("sep", sep)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
-    if multiline:
-        reader = reader.option("escape", '"')
+    if escape is None and multiline:
+        escape = '"'
+    if escape is not None:
+        reader = reader.option("escape", escape)
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is not None:
