@@ -1,7 +1,7 @@
 """DataFrame-level operators."""
 
 from sparkops.operators.aggregate import (  # noqa: F401
-    attach_global, basket_summary, count_by, distinct_count, group_extremes, mode, numeric_stats,
+    attach_global, basket_summary, count_by, distinct_count, extreme_records, group_extremes, mode, numeric_stats,
     top_groups, total_and_mode,
 )
 from sparkops.operators.joins import (  # noqa: F401

@@ -139,6 +139,27 @@ def distinct_count(df: DataFrame, cols: str | Sequence[str], name: str = "count"
     return df.agg(F.count_distinct(*[F.col(c) for c in _list(cols)]).alias(name))
 
 
+def extreme_records(df: DataFrame, col: str, tie: str, cols: Sequence[str],
+                    kind_col: str = "kind") -> DataFrame:
+    """The whole records holding the largest and the smallest ``col``
+    (ties -> smallest ``tie``; null values never win): two rows, ``kind``
+    'max' / 'min', then ``cols``.
+
+    One pass: two ordered struct aggregates over the table, each combining
+    map-side, instead of two sorts.
+    """
+    c, t = F.col(col), F.col(tie)
+    rec = [F.col(x).alias(x) for x in cols]
+    hi = F.min(F.struct(c.isNull().alias("z"), (-c).alias("o"), t.alias("t"), *rec))
+    lo = F.min(F.struct(c.isNull().alias("z"), c.alias("o"), t.alias("t"), *rec))
+    both = df.agg(hi.alias("_hi"), lo.alias("_lo"))
+    rows = F.array(*[F.struct(F.lit(k).alias(kind_col), *[F.col(f"{m}.{x}").alias(x) for x in cols],
+                              F.col(f"{m}.z").alias("_z"))
+                     for k, m in (("max", "_hi"), ("min", "_lo"))])
+    return (both.select(F.explode(rows).alias("_r")).filter(~F.col("_r._z"))
+            .select(f"_r.{kind_col}", *[f"_r.{x}" for x in cols]))
+
+
 def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
                    min_name: str = "min", max_name: str = "max") -> DataFrame:
     """min and max of ``col`` per group."""

@@ -244,4 +244,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT a.grp AS o_orderpriority, m.l_partkey AS most_popular_product, a.avg_transaction "
         "FROM a LEFT JOIN m ON a.grp IS NOT DISTINCT FROM m.grp"
     ),
+    'global_extreme_records': (
+        "(SELECT 'max' AS kind, p_partkey, p_name, p_retailprice FROM part WHERE p_retailprice IS NOT NULL "
+        "ORDER BY p_retailprice DESC, p_partkey LIMIT 1) UNION ALL "
+        "(SELECT 'min' AS kind, p_partkey, p_name, p_retailprice FROM part WHERE p_retailprice IS NOT NULL "
+        "ORDER BY p_retailprice, p_partkey LIMIT 1)"
+    ),
 }

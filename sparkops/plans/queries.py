@@ -282,6 +282,12 @@ def global_extremes(spark, d):
     return p.agg(F.max("p_retailprice").alias("max_price"), F.min("p_retailprice").alias("min_price"))
 
 
+def global_extreme_records(spark, d):
+    # The whole records at the highest and the lowest retail price.
+    p = table(spark, d, "part")
+    return agg.extreme_records(p, "p_retailprice", "p_partkey", ["p_partkey", "p_name", "p_retailprice"])
+
+
 def avg_null_as_zero(spark, d):
     li = table(spark, d, "lineitem")
     return li.agg(avg_null_zero(F.nullif("l_quantity", F.lit(1.0))).alias("avg_mileage"))
@@ -457,5 +463,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cross_join_range, salted_join_band_avg, lookup_filter_basket, group_avg, csv_scan_inferred,
         csv_delimited_lines, json_roundtrip, csv_roundtrip, rename_drop, conform_schema,
         json_lines_defaults, global_avg_attached, join_prepartitioned, basket_per_group,
+        global_extreme_records,
     ]
 }

@@ -135,3 +135,18 @@ def test_top_groups_nulls_lose_ties(spark, values, k):
     cnt = Counter(values)
     exp = sorted(cnt.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or 0))[:k]
     assert got == exp
+
+
+@FAST
+@given(st.lists(st.tuples(st.integers(0, 20), st.one_of(st.none(), st.sampled_from([1.5, 2.0, -3.0, 2.0]))),
+                min_size=1, max_size=25))
+def test_extreme_records_matches_rule(spark, rows):
+    df = spark.createDataFrame(rows, "k int, p double")
+    got = sorted(tuple(r) for r in agg.extreme_records(df, "p", "k", ["k", "p"]).collect())
+    valid = [r for r in rows if r[1] is not None]
+    exp = []
+    if valid:
+        hi = min(valid, key=lambda r: (-r[1], r[0]))
+        lo = min(valid, key=lambda r: (r[1], r[0]))
+        exp = sorted([("max", hi[0], hi[1]), ("min", lo[0], lo[1])])
+    assert got == exp
