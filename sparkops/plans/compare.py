@@ -45,6 +45,15 @@ def _rows(cols, rows, digits):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+               "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+               "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def _duck_type(spark_type: str) -> str:
+    return _DUCK_TYPES.get(spark_type, spark_type.upper())
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     from sparkops.plans.oracle import ORACLE_SQL
     from sparkops.plans.queries import QUERIES
@@ -52,11 +61,16 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     sdf = QUERIES[name](spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(ORACLE_SQL[name])
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = con.sql(ORACLE_SQL[name])
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
+    d_rows = rel.fetchall()
     res = {"name": name, "rows": len(s_rows), "oracle_rows": len(d_rows),
            "cols_match": sorted(s_cols) == sorted(d_cols)}
+    s_types = {f.name: _duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
+    res["types_match"] = all(s_types.get(c) == d_types.get(c) for c in d_cols)
+    if not res["types_match"]:
+        res["types"] = {c: (s_types.get(c), d_types.get(c)) for c in d_cols if s_types.get(c) != d_types.get(c)}
     res["exact"] = res["cols_match"] and _rows(s_cols, s_rows, None) == _rows(d_cols, d_rows, None)
     res["approx"] = res["cols_match"] and _rows(s_cols, s_rows, 9) == _rows(d_cols, d_rows, 9)
     if not res["cols_match"]:
@@ -78,7 +92,7 @@ def main(argv):
             r = compare(spark, n, sf_dir, con)
         except Exception as e:  # report and continue
             r = {"name": n, "error": repr(e)[:400]}
-        ok = r.get("exact")
+        ok = r.get("exact") and r.get("types_match")
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{len(names) - bad}/{len(names)} exact")

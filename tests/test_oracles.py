@@ -22,6 +22,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF001, con)
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["exact"], r
 
