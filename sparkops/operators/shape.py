@@ -23,12 +23,30 @@ def conform(df: DataFrame, schema: T.StructType | str,
     instead of failing the job. Rows with a null in ``required`` are dropped.
     """
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    out = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
+    src = {f.name.lower(): f.dataType for f in df.schema.fields}
+    out = df.select(*[_cast(F.col(f.name), src.get(f.name.lower()), f.dataType).alias(f.name)
+                      for f in st.fields])
     if required:
         out = out.na.drop(subset=list(required))
     return out
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Every text Spark can cast to an integer matches this (ASCII digits, a sign,
+# blanks or control characters around them).
+_INTEGER_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+
+
+def _cast(c, source, target):
+    if source == target:
+        return c
+    if isinstance(source, T.StringType) and isinstance(target, _INTEGRAL):
+        # A failing text-to-integer cast is exception-driven in Spark (about
+        # 20x a success); texts that cannot be integers skip it.
+        return F.when(c.rlike(_INTEGER_TEXT), c.try_cast(target))
+    return c.try_cast(target)
+
+
 def fill_text(df: DataFrame, value: str, cols: Sequence[str]) -> DataFrame:
     """Replace nulls by ``value`` in the listed columns.
 

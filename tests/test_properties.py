@@ -241,3 +241,15 @@ def test_salted_join_rejects_right_and_full(spark):
     for how in ("right", "full"):
         with pytest.raises(ValueError):
             joins.salted_join(df, df, "id", "id", 4, how=how)
+
+
+@FAST
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789 +-.x\t\n\x01eE_", max_size=12),
+                          st.integers(-2**63, 2**63 - 1).map(str)), min_size=1, max_size=40))
+def test_conform_guarded_int_cast_equals_try_cast(spark, values):
+    from sparkops.operators import shape
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    for t in ("int", "bigint", "smallint"):
+        got = [r.s for r in shape.conform(df, f"s {t}").collect()]
+        exp = [r.s for r in df.select(F.col("s").try_cast(t).alias("s")).collect()]
+        assert got == exp
