@@ -126,12 +126,16 @@ def total_and_mode(df: DataFrame, by: str, col: str, total_name: str = "total",
                     best.count(F.col("_m")).alias(count_name)))
 
 
-def numeric_stats(df: DataFrame, col: str, names: Sequence[str] = ("total", "average", "largest", "smallest")) -> DataFrame:
-    """sum, integer average (sum div count), max, min of a column; one pass."""
+def numeric_stats(df: DataFrame, col: str, names: Sequence[str] = ("total", "average", "largest", "smallest"),
+                  exact: bool = False) -> DataFrame:
+    """sum, average, max, min of a column in one pass. The average is the
+    jobs' integer average (sum div count) unless ``exact`` asks for the
+    real one (a double)."""
     c = F.col(col)
     t, a, mx, mn = names
+    avg = F.col("_s") / F.col("_n") if exact else int_avg(F.col("_s"), F.col("_n"))
     return (df.agg(F.sum(c).alias("_s"), F.count(c).alias("_n"), F.max(c).alias(mx), F.min(c).alias(mn))
-            .select(F.col("_s").cast("bigint").alias(t), int_avg(F.col("_s"), F.col("_n")).alias(a), mx, mn))
+            .select(F.col("_s").cast("bigint").alias(t), F.when(F.col("_n") > 0, avg).alias(a), mx, mn))
 
 
 def distinct_count(df: DataFrame, cols: str | Sequence[str], name: str = "count") -> DataFrame:
@@ -168,10 +172,12 @@ def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
 
 def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int = 1,
                    product_name: str = "most_popular_product",
-                   avg_name: str = "avg_transaction", by: str | Sequence[str] = ()) -> DataFrame:
+                   avg_name: str = "avg_transaction", by: str | Sequence[str] = (),
+                   exact: bool = False) -> DataFrame:
     """Over basket lines: the most frequent non-null product (ties ->
     smallest) and items per transaction = lines div distinct transactions,
-    as ``decimal(38, scale)`` (null when there are no lines).
+    as ``decimal(38, scale)`` (null when there are no lines; ``exact`` gives
+    the real ratio rounded half-up instead of the integer division).
 
     Without ``by`` one row, with ``by`` one row per group. Both results are
     derived from ONE aggregate by (group, transaction, product), read
@@ -183,7 +189,11 @@ def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int =
     prod = F.col(product_col)
     shared = items.groupBy(*gs, tx_col, product_col).agg(F.count(F.lit(1)).alias("_n"))
     per_prod = shared.groupBy(*gs, product_col).agg(F.sum("_n").alias("_pn"))
-    per_tx = int_avg(F.sum("_n"), F.count_distinct(tx_col)).cast(f"decimal(38,{scale})")
+    lines, txs = F.sum("_n"), F.count_distinct(tx_col)
+    if exact:  # the real ratio, rounded half-up to ``scale``
+        per_tx = F.when(txs > 0, F.round(lines.cast("decimal(38,0)") / txs, scale)).cast(f"decimal(38,{scale})")
+    else:  # the jobs' integer division, then ``scale`` digits
+        per_tx = int_avg(lines, txs).cast(f"decimal(38,{scale})")
     if not gs:
         popular = (per_prod.orderBy(prod.isNull(), F.desc("_pn"), prod).limit(1)
                    .select(F.when(prod.isNotNull(), prod).alias(product_name)))

@@ -96,3 +96,15 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(10**14, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == -(-10**14 // (256 << 20))
     assert scale_conf(10**6, 16)["spark.sql.shuffle.partitions"] == "32"
+
+
+def test_exact_averages(spark):
+    import decimal
+    from sparkops.operators import aggregate as agg
+    df = spark.createDataFrame([(1, "t1", "a"), (2, "t1", "b"), (4, "t2", "a")], "v int, tx string, p string")
+    assert tuple(agg.numeric_stats(df, "v").first()) == (7, 2, 4, 1)
+    assert agg.numeric_stats(df, "v", exact=True).first().average == pytest.approx(7 / 3)
+    assert agg.basket_summary(df, "tx", "p").first().avg_transaction == decimal.Decimal("1.0")
+    assert agg.basket_summary(df, "tx", "p", exact=True).first().avg_transaction == decimal.Decimal("1.5")
+    assert agg.basket_summary(df, "tx", "p", scale=2, exact=True, by="tx").orderBy("tx").collect()[0][2] == \
+        decimal.Decimal("2.00")
