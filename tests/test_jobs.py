@@ -315,3 +315,16 @@ def test_job_reviews_tied_totals_go_to_smaller_name(spark, write_text):
     ]))
     got = rows(jobs.job_reviews(spark, p).filter("type = 'company'"), "count_type")
     assert got == [("Alpha", "company", "Rome", 10, "max"), ("Alpha", "company", "Rome", 10, "min")]
+
+
+def test_job_reviews_typed_variant_drops_null_locations(spark, write_text):
+    p = write_text("jobs3.csv", "\n".join([
+        "JobTitle,Company,Location,CompanyReviews,Link",
+        "Dev,Acme,Paris,10 reviews,l1",
+        "Dev,Beta,,50 reviews,l2",        # counts for Beta only when null locations are kept
+        "Dev,Beta,Rome,5 reviews,l3",
+    ]))
+    keep = rows(jobs.job_reviews(spark, p).filter("type = 'company'"), "count_type")
+    drop = rows(jobs.job_reviews(spark, p, drop_null_location=True).filter("type = 'company'"), "count_type")
+    assert keep == [("Beta", "company", "Rome", 5, "max"), ("Beta", "company", "Rome", 5, "min")]
+    assert drop == [("Acme", "company", "Paris", 10, "max"), ("Acme", "company", "Paris", 10, "min")]
