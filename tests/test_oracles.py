@@ -42,3 +42,30 @@ def test_empty_basket_gives_nulls_not_errors(spark):
     assert r["exact"], r
     row = QUERIES["lookup_filter_basket"](spark, SF0001).first()
     assert row.most_popular_product is None and row.avg_transaction is None
+
+
+JOIN_QUERIES = ["join_inner_using", "join_scaled_distinct", "join_global_avg", "join_prepartitioned",
+                "join_broadcast_xor_count", "local_rows", "salted_join_band_avg", "lookup_filter_basket",
+                "basket_per_group", "top_entity_location_extremes"]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", JOIN_QUERIES)
+def test_join_queries_exact_with_sort_merge_joins(spark, con, shuffled_joins, name):
+    # at scale the big joins are sort-merge joins, not the broadcasts the
+    # planner picks for small local tables
+    r = compare(spark, name, SF001, con)
+    assert r["exact"] and r["types_match"], r
