@@ -57,6 +57,7 @@ QUERY_ROWS: dict[str, tuple[str, ...]] = {
     "salted_join_band_avg": ("JN4", "F8", "X14", "X11", "A3"),
     "lookup_filter_basket": ("JN6", "F10", "A17", "A18", "T4", "P13", "X13"),
     "basket_per_group": ("A17", "A18", "P13"),
+    "salted_hot_key_join": ("JN4", "X14", "A5"),
 }
 
 # rows exercised by the end-to-end jobs or by plan tests rather than by a

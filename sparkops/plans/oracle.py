@@ -250,4 +250,8 @@ ORACLE_SQL: dict[str, str] = {
         "(SELECT 'min' AS kind, p_partkey, p_name, p_retailprice FROM part WHERE p_retailprice IS NOT NULL "
         "ORDER BY p_retailprice, p_partkey LIMIT 1)"
     ),
+    'salted_hot_key_join': (
+        "WITH a AS (SELECT event_type, count(*) AS type_events FROM events GROUP BY 1) "
+        "SELECT e.event_id, e.event_type, a.type_events FROM events e JOIN a ON e.event_type = a.event_type"
+    ),
 }

@@ -427,6 +427,17 @@ def salted_join_band_avg(spark, d):
                                avg_name="avg_price_cents")
 
 
+def salted_hot_key_join(spark, d):
+    # Every event with the number of events of its type. The five event
+    # types each hold about a fifth of the rows -- all of them hot keys -- so
+    # their rows are spread over 8 salts against 8 copies of the small side.
+    ev = table(spark, d, "events")
+    per_type = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("type_events"))
+    joined = joins.salted_join(ev.select("event_id", "event_type"), per_type, "event_type", "event_id",
+                               n=8, hot_share=0.001)
+    return joined.select("event_id", "event_type", "type_events")
+
+
 def lookup_filter_basket(spark, d):
     nation, supplier, lineitem = (table(spark, d, t) for t in ("nation", "supplier", "lineitem"))
     country = "NATION_5"
@@ -463,6 +474,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cross_join_range, salted_join_band_avg, lookup_filter_basket, group_avg, csv_scan_inferred,
         csv_delimited_lines, json_roundtrip, csv_roundtrip, rename_drop, conform_schema,
         json_lines_defaults, global_avg_attached, join_prepartitioned, basket_per_group,
-        global_extreme_records,
+        global_extreme_records, salted_hot_key_join,
     ]
 }

@@ -134,3 +134,13 @@ def test_basket_branches_share_the_join(spark, no_autobroadcast):
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         else:
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_keys_are_salted(spark):
+    df = QUERIES["salted_hot_key_join"](spark, SF001)
+    plan = physical_plan(df)
+    assert "xxhash64" in plan and "explode(sequence" in plan
+    # every event type holds ~1/5 of the rows: all of them are found hot
+    from sparkops.operators.joins import hot_keys
+    from sparkops.plans.queries import table
+    assert hot_keys(table(spark, SF001, "events"), "event_type", 0.001).count() == 5
