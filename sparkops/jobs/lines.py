@@ -46,7 +46,7 @@ def avocado(spark: SparkSession, path: str, after: str = fixed.AVOCADO_AFTER) ->
 
 
 def access_log(spark: SparkSession, path: str, status: str = fixed.LOG_STATUS, top: int = fixed.LOG_TOP,
-               names: Sequence[str] = RU_WEEKDAYS) -> dict[str, DataFrame]:
+               names: Sequence[str] = RU_WEEKDAYS, keep_quotes: bool = False) -> dict[str, DataFrame]:
     """Report over access-log lines ``id,host,time,method,url,response,bytes``
     (quoted cells may hold commas; lines with an empty id are skipped).
 
@@ -55,9 +55,12 @@ def access_log(spark: SparkSession, path: str, status: str = fixed.LOG_STATUS, t
     hosts: distinct hosts; top_hosts: the ``top`` busiest hosts;
     top_weekdays: weekdays (named by ``names``, Monday first) with most
     ``status`` responses, time being epoch seconds in the session zone.
+    ``keep_quotes=True`` keeps quote characters in cells, as the original
+    report printed them.
     """
     lines = read_lines(spark, path)
-    logs = parse_csv_lines(lines.filter(F.split("value", ",", 2).getItem(0) != ""), LOG_SCHEMA)
+    logs = parse_csv_lines(lines.filter(F.split("value", ",", 2).getItem(0) != ""), LOG_SCHEMA,
+                           keep_quotes=keep_quotes)
     days = (logs.filter(F.col("response") == status)
             .select(weekday_name(F.timestamp_seconds("time"), names).alias("name")))
     return {

@@ -9,6 +9,7 @@ the data, so production jobs should pass ``schema``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -96,25 +97,41 @@ def _ddl_text(st: T.StructType) -> str:
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType | str, sep: str = ",",
                     line_col: str = "value", header_value: str | None = None,
-                    keep: Sequence[str] | None = None, escape: str = "\\") -> DataFrame:
+                    keep: Sequence[str] | None = None, escape: str = "\\",
+                    keep_quotes: bool = False) -> DataFrame:
     """Delimited text lines -> typed columns, by position.
 
     Quoted cells may contain the separator (``a,"b, c",d`` has 3 cells); the
     quotes are removed. ``escape='"'`` reads doubled quotes inside a quoted
     cell as one quote (RFC 4180); the default escape is a backslash.
+    ``keep_quotes=True`` splits only on separators outside quotes and keeps
+    the quote characters in the cells, as the original line splitter did.
     A cell that does not fit its type becomes null. With ``header_value``,
     lines whose first cell equals it (header lines) are dropped. ``keep``
     names extra input columns to carry along.
     """
     st = _ddl(schema)
-    parsed = F.from_csv(F.col(line_col), _ddl_text(st), {"sep": sep, "mode": "PERMISSIVE", "escape": escape})
     cols = list(keep or [])
     if header_value is not None:
         raw_first = F.split(F.col(line_col), sep, 2).getItem(0)
         lines = lines.filter(raw_first.isNull() | (raw_first != header_value))
+    if keep_quotes:
+        # a separator is outside quotes when an even number of quotes follows it
+        cells = F.split(F.col(line_col), re.escape(sep) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+        return (lines.select(*cols, cells.alias("_c"))
+                .select(*cols, *[_typed(F.get(F.col("_c"), i), f.dataType).alias(f.name)
+                                 for i, f in enumerate(st.fields)]))
+    parsed = F.from_csv(F.col(line_col), _ddl_text(st), {"sep": sep, "mode": "PERMISSIVE", "escape": escape})
     return lines.select(*cols, parsed.alias("_r")).select(*cols, "_r.*")
 
 
+def _typed(cell: Column, dtype: T.DataType) -> Column:
+    """A text cell as ``dtype``: empty -> null, values that do not fit -> null."""
+    from sparkops.operators.shape import _cast
+    cell = F.when(cell != "", cell)
+    return cell if isinstance(dtype, T.StringType) else _cast(cell, T.StringType(), dtype)
+
+
 def load_accounting(lines: DataFrame, line_col: str = "value", sep: str = ",") -> DataFrame:
     """One row: total lines, loaded lines (first cell non-empty), skipped.
 

@@ -328,3 +328,41 @@ def test_job_reviews_typed_variant_drops_null_locations(spark, write_text):
     drop = rows(jobs.job_reviews(spark, p, drop_null_location=True).filter("type = 'company'"), "count_type")
     assert keep == [("Beta", "company", "Rome", 5, "max"), ("Beta", "company", "Rome", 5, "min")]
     assert drop == [("Acme", "company", "Paris", 10, "max"), ("Acme", "company", "Paris", 10, "min")]
+
+
+def test_access_log_can_keep_quotes_like_the_original(spark, write_text):
+    mon = 1609718400
+    p = write_text("logs2.csv", "\n".join([
+        ",host,time,method,url,response,bytes",
+        f'1,"a,b",{mon},GET,/x,404,100',
+        f'2,"a,b",{mon},GET,"/y,z",200,',
+        f"3,h2,{mon},GET,/x,404,x",
+    ]))
+    r = jobs.access_log(spark, p, keep_quotes=True)
+    assert rows(r["top_hosts"]) == [('"a,b"', 2), ("h2", 1)]
+    assert rows(r["bytes"]) == [(100, 100, 100, 100)]  # empty and bad cells are null
+    plain = jobs.access_log(spark, p)
+    assert rows(plain["top_hosts"]) == [("a,b", 2), ("h2", 1)]
+
+
+def test_keep_quotes_split_matches_reference_rule(spark, write_text):
+    from sparkops.sources import readers
+    lines = ['a,"b,c",d', '"x,y,z",1,2', 'p,q', '"",,"e"']
+    p = write_text("kq.txt", "\n".join(lines))
+
+    def ref_split(line):
+        out, cur, inq = [], "", False
+        for ch in line:
+            if ch == '"':
+                inq = not inq
+            if ch == "," and not inq:
+                out.append(cur)
+                cur = ""
+            else:
+                cur += ch
+        out.append(cur)
+        return out
+    df = readers.parse_csv_lines(readers.read_lines(spark, p), "c0 STRING, c1 STRING, c2 STRING", keep_quotes=True)
+    got = sorted(tuple(r) for r in df.collect())
+    exp = sorted(tuple((c if c != "" else None) for c in (ref_split(l) + [None, None, None])[:3]) for l in lines)
+    assert got == exp
