@@ -253,3 +253,23 @@ def test_conform_guarded_int_cast_equals_try_cast(spark, values):
         got = [r.s for r in shape.conform(df, f"s {t}").collect()]
         exp = [r.s for r in df.select(F.col("s").try_cast(t).alias("s")).collect()]
         assert got == exp
+
+
+@FAST
+@given(st.lists(st.one_of(
+    st.none(),
+    st.text(alphabet="0123456789- /+", max_size=12),
+    st.builds(lambda y, m, d, sep: f"{y}{sep}{m}{sep}{d}",
+              st.integers(0, 12000).map(str), st.sampled_from(["05", "5", "May", "may", "MAY", "Sept", "13"]),
+              st.sampled_from(["25", "5", "31", "30", "x"]), st.sampled_from(["-", " ", "/"]))),
+    min_size=1, max_size=40))
+def test_date_parse_guard_changes_nothing(spark, values):
+    from sparkops.functions.dates import DEFAULT_DATE_FORMATS, _try_date
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    fmts = list(DEFAULT_DATE_FORMATS) + ["dd/MM/yyyy"]
+    cols = []
+    for i, f in enumerate(fmts):
+        cols += [F.try_to_date("s", f).alias(f"raw{i}"), _try_date(F.col("s"), f).alias(f"g{i}")]
+    for r in df.select(*cols).collect():
+        for i in range(len(fmts)):
+            assert r[f"raw{i}"] == r[f"g{i}"]
