@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from sparkops.operators import aggregate as agg
 from sparkops.operators import ranking
 
-FAST = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+FAST = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 names = st.one_of(st.none(), st.sampled_from(["", "a", "b", "c", "d"]))
 locs = st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))
