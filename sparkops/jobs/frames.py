@@ -100,7 +100,7 @@ def mall_income(spark: SparkSession, path: str, out_path: str | None = None,
 
 
 def season_word_ranks(spark: SparkSession, paths: Mapping[str, str], limit: int = fixed.WORD_RANK_LIMIT,
-                      out_path: str | None = None) -> DataFrame:
+                      out_path: str | None = None, max_cells: int = 1_000_000) -> DataFrame:
     """Word counts of two subtitle files aligned by rank
     (``w_s1, cnt_s1, id, w_s2, cnt_s2``, ids 0..limit).
 
@@ -109,8 +109,12 @@ def season_word_ranks(spark: SparkSession, paths: Mapping[str, str], limit: int
     files are counted in one aggregation, tagged by season.
     """
     seasons = list(paths)
+    # Every cell of a line is tokenised even though only the first is kept;
+    # ``max_cells`` lifts the CSV parser's 20,480-cell limit so a long line
+    # with many commas is read, not failed.
     lines = read_tagged(spark, paths, tag="season",
-                        reader=lambda s, p: read_csv(s, p, schema="_c0 STRING", header=False))
+                        reader=lambda s, p: read_csv(s, p, schema="_c0 STRING", header=False,
+                                                     maxColumns=str(max_cells)))
     counts = word_count(lines, "_c0", by=["season"], word_col="value", count_col="count")
     out = zip_by_rank(counts, "season", seasons, "value", "count", limit)
     if out_path:

@@ -366,3 +366,10 @@ def test_keep_quotes_split_matches_reference_rule(spark, write_text):
     got = sorted(tuple(r) for r in df.collect())
     exp = sorted(tuple((c if c != "" else None) for c in (ref_split(l) + [None, None, None])[:3]) for l in lines)
     assert got == exp
+
+
+def test_season_word_ranks_reads_lines_with_many_commas(spark, write_text):
+    s1 = write_text("wide1.txt", "alpha beta" + "," * 30000 + "ignored\n")
+    s2 = write_text("wide2.txt", "gamma\n")
+    got = rows(jobs.season_word_ranks(spark, {"a": s1, "b": s2}), "id")
+    assert got == [("alpha", 1, 0, "gamma", 1)]
