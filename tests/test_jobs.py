@@ -373,3 +373,13 @@ def test_season_word_ranks_reads_lines_with_many_commas(spark, write_text):
     s2 = write_text("wide2.txt", "gamma\n")
     got = rows(jobs.season_word_ranks(spark, {"a": s1, "b": s2}), "id")
     assert got == [("alpha", 1, 0, "gamma", 1)]
+
+
+def test_command_line_writes_one_folder_per_result(spark, write_text, tmp_path):
+    import os
+    from sparkops.jobs.__main__ import main
+    p = write_text("logs3.csv", ",host,time,method,url,response,bytes\n1,h,1609718400,GET,/x,404,5\n")
+    out = str(tmp_path / "report")
+    assert main(["access_log", p, out], stop=False) == 0
+    assert sorted(os.listdir(out)) == ["accounting", "bytes", "hosts", "responses", "top_hosts", "top_weekdays"]
+    assert tuple(spark.read.parquet(f"{out}/accounting").first()) == (2, 1, 1)
