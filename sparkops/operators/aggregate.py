@@ -84,7 +84,8 @@ class _Argmax:
     def __init__(self, df: DataFrame, count_col: str, key_col: str, null_key: str = "last"):
         n, k = F.col(count_col), F.col(key_col)
         kt = df.schema[key_col].dataType
-        self.packed = isinstance(kt, _INTEGRAL)
+        # packing needs whole, non-negative counts and an integral key
+        self.packed = isinstance(kt, _INTEGRAL) and isinstance(df.schema[count_col].dataType, _INTEGRAL)
         self.key_type = kt
         if self.packed:
             rank = _top() - k.cast(_D38)
