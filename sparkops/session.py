@@ -20,18 +20,22 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                app_name: str = "sparkops", extra: dict | None = None) -> SparkSession:
+def get_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
+                app_name: str = "sparkops", extra: dict | None = None,
+                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session with sparkops' base settings.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the data (about 128-256 MB per partition).
+    On a cluster, pass ``master=None`` and let spark-submit decide, and give
+    ``input_bytes`` and ``total_cores`` so that :func:`scale_conf` sizes the
+    shuffle partitions and splits to the data.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes is not None and total_cores is not None:
+        conf.update(scale_conf(input_bytes, total_cores))
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
