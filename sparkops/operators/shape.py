@@ -22,7 +22,7 @@ def conform(df: DataFrame, schema: T.StructType | str,
     put in declared order and cast; a value that does not fit becomes null
     instead of failing the job. Rows with a null in ``required`` are dropped.
     """
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     src = {f.name.lower(): f.dataType for f in df.schema.fields}
     out = df.select(*[_cast(F.col(f.name), src.get(f.name.lower()), f.dataType).alias(f.name)
                       for f in st.fields])

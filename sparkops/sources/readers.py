@@ -88,7 +88,7 @@ def read_tagged(spark: SparkSession, paths: Mapping[str, str], tag: str = "tag",
 def _ddl(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, T.StructType):
         return schema
-    return T._parse_datatype_string(schema)
+    return T.StructType.fromDDL(schema)
 
 
 def _ddl_text(st: T.StructType) -> str:
