@@ -52,4 +52,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r) LEFT JOIN near USING (r)
 """
 
-ORACLE_SQL = {"op6_benchmark_decontamination": OP6}
+# The words of a text that is null or blank: none.
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP8 = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+win AS MATERIALIZED (
+  SELECT r, p, array_to_string(w[p + 1:p + 35], ' ') AS k
+  FROM (SELECT r, w, unnest(range(len(w) - 34)) AS p FROM d WHERE len(w) >= 35)),
+twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(range(p, p + 35)) AS q FROM win SEMI JOIN twice USING (k)),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
+word AS (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS q FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY q) AS t FROM word ANTI JOIN gone USING (r, q) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLE_SQL = {"op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}

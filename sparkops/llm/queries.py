@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, secret_scan, token_counts
+from . import decontaminate, language_id, secret_scan, substring_dedup, token_counts
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -27,8 +27,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_benchmark_decontamination, op7_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op10_language_id)}
