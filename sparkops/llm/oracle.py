@@ -70,4 +70,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, s
 FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLE_SQL = {"op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}
+OP3 = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), {_AZ})")} AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[p + 1:p + 4], ' ') AS k FROM (
+    SELECT r, w, unnest(range(greatest(len(w) - 3, 1))) AS p FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+link AS MATERIALIZED (
+  SELECT x, y FROM (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.r <> b.r GROUP BY a.r, b.r)
+  JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y),
+g AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY x),
+same AS (SELECT list(k ORDER BY k) AS ks, r FROM s GROUP BY r),
+copies AS (SELECT r, count(*) OVER (PARTITION BY ks) AS n_same FROM same)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_same, 1)::BIGINT AS n_same
+FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r) LEFT JOIN copies USING (r)
+"""
+
+ORACLE_SQL = {"op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}

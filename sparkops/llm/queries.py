@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, secret_scan, substring_dedup, token_counts
+from . import decontaminate, language_id, ngram_join, secret_scan, substring_dedup, token_counts
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -19,6 +19,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,4 +39,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op10_language_id)}
