@@ -89,4 +89,17 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_sa
 FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r) LEFT JOIN copies USING (r)
 """
 
-ORACLE_SQL = {"op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}
+OP9 = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.e) = len(c.e)),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op9_vp_tree_neighbours": OP9, "op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, ngram_join, secret_scan, substring_dedup, token_counts
+from . import decontaminate, language_id, ngram_join, secret_scan, substring_dedup, token_counts, vp_tree
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -35,8 +35,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_vp_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours,
+                                    op10_language_id)}
