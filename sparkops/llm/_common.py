@@ -98,6 +98,21 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def window_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the smallest value (the first of equal ones) among each ``width``
+    consecutive values."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    best, span = np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        a, b = best[:len(best) - step], best[step:]
+        best = np.where(values[b] < values[a], b, a)
+        span += step
+    return best[:n]
+
+
 def within(counts: np.ndarray, width: int) -> np.ndarray:
     """Indices, in the concatenation of sequences of the given lengths, where a
     window of ``width`` items fits into its own sequence."""

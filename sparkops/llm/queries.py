@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, ngram_join, secret_scan, substring_dedup, token_counts, vp_tree
+from . import decontaminate, language_id, license_scan, ngram_join, secret_scan, substring_dedup, token_counts, vp_tree
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -23,6 +23,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,5 +47,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op5_license_scan, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours,
                                     op10_language_id)}

@@ -19,25 +19,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import ascii_words, byte_slices, list_array, rolling, stored, within, word_hashes
+from ._common import ascii_words, byte_slices, list_array, rolling, stored, window_minima, within, word_hashes
 from .sketch import PARTIAL, merge, partial
 
 
-def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the smallest value (the first of equal ones) among each ``width``
-    consecutive values."""
-    n = len(values) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    best, span = np.arange(len(values)), 1
-    while span < width:
-        step = min(span, width - span)
-        a, b = best[:len(best) - step], best[step:]
-        best = np.where(values[b] < values[a], b, a)
-        span += step
-    return best[:n]
-
-
 class Windows:
     """The windows of some texts: their places and their minimisers' places."""
 
