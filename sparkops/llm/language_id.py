@@ -190,6 +190,12 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key).alias("h"),
         F.length(text_col).cast("bigint").alias("n"))
     kept = kept.where((F.col("n") > 0) & (F.col("n") <= max_chars))
+    # Far more rows than needed pass this bound of the hash, but a bounded number, so
+    # that no language gathers in one task what it has in all.
+    share = F.least(F.lit(1.0), F.lit(8.0 * (max_docs + rest_docs)) / F.col("rows"))
+    rows = kept.groupBy("lang").agg(F.count("*").alias("rows"))
+    # One row per language, of which the driver gets a whole model below.
+    kept = kept.join(F.broadcast(rows), "lang").where(F.col("h") / 2.0**64 + 0.5 <= share).drop("rows")
     by = Window.partitionBy("lang").orderBy("h", "n", F.xxhash64("text"))
     first = kept.withColumn("r", F.row_number().over(by)).where(F.col("r") <= max_docs + rest_docs)
     first = (first.withColumn("rest", F.col("r") > max_docs)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, license_scan, ngram_join, secret_scan, substring_dedup, token_counts, vp_tree
+from . import decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup, \
+    token_binary, token_counts, vp_tree
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -19,10 +20,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), key=F.col("doc_id"))
+    return mixed.select("doc_id", "source", "mix_round", "mix_block", "mix_place", "mix_tokens")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary.token_binary(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -47,5 +57,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_ngram_jaccard_join, op5_license_scan, op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours,
-                                    op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_source_mixing, op3_ngram_jaccard_join, op4_token_binary, op5_license_scan,
+    op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours, op10_language_id)}

@@ -22,6 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 from ._common import byte_slices
 
 
+# Marks that end a run of letters and form one unit with marks next to them.
+MARKS = ".,;:!?|"
+
+
 class Encoder:
     """A tokenizer of a worker. ``cache_words`` bounds the memory for the lengths
     or ids of words that were met before; the cache starts anew when full."""
@@ -39,6 +43,10 @@ class Encoder:
             self.tok.no_truncation()
             self.tok.no_padding()
             self.words_apart = drops_blanks(self.tok)
+            mark = getattr(self.tok.model, "end_of_word_suffix", None)
+            self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+            for token, i in self.tok.get_vocab().items():
+                self.ends[i] = bool(mark) and token.endswith(mark)
         else:
             import sentencepiece
 
@@ -49,19 +57,57 @@ class Encoder:
             return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         return self.tok.encode(texts, num_threads=1)
 
-    def words(self, texts: list[str], made=len) -> list:
-        """``made(ids)`` of each text, from the cache where it is known."""
-        cache = self.cache
+    def words(self, texts: list[str], made, empty) -> list:
+        """``made(ids)`` of each text without white space, from the cache where it is
+        known. A run of letters is one unit of the splitter, and marks after it are
+        another, so these are encoded apart and their values added up; runs of
+        letters go to the library many at a time, parted by blanks."""
+        cache, out = self.cache, []
         if len(cache) > self.cache_words:
             cache.clear()
-        out = [cache.get(t) for t in texts]
-        new = [i for i, v in enumerate(out) if v is None]
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for i, ids in zip(part, self.encode([texts[i] for i in part]), strict=True):
-                out[i] = made(ids)
-                if len(texts[i]) <= 64:
-                    cache[texts[i]] = out[i]
+        alone, whole = {}, {}
+        for t in texts:
+            if t in cache or not t:
+                continue
+            core = t if t.isalpha() else t.rstrip(MARKS)
+            if core.isalpha():
+                alone[core] = None
+                if len(core) < len(t):
+                    whole[t[len(core):]] = None
+            else:
+                whole[t] = None
+        self.learn([t for t in alone if t not in cache], made, self.encode_letters)
+        self.learn([t for t in whole if t not in cache], made, self.encode)
+        for t in texts:
+            v = cache.get(t)
+            if v is None:
+                if t:
+                    core = t.rstrip(MARKS)
+                    v = cache[t] = cache[core] + cache[t[len(core):]]
+                else:
+                    v = empty
+            out.append(v)
+        return out
+
+    def learn(self, texts: list[str], made, encode) -> None:
+        for at in range(0, len(texts), 20_000):
+            part = texts[at:at + 20_000]
+            self.cache.update(zip(part, map(made, encode(part)), strict=True))
+
+    def encode_letters(self, words: list[str], group: int = 250) -> list[list[int]]:
+        """Ids of runs of letters: every one ends with the only token that ends a unit."""
+        out = []
+        for at in range(0, len(words), group):
+            part = words[at:at + group]
+            ids = self.tok.encode(" ".join(part), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                out += self.encode(part)
+                continue
+            a = 0
+            for b in ends.tolist():
+                out.append(ids[a:b])
+                a = b
         return out
 
 
@@ -76,15 +122,16 @@ def drops_blanks(tok) -> bool:
     return bool(drops) and not any(c.isspace() for a in made["added_tokens"] for c in a["content"])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, read once per Python worker."""
-    if path not in _ENCODERS:
+def encoder(path: str, use: str = "lengths") -> Encoder:
+    """The worker's encoder for a file and kind of cached value, read once per Python
+    worker."""
+    if (path, use) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, use] = Encoder(path)
+    return _ENCODERS[path, use]
 
 
 def text_lengths(enc: Encoder, texts: pa.Array) -> np.ndarray:
@@ -93,7 +140,7 @@ def text_lengths(enc: Encoder, texts: pa.Array) -> np.ndarray:
         return np.fromiter(map(len, enc.encode(texts.to_pylist())), np.int64, len(texts))
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
-    each = np.array(enc.words(coded.dictionary.to_pylist()), np.int64)
+    each = np.array(enc.words(coded.dictionary.to_pylist(), len, 0), np.int64)
     sums = np.concatenate([[0], np.cumsum(each[coded.indices.to_numpy()])])
     return np.diff(sums[lists.offsets.to_numpy()])
 
