@@ -29,7 +29,7 @@ from ._common import byte_slices, list_array, scratch_path
 from .token_counts import encoder
 
 MAGIC = b"tcm1"
-TABLE = 12  # bits of the hash tables of a context order
+TABLE = 11  # bits of the hash tables of a context order
 LEVELS = 4  # how often a context's prediction has come true, at most 3
 MASK48 = np.uint64((1 << 48) - 1)
 B16, B32 = np.uint64(16), np.uint64(32)
@@ -45,9 +45,9 @@ class Model:
 
     def __init__(self, lanes: int, id_bits: int):
         self.classes = class_count(id_bits)
-        self.guess = [np.zeros((lanes, 1 << TABLE), np.uint32) for _ in range(2)]
-        self.level = [np.zeros((lanes, 1 << TABLE), np.uint8) for _ in range(2)]
-        self.weight = [np.full((lanes, LEVELS * LEVELS), 1 << 15, np.int32) for _ in range(2)]
+        # By order, context and lane: predicted id times LEVELS, plus the level.
+        self.known = [np.zeros(lanes << TABLE, np.uint32) for _ in range(2)]
+        self.weight = [np.full(lanes * LEVELS**2, 1 << 15, np.int32) for _ in range(2)]
         k = np.arange(self.classes + 1)
         self.cdf = np.tile((k << 15) // self.classes, (lanes, 1)).astype(np.int32)
         # What the frequencies move to after class c: all to c, but 4 to each other.
@@ -61,10 +61,13 @@ class Model:
         shift = np.uint32(32 - TABLE)
         first = (one * np.uint32(0x9E3779B1)) >> shift
         second = ((one * np.uint32(0x85EBCA6B)) ^ (two * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))) * np.uint32(0x9E3779B1) >> shift
-        self.slot = [first, second]
-        self.g1, self.g2 = self.guess[0][lane, first], self.guess[1][lane, second]
-        self.context = self.level[1][lane, second].astype(np.int64) * LEVELS + self.level[0][lane, first]
-        self.w1, self.w2 = self.weight[0][lane, self.context], self.weight[1][lane, self.context]
+        at = lane << TABLE
+        self.slot = [at + first, at + second]
+        k1, k2 = (known[slot] for known, slot in zip(self.known, self.slot, strict=True))
+        self.levels = [k1 & np.uint32(LEVELS - 1), k2 & np.uint32(LEVELS - 1)]
+        self.g1, self.g2 = k1 >> np.uint32(2), k2 >> np.uint32(2)
+        self.context = lane * LEVELS**2 + (self.levels[1] * np.uint32(LEVELS) + self.levels[0])
+        self.w1, self.w2 = self.weight[0][self.context], self.weight[1][self.context]
         f2 = 8 + ((self.w2 * (SPLIT >> 4)) >> 12)
         f1 = 8 + (((SPLIT + 8 - f2) * (self.w1 >> 4)) >> 12)
         same = self.g1 == self.g2
@@ -78,14 +81,13 @@ class Model:
     def update(self, ids: np.ndarray, outcome: np.ndarray, classes: np.ndarray) -> None:
         n, lane = len(ids), self.lane
         for order, guess in ((0, self.g1), (1, self.g2)):
-            at = self.slot[order]
-            level = self.level[order][lane, at].astype(np.int64)
-            hit = guess == ids
-            self.guess[order][lane, at] = np.where(hit | (level > 1), guess, ids)
-            self.level[order][lane, at] = np.where(hit, np.minimum(level + 1, LEVELS - 1), level >> 1)
-        self.weight[1][lane, self.context] = self.w2 + (((outcome == 2) * 65535 - self.w2) >> 5)
-        miss = outcome != 2
-        self.weight[0][lane, self.context] = np.where(miss, self.w1 + (((outcome == 1) * 65535 - self.w1) >> 5), self.w1)
+            level, hit = self.levels[order], guess == ids
+            stays = hit | (level > 1)
+            level = np.where(hit, np.minimum(level + np.uint32(1), np.uint32(LEVELS - 1)), level >> np.uint32(1))
+            self.known[order][self.slot[order]] = np.where(stays, guess, ids) << np.uint32(2) | level
+        self.weight[1][self.context] = self.w2 + (((outcome == 2) * 65535 - self.w2) >> 5)
+        # Order 1 is asked only if order 2 has failed.
+        self.weight[0][self.context] = np.where(outcome != 2, self.w1 + (((outcome == 1) * 65535 - self.w1) >> 5), self.w1)
         escaped = np.flatnonzero(outcome == 0)
         rows = self.cdf[escaped]
         self.cdf[escaped] = rows + ((self.target[classes[escaped]] - rows) >> 5)
