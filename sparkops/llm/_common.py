@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from sparkops.session import scratch_path
 
@@ -25,7 +25,36 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+class Store:
+    """Tables that one operator writes below the shared checkpoint folder, and drops
+    as soon as nothing that is still to run reads them."""
+
+    def __init__(self, spark, tag: str):
+        self.spark, self.tag, self.paths = spark, tag, {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """``stored``, under a name."""
+        path = scratch_path(self.spark, f"{self.tag}-{name}")
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove the tables of these names, through the file system of their path."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def sized(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``most_rows`` rows, of a few
+    numbers or short words each; beyond that Spark joins by shuffling. ``df`` is a
+    stored table, cheap to count."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str | int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each slice holds about ``max_bytes`` of
     ``column`` (a single longer row is a slice of its own; texts stay whole)."""
     for batch in batches:

@@ -243,51 +243,68 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
     return model
 
 
+class Predictor:
+    """Predictions for the texts of Arrow batches, by a model that may be None."""
+
+    def __init__(self, model: Model | None, short_slack: float):
+        self.model, self.short_slack, self.cache = model, short_slack, {}
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, entropy and rejection of each text."""
+        n, m = len(texts), self.model
+        pred = np.full(n, "und", object)
+        if m is None or not n:
+            return pred, np.zeros(n), np.zeros(n), np.ones(n, bool)
+        costs = text_costs(m, pc.fill_null(texts, ""), self.cache)
+        each, count = cross_entropy(costs), costs[:, -1]
+        best = each.argmin(axis=1)
+        h, some = each[np.arange(n), best], count > 0
+        share = np.exp(-np.minimum(count, 50)[:, None] * (each - h[:, None]))
+        pred[some] = np.array(m.langs, object)[best[some]]
+        bad = ~some | (h > m.bound[best] + self.short_slack / np.sqrt(np.maximum(count, 1)))
+        return pred, np.where(some, 1 / share.sum(axis=1), 0.0), np.where(some, h, 0.0), bad
+
+
 def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text",
-             keep: list[str] | None = None, short_slack: float = 3.0,
-             slice_bytes: int = 8 << 20) -> DataFrame:
+             short_slack: float = 3.0, slice_bytes: int = 8 << 20) -> DataFrame:
     """Per row of ``docs``: the id, ``lang_pred``, ``score`` (0 to 1: the share of
     the language among all by likelihood, of at most 50 symbols' weight),
-    ``entropy`` (nats a symbol) and ``rejected``; with ``keep``, these columns of
-    ``docs`` instead of the id.
+    ``entropy`` (nats a symbol) and ``rejected``.
 
     ``und`` with score 0, rejected: a text that is null or has no letter, and all
     rows if no model could be learnt. Ties go to the first language by name. A
     text is rejected if its cost exceeds the calibrated bound, which is wider by
-    ``short_slack`` over the root of its number of symbols. Repeated rows give repeated results; an empty table none.
+    ``short_slack`` over the root of its number of symbols. Repeated rows give
+    repeated results; an empty table none.
     """
-    own = keep or [id_col]
-    read = docs.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(own)), F.col(text_col).alias("text"))
-    fields = [f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(own)]
-    names = [f"k{i}" for i in range(len(own))]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texted = text_col not in own  # else the text is sent once, among the kept columns
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, cache = shared.value, {}
-        column = "text" if texted else f"k{own.index(text_col)}"
-        for b in byte_slices(batches, column, slice_bytes):
-            n = b.num_rows
-            pred, score, h, bad = np.full(n, "und", object), np.zeros(n), np.zeros(n), np.ones(n, bool)
-            if m is not None:
-                costs = text_costs(m, pc.fill_null(b.column(column), ""), cache)
-                each, count = cross_entropy(costs), costs[:, -1]
-                best = each.argmin(axis=1)
-                h = each[np.arange(n), best]
-                share = np.exp(-np.minimum(count, 50)[:, None] * (each - h[:, None]))
-                some = count > 0
-                pred[some] = np.array(m.langs, object)[best[some]]
-                score = np.where(some, 1 / share.sum(axis=1), 0.0)
-                bad = ~some | (h > m.bound[best] + short_slack / np.sqrt(np.maximum(count, 1)))
-                h = np.where(some, h, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(x) for x in names), pa.array(pred, pa.string()), pa.array(score), pa.array(h),
-                 pa.array(bad)], [*names, "lang_pred", "score", "entropy", "rejected"])
-
-    out = (read if texted else read.drop("text")).mapInArrow(
-        predict, ", ".join([*fields, "lang_pred string, score double, entropy double, rejected boolean"]))
-    return out.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(own)), "lang_pred", "score", "entropy",
-                      "rejected")
+        predictor = Predictor(shared.value, short_slack)
+        for b in byte_slices(batches, "text", slice_bytes):
+            pred, score, h, bad = predictor(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(pred, pa.string()), pa.array(score),
+                                              pa.array(h), pa.array(bad)],
+                                             ["id", "lang_pred", "score", "entropy", "rejected"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        predict, f"id {kind}, lang_pred string, score double, entropy double, rejected boolean"
+    ).withColumnRenamed("id", id_col)
+
+
+def accepted(docs: DataFrame, model: Model | None, *, text_col: str = "text", short_slack: float = 3.0,
+             slice_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` doesn't reject, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = Predictor(shared.value, short_slack)
+        for b in byte_slices(batches, at, slice_bytes):
+            yield b.filter(pa.array(~predictor(b.column(at))[3]))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._common import ascii_words, byte_slices, list_array, rolling, stored, within, word_hashes
+from ._common import Store, ascii_words, byte_slices, list_array, rolling, sized, within, word_hashes
 from .sketch import PARTIAL, merge, partial
 
 SIGN = np.uint64(1 << 63)
@@ -84,26 +84,23 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, zone: float
         make, f"id {kind}, n bigint, key binary, na bigint, a array<bigint>, b array<bigint>")
 
 
-def sized(df: DataFrame, most_rows: int) -> DataFrame:
-    """Marked for broadcasting if it has at most ``most_rows`` rows (of a few longs);
-    ``df`` is a stored table. Beyond that Spark joins by shuffling."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes that have an edge, by alternating large and small
     stars; root is the smallest node of the component. Each round is stored."""
-    e = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-               "op3-edges")
+    store = Store(edges.sparkSession, "op3-stars")
+    e = store.put(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                  .distinct(), "small")
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u <> v").distinct(), "op3-large")
+        large = store.put(large.where("u <> v").distinct(), "large")
+        store.drop("small")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "op3-small")
+        e = store.put(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
+        store.drop("large")
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -120,12 +117,13 @@ class Join:
     def __init__(self, docs: DataFrame, *, id_col: str, text_col: str, width: int, percent: int, zone: float,
                  frequent: int, most_rows: int, slice_bytes: int):
         self.percent, self.zone, self.frequent, self.most_rows = percent, zone, frequent, most_rows
-        self.sets = stored(sets_of(docs, id_col, text_col, width, zone, slice_bytes)
-                           .withColumn("row", F.monotonically_increasing_id()), "op3-sets")
+        self.store = Store(docs.sparkSession, "op3")
+        self.sets = self.store.put(sets_of(docs, id_col, text_col, width, zone, slice_bytes)
+                           .withColumn("row", F.monotonically_increasing_id()), "sets")
         first = self.sets.where("key is not null").groupBy("key").agg(F.min("row").alias("rep"))
-        self.members = stored(self.sets.select("row", "id", "n", "key").join(first, "key", "left")
-                              .select("row", "id", "n", F.coalesce("rep", "row").alias("rep")), "op3-members")
-        copies = stored(self.members.where("row <> rep").select("row"), "op3-copies")
+        self.members = self.store.put(self.sets.select("row", "id", "n", "key").join(first, "key", "left")
+                              .select("row", "id", "n", "key", F.coalesce("rep", "row").alias("rep")), "members")
+        copies = self.store.put(self.members.where("row <> rep").select("row"), "copies")
         self.reps = self.sets.where("n > 0").join(sized(copies, most_rows), "row", "left_anti")
 
     def prefix(self) -> Column:
@@ -145,7 +143,7 @@ class Join:
             if keys:
                 yield partial(np.concatenate(keys))
 
-        again = merge(stored(self.reps.select("a").mapInArrow(cells, PARTIAL), "op3-sketch"))
+        again = merge(self.store.put(self.reps.select("a").mapInArrow(cells, PARTIAL), "sketch"))
         shared, percent = self.sets.sparkSession.sparkContext.broadcast(again), self.percent
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +160,8 @@ class Join:
                      pa.array(keep - starts[of]), pa.array(tokens[keep]), pa.array(tokens[end[of]])],
                     ["row", "n", "na", "k", "token", "last"])
 
-        return stored(self.reps.where("na > 0").select("row", "n", "na", "a").mapInArrow(
-            entries, "row bigint, n bigint, na bigint, k bigint, token bigint, last bigint"), "op3-low")
+        return self.store.put(self.reps.where("na > 0").select("row", "n", "na", "a").mapInArrow(
+            entries, "row bigint, n bigint, na bigint, k bigint, token bigint, last bigint"), "low")
 
     def index(self) -> tuple[DataFrame, DataFrame]:
         """Single tokens (row, n, token, last, exact, heavy) and combinations (row, n,
@@ -173,10 +171,10 @@ class Join:
         counts = low.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
         by_row = Window.partitionBy("row")
         before = by_row.orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
-        low = stored(low.join(counts, "token")
+        low = self.store.put(low.join(counts, "token")
                      .withColumn("f", frequent.cast("int"))
                      .withColumn("f_before", F.coalesce(F.sum("f").over(before), F.lit(0)))
-                     .withColumn("f_all", F.sum("f").over(by_row)), "op3-low-counted")
+                     .withColumn("f_all", F.sum("f").over(by_row)), "low-counted")
         rare_low = (F.col("na") - F.col("f_all")).alias("rare_low")
         done = (low.where((rare_low >= p) & (F.col("f") == 0) & (F.col("k") - F.col("f_before") < p))
                 .select("row", "n", "token", "last", (F.col("f_all") == 0).alias("exact"), F.lit(False).alias("heavy")))
@@ -185,17 +183,17 @@ class Join:
         rest = (self.reps.select("row", "n", "na").join(marks, "row", "left")
                 .withColumn("f_all", F.coalesce("f_all", F.lit(0))).where(rare_low < p)
                 .select("row", "f_all", rare_low))
-        rest = stored(rest, "op3-rest")
+        rest = self.store.put(rest, "rest")
         few = sized(rest, self.most_rows)
         high = (self.reps.select("row", "n", "b").join(few, "row")
                 .select("row", "n", "f_all", "rare_low", F.posexplode("b").alias("k", "token")))
         counts = high.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        high = stored(high.join(counts, "token")
+        high = self.store.put(high.join(counts, "token")
                       .withColumn("f", frequent.cast("int"))
                       .withColumn("f_before", F.coalesce(F.sum("f").over(before), F.lit(0)))
-                      .withColumn("f_high", F.sum("f").over(by_row)), "op3-high-counted")
+                      .withColumn("f_high", F.sum("f").over(by_row)), "high-counted")
         more = high.where("f_high > 0").groupBy("row").agg(F.max("f_high").alias("f_high"))
-        rest = stored(rest.join(more, "row", "left").withColumn("f_high", F.coalesce("f_high", F.lit(0))), "op3-rest2")
+        rest = self.store.put(rest.join(more, "row", "left").withColumn("f_high", F.coalesce("f_high", F.lit(0))), "rest2")
         facts = sized(rest.select("row", "f_high"), self.most_rows)
         low_rest = low.join(facts, "row")
         high = high.drop("f_high").join(facts, "row")
@@ -215,7 +213,7 @@ class Join:
         combos = (frequents.withColumn("i", F.row_number().over(order)).withColumn("next", F.lead("token").over(order))
                   .where(F.col("next").isNotNull() & (F.col("i") < 2 + broken - 2 * F.col("r")))
                   .select("row", "n", F.xxhash64("token", "next").alias("combo")))
-        return stored(singles, "op3-singles"), stored(combos, "op3-combos")
+        return self.store.put(singles, "singles"), self.store.put(combos, "combos")
 
     def alike_sizes(self, n1: str, n2: str) -> Column:
         return 100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2)
@@ -233,17 +231,17 @@ class Join:
         need = (F.when(F.col("heavy1") & F.col("heavy2"), 1)
                 .when(F.col("exact1") & F.col("exact2"), F.when(F.col("last1") <= F.col("last2"), z1).otherwise(z2))
                 .otherwise(F.least(z1, z2)))
-        return stored(pairs.where(F.col("c") >= need).select(F.col("row1").alias("x"), F.col("row2").alias("y")),
-                      "op3-pairs")
+        return self.store.put(pairs.where(F.col("c") >= need).select(F.col("row1").alias("x"), F.col("row2").alias("y")),
+                      "pairs")
 
     def verify(self, pairs: DataFrame, tokens: DataFrame) -> DataFrame:
         """Those of the pairs (x, y) that are linked, stored."""
         first = tokens.select(F.col("row").alias("x"), F.col("n").alias("n1"), F.col("t").alias("t1"))
         second = tokens.select(F.col("row").alias("y"), F.col("n").alias("n2"), F.col("t").alias("t2"))
         both = F.size(F.array_intersect("t1", "t2"))
-        return stored(pairs.join(first, "x").join(second, "y")
+        return self.store.put(pairs.join(first, "x").join(second, "y")
                       .where(100 * both >= self.percent * (F.col("n1") + F.col("n2") - both)).select("x", "y"),
-                      "op3-links")
+                      "links")
 
     def pivots(self, combos: DataFrame, comp: DataFrame | None) -> DataFrame:
         """For each document of the combination index one partner of another component
@@ -272,16 +270,16 @@ class Join:
         pairs = self.single_pairs(singles)
         wanted = pairs.select(F.explode(F.array("x", "y")).alias("row")).unionByName(
             combos.select("row")).distinct()
-        wanted = stored(wanted, "op3-wanted")
-        tokens = stored(self.reps.join(sized(wanted, self.most_rows), "row", "left_semi")
-                        .select("row", "n", F.concat("a", "b").alias("t")), "op3-tokens")
+        wanted = self.store.put(wanted, "wanted")
+        tokens = self.store.put(self.reps.join(sized(wanted, self.most_rows), "row", "left_semi")
+                        .select("row", "n", F.concat("a", "b").alias("t")), "tokens")
 
         def all_combos(comp: DataFrame | None) -> DataFrame:
             has = combos.select("combo", "row", "n")
             if comp is not None:
                 has = has.join(comp, "row", "left").select("combo", "row", "n", F.coalesce("root", "row").alias("root"))
                 mixed = has.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-                has = stored(has.join(mixed.select("combo"), "combo"), "op3-mixed")
+                has = self.store.put(has.join(mixed.select("combo"), "combo"), "mixed")
             one = has.select("combo", *(F.col(c).alias(c + "1") for c in has.columns if c != "combo"))
             two = has.select("combo", *(F.col(c).alias(c + "2") for c in has.columns if c != "combo"))
             met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2"))
@@ -289,7 +287,9 @@ class Join:
             return met.select(F.col("row1").alias("x"), F.col("row2").alias("y")).distinct()
 
         if not spanning:
-            return self.verify(stored(pairs.unionByName(all_combos(None)).distinct(), "op3-all"), tokens)
+            found = self.verify(self.store.put(pairs.unionByName(all_combos(None)).distinct(), "all"), tokens)
+            self.tidy()
+            return found
         star = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
         found = self.verify(star.unionByName(self.pivots(combos, None)).distinct(), tokens)
         comp = None
@@ -297,9 +297,28 @@ class Join:
             nodes = components(found.select(F.col("x").alias("u"), F.col("y").alias("v")))
             comp = nodes.select(F.col("node").alias("row"), "root")
             left = self.apart(pairs, comp).unionByName(all_combos(comp)) if last else self.pivots(combos, comp)
-            found = found.unionByName(self.verify(stored(left.distinct(), "op3-left"), tokens))
+            found = found.unionByName(self.verify(self.store.put(left.distinct(), "left"), tokens))
+        self.tidy()
         return found
 
+    def tidy(self) -> None:
+        """Drop all tables but the members and the links."""
+        self.store.drop(*(name for name in list(self.store.paths) if name not in ("members", "links")))
+
+
+def placed_rows(docs: DataFrame, id_col: str, text_col: str, *, width: int = 4, percent: int = 85, zone: float = 0.25,
+                frequent: int = 100, most_rows: int = 500_000, slice_bytes: int = 8 << 20) -> DataFrame:
+    """(row, id, n, key, rep, root) of every row of ``docs``: its set's size and
+    fingerprint, the first row of the same set, and the first of its component."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50 and at most 100")
+    join = Join(docs, id_col=id_col, text_col=text_col, width=width, percent=percent, zone=zone, frequent=frequent,
+                most_rows=most_rows, slice_bytes=slice_bytes)
+    links = join.links()
+    roots = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
+    return join.members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
+        "row", "id", "n", "key", "rep", F.coalesce("root", "rep").alias("root"))
+
 
 def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
                        percent: int = 85, zone: float = 0.25, frequent: int = 100, most_rows: int = 500_000,
@@ -316,15 +335,54 @@ def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     the smallest id. Tables of up to ``most_rows`` row numbers, counted first,
     are broadcast.
     """
-    if not 50 < percent <= 100:
-        raise ValueError("percent must be over 50 and at most 100")
-    join = Join(docs, id_col=id_col, text_col=text_col, width=width, percent=percent, zone=zone, frequent=frequent,
-                most_rows=most_rows, slice_bytes=slice_bytes)
-    links = join.links()
-    roots = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    placed = join.members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
-        "rep", "id", "n", F.coalesce("root", "rep").alias("root"))
+    placed = placed_rows(docs, id_col, text_col, width=width, percent=percent, zone=zone, frequent=frequent,
+                         most_rows=most_rows, slice_bytes=slice_bytes)
     smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     same = placed.groupBy("rep").agg(F.count("*").alias("n_same"))
     return placed.join(smallest, "root").join(same, "rep").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "n_same")
+
+
+def fingerprints(texts: pa.Array, width: int) -> pa.Array:
+    """Per text the key of its set; null if it is empty."""
+    import xxhash
+
+    counts, values = shingle_sets(texts, width)
+    return pa.array([xxhash.xxh3_128_digest(values[e - n:e].tobytes()) if n else None
+                     for e, n in zip(np.cumsum(counts), counts, strict=True)], pa.binary())
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
+                percent: int = 85, most_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs``, of each component only the one of the smallest id (any of
+    them, if several have it or all ids are null), with all their columns. Rows
+    without words are in no component and stay."""
+    store = Store(docs.sparkSession, "op3-kept")
+    placed = placed_rows(docs, id_col, text_col, width=width, percent=percent, most_rows=most_rows)
+    placed = store.put(placed.where("key is not null"), "placed")
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("x"))
+    kept = placed.join(first.select("root", F.col("x.row").alias("first")), "root")
+    # A row is known by id and set. One that goes is among those of which none stays;
+    # where one of several equal rows stays, the others go by their number.
+    known = kept.groupBy("id", "key").agg(F.count("*").alias("n"), F.max((F.col("row") == F.col("first")).cast("int")).alias("stays"))
+    known = store.put(known.where("stays = 0 or n > 1"), "known")
+    store.drop("placed")
+    @F.arrow_udf("binary")
+    def key(texts: pa.Array) -> pa.Array:
+        return fingerprints(texts, width)
+
+    key_name = "_key"
+    while key_name in docs.columns:
+        key_name += "_"
+    keyed = docs.withColumn(key_name, key(F.col(text_col)))
+
+    def without(rows: DataFrame, of: DataFrame, how: str) -> DataFrame:
+        of = sized(of, most_rows).select(F.col("id").alias("_i"), F.col("key").alias("_k"))
+        return rows.join(of, rows[id_col].eqNullSafe(F.col("_i")) & (rows[key_name] == F.col("_k")), how)
+
+    rest = without(keyed, store.put(known.where("stays = 0"), "gone"), "left_anti")
+    several = store.put(known.where("stays = 1"), "several")
+    if several.limit(1).count():
+        rest = without(rest, several, "left_anti").unionByName(
+            without(rest, several, "left_semi").dropDuplicates([id_col, key_name]))
+    return rest.drop(key_name)

@@ -389,7 +389,7 @@ def read_ids(spark, path: str, *, id_col: str = "doc_id", id_bits: int = 16, lan
     by_place = Window.partitionBy("part").orderBy("block", "nth")
     rest = rest.withColumn("doc", F.sum((~F.col("continues")).cast("long")).over(by_place))
 
-    def join(key, table: pa.Table) -> pa.Table:
+    def join(key, table):
         table = table.sort_by([("block", "ascending"), ("nth", "ascending")])
         crc = 0
         for c, n in zip(table["crc"].to_pylist(), table["n"].to_pylist(), strict=True):
