@@ -104,7 +104,13 @@ def search(tree: dict, units: np.ndarray, queries: np.ndarray, k: int, factor: f
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, each with the same order of additions wherever it stands."""
+    """Row by row, each with the same order of additions wherever it stands. A row
+    whose squares would leave the range of doubles is scaled by a power of two."""
+    def ranged(v: np.ndarray) -> np.ndarray:
+        top = np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]
+        return np.ldexp(v, np.where(np.abs(top) > 400, -top, 0))
+
+    a, b = ranged(a), ranged(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
