@@ -131,8 +131,8 @@ class Join:
         return F.col("n") - ceil_div(self.percent * F.col("n"), 100) + 1
 
     def low_entries(self) -> DataFrame:
-        """(row, n, na, k, token, last): the tokens below the border that may occur
-        again; k is the place among all of these, last the prefix's last token."""
+        """(row, k, token): the tokens below the border that may occur again; k is the
+        place among all of these."""
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = []
             for b in batches:
@@ -144,104 +144,105 @@ class Join:
                 yield partial(np.concatenate(keys))
 
         again = merge(self.store.put(self.reps.select("a").mapInArrow(cells, PARTIAL), "sketch"))
-        shared, percent = self.sets.sparkSession.sparkContext.broadcast(again), self.percent
+        self.store.drop("sketch")
+        shared = self.sets.sparkSession.sparkContext.broadcast(again)
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                tokens, n, na = b.column("a").flatten().to_numpy(), *(b.column(c).to_numpy() for c in ("n", "na"))
+                tokens, na = b.column("a").flatten().to_numpy(), b.column("na").to_numpy()
                 starts = np.cumsum(na) - na
-                doc = np.repeat(np.arange(len(na)), na)
                 keep = np.flatnonzero(shared.value(tokens.view(np.uint64)))
-                of = doc[keep]
-                p = n - -(-percent * n // 100) + 1
-                end = np.clip(starts + np.minimum(p, na) - 1, 0, max(len(tokens) - 1, 0))
+                of = np.repeat(np.arange(len(na)), na)[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.column("row").to_numpy()[of]), pa.array(n[of]), pa.array(na[of]),
-                     pa.array(keep - starts[of]), pa.array(tokens[keep]), pa.array(tokens[end[of]])],
-                    ["row", "n", "na", "k", "token", "last"])
-
-        return self.store.put(self.reps.where("na > 0").select("row", "n", "na", "a").mapInArrow(
-            entries, "row bigint, n bigint, na bigint, k bigint, token bigint, last bigint"), "low")
-
-    def index(self) -> tuple[DataFrame, DataFrame]:
-        """Single tokens (row, n, token, last, exact, heavy) and combinations (row, n,
-        combo). ``exact``: ``last`` is the last token of the prefix; ``heavy``: the
-        prefix holds frequent tokens."""
-        low, p, frequent = self.low_entries(), self.prefix(), F.col("df") >= self.frequent
-        counts = low.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+                    [pa.array(b.column("row").to_numpy()[of]), pa.array((keep - starts[of]).astype(np.int32)),
+                     pa.array(tokens[keep])], ["row", "k", "token"])
+
+        return self.store.put(self.reps.where("na > 0").select("row", "na", "a").mapInArrow(
+            entries, "row bigint, k int, token bigint"), "low")
+
+    def counted(self, entries: DataFrame) -> DataFrame:
+        """Entries of tokens that at least two of them have, with f (1: the token is
+        frequent), and in the row f_before (frequent tokens before) and f_all."""
+        counts = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select(
+            "token", (F.col("df") >= self.frequent).cast("int").alias("f"))
         by_row = Window.partitionBy("row")
         before = by_row.orderBy("token").rowsBetween(Window.unboundedPreceding, -1)
-        low = self.store.put(low.join(counts, "token")
-                     .withColumn("f", frequent.cast("int"))
-                     .withColumn("f_before", F.coalesce(F.sum("f").over(before), F.lit(0)))
-                     .withColumn("f_all", F.sum("f").over(by_row)), "low-counted")
-        rare_low = (F.col("na") - F.col("f_all")).alias("rare_low")
-        done = (low.where((rare_low >= p) & (F.col("f") == 0) & (F.col("k") - F.col("f_before") < p))
-                .select("row", "n", "token", "last", (F.col("f_all") == 0).alias("exact"), F.lit(False).alias("heavy")))
+        return entries.join(counts, "token").withColumn(
+            "f_before", F.coalesce(F.sum("f").over(before), F.lit(0)).cast("int")).withColumn(
+            "f_all", F.sum("f").over(by_row).cast("int"))
+
+    def index(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Single tokens (row, token, code: twice n, and 1 more if the prefix holds
+        frequent tokens), combinations (row, n, combo), and of rows whose prefix is
+        the plain one its last token (row, last)."""
+        p = self.prefix()
+        facts = self.store.put(self.reps.select("row", "n", "na", F.get("a", (F.least(p, "na") - 1).cast("int")).alias("last")),
+                               "facts")
+        low = self.store.put(self.counted(self.low_entries()).join(facts, "row"), "low-counted")
+        rare_low = F.col("na") - F.col("f_all")
+        singles = low.where((rare_low >= p) & (F.col("f") == 0) & (F.col("k") - F.col("f_before") < p)).select(
+            "row", "token", (2 * F.col("n")).alias("code"))
         # Documents without a whole prefix of rare tokens below the border.
-        marks = low.where("f_all > 0").groupBy("row").agg(F.max("f_all").alias("f_all"))
-        rest = (self.reps.select("row", "n", "na").join(marks, "row", "left")
-                .withColumn("f_all", F.coalesce("f_all", F.lit(0))).where(rare_low < p)
-                .select("row", "f_all", rare_low))
-        rest = self.store.put(rest, "rest")
-        few = sized(rest, self.most_rows)
-        high = (self.reps.select("row", "n", "b").join(few, "row")
-                .select("row", "n", "f_all", "rare_low", F.posexplode("b").alias("k", "token")))
-        counts = high.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        high = self.store.put(high.join(counts, "token")
-                      .withColumn("f", frequent.cast("int"))
-                      .withColumn("f_before", F.coalesce(F.sum("f").over(before), F.lit(0)))
-                      .withColumn("f_high", F.sum("f").over(by_row)), "high-counted")
-        more = high.where("f_high > 0").groupBy("row").agg(F.max("f_high").alias("f_high"))
-        rest = self.store.put(rest.join(more, "row", "left").withColumn("f_high", F.coalesce("f_high", F.lit(0))), "rest2")
-        facts = sized(rest.select("row", "f_high"), self.most_rows)
-        low_rest = low.join(facts, "row")
-        high = high.drop("f_high").join(facts, "row")
-        rare = F.col("n") - F.col("f_all") - F.col("f_high")
-        none = F.lit(None).cast("bigint")
-        singles = done
-        for part, rank in ((low_rest, F.col("k") - F.col("f_before")),
-                           (high, F.col("rare_low") + F.col("k") - F.col("f_before"))):
-            singles = singles.unionByName(part.where((F.col("f") == 0) & (rank < p)).select(
-                "row", "n", "token", none.alias("last"), F.lit(False).alias("exact"), (rare < p).alias("heavy")))
-        frequents = low_rest.where((F.col("f") == 1) & (rare < p)).select("row", "n", "token", rare.alias("r"))
-        frequents = frequents.unionByName(
-            high.where((F.col("f") == 1) & (rare < p)).select("row", "n", "token", rare.alias("r")))
-        order = by_row.orderBy("token")
+        marks = self.store.put(low.where("f_all > 0").select("row", "f_all").distinct(), "marks")
+        facts = facts.join(marks, "row", "left").withColumn("f_all", F.coalesce("f_all", F.lit(0)))
+        lasts = facts.where((F.col("f_all") == 0) & (F.col("na") >= p)).select("row", "last")
+        rest = self.store.put(facts.where(rare_low < p).select("row", "n", "f_all", rare_low.alias("rare_low")), "rest")
+        high = self.reps.select("row", "b").join(sized(rest.select("row"), self.most_rows), "row")
+        high = self.store.put(self.counted(high.select("row", F.posexplode("b").alias("k", "token"))
+                                           ).withColumnRenamed("f_all", "f_high"), "high-counted")
+        more = high.where("f_high > 0").select("row", "f_high").distinct()
+        rest = self.store.put(rest.join(more, "row", "left").withColumn("f_high", F.coalesce("f_high", F.lit(0)))
+                              .withColumn("r", F.col("n") - F.col("f_all") - F.col("f_high")), "rest-all")
+        known = sized(rest.select("row", "n", "rare_low", "r"), self.most_rows)
+        heavy = F.col("r") < p
+        low = low.select("row", "k", "token", "f", "f_before").join(known, "row")
+        high = high.select("row", "k", "token", "f", "f_before").join(known, "row")
+        frequents = None
+        for part, place in ((low, F.col("k") - F.col("f_before")), (high, F.col("rare_low") + F.col("k") - F.col("f_before"))):
+            singles = singles.unionByName(part.where((F.col("f") == 0) & (place < p)).select(
+                "row", "token", (2 * F.col("n") + heavy.cast("int")).alias("code")))
+            more = part.where((F.col("f") == 1) & heavy).select("row", "n", "r", "token")
+            frequents = more if frequents is None else frequents.unionByName(more)
+        order = Window.partitionBy("row").orderBy("token")
         # At least twice the share of tokens that one document may have alone.
         broken = F.floor(2 * (100 - self.percent) * F.col("n") / 100)
         combos = (frequents.withColumn("i", F.row_number().over(order)).withColumn("next", F.lead("token").over(order))
                   .where(F.col("next").isNotNull() & (F.col("i") < 2 + broken - 2 * F.col("r")))
                   .select("row", "n", F.xxhash64("token", "next").alias("combo")))
-        return self.store.put(singles, "singles"), self.store.put(combos, "combos")
+        return (self.store.put(singles, "singles"), self.store.put(combos, "combos"), self.store.put(lasts, "lasts"))
 
-    def alike_sizes(self, n1: str, n2: str) -> Column:
+    def alike_sizes(self, n1: Column | str, n2: Column | str) -> Column:
         return 100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2)
 
-    def single_pairs(self, singles: DataFrame) -> DataFrame:
+    def single_pairs(self, singles: DataFrame, lasts: DataFrame) -> DataFrame:
         """(x, y) that share rare prefix tokens, enough for the similarity: of two
         prefixes the one that ends first holds all that is shared up to its end."""
-        one = singles.select(*(F.col(c).alias(c + "1") for c in ("row", "n", "last", "exact", "heavy")), "token")
-        two = singles.select(*(F.col(c).alias(c + "2") for c in ("row", "n", "last", "exact", "heavy")), "token")
-        pairs = (one.join(two, "token").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2"))
-                 .groupBy("row1", "row2").agg(F.count("*").alias("c"), *(F.first(x).alias(x) for x in (
-                     "n1", "n2", "last1", "last2", "exact1", "exact2", "heavy1", "heavy2"))))
-        o = F.ceil(self.percent * (F.col("n1") + F.col("n2")) / (100 + self.percent))
-        z1, z2 = (o - ceil_div(self.percent * F.col(n), 100) + 1 for n in ("n1", "n2"))
-        need = (F.when(F.col("heavy1") & F.col("heavy2"), 1)
-                .when(F.col("exact1") & F.col("exact2"), F.when(F.col("last1") <= F.col("last2"), z1).otherwise(z2))
-                .otherwise(F.least(z1, z2)))
-        return self.store.put(pairs.where(F.col("c") >= need).select(F.col("row1").alias("x"), F.col("row2").alias("y")),
-                      "pairs")
+        n1, n2 = F.floor(F.col("code1") / 2), F.floor(F.col("code2") / 2)
+        one, two = (singles.select(F.col("row").alias(f"row{i}"), F.col("code").alias(f"code{i}"), "token") for i in (1, 2))
+        pairs = (one.join(two, "token").where((F.col("row1") < F.col("row2")) & self.alike_sizes(n1, n2))
+                 .groupBy("row1", "row2", "code1", "code2").agg(F.count("*").alias("c")))
+        o = F.ceil(self.percent * (n1 + n2) / (100 + self.percent))
+        z1, z2 = (o - ceil_div(self.percent * n, 100) + 1 for n in (n1, n2))
+        heavy = (F.col("code1") % 2 == 1) & (F.col("code2") % 2 == 1)
+        pairs = self.store.put(pairs.where(heavy | (F.col("c") >= F.least(z1, z2))), "pairs-met")
+        a, b = (lasts.select(F.col("row").alias(f"row{i}"), F.col("last").alias(f"last{i}")) for i in (1, 2))
+        both = pairs.join(a, "row1", "left").join(b, "row2", "left")
+        need = F.when(F.col("last1") <= F.col("last2"), z1).when(F.col("last1") > F.col("last2"), z2).otherwise(F.lit(0))
+        return self.store.put(both.where(F.col("c") >= need).select(F.col("row1").alias("x"), F.col("row2").alias("y")),
+                              "pairs")
 
     def verify(self, pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-        """Those of the pairs (x, y) that are linked, stored."""
-        first = tokens.select(F.col("row").alias("x"), F.col("n").alias("n1"), F.col("t").alias("t1"))
+        """Those of the pairs (x, y) that are linked, stored. Of the tokens only those of
+        the pairs' documents are moved."""
+        pairs = self.store.put(pairs, "asked")
+        xs = self.store.put(pairs.select(F.col("x").alias("row")).distinct(), "asked-x")
+        first = tokens.join(sized(xs, self.most_rows), "row", "left_semi").select(
+            F.col("row").alias("x"), F.col("n").alias("n1"), F.col("t").alias("t1"))
         second = tokens.select(F.col("row").alias("y"), F.col("n").alias("n2"), F.col("t").alias("t2"))
         both = F.size(F.array_intersect("t1", "t2"))
-        return self.store.put(pairs.join(first, "x").join(second, "y")
-                      .where(100 * both >= self.percent * (F.col("n1") + F.col("n2") - both)).select("x", "y"),
-                      "links")
+        return self.store.put(second.join(sized(pairs, self.most_rows), "y").join(first, "x")
+                              .where(100 * both >= self.percent * (F.col("n1") + F.col("n2") - both)).select("x", "y"),
+                              "links")
 
     def pivots(self, combos: DataFrame, comp: DataFrame | None) -> DataFrame:
         """For each document of the combination index one partner of another component
@@ -266,13 +267,16 @@ class Join:
     def links(self, spanning: bool = True) -> DataFrame:
         """Verified links (x, y) between documents (rows) of different sets; with
         ``spanning`` as many as connect all that is linked, else every link."""
-        singles, combos = self.index()
-        pairs = self.single_pairs(singles)
+        singles, combos, lasts = self.index()
+        self.store.drop("low", "low-counted", "high-counted", "facts", "marks", "rest", "rest-all")
+        pairs = self.single_pairs(singles, lasts)
+        self.store.drop("singles", "lasts", "pairs-met")
         wanted = pairs.select(F.explode(F.array("x", "y")).alias("row")).unionByName(
             combos.select("row")).distinct()
         wanted = self.store.put(wanted, "wanted")
         tokens = self.store.put(self.reps.join(sized(wanted, self.most_rows), "row", "left_semi")
                         .select("row", "n", F.concat("a", "b").alias("t")), "tokens")
+        self.store.drop("sets", "copies")
 
         def all_combos(comp: DataFrame | None) -> DataFrame:
             has = combos.select("combo", "row", "n")
@@ -307,7 +311,7 @@ class Join:
 
 
 def placed_rows(docs: DataFrame, id_col: str, text_col: str, *, width: int = 4, percent: int = 85, zone: float = 0.25,
-                frequent: int = 100, most_rows: int = 500_000, slice_bytes: int = 8 << 20) -> DataFrame:
+                frequent: int = 50, most_rows: int = 500_000, slice_bytes: int = 8 << 20) -> DataFrame:
     """(row, id, n, key, rep, root) of every row of ``docs``: its set's size and
     fingerprint, the first row of the same set, and the first of its component."""
     if not 50 < percent <= 100:
@@ -321,7 +325,7 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, *, width: int = 4,
 
 
 def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
-                       percent: int = 85, zone: float = 0.25, frequent: int = 100, most_rows: int = 500_000,
+                       percent: int = 85, zone: float = 0.25, frequent: int = 50, most_rows: int = 500_000,
                        slice_bytes: int = 8 << 20) -> DataFrame:
     """Per row of ``docs``: the id, ``n_shingles`` (distinct ``width``-word shingles,
     A-Z lower-cased; of a shorter text the whole sequence is one),
