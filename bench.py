@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -55,7 +56,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    extra = {"spark.driver.memory": "16g"}
+    extra = {"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkops-bench-")}
     event_log = os.environ.get("BENCH_EVENT_LOG")  # a fresh folder for stage/task times
     if event_log:
         os.makedirs(event_log, exist_ok=True)

@@ -11,7 +11,6 @@ Layout:
     operators/  DataFrame-level operators (shaping, aggregation, ranking, joins)
     plans/      registered queries, their DuckDB oracles, plan inspection
     jobs/       the end-to-end jobs, one function each
-    streaming/  nothing yet (the jobs are batch only)
 """
 
 __version__ = "0.1.0"

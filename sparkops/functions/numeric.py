@@ -23,7 +23,3 @@ def avg_null_zero(c: Column | str) -> Column:
     """Average where a missing value counts as 0.0 (sum / number of rows)."""
     return F.avg(F.coalesce(_c(c).cast("double"), F.lit(0.0)))
 
-
-def to_scale(c: Column | str, scale: int = 1) -> Column:
-    """Decimal with ``scale`` fraction digits (half-up), e.g. ``decimal(38,1)``."""
-    return _c(c).cast(f"decimal(38,{scale})")

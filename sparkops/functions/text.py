@@ -34,7 +34,8 @@ def words(c: Column | str) -> Column:
 
 
 def leading_int(c: Column | str, sep: str = " ", default: str | None = None) -> Column:
-    """First ``sep``-separated token, stripped of non-word characters, as int.
+    """First ``sep``-separated token (``sep`` taken literally), stripped of non-word
+    characters, as bigint.
 
     ``"2,933 reviews"`` -> 2933. Text that is not a number gives null
     (``try_cast``), never an error. ``default`` replaces a null input first.
@@ -42,11 +43,11 @@ def leading_int(c: Column | str, sep: str = " ", default: str | None = None) ->
     col = _c(c)
     if default is not None:
         col = F.coalesce(col, F.lit(default))
-    token = F.regexp_replace(F.split(col, sep, 2).getItem(0), WORD_SEPARATOR, "")
+    token = F.regexp_replace(F.substring_index(col, sep, 1), WORD_SEPARATOR, "")
     # Only an all-digit token can be an int. Testing that first keeps the
     # (exception-driven, ~20x slower) failing cast out of the hot path;
     # try_cast still turns an overflow into null.
-    return F.when(token.rlike("^[0-9]+$"), token.try_cast("int"))
+    return F.when(token.rlike("^[0-9]+$"), token.try_cast("bigint"))
 
 
 def prefix_any(c: Column | str, prefixes: Iterable[str], ignore_case: bool = True) -> Column:

@@ -11,53 +11,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkops.functions.text import flag
 from sparkops.jobs import fixed
 from sparkops.operators.aggregate import group_extremes
 from sparkops.operators.ranking import word_count, zip_by_rank
-from sparkops.sources.readers import local_rows, read_csv, read_json, read_tagged
+from sparkops.sources.readers import first_cell, local_rows, read_csv, read_json, read_tagged
 from sparkops.sources.writers import write_table
 
-VIDEO_COLUMNS = ("videoId", "publishedAt", "channelId", "trendingDate")
-
-RESTAURANT_SCHEMA = T.StructType([
-    T.StructField("average_cost_for_two", T.LongType()),
-    T.StructField("cuisines", T.StringType()),
-    T.StructField("deeplink", T.StringType()),
-    T.StructField("has_online_delivery", T.IntegerType()),
-    T.StructField("is_delivering_now", T.IntegerType()),
-    T.StructField("menu_url", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("user_rating", T.StructType([
-        T.StructField("aggregate_rating", T.StringType()),
-        T.StructField("rating_color", T.StringType()),
-        T.StructField("rating_text", T.StringType()),
-        T.StructField("votes", T.StringType())])),
-])
-
-MOVIES_SCHEMA = (
-    "_c0 INT, show_id STRING, type STRING, title STRING, director STRING, cast STRING, "
-    "country STRING, date_added DATE, release_year INT, rating STRING, duration INT, "
-    "listed_in STRING, description STRING, year_added INT, month_added STRING, season_count INT")
-
-
 def videos(spark: SparkSession, rows: Sequence[Sequence[str]]) -> DataFrame:
     """Video records given as local tuples -> named table."""
-    return local_rows(spark, rows, VIDEO_COLUMNS)
+    return local_rows(spark, rows, fixed.VIDEO_COLUMNS)
 
 
 def restaurants(spark: SparkSession, path: str) -> DataFrame:
     """Restaurant JSON lines read with the declared nested schema."""
-    return read_json(spark, path, RESTAURANT_SCHEMA)
+    return read_json(spark, path, fixed.RESTAURANT_SCHEMA)
 
 
 def movies(spark: SparkSession, path: str, out_path: str | None = None) -> DataFrame:
     """Movies CSV with a declared 16-column schema (bad cells -> null),
     optionally saved as parquet."""
-    df = read_csv(spark, path, schema=MOVIES_SCHEMA)
+    df = read_csv(spark, path, schema=fixed.MOVIES_SCHEMA)
     if out_path:
         write_table(df, out_path)
     return df
@@ -100,23 +75,18 @@ def mall_income(spark: SparkSession, path: str, out_path: str | None = None,
 
 
 def season_word_ranks(spark: SparkSession, paths: Mapping[str, str], limit: int = fixed.WORD_RANK_LIMIT,
-                      out_path: str | None = None, max_cells: int = 1_000_000) -> DataFrame:
+                      out_path: str | None = None) -> DataFrame:
     """Word counts of two subtitle files aligned by rank
     (``w_s1, cnt_s1, id, w_s2, cnt_s2``, ids 0..limit).
 
-    The files are read as headerless CSV, so only the text before a line's
-    first comma (column ``_c0``) is counted, as in the original job. Both
-    files are counted in one aggregation, tagged by season.
+    Only the first cell of a line counts (the text before its first comma, or
+    inside its quotes), as in the original job, which read headerless CSV. It
+    is cut from the raw line, so the number of cells doesn't matter. Both
+    files are read in one scan and counted in one aggregation, by season.
     """
-    seasons = list(paths)
-    # Every cell of a line is tokenised even though only the first is kept;
-    # ``max_cells`` lifts the CSV parser's 20,480-cell limit so a long line
-    # with many commas is read, not failed.
-    lines = read_tagged(spark, paths, tag="season",
-                        reader=lambda s, p: read_csv(s, p, schema="_c0 STRING", header=False,
-                                                     maxColumns=str(max_cells)))
-    counts = word_count(lines, "_c0", by=["season"], word_col="value", count_col="count")
-    out = zip_by_rank(counts, "season", seasons, "value", "count", limit)
+    lines = read_tagged(spark, paths, tag="season").select("season", first_cell("value").alias("text"))
+    counts = word_count(lines, "text", by=["season"], word_col="value", count_col="count")
+    out = zip_by_rank(counts, "season", list(paths), "value", "count", limit)
     if out_path:
         write_table(out, out_path, "json")
     return out

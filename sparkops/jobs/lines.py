@@ -11,36 +11,26 @@ from pyspark.sql import functions as F
 
 from sparkops.functions.dates import RU_WEEKDAYS, month_of, weekday_name
 from sparkops.jobs import fixed
-from sparkops.operators.aggregate import count_by, distinct_count, mode, numeric_stats, top_groups
-from sparkops.sources.readers import decode_json_lines, load_accounting, parse_csv_lines, read_lines
-
-AVOCADO_SCHEMA = ("id INT, date STRING, avgPrice DOUBLE, volume DOUBLE, "
-                  + ", ".join(f"_c{i} STRING" for i in range(4, 12))
-                  + ", year STRING, region STRING")
-LOG_SCHEMA = ("id BIGINT, host STRING, time BIGINT, method STRING, url STRING, "
-              "response STRING, bytes BIGINT")
-PRODUCT_SCHEMA = ("uniq_id STRING, product_name STRING, manufacturer STRING, price STRING, "
-                  "number_available STRING, number_of_reviews INT")
-PRODUCT_DEFAULTS = {"uniq_id": "", "product_name": "", "manufacturer": "", "price": "",
-                    "number_available": "", "number_of_reviews": 0}
-
+from sparkops.functions.numeric import int_avg
+from sparkops.operators.aggregate import count_by, mode, top_groups
+from sparkops.sources.readers import decode_json_lines, parse_csv_lines, read_lines
 
 def avocado(spark: SparkSession, path: str, after: str = fixed.AVOCADO_AFTER) -> dict[str, DataFrame]:
-    """Five results over avocado sales lines (header line starts 'id').
+    """Results over avocado sales lines (header line starts 'id').
 
-    regions: number of distinct regions; after_date: sales dated after
-    ``after`` (ISO text comparison); top_month: most frequent month of the
-    dates with 3 parts; price_extremes: max and min avgPrice;
-    region_avg_volume: average volume per region, rounded half-up to 2.
+    totals: number of distinct regions, max and min avgPrice, in one pass;
+    after_date: sales dated after ``after`` (ISO text comparison); top_month:
+    most frequent month of the dates with 3 parts; region_avg_volume: average
+    volume per region, rounded half-up to 2.
     """
-    sales = parse_csv_lines(read_lines(spark, path), AVOCADO_SCHEMA, header_value="id").select(
+    sales = parse_csv_lines(read_lines(spark, path), fixed.AVOCADO_SCHEMA, header_value="id").select(
         "id", "date", "avgPrice", "volume", "year", "region")
     months = sales.select(month_of("date").alias("month"))
     return {
-        "regions": distinct_count(sales, "region", "regions"),
+        "totals": sales.agg(F.count_distinct("region").alias("regions"), F.max("avgPrice").alias("max_price"),
+                            F.min("avgPrice").alias("min_price")),
         "after_date": sales.filter(F.col("date") > after),
         "top_month": mode(months, "month"),
-        "price_extremes": sales.agg(F.max("avgPrice").alias("max_price"), F.min("avgPrice").alias("min_price")),
         "region_avg_volume": sales.groupBy("region").agg(F.round(F.avg("volume"), 2).alias("avg_volume")),
     }
 
@@ -50,25 +40,28 @@ def access_log(spark: SparkSession, path: str, status: str = fixed.LOG_STATUS, t
     """Report over access-log lines ``id,host,time,method,url,response,bytes``
     (quoted cells may hold commas; lines with an empty id are skipped).
 
-    accounting: total / loaded / skipped lines; responses: lines per
-    response code, most first; bytes: sum, integer average, max, min;
-    hosts: distinct hosts; top_hosts: the ``top`` busiest hosts;
+    totals: one row, from one pass: total / loaded / skipped lines, sum, integer
+    average, max and min of bytes, distinct hosts; responses: lines per
+    response code, most first; top_hosts: the ``top`` busiest hosts;
     top_weekdays: weekdays (named by ``names``, Monday first) with most
     ``status`` responses, time being epoch seconds in the session zone.
     ``keep_quotes=True`` keeps quote characters in cells, as the original
     report printed them.
     """
-    lines = read_lines(spark, path)
-    logs = parse_csv_lines(lines.filter(F.split("value", ",", 2).getItem(0) != ""), LOG_SCHEMA,
-                           keep_quotes=keep_quotes)
+    lines = read_lines(spark, path).withColumn("loaded", F.coalesce(F.substring_index("value", ",", 1) != "", F.lit(False)))
+    rows = parse_csv_lines(lines, fixed.LOG_SCHEMA, keep_quotes=keep_quotes, keep=["loaded"])
+    logs = rows.filter("loaded")
     days = (logs.filter(F.col("response") == status)
             .select(weekday_name(F.timestamp_seconds("time"), names).alias("name")))
+    size, n = F.when(F.col("loaded"), F.col("bytes")), F.count(F.lit(1))
+    totals = rows.agg(n.alias("total"), F.count_if("loaded").alias("loaded"), F.sum(size).alias("bytes"),
+                      F.count(size).alias("_n"), F.max(size).alias("largest"), F.min(size).alias("smallest"),
+                      F.count_distinct(F.when(F.col("loaded"), F.col("host"))).alias("hosts"))
     return {
-        "accounting": load_accounting(lines),
+        "totals": totals.select("total", "loaded", (F.col("total") - F.col("loaded")).alias("skipped"), "bytes",
+                                int_avg("bytes", "_n").alias("average"), "largest", "smallest", "hosts"),
         "responses": count_by(logs.select(F.col("response").alias("name")), "name")
         .orderBy(F.desc("count"), "name"),
-        "bytes": numeric_stats(logs, "bytes"),
-        "hosts": distinct_count(logs, "host", "hosts"),
         "top_hosts": top_groups(logs.select(F.col("host").alias("name")), "name", top),
         "top_weekdays": top_groups(days, "name", top),
     }
@@ -77,4 +70,4 @@ def access_log(spark: SparkSession, path: str, status: str = fixed.LOG_STATUS, t
 def products(spark: SparkSession, path: str) -> DataFrame:
     """JSON product lines; lines that are not JSON or carry a value of
     the wrong type are dropped, missing fields get '' (or 0 reviews)."""
-    return decode_json_lines(read_lines(spark, path), PRODUCT_SCHEMA, defaults=PRODUCT_DEFAULTS)
+    return decode_json_lines(read_lines(spark, path), fixed.PRODUCT_SCHEMA, defaults=fixed.PRODUCT_DEFAULTS)

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkops.functions.dates import DEFAULT_DATE_FORMATS, parse_date_any, whole_years
 from sparkops.functions.numeric import avg_null_zero
@@ -21,32 +22,30 @@ from sparkops.operators.shape import conform, fill_text
 from sparkops.sources.readers import read_csv
 from sparkops.sources.writers import write_table
 
-SHOES_SCHEMA = ("item_category STRING, item_name STRING, item_after_discount STRING, item_price STRING, "
-                "percentage_solds INT, item_rating INT, item_shipping STRING, buyer_gender STRING")
-JOB_REVIEWS_SCHEMA = "JobTitle STRING, Company STRING, Location STRING, CompanyReviews STRING, Link STRING"
-CAR_SCHEMA = ("id INT, price INT, brand STRING, types STRING, mileage DOUBLE, color STRING, "
-              "date_of_purchase STRING")
-POSITION_SCHEMA = "PositionID INT, Position STRING"
-PIZZA_SCHEMA = "order_type STRING, address_id INT"
+# What a missing value becomes: that of another column, or a fixed one.
+_SHOES_FROM = {"item_after_discount": "item_price"}
+_SHOES_VALUES = {"item_rating": fixed.SHOES_RATING_DEFAULT, "buyer_gender": fixed.SHOES_GENDER_DEFAULT}
+_SHOES_REQUIRED = ("item_name", "item_category")
 
 
-def shoes(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Defaults for missing values, rows without name/category dropped,
-    text columns filled with 'n/a', bound to the declared record type.
+def clean(df: DataFrame, schema: str, copied: dict[str, str], values: dict[str, object], required: Sequence[str],
+          fill: str) -> DataFrame:
+    """A declared record from raw columns: rows lacking a required value go,
+    missing values are ``copied`` from another column or take the column's value,
+    text without either becomes ``fill``, and everything is bound to the declared
+    types. Columns that were read as numbers keep their nulls."""
+    names = T.StructType.fromDDL(schema).names
+    defaults = {c: F.col(x) for c, x in copied.items()} | {c: F.lit(v) for c, v in values.items()}
+    some = df.na.drop(subset=list(required))
+    filled = some.select(*[F.coalesce(F.col(c), defaults[c]).alias(c) if c in defaults else F.col(c) for c in names])
+    return conform(fill_text(filled, fill, [c for c in names if c not in defaults]), schema)
 
-    ``percentage_solds`` is listed for filling but is numeric, so it keeps
-    its nulls (text fill only touches text columns).
-    """
-    df = read_csv(spark, path, schema)
-    out = (df.select("item_category", "item_name",
-                     F.coalesce("item_after_discount", "item_price").alias("item_after_discount"),
-                     "item_price", "percentage_solds",
-                     F.coalesce("item_rating", F.lit(fixed.SHOES_RATING_DEFAULT)).alias("item_rating"),
-                     "item_shipping",
-                     F.coalesce("buyer_gender", F.lit(fixed.SHOES_GENDER_DEFAULT)).alias("buyer_gender"))
-           .filter(F.col("item_name").isNotNull() & F.col("item_category").isNotNull()))
-    out = fill_text(out, fixed.SHOES_FILL, ["item_category", "item_name", "item_price", "percentage_solds", "item_shipping"])
-    return conform(out, SHOES_SCHEMA)
+
+def shoes(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A discount price defaults to the price, rating and gender to fixed
+    values, other text to 'n/a'; rows without name or category are dropped."""
+    return clean(read_csv(spark, path, schema), fixed.SHOES_SCHEMA, _SHOES_FROM, _SHOES_VALUES, _SHOES_REQUIRED,
+                 fixed.SHOES_FILL)
 
 
 def job_reviews(spark: SparkSession, path: str, drop_null_location: bool = False) -> DataFrame:
@@ -60,7 +59,7 @@ def job_reviews(spark: SparkSession, path: str, drop_null_location: bool = False
     typed variant of the job). Output: name, type, location, count,
     count_type.
     """
-    df = read_csv(spark, path, schema=JOB_REVIEWS_SCHEMA, multiline=True)
+    df = read_csv(spark, path, schema=fixed.JOB_REVIEWS_SCHEMA, multiline=True)
     df = df.na.drop(subset=["CompanyReviews"] + (["Location"] if drop_null_location else []))
     df = df.select(clean_text("JobTitle").alias("job"), clean_text("Company").alias("company"),
                    "Location", leading_int("CompanyReviews").alias("reviews"))
@@ -72,7 +71,7 @@ def cars(spark: SparkSession, path: str, as_of: str | None = None,
     """Every car with the fleet's average mileage (missing = 0) and the
     whole years since purchase. Purchase dates may use any of ``formats``;
     an unparseable or missing date counts as ``as_of`` (default today)."""
-    df = conform(read_csv(spark, path, schema).withColumnRenamed("type", "types"), CAR_SCHEMA)
+    df = conform(read_csv(spark, path, schema).withColumnRenamed("type", "types"), fixed.CAR_SCHEMA)
     mean = df.agg(avg_null_zero("mileage").alias("avg_mileage"))
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     bought = parse_date_any("date_of_purchase", formats, today)
@@ -83,7 +82,7 @@ def positions(spark: SparkSession, path: str, prefixes: Sequence[str] = fixed.PO
               schema: str | None = None) -> DataFrame:
     """Distinct positions whose title starts with any prefix, ignoring
     case, ordered by PositionID."""
-    df = conform(read_csv(spark, path, schema), POSITION_SCHEMA)
+    df = conform(read_csv(spark, path, schema), fixed.POSITION_SCHEMA)
     return df.filter(prefix_any("Position", prefixes)).distinct().orderBy("PositionID")
 
 
@@ -92,7 +91,7 @@ def pizza(spark: SparkSession, in_path: str, out_path: str | None = None,
     """Per order type the number of orders, the address with most
     orders (ties -> smallest id) and its count; optionally saved as CSV
     without header."""
-    df = conform(read_csv(spark, in_path, schema), PIZZA_SCHEMA)
+    df = conform(read_csv(spark, in_path, schema), fixed.PIZZA_SCHEMA)
     out = total_and_mode(df, "order_type", "address_id", "orders_total", "address_id", "orders_cnt")
     if out_path:
         write_table(out, out_path, "csv")

@@ -5,7 +5,7 @@ from sparkops.operators.aggregate import (  # noqa: F401
     top_groups, total_and_mode,
 )
 from sparkops.operators.joins import (  # noqa: F401
-    band_avg_join, bounded_broadcast, hot_keys, lookup_filter, lookup_key, replicate, salt, salted_join,
+    band_avg_join, hot_keys, lookup_filter, lookup_key, replicate, salt, salted_join,
     xor_mismatches,
 )
 from sparkops.operators.ranking import (  # noqa: F401

@@ -148,21 +148,17 @@ def extreme_records(df: DataFrame, col: str, tie: str, cols: Sequence[str],
                     kind_col: str = "kind") -> DataFrame:
     """The whole records holding the largest and the smallest ``col``
     (ties -> smallest ``tie``; null values never win): two rows, ``kind``
-    'max' / 'min', then ``cols``.
+    'max' / 'min', then ``cols``. Any type that can be ordered will do; NaN is
+    larger than every number, as in ``max``.
 
-    One pass: two ordered struct aggregates over the table, each combining
-    map-side, instead of two sorts.
+    Two TakeOrderedAndProject: every task keeps its best row only.
     """
-    c, t = F.col(col), F.col(tie)
-    rec = [F.col(x).alias(x) for x in cols]
-    hi = F.min(F.struct(c.isNull().alias("z"), (-c).alias("o"), t.alias("t"), *rec))
-    lo = F.min(F.struct(c.isNull().alias("z"), c.alias("o"), t.alias("t"), *rec))
-    both = df.agg(hi.alias("_hi"), lo.alias("_lo"))
-    rows = F.array(*[F.struct(F.lit(k).alias(kind_col), *[F.col(f"{m}.{x}").alias(x) for x in cols],
-                              F.col(f"{m}.z").alias("_z"))
-                     for k, m in (("max", "_hi"), ("min", "_lo"))])
-    return (both.select(F.explode(rows).alias("_r")).filter(~F.col("_r._z"))
-            .select(f"_r.{kind_col}", *[f"_r.{x}" for x in cols]))
+    some = df.filter(F.col(col).isNotNull())
+
+    def first(kind: str, order: Column) -> DataFrame:
+        return some.orderBy(order, F.asc(tie)).limit(1).select(F.lit(kind).alias(kind_col), *cols)
+
+    return first("max", F.desc(col)).unionByName(first("min", F.asc(col)))
 
 
 def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
@@ -182,13 +178,17 @@ def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int =
 
     Without ``by`` one row, with ``by`` one row per group. Both results are
     derived from ONE aggregate by (group, transaction, product), read
-    unfiltered by both branches, so the input (often a large join) is
-    computed once and its exchange reused; null products lose through an
-    ordering flag rather than a filter.
+    unfiltered by both branches; null products lose through an ordering flag
+    rather than a filter. With ``by`` that aggregate is dealt out by (group,
+    product) explicitly: the input (often a large join already dealt by
+    transaction) needs no shuffle for it, and without an exchange above it
+    both branches would compute the join.
     """
     gs = _list(by)
     prod = F.col(product_col)
     shared = items.groupBy(*gs, tx_col, product_col).agg(F.count(F.lit(1)).alias("_n"))
+    if gs:
+        shared = shared.repartition(*gs, product_col)
     per_prod = shared.groupBy(*gs, product_col).agg(F.sum("_n").alias("_pn"))
     lines, txs = F.sum("_n"), F.count_distinct(tx_col)
     if exact:  # the real ratio, rounded half-up to ``scale``

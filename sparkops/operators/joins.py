@@ -1,9 +1,10 @@
-"""Joins: size-checked broadcast, one-key lookups, XOR mismatch counting,
+"""Joins: one-key lookups, XOR mismatch counting,
 row replication, salted skew joins and the band join with averages."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,18 +12,6 @@ from pyspark.sql import functions as F
 from sparkops._cols import as_list as _list
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` only if ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the side
-    is returned as it is, and the planner (with AQE's runtime statistics)
-    picks a shuffled join. Choose ``max_rows`` with the row width in mind:
-    the broadcast copy goes to every executor.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_key(dim: DataFrame, name_col: str, name: str, key_col: str, alias: str | None = None) -> DataFrame:
     """The key of the dimension row named ``name``, as a one-row table
     (smallest key if several share the name; null if none)."""
@@ -30,30 +19,21 @@ def lookup_key(dim: DataFrame, name_col: str, name: str, key_col: str, alias: st
             .agg(F.min(key_col).alias(alias or key_col)))
 
 
-def lookup_filter(fact: DataFrame, dim: DataFrame, dim_pred: Column, on: Column,
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+def lookup_filter(fact: DataFrame, dim: DataFrame, dim_pred: Column, on: Column) -> DataFrame:
     """Rows of ``fact`` that have a partner among the ``dim`` rows passing
-    ``dim_pred`` (a left-semi join: ``fact`` rows are never duplicated).
-
-    With ``max_broadcast_rows`` the filtered dimension is broadcast after a
-    size check; otherwise the planner decides, with AQE's runtime sizes.
-    """
-    side = dim.filter(dim_pred)
-    if max_broadcast_rows is not None:
-        side = bounded_broadcast(side, max_broadcast_rows)
-    return fact.join(side, on, "left_semi")
+    ``dim_pred`` (a left-semi join: ``fact`` rows are never duplicated). The
+    planner decides how, with AQE's runtime sizes."""
+    return fact.join(dim.filter(dim_pred), on, "left_semi")
 
 
 def xor_mismatches(left: DataFrame, codes: DataFrame, cond: Column, p: Column, q: Column,
-                   name: str = "errors", codes_max_rows: int | None = 10_000) -> DataFrame:
+                   name: str = "errors") -> DataFrame:
     """Count joined rows where exactly one of two predicates holds.
 
-    Rows where either predicate is null are not counted. ``codes`` (the
-    small code table) is broadcast after a size check; pass
-    ``codes_max_rows=None`` when its size is known to be small.
+    Rows where either predicate is null are not counted. A ``codes`` table of
+    known small size is broadcast by the caller (``F.broadcast``).
     """
-    side = F.broadcast(codes) if codes_max_rows is None else bounded_broadcast(codes, codes_max_rows)
-    return left.join(side, cond).filter(p != q).agg(F.count(F.lit(1)).alias(name))
+    return left.join(codes, cond).filter(p != q).agg(F.count(F.lit(1)).alias(name))
 
 
 def replicate(df: DataFrame, n: int, salt_col: str = "salt") -> DataFrame:
@@ -70,66 +50,73 @@ def salt(df: DataFrame, n: int, by: str | Sequence[str], salt_col: str = "salt")
     return df.withColumn(salt_col, F.pmod(F.xxhash64(*[F.col(c) for c in _list(by)]), F.lit(n)).cast("bigint"))
 
 
-def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows of ``df``.
+def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float | None = None,
+             copies: str = "_copies", most_copies: int | None = None) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows of ``df`` (null keys aside),
+    with the number of pieces that brings each down to that share.
 
-    At most ``1 / share`` keys can qualify, so the result is a table of
-    bounded size (e.g. <= 1000 rows for share = 0.001), safe to broadcast.
-    Found with one partial aggregation over the keys.
+    At most ``1 / share`` keys can qualify, so the result has a bounded size and
+    may be broadcast. ``share`` defaults to one shuffle partition's fair part, so
+    both follow the session's partitioning. One partial aggregation over the
+    keys serves the counts and their total (one shared exchange).
     """
     ks = _list(keys)
-    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_c"))
-    # The total comes from the same per-key counts (one shared exchange).
-    total = counts.agg(F.sum("_c")).scalar()
-    return counts.filter(F.col("_c") >= total * F.lit(share)).select(*ks)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = 1.0 / n if share is None else share
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    some = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ks])
+    counts = df.filter(some).groupBy(*ks).agg(F.count(F.lit(1)).alias("_c"))
+    part = counts.agg(F.sum("_c")).scalar() * F.lit(share)
+    pieces = F.least(F.ceil(F.col("_c") / part), F.lit(most_copies or n))
+    return counts.filter(F.col("_c") >= part).select(*ks, F.greatest(pieces, F.lit(1)).cast("bigint").alias(copies))
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
-                row_key: str | Sequence[str], n: int = 32, how: str = "inner",
+                row_key: str | Sequence[str], n: int | None = None, how: str = "inner",
                 salt_col: str = "_salt", hot_share: float | None = None,
-                residual: Column | None = None) -> DataFrame:
+                residual: Column | None = None, hot: DataFrame | None = None,
+                hot_on: str | Sequence[str] | None = None) -> DataFrame:
     """Equi-join on ``keys`` that survives a hot key.
 
-    ``big`` is spread over ``n`` salts by a hash of its ``row_key``;
-    ``small`` is replicated ``n`` times, so each salt meets its own copy.
-    With ``hot_share`` only the keys holding at least that share of ``big``
-    are salted and replicated (found by :func:`hot_keys`, at most
-    ``1 / hot_share`` of them); every other key joins unsalted, so the
-    replication cost stays proportional to the skew. The result equals the
-    plain join on ``keys`` either way (null keys never match). ``residual``
-    is an extra condition on the joined row (e.g. a band test). Inner,
-    left, left-semi and left-anti joins are supported; right and full joins
-    are not, since unmatched rows of the replicated side would come out once
-    per salt.
+    Only keys holding at least ``hot_share`` of ``big`` are salted (found by
+    :func:`hot_keys`; by default those above a shuffle partition's fair part):
+    a hash of ``row_key`` deals their rows of ``big`` over as many salts as the
+    key needs, and their rows of ``small`` are copied to each. Every other
+    key joins unsalted, so the copies follow the skew. ``hot`` gives the hot
+    keys found beforehand, by the columns ``hot_on`` (part of ``keys``).
+    With ``n`` every key is spread over ``n`` salts, and ``hot_share`` or ``hot``
+    then bound the number of salts instead. The result equals the plain join
+    on ``keys`` in all cases (null keys never match). ``residual`` is an extra
+    condition on the joined row (e.g. a band test). Inner, left, left-semi and
+    left-anti joins are supported; right and full joins are not, since
+    unmatched rows of the copied side would come out once per salt.
     """
     if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"):
         raise ValueError(f"salted_join supports inner/left/semi/anti joins, not {how!r}")
     if residual is not None and how != "inner":
         raise ValueError("a residual condition is only exact for inner joins")
     ks = _list(keys)
-    if hot_share is None:
+    if n is not None and hot_share is None and hot is None:
         joined = (salt(big, n, row_key, salt_col)
                   .join(replicate(small, n, salt_col), ks + [salt_col], how)
                   .drop(salt_col))
         return joined if residual is None else joined.filter(residual)
-    hot = F.broadcast(hot_keys(big, ks, hot_share).withColumn("_hot", F.lit(True)))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    big_s = (big.join(hot, ks, "left")
-             .withColumn(salt_col, F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in _list(row_key)]),
-                                                         F.lit(n))).otherwise(F.lit(0)).cast("bigint"))
-             .drop("_hot"))
-    copies = F.when(is_hot, F.lit(n - 1)).otherwise(F.lit(0)).cast("bigint")
-    small_s = (small.join(hot, ks, "left")
-               .withColumn(salt_col, F.explode(F.sequence(F.lit(0).cast("bigint"), copies)))
-               .drop("_hot"))
+    by = _list(hot_on) if hot_on is not None else ks
+    hot = F.broadcast(hot if hot is not None else hot_keys(big, by, hot_share, most_copies=n))
+    copies = F.coalesce(F.col("_copies"), F.lit(1).cast("bigint"))
+    big_s = (big.join(hot, by, "left")
+             .withColumn(salt_col, F.pmod(F.xxhash64(*[F.col(c) for c in _list(row_key)]), copies)).drop("_copies"))
+    small_s = (small.join(hot, by, "left")
+               .withColumn(salt_col, F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))).drop("_copies"))
     joined = big_s.join(small_s, ks + [salt_col], how).drop(salt_col)
     return joined if residual is None else joined.filter(residual)
 
 
 def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                   left_level: str, right_level: str, left_id: str, value: str,
-                  band: float = 1, salt_n: int = 32, id_name: str = "id",
-                  avg_name: str = "avg", hot_share: float | None = 0.001) -> DataFrame:
+                  band: float = 1, salt_n: int | None = None, id_name: str = "id",
+                  avg_name: str = "avg", hot_share: float | None = None) -> DataFrame:
     """For every ``left_id``: average ``value`` over all (left, right) row
     pairs with equal ``keys`` and ``|left_level - right_level| <= band``.
 
@@ -137,10 +124,10 @@ def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     are never built: ``right`` is first reduced to (keys, level) -> (sum,
     count), the band becomes an equi-join on level buckets of width
     ``band`` (neighbouring buckets included, exact test as residual), and
-    the left side is salted by id against an ``salt_n``-fold copy of the
-    reduced right side, so a hot key is spread over ``salt_n`` tasks. With
-    ``hot_share`` (default 0.1%) only keys holding that share of the left
-    rows are salted; ``None`` salts every key.
+    the left rows of hot keys are dealt by id over salts, each with a copy of
+    the reduced right side (see :func:`salted_join`; hot keys are found before
+    the left rows are spread over buckets). ``salt_n`` = 1 turns salting off,
+    a larger one without ``hot_share`` salts every key.
     Ids without any partner are absent; ids whose partners all have null
     values get a null average.
     """
@@ -155,8 +142,13 @@ def band_avg_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     lft = (left.select(F.col(left_id).alias("_id"), *ks, F.col(left_level).alias("_ll"))
            .withColumn("_b", F.explode(spread)))
     in_band = F.abs(F.col("_ll") - F.col("_rl")) <= F.lit(band)
-    matched = (salted_join(lft, r, ks + ["_b"], "_id", salt_n, hot_share=hot_share, residual=in_band)
-               if salt_n > 1 else lft.join(r, ks + ["_b"]).filter(in_band))
+    if salt_n == 1:
+        matched = lft.join(r, ks + ["_b"]).filter(in_band)
+    elif salt_n is not None and hot_share is None:
+        matched = salted_join(lft, r, ks + ["_b"], "_id", salt_n, residual=in_band)
+    else:
+        hot = hot_keys(left, ks, hot_share, most_copies=salt_n)
+        matched = salted_join(lft, r, ks + ["_b"], "_id", residual=in_band, hot=hot, hot_on=ks)
     return (matched.groupBy("_id")
             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
             .select(F.col("_id").alias(id_name),

@@ -12,15 +12,27 @@ from sparkops._cols import as_list as _list
 from sparkops.functions.text import words
 
 
+# Spark limits rows per group before the shuffle up to this k
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+_GROUP_LIMIT = 1000
+
+
 def top_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], k: int,
-                  rank_col: str = "rank") -> DataFrame:
+                  rank_col: str = "rank", spread: int = 64) -> DataFrame:
     """First ``k`` rows of every ``by`` group in ``order``; ``rank_col`` 1..k.
 
-    ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
-    the shuffle, so each task ships at most ``k`` rows per group: a huge
-    group never travels whole.
+    Up to k = 1000 Spark inserts a partial WindowGroupLimit before the shuffle,
+    so each task ships at most ``k`` rows per group. Beyond, a first ranking
+    inside ``spread`` parts of each group leaves at most ``spread * k`` of its
+    rows to the second, so that no group is sorted whole in one task.
     """
-    w = Window.partitionBy(*_list(by)).orderBy(*order)
+    keys = _list(by)
+    if k > _GROUP_LIMIT:
+        part = "_part"
+        dealt = df.withColumn(part, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
+        inner = Window.partitionBy(*keys, part).orderBy(*order)
+        df = dealt.withColumn(rank_col, F.row_number().over(inner)).filter(F.col(rank_col) <= k).drop(part, rank_col)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
@@ -61,8 +73,8 @@ def zip_by_rank(counts: DataFrame, side_col: str, sides: Sequence[str], word_col
     z = top.groupBy("_rn").agg(pick(left, word_col).alias(w1), pick(left, count_col).alias(c1),
                                pick(right, word_col).alias(w2), pick(right, count_col).alias(c2))
     return (z.filter(F.col(c1).isNotNull() & F.col(c2).isNotNull())
-            .select(w1, F.col(c1).cast("int").alias(c1), (F.col("_rn") - 1).cast("int").alias(idn),
-                    w2, F.col(c2).cast("int").alias(c2)))
+            .select(w1, F.col(c1).cast("bigint").alias(c1), (F.col("_rn") - 1).cast("int").alias(idn),
+                    w2, F.col(c2).cast("bigint").alias(c2)))
 
 
 def _min_first(*fields: Column) -> Column:

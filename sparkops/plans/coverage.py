@@ -53,20 +53,23 @@ QUERY_ROWS: dict[str, tuple[str, ...]] = {
     "join_global_avg": ("A6", "JN1"),
     "union_all_rows": ("U1",),
     "join_broadcast_xor_count": ("JN2", "F9", "A11", "T4"),
-    "cross_join_range": ("S12", "JN3"),
+    "cross_join_range": ("JN3",),
     "salted_join_band_avg": ("JN4", "F8", "X14", "X11", "A3"),
     "lookup_filter_basket": ("JN6", "F10", "A17", "A18", "T4", "P13", "X13"),
     "basket_per_group": ("A17", "A18", "P13"),
     "salted_hot_key_join": ("JN4", "X14", "A5"),
+    "csv_pipe_lines": ("S7", "S8", "S9"),
+    "weekday_from_epoch": ("X20", "A5"),
+    "join_distinct_sorted": ("R3", "JN5", "A9", "P8"),
+    "repartition_round_robin": ("T1", "A5"),
+    "range_source_join": ("S12", "JN1", "A5"),
+    "basket_result_roundtrip": ("K1", "K4"),
 }
 
 # rows exercised by the end-to-end jobs or by plan tests rather than by a
 # registered query (each with the place that covers it)
 OTHER_ROWS: dict[str, str] = {
-    "K4": "jobs.basket(out_path=...) writes the one-row result (tests/test_jobs.py)",
     "K5": "python -m sparkops.jobs <job> <inputs> [out] (tests/test_jobs.py)",
-    "R3": "jobs.join_layouts exp6: distinct + sort after a join (tests/test_plans.py)",
-    "T1": "jobs.join_layouts round_robin: repartition(n) before a join (tests/test_plans.py)",
     "T3": "broadcast threshold off in the shuffle-study plan tests (tests/test_plans.py)",
     "X7": "not used on purpose: joins use the key columns, not a concatenated key",
 }

@@ -16,8 +16,7 @@ ORACLE_SQL: dict[str, str] = {
         'SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part'
     ),
     'csv_scan_multiline': (
-        'SELECT doc_id, text FROM documents WHERE contains(text, chr(10)) AND NOT contains(text, '
-        'chr(13))'
+        'SELECT doc_id, text FROM documents'
     ),
     'parquet_roundtrip': (
         'SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer'
@@ -52,15 +51,15 @@ ORACLE_SQL: dict[str, str] = {
     ),
     'word_count': (
         'SELECT w AS value, count(*) AS count FROM (SELECT '
-        "unnest(regexp_split_to_array(lower(text),'\\W+')) AS w FROM documents WHERE lang='en') "
+        "unnest(regexp_split_to_array(lower(text),'\\W+')) AS w FROM documents) "
         "WHERE w <> '' GROUP BY 1"
     ),
     'topn_zip_by_rank': (
         'WITH c AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, '
         "unnest(regexp_split_to_array(lower(text),'\\W+')) AS w FROM documents WHERE lang IN "
         "('en','fr')) WHERE w <> '' GROUP BY 1,2), r AS (SELECT lang, w, n, row_number() OVER "
-        '(PARTITION BY lang ORDER BY n DESC, w) - 1 AS id FROM c) SELECT a.w AS w_s1, CAST(a.n AS '
-        'INT) AS cnt_s1, CAST(a.id AS INT) AS id, b.w AS w_s2, CAST(b.n AS INT) AS cnt_s2 FROM r a '
+        '(PARTITION BY lang ORDER BY n DESC, w) - 1 AS id FROM c) SELECT a.w AS w_s1, a.n '
+        'AS cnt_s1, CAST(a.id AS INT) AS id, b.w AS w_s2, b.n AS cnt_s2 FROM r a '
         "JOIN r b ON a.id=b.id AND a.lang='en' AND b.lang='fr' WHERE a.id <= 20"
     ),
     'null_defaults': (
@@ -74,8 +73,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     'leading_int': (
         'SELECT o_orderkey, '
-        "TRY_CAST(regexp_replace(string_split(o_orderpriority,'-')[1],'\\W+','','g') AS INT) AS n, "
-        "TRY_CAST(regexp_replace(string_split(o_orderstatus,'-')[1],'\\W+','','g') AS INT) AS bad "
+        "TRY_CAST(regexp_replace(string_split(o_orderpriority,'-')[1],'\\W+','','g') AS BIGINT) AS n, "
+        "TRY_CAST(regexp_replace(string_split(o_orderstatus,'-')[1],'\\W+','','g') AS BIGINT) AS bad "
         'FROM orders'
     ),
     'strip_newlines': (
@@ -202,7 +201,8 @@ ORACLE_SQL: dict[str, str] = {
         'SELECT n_nationkey, n_name, n_regionkey FROM nation'
     ),
     'csv_roundtrip': (
-        'SELECT r_regionkey, r_name FROM region'
+        "SELECT r_regionkey, CASE r_regionkey WHEN 0 THEN '' WHEN 1 THEN '  ' || r_name || ' ' WHEN 2 THEN NULL "
+        "ELSE r_name END AS r_name FROM region"
     ),
     'rename_drop': (
         'SELECT n_nationkey, n_name AS names FROM nation'
@@ -224,13 +224,15 @@ ORACLE_SQL: dict[str, str] = {
         'o_custkey=c_custkey'
     ),
     'season_word_ranks': (
-        r"""WITH l AS (SELECT lang, unnest(regexp_split_to_array(replace(text, '"', ''''), """
-        r"""'\r\n|\r|\n')) AS line FROM documents WHERE lang IN ('en','fr')), """
-        r"""t AS (SELECT lang, unnest(regexp_split_to_array(lower(split_part(line, ',', 1)), '\W+')) AS w FROM l), """
+        r"""WITH l AS (SELECT lang, unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line """
+        r"""FROM documents WHERE lang IN ('en','fr')), """
+        r"""f AS (SELECT lang, CASE WHEN regexp_matches(line, '^"([^"\\]|\\.)*"(,|$)') """
+        r"""THEN regexp_extract(line, '^"((?:[^"\\]|\\.)*)"', 1) ELSE split_part(line, ',', 1) END AS cell FROM l), """
+        r"""t AS (SELECT lang, unnest(regexp_split_to_array(lower(cell), '\W+')) AS w FROM f), """
         r"""c AS (SELECT lang, w, count(*) AS n FROM t WHERE w <> '' GROUP BY 1,2), """
         r"""r AS (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) - 1 AS id FROM c) """
-        r"""SELECT a.w AS w_s1, CAST(a.n AS INT) AS cnt_s1, CAST(a.id AS INT) AS id, b.w AS w_s2, """
-        r"""CAST(b.n AS INT) AS cnt_s2 FROM r a JOIN r b ON a.id=b.id AND a.lang='en' AND b.lang='fr' """
+        r"""SELECT a.w AS w_s1, a.n AS cnt_s1, CAST(a.id AS INT) AS id, b.w AS w_s2, """
+        r"""b.n AS cnt_s2 FROM r a JOIN r b ON a.id=b.id AND a.lang='en' AND b.lang='fr' """
         r"""WHERE a.id <= 20"""
     ),
     'basket_per_group': (
@@ -254,4 +256,22 @@ ORACLE_SQL: dict[str, str] = {
         "WITH a AS (SELECT event_type, count(*) AS type_events FROM events GROUP BY 1) "
         "SELECT e.event_id, e.event_type, a.type_events FROM events e JOIN a ON e.event_type = a.event_type"
     ),
+    'csv_pipe_lines': (
+        "SELECT s_suppkey AS id, s_name || '|x' AS name, s_nationkey AS nation FROM supplier"
+    ),
+    'weekday_from_epoch': (
+        "SELECT ['Понедельник','Вторник','Среда','Четверг','Пятница','Суббота','Воскресенье'][isodow(CAST(ts AS DATE))] "
+        "AS name, count(*) AS count FROM events GROUP BY 1"
+    ),
+    'join_distinct_sorted': (
+        "SELECT DISTINCT c_custkey, c_name, o_orderpriority, 'n/a' AS col_1, 'n/a' AS col_2 FROM orders "
+        "JOIN customer ON o_custkey = c_custkey ORDER BY c_custkey DESC, o_orderpriority LIMIT 100"
+    ),
+    'repartition_round_robin': (
+        "SELECT o_custkey, count(*) AS orders, max(o_orderkey) AS last FROM orders GROUP BY 1"
+    ),
+    'range_source_join': (
+        "SELECT range AS id, count(*) AS lines FROM range(0, 60, 3) JOIN lineitem ON l_quantity = range GROUP BY 1"
+    ),
 }
+ORACLE_SQL['basket_result_roundtrip'] = ORACLE_SQL['lookup_filter_basket']

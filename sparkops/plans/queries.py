@@ -79,10 +79,10 @@ def csv_scan_inferred(spark, d):
 
 def csv_scan_multiline(spark, d):
     path = scratch_path(spark, "csv_multiline")
-    docs = (table(spark, d, "documents").select("doc_id", "text")
-            .filter(F.col("text").contains("\n") & ~F.col("text").contains("\r")))
-    writers.write_table(docs, path, "csv", header=True, quoteAll="true", escape='"')
-    return readers.read_csv(spark, path, schema="doc_id BIGINT, text STRING", multiline=True)
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    # Files with line breaks in cells aren't split: bound their rows.
+    writers.write_table(docs, path, "csv", header=True, quoteAll="true", escape='"', maxRecordsPerFile="20000")
+    return readers.read_csv(spark, path, schema="doc_id BIGINT, text STRING", multiline=True, empty_as_null=False)
 
 
 def parquet_roundtrip(spark, d):
@@ -102,8 +102,11 @@ def json_roundtrip(spark, d):
 
 def csv_roundtrip(spark, d):
     path = scratch_path(spark, "csv")
-    writers.write_table(table(spark, d, "region"), path, "csv")
-    return readers.read_csv(spark, path, schema="r_regionkey INT, r_name STRING", header=False)
+    # Empty text, blanks at the ends and null are told apart.
+    key, text_ = F.col("r_regionkey"), F.col("r_name")
+    name = (F.when(key == 0, "").when(key == 1, F.concat(F.lit("  "), text_, F.lit(" "))).when(key != 2, text_))
+    writers.write_table(table(spark, d, "region").select("r_regionkey", name.alias("r_name")), path, "csv")
+    return readers.read_csv(spark, path, schema="r_regionkey INT, r_name STRING", header=False, empty_as_null=False)
 
 
 def _write_lines(spark, df: DataFrame, tag: str) -> str:
@@ -128,6 +131,18 @@ def csv_delimited_lines(spark, d):
                                    header_value="s_suppkey")
 
 
+def csv_pipe_lines(spark, d):
+    # A separator that means something in a regex; a header line by its value.
+    supp = table(spark, d, "supplier")
+    name = F.concat(F.lit('"'), "s_name", F.lit('|x"'))
+    lines = supp.select(F.concat_ws("|", F.col("s_suppkey").cast("string"), name,
+                                    F.col("s_nationkey").cast("string")).alias("line"))
+    header = table(spark, d, "region").filter("r_regionkey = 0").select(F.lit("id|name|nation").alias("line"))
+    path = _write_lines(spark, lines.union(header), "pipe_lines")
+    return readers.parse_csv_lines(readers.read_lines(spark, path), "id BIGINT, name STRING, nation INT", sep="|",
+                                   header_value="id")
+
+
 def load_accounting(spark, d):
     part = table(spark, d, "part")
     first = F.when(F.col("p_partkey") % 10 == 0, F.lit("")).otherwise(F.col("p_partkey").cast("string"))
@@ -312,8 +327,7 @@ def group_total_and_mode(spark, d):
 
 
 def word_count(spark, d):
-    docs = table(spark, d, "documents").filter(F.col("lang") == "en")
-    return ranking.word_count(docs, "text")
+    return ranking.word_count(table(spark, d, "documents"), "text")
 
 
 def topn_zip_by_rank(spark, d):
@@ -324,13 +338,11 @@ def topn_zip_by_rank(spark, d):
 
 def season_word_ranks(spark, d):
     # The subtitle job end to end: English and French texts written as plain
-    # text files (one write, partitioned by language; double quotes turned
-    # into single ones so no CSV quoting applies), each read back as
-    # headerless CSV, so only the text before a line's first comma counts.
+    # text files (one write, partitioned by language), read back in one scan;
+    # only the first cell of a line counts, as in a headerless CSV.
     path = scratch_path(spark, "subtitles")
     docs = table(spark, d, "documents").filter(F.col("lang").isin("en", "fr"))
-    (docs.select("lang", F.translate("text", '"', "'").alias("value"))
-     .write.mode("overwrite").partitionBy("lang").text(path))
+    docs.select("lang", F.col("text").alias("value")).write.mode("overwrite").partitionBy("lang").text(path)
     return season_jobs.season_word_ranks(spark, {"en": f"{path}/lang=en", "fr": f"{path}/lang=fr"}, limit=20)
 
 
@@ -348,6 +360,12 @@ def top3_weekdays_ru(spark, d):
     return agg.top_groups(days, "name", 3)
 
 
+def weekday_from_epoch(spark, d):
+    # As the access log has it: epoch seconds, then the Russian weekday name.
+    ev = table(spark, d, "events").select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"))
+    return agg.count_by(ev.select(dates.weekday_name(F.timestamp_seconds("time")).alias("name")), "name")
+
+
 def multi_format_years_since(spark, d):
     o = table(spark, d, "orders")
     fmt = F.col("o_orderkey") % 5
@@ -363,12 +381,6 @@ def multi_format_years_since(spark, d):
 
 # ---------------------------------------------------------------- joins and set ops
 
-def _orders_customers(spark, d):
-    o = table(spark, d, "orders")
-    c = table(spark, d, "customer")
-    return o.join(c, o.o_custkey == c.c_custkey)
-
-
 def join_inner_using(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey")
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name")
@@ -377,13 +389,32 @@ def join_inner_using(spark, d):
 
 def join_prepartitioned(spark, d):
     # Both sides hash-partitioned on the key they are joined by: the join
-    # reuses that partitioning (2 exchanges, not 4).
-    n = spark.conf.get("spark.sql.shuffle.partitions")
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey").repartition(int(n), "id")
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal").repartition(int(n), "id")
+    # reuses that partitioning (2 exchanges, not 4). Without a fixed number of
+    # partitions AQE may still coalesce them.
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey").repartition("id")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal").repartition("id")
     return o.join(c, "id")
 
 
+def join_distinct_sorted(spark, d):
+    o = table(spark, d, "orders").alias("r2")
+    c = table(spark, d, "customer").alias("r1")
+    j = o.join(c, F.col("r2.o_custkey") == F.col("r1.c_custkey"))
+    wide = shape.add_constants(j.select("r1.c_custkey", "r1.c_name", "r2.o_orderpriority"), 2)
+    return wide.distinct().sort(F.desc("c_custkey"), "o_orderpriority").limit(100)
+
+
+def repartition_round_robin(spark, d):
+    # Rows dealt by number, then counted by a key: the layout changes no result.
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey").repartition(5)
+    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last"))
+
+
+def range_source_join(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_quantity").cast("bigint").alias("id"))
+    return spark.range(0, 60, 3).join(li, "id").groupBy("id").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def join_scaled_distinct(spark, d):
     o = table(spark, d, "orders").alias("r2")
     c = table(spark, d, "customer").alias("r1")
@@ -407,9 +438,8 @@ def union_all_rows(spark, d):
 def join_broadcast_xor_count(spark, d):
     codes = readers.local_rows(spark, [("F", "yes"), ("O", "no"), ("P", "no")], ["id", "is_cancelled"])
     o = table(spark, d, "orders")
-    return joins.xor_mismatches(o, codes, o.o_orderstatus == codes.id,
-                                o.o_orderpriority == "1-URGENT", codes.is_cancelled == "yes",
-                                codes_max_rows=None)
+    return joins.xor_mismatches(o, F.broadcast(codes), o.o_orderstatus == codes.id,
+                                o.o_orderpriority == "1-URGENT", codes.is_cancelled == "yes")
 
 
 def cross_join_range(spark, d):
@@ -422,19 +452,17 @@ def salted_join_band_avg(spark, d):
     offers = ev.select("event_type", "user_id", (F.col("event_id") % 7).alias("level"),
                        F.round(F.col("value") * 100).cast("bigint").alias("price"))
     return joins.band_avg_join(freelancers, offers, ["event_type", "user_id"], "level", "level",
-                               "event_id", "price", band=fixed.OFFER_LEVEL_BAND, salt_n=fixed.OFFER_SALT,
-                               id_name="id",
+                               "event_id", "price", band=fixed.OFFER_LEVEL_BAND, id_name="id",
                                avg_name="avg_price_cents")
 
 
 def salted_hot_key_join(spark, d):
     # Every event with the number of events of its type. The five event
-    # types each hold about a fifth of the rows -- all of them hot keys -- so
-    # their rows are spread over 8 salts against 8 copies of the small side.
+    # types each hold about a fifth of the rows, more than a partition's fair
+    # part, so their rows are spread over salts against copies of the small side.
     ev = table(spark, d, "events")
     per_type = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("type_events"))
-    joined = joins.salted_join(ev.select("event_id", "event_type"), per_type, "event_type", "event_id",
-                               n=8, hot_share=0.001)
+    joined = joins.salted_join(ev.select("event_id", "event_type"), per_type, "event_type", "event_id")
     return joined.select("event_id", "event_type", "type_events")
 
 
@@ -452,6 +480,13 @@ def lookup_filter_basket(spark, d):
                           "most_popular_product", "avg_transaction")
 
 
+def basket_result_roundtrip(spark, d):
+    # The one-row result saved as a table and read back.
+    path = scratch_path(spark, "basket")
+    writers.write_table(lookup_filter_basket(spark, d), path)
+    return spark.read.parquet(path)
+
+
 def basket_per_group(spark, d):
     # The basket summary per order priority over all line items: most
     # popular part (ties -> smallest key) and items per order.
@@ -474,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cross_join_range, salted_join_band_avg, lookup_filter_basket, group_avg, csv_scan_inferred,
         csv_delimited_lines, json_roundtrip, csv_roundtrip, rename_drop, conform_schema,
         json_lines_defaults, global_avg_attached, join_prepartitioned, basket_per_group,
-        global_extreme_records, salted_hot_key_join,
+        global_extreme_records, salted_hot_key_join, csv_pipe_lines, weekday_from_epoch, join_distinct_sorted,
+        repartition_round_robin, range_source_join, basket_result_roundtrip,
     ]
 }

@@ -20,20 +20,22 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                 app_name: str = "sparkops", extra: dict | None = None,
                 input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session with sparkops' base settings.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide, and give
-    ``input_bytes`` and ``total_cores`` so that :func:`scale_conf` sizes the
-    shuffle partitions and splits to the data.
+    On a cluster, pass ``master=None`` and let spark-submit decide. Shuffle
+    partitions are set only if the caller gives them or ``input_bytes`` and
+    ``total_cores``, by which :func:`scale_conf` sizes them and the splits;
+    otherwise what the session or spark-submit configured stays.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if input_bytes is not None and total_cores is not None:
         conf.update(scale_conf(input_bytes, total_cores))
     conf.update(extra or {})
@@ -85,11 +87,3 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused path below :func:`shared_dir` for one write."""
     return f"{shared_dir(spark)}/sparkops-scratch/{tag}-{uuid.uuid4().hex}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for tests that inspect files directly."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -1,7 +1,7 @@
 """Readers and writers."""
 
 from sparkops.sources.readers import (  # noqa: F401
-    decode_json_lines, load_accounting, local_rows, parse_csv_lines, read_csv,
+    decode_json_lines, first_cell, load_accounting, local_rows, parse_csv_lines, read_csv,
     read_json, read_lines, read_tagged,
 )
 from sparkops.sources.writers import write_table  # noqa: F401

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +31,23 @@ def local_rows(spark: SparkSession, rows: Iterable[Sequence], names: Sequence[st
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
              header: bool = True, multiline: bool = False, sep: str = ",",
-             escape: str | None = None, **options: str) -> DataFrame:
+             escape: str | None = None, empty_as_null: bool = True, max_columns: int = 1_000_000,
+             **options: str) -> DataFrame:
     """CSV scan. With ``schema`` the data is read once; without it the types
     are inferred (an extra pass). Malformed cells become null (PERMISSIVE).
 
     ``multiline=True`` allows line breaks inside quoted cells; such files are
     not split, so write them as many moderate files. ``escape`` defaults to
     a doubled quote for multi-line files (RFC 4180) and to Spark's backslash
-    otherwise.
+    otherwise. A quoted empty text reads as null, as in the original jobs,
+    unless ``empty_as_null`` is off. ``max_columns`` sizes the parser's table of
+    cells (Spark's default of 20,480 fails wider lines); lines of any width are
+    read by ``read_lines`` and ``parse_csv_lines``.
     """
-    reader = (spark.read.option("header", header).option("sep", sep)
+    reader = (spark.read.option("header", header).option("sep", sep).option("maxColumns", max_columns)
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+    if not empty_as_null:
+        reader = reader.option("nullValue", "\u0000")  # stands for a cell with nothing in it
     if escape is None and multiline:
         escape = '"'
     if escape is not None:
@@ -71,18 +76,26 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_tagged(spark: SparkSession, paths: Mapping[str, str], tag: str = "tag",
-                reader=None) -> DataFrame:
-    """Several inputs as ONE table with a ``tag`` column naming the input.
+                schema: T.StructType | str = "value STRING", header: bool = False, **options: str) -> DataFrame:
+    """Several files or folders as ONE table with a ``tag`` column naming the
+    input: one scan of all paths, the tag taken from each row's file path.
 
-    ``reader(spark, path) -> DataFrame`` defaults to a headerless CSV read
-    with inferred types. All inputs end in one plan (a union of scans), so
-    the downstream aggregation runs once for all of them.
+    Inputs are raw text lines (column ``value``), or CSV with a declared
+    ``schema`` that all of them have. ``paths`` is tag -> file or folder.
     """
-    if reader is None:
-        def reader(s, p):
-            return read_csv(s, p, header=False)
-    parts = [reader(spark, p).withColumn(tag, F.lit(t)) for t, p in paths.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    where = {}
+    for name, path in paths.items():
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at)
+        where[at.toUri().getRawPath()] = name
+    if schema == "value STRING":
+        df = spark.read.text(list(paths.values()))
+    else:
+        df = read_csv(spark, list(paths.values()), schema=schema, header=header, **options)
+    tags = F.create_map(*[F.lit(x) for pair in where.items() for x in pair])
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    folder = F.regexp_replace(file, "/[^/]*$", "")
+    return df.withColumn(tag, F.coalesce(F.try_element_at(tags, file), F.try_element_at(tags, folder)))
 
 
 def _ddl(schema: T.StructType | str) -> T.StructType:
@@ -95,33 +108,68 @@ def _ddl_text(st: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.fields)
 
 
+def _quoted(sep: str, escape: str) -> str:
+    """Regex of a quoted cell up to the next separator. Possessive, so the matcher
+    neither backtracks nor recurses, however long the line is."""
+    e = re.escape(escape)
+    inside = '[^"]*+(?:""[^"]*+)*+' if escape == '"' else f'(?:[^"{e}]|{e}.)*+'
+    return f'"{inside}"(?={re.escape(sep)}|$)'
+
+
+def _cell(sep: str, escape: str) -> str:
+    """Regex of one cell: a quoted one, or what stands before the next separator."""
+    c = re.escape(sep)
+    other = f"[^{c}]*+" if len(sep) == 1 else f"(?:(?!{c}).)*+"
+    return f"(?:{_quoted(sep, escape)}|{other})"
+
+
+def first_cell(line: Column | str, sep: str = ",", escape: str = "\\") -> Column:
+    """The first cell of a delimited line, without its quotes; the rest of the
+    line isn't parsed, so it may have any number of cells."""
+    line = F.col(line) if isinstance(line, str) else line
+    quoted = F.regexp_extract(line, "(?s)^" + _quoted(sep, escape), 0)
+    inner = F.replace(F.substring(quoted, 2, F.length(quoted) - 2), F.lit(escape + '"'), F.lit('"'))
+    return F.when(quoted != "", inner).otherwise(F.substring_index(line, sep, 1))
+
+
 def parse_csv_lines(lines: DataFrame, schema: T.StructType | str, sep: str = ",",
                     line_col: str = "value", header_value: str | None = None,
                     keep: Sequence[str] | None = None, escape: str = "\\",
                     keep_quotes: bool = False) -> DataFrame:
-    """Delimited text lines -> typed columns, by position.
+    """Delimited text lines -> typed columns, by position; a line may have any
+    number of cells, of which those the schema names are parsed.
 
     Quoted cells may contain the separator (``a,"b, c",d`` has 3 cells); the
     quotes are removed. ``escape='"'`` reads doubled quotes inside a quoted
     cell as one quote (RFC 4180); the default escape is a backslash.
-    ``keep_quotes=True`` splits only on separators outside quotes and keeps
-    the quote characters in the cells, as the original line splitter did.
+    ``keep_quotes=True`` splits only on separators outside quotes (those that an
+    even number of quotes follows) and keeps the quote characters in the
+    cells, as the original line splitter did.
     A cell that does not fit its type becomes null. With ``header_value``,
     lines whose first cell equals it (header lines) are dropped. ``keep``
-    names extra input columns to carry along.
+    names extra input columns to carry along. ``sep`` is taken literally.
     """
     st = _ddl(schema)
-    cols = list(keep or [])
+    cols, line, width = list(keep or []), F.col(line_col), len(st.fields)
     if header_value is not None:
-        raw_first = F.split(F.col(line_col), sep, 2).getItem(0)
+        raw_first = F.substring_index(line, sep, 1)
         lines = lines.filter(raw_first.isNull() | (raw_first != header_value))
     if keep_quotes:
-        # a separator is outside quotes when an even number of quotes follows it
-        cells = F.split(F.col(line_col), re.escape(sep) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
-        return (lines.select(*cols, cells.alias("_c"))
+        # Of an odd number of quotes the first has none to go with it, and all
+        # before it counts as inside.
+        odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+        c = re.escape(sep)
+        outside = f'[^"{c}]' if len(sep) == 1 else f'(?!{c})[^"]'
+        rest = f'(?:{outside}|"[^"]*+")*+)(?:{c}|$)'
+        found = F.when(odd, F.regexp_extract_all(line, F.lit('(?s)((?:^[^"]*+")?+' + rest), 1)).otherwise(
+            F.regexp_extract_all(line, F.lit("(?s)(" + rest), 1))
+        return (lines.select(*cols, F.slice(found, 1, width).alias("_c"))
                 .select(*cols, *[_typed(F.get(F.col("_c"), i), f.dataType).alias(f.name)
                                  for i, f in enumerate(st.fields)]))
-    parsed = F.from_csv(F.col(line_col), _ddl_text(st), {"sep": sep, "mode": "PERMISSIVE", "escape": escape})
+    cell = _cell(sep, escape)
+    head = F.regexp_extract(line, f"(?s)^{cell}(?:{re.escape(sep)}{cell}){{0,{width - 1}}}+", 0)
+    parsed = F.from_csv(F.when(line.isNotNull(), head), _ddl_text(st),
+                        {"sep": sep, "mode": "PERMISSIVE", "escape": escape})
     return lines.select(*cols, parsed.alias("_r")).select(*cols, "_r.*")
 
 
@@ -138,7 +186,7 @@ def load_accounting(lines: DataFrame, line_col: str = "value", sep: str = ",") -
     One scan, one aggregation: a header whose first cell is empty counts as
     skipped, like any other line without an id.
     """
-    first = F.split(F.col(line_col), sep, 2).getItem(0)
+    first = F.substring_index(F.col(line_col), sep, 1)
     return (lines.agg(F.count(F.lit(1)).alias("total"),
                       F.count_if(first != "").alias("loaded"))
             .withColumn("skipped", F.col("total") - F.col("loaded")))
@@ -166,7 +214,3 @@ def decode_json_lines(lines: DataFrame, schema: T.StructType | str, line_col: st
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items()})
     return out
 
-
-def nested(c: str) -> Column:
-    """Column of a nested field, e.g. ``nested("user_rating.votes")``."""
-    return F.col(c)

@@ -11,10 +11,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = F
     """Write ``df`` as parquet / json / csv / text under ``path``; returns path.
 
     CSV is written without header unless asked (the pizza job's output).
+    Blanks at the ends of a text are kept (Spark's own default trims them);
+    empty text is written as ``""`` and null as nothing, which
+    ``read_csv(..., empty_as_null=False)`` tells apart again.
     """
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", header)
+        writer = (writer.option("header", header).option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False).option("emptyValue", '""'))
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.save(path)

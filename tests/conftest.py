@@ -10,9 +10,10 @@ SF0001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sparkops.session import get_session
-    s = get_session("local[*]", 8, app_name="sparkops-tests")
+    s = get_session("local[*]", 8, app_name="sparkops-tests",
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -89,7 +89,7 @@ def test_season_word_ranks(spark, write_text, tmp_path):
     got = rows(df, "id")
     # s1: the 3, hello 2, a 1, b 1, world 1 ; s2: zeta 2, alpha 1 -> zip stops at the shorter side
     assert got == [("the", 3, 0, "zeta", 2), ("hello", 2, 1, "alpha", 1)]
-    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "int", "int", "string", "int"]
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "bigint", "int", "string", "bigint"]
     assert spark.read.json(out).count() == 2
 
 
@@ -185,11 +185,10 @@ def test_avocado(spark, write_text):
         line(5, "2018-03", 1.5, 50.0, "Chicago"), line(6, "2017-12-31", 1.2, 1.005, "Chicago"),
     ]))
     r = jobs.avocado(spark, p)
-    assert rows(r["regions"]) == [(3,)]
+    assert rows(r["totals"]) == [(3, 3.0, 0.5)]
     # ISO text order: "2018-03" > "2018-02-11" too
     assert sorted(x.id for x in r["after_date"].collect()) == [2, 3, 5]
     assert rows(r["top_month"]) == [("02",)]
-    assert rows(r["price_extremes"]) == [(3.0, 0.5)]
     assert dict(rows(r["region_avg_volume"])) == {"Albany": 15.0, "Boston": 35.0, "Chicago": 25.5}
 
 
@@ -205,10 +204,9 @@ def test_access_log(spark, write_text):
         f"5,h2,{tue},GET,/x,500,3",
     ]))
     r = jobs.access_log(spark, p)
-    assert rows(r["accounting"]) == [(6, 5, 1)]
+    # total, loaded, skipped; bytes, their average, largest, smallest; hosts
+    assert rows(r["totals"]) == [(6, 5, 1, 156, 31, 100, 1, 3)]
     assert rows(r["responses"]) == [("404", 3), ("200", 1), ("500", 1)]
-    assert rows(r["bytes"]) == [(156, 31, 100, 1)]
-    assert rows(r["hosts"]) == [(3,)]
     assert rows(r["top_hosts"]) == [("h2", 3), ("a,b", 1), ("h3", 1)]
     assert rows(r["top_weekdays"]) == [("Вторник", 2), ("Понедельник", 1)]
 
@@ -340,7 +338,8 @@ def test_access_log_can_keep_quotes_like_the_original(spark, write_text):
     ]))
     r = jobs.access_log(spark, p, keep_quotes=True)
     assert rows(r["top_hosts"]) == [('"a,b"', 2), ("h2", 1)]
-    assert rows(r["bytes"]) == [(100, 100, 100, 100)]  # empty and bad cells are null
+    # empty and bad cells are null
+    assert rows(r["totals"].select("bytes", "average", "largest", "smallest")) == [(100, 100, 100, 100)]
     plain = jobs.access_log(spark, p)
     assert rows(plain["top_hosts"]) == [("a,b", 2), ("h2", 1)]
 
@@ -381,5 +380,28 @@ def test_command_line_writes_one_folder_per_result(spark, write_text, tmp_path):
     p = write_text("logs3.csv", ",host,time,method,url,response,bytes\n1,h,1609718400,GET,/x,404,5\n")
     out = str(tmp_path / "report")
     assert main(["access_log", p, out], stop=False) == 0
-    assert sorted(os.listdir(out)) == ["accounting", "bytes", "hosts", "responses", "top_hosts", "top_weekdays"]
-    assert tuple(spark.read.parquet(f"{out}/accounting").first()) == (2, 1, 1)
+    assert sorted(os.listdir(out)) == ["responses", "top_hosts", "top_weekdays", "totals"]
+    assert tuple(spark.read.parquet(f"{out}/totals").first())[:3] == (2, 1, 1)
+
+
+def test_command_line_takes_a_schema_and_runs_the_word_ranks(spark, write_text, tmp_path):
+    from sparkops.jobs.__main__ import main
+    p = write_text("emp.csv", "id,salary,department\n1,007,IT\n2,x,IT\n3,5,HR")
+    out = str(tmp_path / "avg")
+    assert main(["salary_by_department", p, out, "--schema", "id INT, salary DOUBLE, department STRING"], stop=False) == 0
+    assert dict(tuple(r) for r in spark.read.parquet(out).collect()) == {"IT": 7.0, "HR": 5.0}
+    a, b = write_text("s1.txt", "one two two\n"), write_text("s2.txt", '"three, three",x\n')
+    out = str(tmp_path / "ranks")
+    assert main(["season_word_ranks", a, b, out], stop=False) == 0
+    assert rows(spark.read.json(out).select("w_s1", "cnt_s1", "w_s2", "cnt_s2")) == [("two", 2, "three", 2)]
+    with pytest.raises(SystemExit):
+        main(["salary_by_department", p, "--schema", "a INT", "--schema", "b INT"], stop=False)
+    with pytest.raises(SystemExit):
+        main(["salary_by_department", p, "--input-bytes", "10"], stop=False)
+
+
+def test_reports_read_their_input_once_for_single_rows(spark, write_text):
+    from sparkops.plans.inspect import physical_plan
+    p = write_text("one.csv", "1,h,1609718400,GET,/x,404,5\n")
+    assert physical_plan(jobs.access_log(spark, p)["totals"]).count("FileScan") == 1
+    assert physical_plan(jobs.avocado(spark, p)["totals"]).count("FileScan") == 1

@@ -136,7 +136,7 @@ def ref_leading_int(s):
     if s is None:
         return None
     tok = re.sub(r"[^A-Za-z0-9_]+", "", s.split(" ")[0])
-    if re.fullmatch(r"[0-9]+", tok) and int(tok) <= 2**31 - 1:
+    if re.fullmatch(r"[0-9]+", tok) and int(tok) <= 2**63 - 1:
         return int(tok)
     return None
 
@@ -183,21 +183,6 @@ def test_month_of_requires_three_parts(spark):
     assert [r.m for r in df.select(dates.month_of("d").alias("m")).collect()] == ["02", None, None, None]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    from sparkops.plans.inspect import count_nodes
-    q1 = big.join(joins.bounded_broadcast(small, 100), "id")
-    assert count_nodes(q1, "BroadcastHashJoin") == 1
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        q2 = small.join(joins.bounded_broadcast(big, 100), "id")
-        assert count_nodes(q2, "BroadcastHashJoin") == 0
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_replicate_tags_every_copy(spark):
     r = joins.replicate(table(spark, SF001, "region"), 4, "salt")
     assert sorted_rows(r.groupBy("salt").count()) == [(i, 5) for i in range(4)]
@@ -236,6 +221,20 @@ def test_salted_join_outer_variants_equal_plain(spark, how):
         assert sorted_rows(salted.select(*plain.columns)) == sorted_rows(plain)
 
 
+def test_salted_join_follows_the_partitions_by_default(spark):
+    ev = table(spark, SF0001, "events")
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(0)).when(F.col("event_id") % 7 != 0, F.col("user_id"))
+    big = ev.select("event_id", key.cast("bigint").alias("k"))
+    small = ev.filter("event_id % 5 = 0").selectExpr("cast(user_id as bigint) AS k", "value AS v")
+    small = small.union(ev.limit(3).selectExpr("0L", "value"))
+    hot = {r.k: r["_copies"] for r in joins.hot_keys(big, "k").collect()}
+    assert hot[0] >= 3 and None not in hot  # a third of the rows, over 8 partitions
+    assert sorted_rows(joins.salted_join(big, small, "k", "event_id").select("k", "event_id", "v")) == \
+        sorted_rows(big.join(small, "k").select("k", "event_id", "v"))
+    with pytest.raises(ValueError):
+        joins.hot_keys(big, "k", 0)
+
+
 def test_salted_join_rejects_right_and_full(spark):
     df = spark.range(3)
     for how in ("right", "full"):

@@ -45,8 +45,9 @@ def test_load_accounting(spark, write_text):
 def test_read_tagged_is_one_table(spark, write_text):
     a = write_text("a.csv", "x,1\ny,2\n")
     b = write_text("b.csv", "z,3\n")
-    df = readers.read_tagged(spark, {"A": a, "B": b}, tag="src",
-                             reader=lambda s, p: readers.read_csv(s, p, schema="k STRING, v INT", header=False))
+    df = readers.read_tagged(spark, {"A": a, "B": b}, tag="src", schema="k STRING, v INT")
+    from sparkops.plans.inspect import physical_plan
+    assert physical_plan(df).count("FileScan") == 1
     assert sorted(tuple(r) for r in df.collect()) == [("x", 1, "A"), ("y", 2, "A"), ("z", 3, "B")]
 
 
@@ -108,3 +109,99 @@ def test_exact_averages(spark):
     assert agg.basket_summary(df, "tx", "p", exact=True).first().avg_transaction == decimal.Decimal("1.5")
     assert agg.basket_summary(df, "tx", "p", scale=2, exact=True, by="tx").orderBy("tx").collect()[0][2] == \
         decimal.Decimal("2.00")
+
+
+def test_read_tagged_folders_and_odd_names(spark, tmp_path):
+    paths = {}
+    for tag in ("a b", "ä%20x"):
+        paths[tag] = str(tmp_path / tag)
+        spark.createDataFrame([(tag,), ("x",)], "value string").write.text(paths[tag])
+    got = sorted(tuple(r) for r in readers.read_tagged(spark, paths).collect())
+    assert got == sorted([("a b", "a b"), ("x", "a b"), ("ä%20x", "ä%20x"), ("x", "ä%20x")])
+
+
+def test_separators_are_literal(spark, write_text):
+    from sparkops.functions import text
+    p = write_text("pipe.txt", 'id|x\n1|"a|b"\n|c\n')
+    lines = readers.read_lines(spark, p)
+    out = readers.parse_csv_lines(lines, "id INT, x STRING", sep="|", header_value="id")
+    assert sorted((tuple(r) for r in out.collect()), key=str) == [(1, "a|b"), (None, "c")]
+    assert tuple(readers.load_accounting(lines, sep="|").first()) == (3, 2, 1)
+    df = spark.createDataFrame([("12.5",), ("9,999,999,999 reviews",)], "s string")
+    assert [r[0] for r in df.select(text.leading_int("s", ".")).collect()][0] == 12
+    assert [r[0] for r in df.select(text.leading_int("s")).collect()][1] == 9_999_999_999
+
+
+def test_lines_of_any_width(spark, write_text):
+    wide = "7," + ",".join(["x"] * 100_000)
+    quoted = "8," + ",".join(['"q,q"'] * 100_000)
+    long = '9,"' + "long " * 200_000 + '",z'
+    lines = readers.read_lines(spark, write_text("wide.txt", "\n".join([wide, quoted, long])))
+    for keep_quotes in (False, True):
+        out = readers.parse_csv_lines(lines, "id INT, a STRING, b STRING", keep_quotes=keep_quotes)
+        got = {r.id: r for r in out.collect()}
+        assert (got[7].a, got[7].b) == ("x", "x")
+        assert got[8].b == ('"q,q"' if keep_quotes else "q,q")
+        assert got[9].b == "z" and len(got[9].a.strip('" ')) == 999_999
+    cells = [r[0] for r in lines.select(readers.first_cell("value")).collect()]
+    assert cells == ["7", "8", "9"]
+
+
+def test_first_cell(spark):
+    df = spark.createDataFrame([('"a, b",c',), ('"say \\"hi\\"",x',), ("plain, x",), ('"open, x',), ('"a"b,c',), ("",), (None,)],
+                               "v string")
+    assert [r[0] for r in df.select(readers.first_cell("v")).collect()] == [
+        "a, b", 'say "hi"', "plain", '"open', '"a"b', "", None]
+
+
+def test_unpaired_quotes_split_by_what_follows(spark):
+    lines = ['a"b,c,d', '"a,b",c"d,e', 'x,"y,z']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    out = readers.parse_csv_lines(df, "a STRING, b STRING, c STRING", keep_quotes=True)
+
+    def cells(line):
+        found, start = [], 0
+        for i, ch in enumerate(line):
+            if ch == "," and line[i + 1:].count('"') % 2 == 0:
+                found.append(line[start:i])
+                start = i + 1
+        return tuple((found + [line[start:], None, None])[:3])
+    assert [tuple(r) for r in out.collect()] == [cells(x) for x in lines]
+
+
+def test_csv_keeps_blanks_empty_text_and_null(spark, tmp_path):
+    path = str(tmp_path / "blank")
+    rows = [(1, " pad "), (2, ""), (3, None), (4, "q,uo te"), (5, "\ttab")]
+    writers.write_table(spark.createDataFrame(rows, "k int, v string"), path, "csv")
+    back = readers.read_csv(spark, path, schema="k INT, v STRING", header=False, empty_as_null=False)
+    assert sorted(tuple(r) for r in back.collect()) == rows
+    plain = readers.read_csv(spark, path, schema="k INT, v STRING", header=False)
+    assert {r.k: r.v for r in plain.collect()}[2] is None
+
+
+def test_extreme_records_of_any_type(spark):
+    import datetime as dt
+    from sparkops.operators import aggregate as agg
+    nan = float("nan")
+    rows = [(1, "b", dt.date(2020, 1, 1), 1.0), (2, "a", dt.date(2021, 1, 1), nan), (3, "c", None, -2.0),
+            (4, None, dt.date(2021, 1, 1), None)]
+    df = spark.createDataFrame(rows, "k int, s string, d date, x double")
+    for c, high, low in (("s", 3, 2), ("d", 2, 1), ("x", 2, 3)):
+        assert {(r.kind, r.k) for r in agg.extreme_records(df, c, "k", ["k"]).collect()} == {("max", high), ("min", low)}
+
+
+def test_word_ranks_beyond_int(spark):
+    from sparkops.operators import ranking
+    df = spark.createDataFrame([("a", "w", 3_000_000_000), ("b", "v", 1)], "side string, w string, n bigint")
+    got = [tuple(r) for r in ranking.zip_by_rank(df, "side", ["a", "b"], "w", "n").collect()]
+    assert got == [("w", 3_000_000_000, 0, "v", 1)]
+
+
+def test_session_keeps_what_was_configured(spark):
+    from sparkops.session import get_session
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        assert get_session(None).conf.get("spark.sql.shuffle.partitions") == "500"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
