@@ -137,7 +137,7 @@ class Join:
             keys = []
             for b in batches:
                 keys.append(b.column("a").flatten().to_numpy().view(np.uint64))
-                if sum(map(len, keys)) > 4_000_000:
+                if sum(map(len, keys)) > 1_000_000:
                     yield partial(np.concatenate(keys))
                     keys = []
             if keys:
@@ -311,7 +311,7 @@ class Join:
 
 
 def placed_rows(docs: DataFrame, id_col: str, text_col: str, *, width: int = 4, percent: int = 85, zone: float = 0.25,
-                frequent: int = 50, most_rows: int = 500_000, slice_bytes: int = 8 << 20) -> DataFrame:
+                frequent: int = 50, most_rows: int = 500_000, slice_bytes: int = 2 << 20) -> DataFrame:
     """(row, id, n, key, rep, root) of every row of ``docs``: its set's size and
     fingerprint, the first row of the same set, and the first of its component."""
     if not 50 < percent <= 100:
@@ -326,7 +326,7 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, *, width: int = 4,
 
 def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
                        percent: int = 85, zone: float = 0.25, frequent: int = 50, most_rows: int = 500_000,
-                       slice_bytes: int = 8 << 20) -> DataFrame:
+                       slice_bytes: int = 2 << 20) -> DataFrame:
     """Per row of ``docs``: the id, ``n_shingles`` (distinct ``width``-word shingles,
     A-Z lower-cased; of a shorter text the whole sequence is one),
     ``component_id`` (the smallest id reachable over links: a similarity of
