@@ -16,6 +16,7 @@ operations.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.taskcontext import TaskContext
 
-from ._common import byte_slices, list_array, scratch_path
+from ._common import byte_slices, list_array, scratch_path, stored
 from .token_counts import encoder
 
 MAGIC = b"tcm1"
@@ -228,26 +229,33 @@ def decode_blocks(coded: list[bytes], sizes: list[int], id_bits: int = 16) -> li
     return out
 
 
+def _moved(operator: tuple[int, ...], v: int) -> int:
+    out = 0
+    for row in operator:
+        if v & 1:
+            out ^= row
+        v >>= 1
+    return out
+
+
+@functools.cache
+def _zero_bytes(k: int) -> tuple[int, ...]:
+    """What 2**k zero bytes do to a crc32, by its bits."""
+    if k < 0:  # -3: one zero bit
+        half = (0xEDB88320, *(1 << i for i in range(31))) if k == -3 else _zero_bytes(k - 1)
+        return half if k == -3 else tuple(_moved(half, row) for row in half)
+    half = _zero_bytes(k - 1)
+    return tuple(_moved(half, row) for row in half)
+
+
 def crc_joined(first: int, second: int, length: int) -> int:
-    """crc32 of a sequence of bytes from those of its two parts and the length of
-    the second: the first is moved on by as many zero bytes, by squaring the
-    operator that moves it by one."""
-    def times(matrix: list[int], v: int) -> int:
-        out = 0
-        for row in matrix:
-            if v & 1:
-                out ^= row
-            v >>= 1
-        return out
-
-    operator = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
-    n = length * 8
-    while n:
-        if n & 1:
-            first = times(operator, first)
-        n >>= 1
-        if n:
-            operator = [times(operator, row) for row in operator]
+    """crc32 of a sequence of bytes from those of its two parts and the length of the
+    second: the first is moved on by as many zero bytes."""
+    k = 0
+    while length >> k:
+        if length >> k & 1:
+            first = _moved(_zero_bytes(k), first)
+        k += 1
     return first ^ second
 
 
@@ -278,8 +286,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
               slice_bytes: int = 8 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in ascending order of
     ``id_col`` (null ids first; equal ids in any order), as blocks of at most
-    ``block_ids`` ids. A longer document goes on in the next blocks. Rows of a
-    file: part and block (the order), docs, lens (of the document's ids here),
+    ``block_ids`` ids. A block holds whole documents, but a document of more ids
+    than that, which goes on in blocks of its own. Rows of a file: part and block (the order), docs, lens (of the document's ids here),
     goes_on (the last document continues), n, crc, code."""
     kind = docs.schema[id_col].dataType
 
@@ -310,6 +318,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                 raise ValueError("an id has more than id_bits bits")
             at = 0
             for name, n in zip(b.column("id").to_pylist(), counts.tolist(), strict=True):
+                if n > room and room < block_ids:
+                    waiting.append((names, lens, False, np.concatenate(parts)))
+                    names, lens, parts, room = [], [], [], block_ids
+                    if len(waiting) == lanes:
+                        yield flush()
                 while n:
                     here = min(n, room)
                     names.append(name)
@@ -370,8 +383,9 @@ def read_ids(spark, path: str, *, id_col: str = "doc_id", id_bits: int = 16, lan
                      list_array(ids.astype(np.int64) if keep_ids else np.zeros(0, np.int64), lens if keep_ids else lens * 0)],
                     ["id", "part", "block", "nth", "before", "n", "goes_on", "crc", "ids"])
 
-    pieces = files.mapInArrow(read, f"id {kind}, part int, block bigint, nth bigint, before bigint, n bigint, "
-                                    "goes_on boolean, crc bigint, ids array<bigint>")
+    # Stored, as two branches below read it: decoding is done once.
+    pieces = stored(files.mapInArrow(read, f"id {kind}, part int, block bigint, nth bigint, before bigint, n bigint, "
+                                    "goes_on boolean, crc bigint, ids array<bigint>"), "op4-pieces")
     # The ids before a block: of the parts before, and of the part's blocks before.
     heads = files.select("part", "block", "n", "goes_on")
     in_part = Window.partitionBy("part").orderBy("block")
