@@ -105,10 +105,12 @@ def search(tree: dict, units: np.ndarray, queries: np.ndarray, k: int, factor: f
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, added up from the first component to the last, so that equal
-    vectors have equal results wherever they stand. A row whose squares would leave the range of doubles is scaled by a power of two."""
+    vectors have equal results wherever they stand. A row whose squares, or the
+    product of two sums of them, would leave the range of doubles is scaled by a
+    power of two."""
     def ranged(v: np.ndarray) -> np.ndarray:
         top = np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]
-        return np.ldexp(v, np.where(np.abs(top) > 400, -top, 0))
+        return np.ldexp(v, np.where(np.abs(top) > 120, -top, 0))
 
     def added(v: np.ndarray) -> np.ndarray:
         return np.add.accumulate(v, axis=1)[:, -1] if v.size else np.zeros(len(v))
