@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,18 @@ from pyspark.sql import DataFrame, functions as F
 from sparkops.session import scratch_path
 
 
+def workers_import(spark) -> None:
+    """Let Python workers on this machine import this package, wherever the driver
+    was started. (On a cluster the package is installed or sent by --py-files.)"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,9 +5,9 @@ is a sorted array of n-gram hashes with the discounted probabilities, and a
 sorted array of context hashes with the back-off weights; a lookup is a binary
 search. Contexts end at word borders, so a word has the same cost wherever it
 stands: each distinct word of a batch is scored once. The language of the
-lowest cross-entropy per character wins; a text whose cost is nearer to what
-foreign texts cost than to what held-back texts of that language cost is
-rejected.
+lowest cross-entropy per character wins; a text whose cost is much nearer to
+that of a model that knows nothing than what held-back texts of that language
+cost is rejected.
 """
 
 from __future__ import annotations
@@ -179,12 +179,12 @@ def word_table(texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", key: Column, order: int = 4,
           max_docs: int = 500, max_chars: int = 1_500_000, rest_docs: int = 200,
-          strictness: float = 0.4) -> Model | None:
+          slack: float = 0.4) -> Model | None:
     """Fit on a bounded sample: of each language the ``max_docs`` rows first by the
     hash of ``key``, whole texts, as far as ``max_chars`` characters in all. The
     next ``rest_docs`` rows calibrate the rejection in the same way: the bound lies
-    between the median costs under the own and the nearest other language (at 0
-    of ``strictness`` at the latter). The limits keep a language's model below ``max_chars`` grams an order, which is what the
+    ``slack`` of the way from their median cost to that of equal chances for all
+    symbols, and not below what one in 200 of them exceeds. The limits keep a language's model below ``max_chars`` grams an order, which is what the
     driver gets. Rows of null language or text are left out. No rows: None."""
     kept = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key).alias("h"),
@@ -225,21 +225,19 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
         for b in batches:
             got = text_costs(shared.value, b.column("text"))
             own = np.array([shared.value.langs.index(x) for x in b.column("lang").to_pylist()], np.int64)
-            each = cross_entropy(got)
-            h = each[np.arange(len(own)), own]
-            each[np.arange(len(own)), own] = np.log(BASE_SYMBOLS)
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(h), pa.array(each.min(axis=1))],
-                                             ["l", "h", "other"])
+            h = cross_entropy(got)[np.arange(len(own)), own]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(h)], ["l", "h"])
 
     spare = (first.withColumn("most", F.max("r").over(Window.partitionBy("lang")))
              .where(F.col("rest") | (F.col("most") <= max_docs)))  # few rows: the fitted ones must do
-    costs = np.array([(r.l, r.h, r.other) for r in spare.select("lang", "text")
-                      .mapInArrow(cost, "l bigint, h double, other double").collect()]).reshape(-1, 3)
+    costs = np.array([(r.l, r.h) for r in spare.select("lang", "text")
+                      .mapInArrow(cost, "l bigint, h double").collect()]).reshape(-1, 2)
     model.bound = np.full(len(model.langs), np.inf)
     for j in range(len(model.langs)):
-        h, other = (costs[costs[:, 0] == j, i] for i in (1, 2))
+        h = costs[costs[:, 0] == j, 1]
         if len(h):
-            model.bound[j] = (1 - strictness) * np.median(other) + strictness * np.median(h)
+            usual = np.median(h)
+            model.bound[j] = max(usual + slack * (np.log(BASE_SYMBOLS) - usual), np.quantile(h, 0.995))
     return model
 
 
