@@ -1,3 +1,5 @@
+"""A fixture that the tests of this folder share."""
+
 import pytest
 from pyspark.sql import types as T
 

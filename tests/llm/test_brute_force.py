@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from sparkops.llm import (decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sketch,
                           substring_dedup, token_binary, token_counts, vp_tree)
+from support import docs_of  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sparkops.llm import (decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup,
                           token_binary, token_counts, vp_tree)
+from support import docs_of  # noqa: F401
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 CLASH = ["id", "row", "token", "n", "key", "tid", "pos", "rep", "root", "a", "b", "part", "block", "sum", "h", "r", "whole"]

@@ -13,6 +13,7 @@ import corpus_pipeline
 from conftest import SF0001
 from sparkops.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from sparkops.plans.compare import duckdb_conn
+from support import docs_of  # noqa: F401
 
 
 @pytest.fixture(scope="module")
