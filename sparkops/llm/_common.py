@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import os
 from collections.abc import Iterator
 
@@ -82,6 +86,20 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str | int, max_bytes:
             start = stop
 
 
+def trimmed(work):
+    """A function over Arrow batches that, when it has ended, gives the memory it
+    has freed back to the system: Spark keeps its Python workers for later tasks."""
+    @functools.wraps(work)
+    def run(batches):
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text (null: none): the number per
     text and all words in order."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._common import byte_slices, mix64
+from ._common import byte_slices, mix64, trimmed
 
 BASE_SYMBOLS = 1 << 11  # the uniform distribution under order 1
 
@@ -221,6 +221,7 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
     model = united(parts, order)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @trimmed
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = text_costs(shared.value, b.column("text"))
@@ -277,6 +278,7 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @trimmed
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(shared.value, short_slack)
         for b in byte_slices(batches, "text", slice_bytes):
@@ -297,6 +299,7 @@ def accepted(docs: DataFrame, model: Model | None, *, text_col: str = "text", sh
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @trimmed
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(shared.value, short_slack)
         for b in byte_slices(batches, at, slice_bytes):

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import ascii_words, byte_slices, rolling, window_minima, within
+from ._common import ascii_words, byte_slices, rolling, trimmed, window_minima, within
 
 # Wordings of license grants and notices, as published.
 _MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -213,6 +213,7 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     index = Index(templates or TEMPLATES, gram, window)
 
+    @trimmed
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_slices(batches, "text", slice_bytes):
             texts = b.column("text")

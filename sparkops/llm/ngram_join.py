@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._common import Store, ascii_words, byte_slices, list_array, rolling, sized, within, word_hashes
+from ._common import Store, ascii_words, byte_slices, list_array, rolling, sized, trimmed, within, word_hashes
 from .sketch import PARTIAL, merge, partial
 
 SIGN = np.uint64(1 << 63)
@@ -63,6 +63,7 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, zone: float
     empty), and the tokens below (``na`` of them) and above the zone's border."""
     border = int(zone * 2**64) - 2**63
 
+    @trimmed
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -133,6 +134,7 @@ class Join:
     def low_entries(self) -> DataFrame:
         """(row, k, token): the tokens below the border that may occur again; k is the
         place among all of these."""
+        @trimmed
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = []
             for b in batches:
@@ -147,6 +149,7 @@ class Join:
         self.store.drop("sketch")
         shared = self.sets.sparkSession.sparkContext.broadcast(again)
 
+        @trimmed
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 tokens, na = b.column("a").flatten().to_numpy(), b.column("na").to_numpy()

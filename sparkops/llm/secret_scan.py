@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ._common import byte_slices, stored
+from ._common import byte_slices, stored, trimmed
 
 KINDS = ("assign", "access", "hex", "owned")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -78,6 +78,7 @@ def joined(spans: list[tuple]) -> str:
 def scan(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column, min_free: int,
          min_entropy: float, slice_bytes: int) -> DataFrame:
     """A row per document: base digest and counts, and all candidates."""
+    @trimmed
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = hashlib.sha256(b"").hexdigest()
         for b in byte_slices(batches, "text", slice_bytes):

@@ -25,8 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import (Store, ascii_words, byte_slices, list_array, mix64, rolling, window_minima, within,
-                      word_hashes)
+from ._common import (Store, ascii_words, byte_slices, list_array, mix64, rolling,
+                      trimmed, window_minima, within, word_hashes)
 from .sketch import PARTIAL, merge, partial
 
 
@@ -55,6 +55,7 @@ def span_hashes(first: np.ndarray, last: np.ndarray, size: np.ndarray) -> np.nda
 
 
 def sketches(docs: DataFrame, text_col: str, width: int, gram: int, slice_bytes: int) -> DataFrame:
+    @trimmed
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = []
         for b in byte_slices(batches, "text", slice_bytes):
@@ -76,6 +77,7 @@ def estimated(docs: DataFrame, repeated, id_col: str, text_col: str, width: int,
     minimiser, 128-bit hash) and the words (with ``keep_text``, the words of all)."""
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
+    @trimmed
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in byte_slices(batches, "text", slice_bytes):
             w = Windows(b.column("text"), width, gram)
@@ -106,6 +108,7 @@ def estimated(docs: DataFrame, repeated, id_col: str, text_col: str, width: int,
 
 def single_windows(texts: DataFrame, width: int) -> DataFrame:
     """(row, pos, w1, w2, once) of every window of the given runs (row, words, runs)."""
+    @trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for from_row in range(0, b.num_rows, 500):
@@ -161,6 +164,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     single = single.where("once").join(again, ["w1", "w2"]).select("row", F.col("pos").alias("start"), F.col("pos").alias("last"))
     removed = whole.unionByName(single).groupBy("row").agg(F.collect_list(F.struct("start", "last")).alias("at"))
 
+    @trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, gone = [], []

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.taskcontext import TaskContext
 
-from ._common import byte_slices, list_array, scratch_path, stored
+from ._common import byte_slices, list_array, scratch_path, stored, trimmed
 from .token_counts import encoder
 
 MAGIC = b"tcm1"
@@ -291,6 +291,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
     goes_on (the last document continues), n, crc, code."""
     kind = docs.schema[id_col].dataType
 
+    @trimmed
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block = TaskContext.get().partitionId(), 0
         waiting: list[tuple[list, list, bool, np.ndarray]] = []
@@ -336,6 +337,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                             yield flush()
         if names:
             waiting.append((names, lens, False, np.concatenate(parts)))
+        encoder(tokenizer_path, "ids").cache.clear()
         if waiting:
             yield flush()
 
@@ -355,6 +357,7 @@ def read_ids(spark, path: str, *, id_col: str = "doc_id", id_bits: int = 16, lan
     files = spark.read.parquet(path)
     kind = files.schema["docs"].dataType.elementType.simpleString()
 
+    @trimmed
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for from_row in range(0, b.num_rows, lanes):

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import byte_slices
+from ._common import byte_slices, trimmed
 
 
 # Marks that end a run of letters and form one unit with marks next to them.
@@ -154,6 +154,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     through, a row each. Only the two columns are read, so further columns,
     also of clashing names, don't matter. An empty table gives no rows.
     """
+    @trimmed
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for b in byte_slices(batches, "text", slice_bytes):
@@ -161,6 +162,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pc.cast(pc.binary_length(texts), pa.int64()), pa.array(text_lengths(enc, texts))],
                 ["id", "n_bytes", "n_tokens"])
+        enc.cache.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._common import stored
+from ._common import stored, trimmed
 
 NEAR = 1e-10  # more than the rounding errors of a dot product of unit vectors
 NEAR_CHORD = 1e-7  # and of the chord made of it
@@ -193,6 +193,7 @@ def nearest(table: DataFrame, queries: Column, *, id_col: str = "vec_id", vector
              .join(lots.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1).cast("bigint")))),
                    ["dim", "shard", "block"]).select("tree", "asked"))
 
+    @trimmed
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for tree, lot in zip(b.column("tree"), b.column("asked"), strict=True):
