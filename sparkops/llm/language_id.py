@@ -5,9 +5,10 @@ is a sorted array of n-gram hashes with the discounted probabilities, and a
 sorted array of context hashes with the back-off weights; a lookup is a binary
 search. Contexts end at word borders, so a word has the same cost wherever it
 stands: each distinct word of a batch is scored once. The language of the
-lowest cross-entropy per character wins; a text whose cost is much nearer to
-that of a model that knows nothing than what held-back texts of that language
-cost is rejected.
+lowest cross-entropy per character wins. For the rejection each part of a text
+is taken at its cheapest language, so that texts in several learnt languages
+stay; a text is rejected if that costs more than a bound between what held-back
+texts cost with their own language's model and what they cost without it.
 """
 
 from __future__ import annotations
@@ -142,8 +143,10 @@ def united(parts: dict[str, list[tuple]], order: int) -> Model:
 
 
 def text_costs(model: Model, texts: pa.Array, cache: dict[str, np.ndarray] | None = None,
-               cache_words: int = 200_000) -> np.ndarray:
-    """Per text: costs under each language and the number of symbols."""
+               cache_words: int = 200_000, part_words: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: costs under each language and the number of symbols. The same per
+    part of ``part_words`` words, those with digits (keys, codes) left out, and the
+    text of each part."""
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
@@ -162,16 +165,58 @@ def text_costs(model: Model, texts: pa.Array, cache: dict[str, np.ndarray] | Non
             cache.update((words[i], c) for i, c in zip(part, costs, strict=True) if len(words[i]) <= 32)
     offsets, index = lists.offsets.to_numpy(), coded.indices.to_numpy()
     owner = np.repeat(np.arange(len(lists)), np.diff(offsets))
-    out = np.empty((len(lists), each.shape[1]))
+    no_digit = ~pc.match_substring_regex(coded.dictionary, "[0-9]").to_numpy(zero_copy_only=False)[index]
+    starts = (np.arange(len(owner)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))) % part_words == 0
+    part, of = np.cumsum(starts) - 1, owner[starts]
+    parts, out = np.empty((len(of), each.shape[1])), np.empty((len(lists), each.shape[1]))
     for j in range(each.shape[1]):
-        out[:, j] = np.bincount(owner, each[index, j], len(lists))
-    return out
+        one = each[index, j]
+        parts[:, j] = np.bincount(part, one * no_digit, len(of))
+        out[:, j] = np.bincount(owner, one, len(lists))
+    return out, parts, of
 
 
 def cross_entropy(costs: np.ndarray) -> np.ndarray:
     return costs[:, :-1] / np.maximum(costs[:, -1:], 1)
 
 
+def strangeness(costs: np.ndarray, parts: np.ndarray, of: np.ndarray, short_slack: float) -> np.ndarray:
+    """Per text: nats a symbol with each part at its cheapest language, less
+    ``short_slack`` over the root of the number of symbols; of a text that has
+    letters only in words with digits, as a whole."""
+    count, total = np.bincount(of, parts[:, -1], len(costs)), np.bincount(of, parts[:, :-1].min(axis=1), len(costs))
+    total = np.where(count > 0, total, costs[:, :-1].min(axis=1))
+    count = np.maximum(np.where(count > 0, count, costs[:, -1]), 1)
+    return total / count - short_slack / np.sqrt(count)
+
+
+def bounds(calibration: np.ndarray, langs: int, slack: float) -> np.ndarray:
+    """Per language the strangeness from which a text is rejected. ``calibration``: a
+    row per held-back text, of its language, the cheapest one, the strangeness,
+    and the cheapest other language and the strangeness without the own model
+    (infinite if there is no other)."""
+    own, best, usual, other, foreign = calibration.T
+    out = np.full(langs, np.inf)
+    fits = own == best  # texts cheaper in another language are labelled wrongly
+    for j in range(langs):
+        mine = usual[fits & (own == j)] if (fits & (own == j)).any() else usual[own == j]
+        if not len(mine):
+            continue
+        strange = foreign[fits & (other == j) & np.isfinite(foreign)]
+        if not len(strange):  # the nearest to no other language
+            strange = foreign[fits & (own != j) & np.isfinite(foreign)]
+        high = np.max(mine)
+        if not len(strange):  # one language alone: against equal chances for all symbols
+            middle = np.median(mine)
+            out[j] = max(middle + slack * (np.log(BASE_SYMBOLS) - middle), np.quantile(mine, 0.995))
+            continue
+        low = np.quantile(strange, 0.02)
+        if high >= low:  # a few odd texts don't decide
+            high = np.quantile(mine, 0.99)
+        out[j] = high + max(0.65 * (low - high), 0.1)
+    return out
+
+
 def word_table(texts: pa.Array) -> tuple[list[str], np.ndarray]:
     found = pc.value_counts(pc.ascii_split_whitespace(texts).flatten())
     return found.field(0).to_pylist(), found.field(1).to_numpy()
@@ -179,13 +224,17 @@ def word_table(texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", key: Column, order: int = 4,
           max_docs: int = 500, max_chars: int = 1_500_000, rest_docs: int = 200,
-          slack: float = 0.4) -> Model | None:
+          slack: float = 0.4, short_slack: float = 3.0) -> Model | None:
     """Fit on a bounded sample: of each language the ``max_docs`` rows first by the
     hash of ``key``, whole texts, as far as ``max_chars`` characters in all. The
     next ``rest_docs`` rows calibrate the rejection in the same way: the bound lies
-    ``slack`` of the way from their median cost to that of equal chances for all
-    symbols, and not below what one in 200 of them exceeds. The limits keep a language's model below ``max_chars`` grams an order, which is what the
-    driver gets. Rows of null language or text are left out. No rows: None."""
+    0.65 of the way from their largest cost to what one in 50 texts that are
+    nearest to this language without their own model falls below; if these sides
+    overlap, from the cost that one in 100 exceeds, and 0.1 over it at least. Of a single language it lies ``slack`` of the way from the
+    median cost to that of equal chances for all symbols. ``short_slack`` is that
+    of ``identify``. The limits keep a language's model below ``max_chars`` grams an
+    order, which is what the driver gets. Rows of null language or text are left
+    out. No rows: None."""
     kept = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key).alias("h"),
         F.length(text_col).cast("bigint").alias("n"))
@@ -224,21 +273,21 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
     @trimmed
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = text_costs(shared.value, b.column("text"))
+            costs, parts, of = text_costs(shared.value, b.column("text"))
             own = np.array([shared.value.langs.index(x) for x in b.column("lang").to_pylist()], np.int64)
-            h = cross_entropy(got)[np.arange(len(own)), own]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(h)], ["l", "h"])
+            some, each = costs[:, -1] > 0, cross_entropy(costs)
+            best, usual = each.argmin(axis=1), strangeness(costs, parts, of, short_slack)
+            each[np.arange(len(own)), own] = np.inf
+            costs[np.arange(len(own)), own] = parts[np.arange(len(of)), own[of]] = np.inf
+            columns = (own, best, usual, each.argmin(axis=1), strangeness(costs, parts, of, short_slack))
+            yield pa.RecordBatch.from_arrays([pa.array(x[some].astype(np.float64)) for x in columns],
+                                             ["l", "best", "usual", "other", "foreign"])
 
     spare = (first.withColumn("most", F.max("r").over(Window.partitionBy("lang")))
              .where(F.col("rest") | (F.col("most") <= max_docs)))  # few rows: the fitted ones must do
-    costs = np.array([(r.l, r.h) for r in spare.select("lang", "text")
-                      .mapInArrow(cost, "l bigint, h double").collect()]).reshape(-1, 2)
-    model.bound = np.full(len(model.langs), np.inf)
-    for j in range(len(model.langs)):
-        h = costs[costs[:, 0] == j, 1]
-        if len(h):
-            usual = np.median(h)
-            model.bound[j] = max(usual + slack * (np.log(BASE_SYMBOLS) - usual), np.quantile(h, 0.995))
+    rows = spare.select("lang", "text").mapInArrow(
+        cost, "l double, best double, usual double, other double, foreign double").collect()
+    model.bound = bounds(np.array(rows, np.float64).reshape(-1, 5), len(model.langs), slack)
     return model
 
 
@@ -254,13 +303,13 @@ class Predictor:
         pred = np.full(n, "und", object)
         if m is None or not n:
             return pred, np.zeros(n), np.zeros(n), np.ones(n, bool)
-        costs = text_costs(m, pc.fill_null(texts, ""), self.cache)
+        costs, parts, of = text_costs(m, pc.fill_null(texts, ""), self.cache)
         each, count = cross_entropy(costs), costs[:, -1]
         best = each.argmin(axis=1)
         h, some = each[np.arange(n), best], count > 0
         share = np.exp(-np.minimum(count, 50)[:, None] * (each - h[:, None]))
         pred[some] = np.array(m.langs, object)[best[some]]
-        bad = ~some | (h > m.bound[best] + self.short_slack / np.sqrt(np.maximum(count, 1)))
+        bad = ~some | (strangeness(costs, parts, of, self.short_slack) > m.bound[best])
         return pred, np.where(some, 1 / share.sum(axis=1), 0.0), np.where(some, h, 0.0), bad
 
 
@@ -272,9 +321,9 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
 
     ``und`` with score 0, rejected: a text that is null or has no letter, and all
     rows if no model could be learnt. Ties go to the first language by name. A
-    text is rejected if its cost exceeds the calibrated bound, which is wider by
-    ``short_slack`` over the root of its number of symbols. Repeated rows give
-    repeated results; an empty table none.
+    text is rejected if the cost of its parts, each in its cheapest language,
+    exceeds the calibrated bound, which is wider by ``short_slack`` over the root of
+    its number of symbols. Repeated rows give repeated results; an empty table none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

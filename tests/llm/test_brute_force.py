@@ -351,6 +351,24 @@ def test_language_id(spark, docs_of):
     assert got[243].rejected
 
 
+def test_languages_that_no_model_has_learnt(docs_of):
+    rng = random.Random(8)
+    letters = {x: rng.sample("abcdefghijklmnopqrstuvwxyz", 12) for x in ("aa", "bb", "cc", "dd")}
+    syllables = {x: ["".join(rng.choices(letters[x], k=3)) for _ in range(30)] for x in letters}
+
+    def text(lang, n=60):
+        return " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+    langs = ["aa", "bb", "cc"] * 100 + [None] * 60
+    texts = [text(x or "dd") for x in langs]  # the same script, but not learnt
+    keys = f"{text('aa', 12)} token = 9f8ac07b2e4d61537b64b244acde2e3b0aa8f051af1ec018ebab"
+    texts += [f"{text('aa')} {text('bb')}", f"{text('cc', 30)} {text('aa', 30)} {text('bb', 30)}", keys]
+    got = {r.doc_id: r for r in language_id.language_id(docs_of(texts, lang=langs + [None] * 3)).collect()}
+    assert [i for i in range(300) if got[i].rejected] == []
+    assert [i for i in range(300, 360) if not got[i].rejected] == []
+    assert [got[i].rejected for i in (360, 361, 362)] == [False] * 3
+
+
 def test_kneser_ney_is_a_distribution():
     words_ = ["abab", "abc", "bca", "cab"]
     counts = np.array([5, 3, 2, 1])
