@@ -4,7 +4,9 @@ The templates' word n-grams are winnowed, and the fingerprints go to an inverted
 index (sorted hashes with template and place). A text's fingerprints that occur
 in the index pick (text, template, diagonal) candidates; around each candidate
 diagonal a banded sequence alignment of the template with the text finds how
-many template words are matched in order, and where.
+many template words are matched in order, and where. The words that tell
+licenses apart (names and versions) must be the template's, with none missing,
+changed or added between.
 
 The templates are a fixed list of a few kilobytes, so the index goes to every
 task; the corpus is scanned once, whole texts, without a shuffle.
@@ -12,6 +14,7 @@ task; the corpus is scanned once, whole texts, without a shuffle.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,12 +38,18 @@ that the following conditions are met: Redistributions of source code must retai
 of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice,
 this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution."""
+_GNU_HEAD = """This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}
+General Public License as published by the Free Software Foundation, either version {3} of the License, or (at your
+option) any later version."""
+_GNU_LINE = "This work is licensed under the GNU {0} General Public License, version {1}."
 TEMPLATES = {
+    "AGPL-3.0": [_GNU_LINE.format("Affero", "3"), _GNU_HEAD.format("program", ":", "Affero", "3")],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at""",
     ],
+    "BSD": ["Released under the BSD License."],  # which of them isn't said
     "BSD-2-Clause": [_BSD_HEAD],
     "BSD-3-Clause": [_BSD_HEAD + """ Neither the name of the copyright holder nor the names of its contributors may
         be used to endorse or promote products derived from this software without specific prior written permission."""],
@@ -51,18 +60,34 @@ TEMPLATES = {
         Attribution-NonCommercial 4.0 International License."""],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", """This work is licensed under a Creative Commons
         Attribution-ShareAlike 4.0 International License."""],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
+                _GNU_HEAD.format("program", ";", "", "2")],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
                 """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
                 General Public License as published by the Free Software Foundation, either version 3 of the License,
                 or (at your option) any later version."""],
     "ISC": ["""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
         hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""],
+    "LGPL-2.0": [_GNU_LINE.format("Library", "2"), _GNU_HEAD.format("library", ";", "Library", "2")],
+    "LGPL-2.1": [_GNU_LINE.format("Lesser", "2.1"), _GNU_HEAD.format("library", ";", "Lesser", "2.1")],
+    "LGPL-3.0": [_GNU_LINE.format("Lesser", "3"), _GNU_HEAD.format("program", ":", "Lesser", "3")],
     "MIT": ["Released under the MIT License.", _MIT_BODY],
     "MPL-2.0": ["""This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
         the MPL was not distributed with this file, You can obtain one at"""],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+# Creative Commons: the short and the long names of the other kinds and versions.
+for _short, _long in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-ND", "-NoDerivatives"), ("BY-NC", "-NonCommercial"),
+                      ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives")):
+    for _version, _where in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+        _form = _long if _version == "4.0" else _long.replace("NoDerivatives", "NoDerivs")
+        TEMPLATES.setdefault(f"CC-{_short}-{_version}", [
+            f"Licensed under CC {_short} {_version}.",
+            f"This work is licensed under a Creative Commons Attribution{_form} {_version} {_where} License."])
+# Words that tell licenses apart, besides versions.
+NAMES = ["affero", "apache", "artistic", "boost", "bsd", "cc", "cddl", "eclipse", "epl", "expat", "gnu", "isc", "lesser",
+         "mit", "mozilla", "mpl", "x11", "zlib"]
+_CC_WORDS = ["noncommercial", "noderivatives", "noderivs", "sharealike"]
 # End of the fixed values.
 
 EDGE = "!\"#$%&'()*,-./:;<=>?@[\\]^_`{|}~"
@@ -76,6 +101,17 @@ def plain(word: str) -> str:
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def telling_words() -> dict[int, str]:
+    """Hash of a plain word to the name or version it stands for."""
+    names = {x: x for x in [*NAMES, *_CC_WORDS]}
+    names |= {x: x for k in range(4) for p in itertools.permutations(_CC_WORDS, k) for x in ["-".join(("attribution", *p))]}
+    names |= {x: x for k in range(3) for p in itertools.permutations(("nc", "nd", "sa"), k) for x in ["-".join(("by", *p))]}
+    for a in range(21):
+        for v in ("", "v"):
+            names |= {f"{v}{a}": str(a)} | {f"{v}{a}.{b}": f"{a}.{b}" if b else str(a) for b in range(10)}
+    return {xxhash.xxh3_64_intdigest(k): x for k, x in names.items()}
+
+
 def plain_hashes(words: pa.Array) -> np.ndarray:
     """64-bit hashes of plain words (0: nothing but marks)."""
     if not len(words):
@@ -120,6 +156,8 @@ class Index:
             raise ValueError(f"a template has fewer than {gram} words")
         ends = np.cumsum(self.counts)
         self.words = np.split(hashes, ends[:-1])
+        self.telling = telling_words()
+        self.wanted = [[x for w in words.tolist() if (x := self.telling.get(w))] for words in self.words]
         # All n-grams of the templates, so that each fingerprint of a text meets its like.
         at = within(self.counts, gram)
         of = np.searchsorted(ends, at, side="right")
@@ -127,6 +165,19 @@ class Index:
         by = np.argsort(keys, kind="stable")
         self.keys, self.of, self.at = keys[by], of[by], (at - (ends - self.counts)[of])[by]
 
+    def told(self, t: int, words: np.ndarray) -> bool:
+        """Are the names and versions among the words matched the template's? Versions
+        count for templates that have one, ``by`` for those of ``cc``; bodies
+        without a name may hold any."""
+        wanted = self.wanted[t]
+        versions, by = any(x[0].isdigit() for x in wanted), "cc" in wanted
+
+        def counting(found: list[str]) -> list[str]:
+            return [x for x in found if (versions or not x[0].isdigit()) and (by or x != "by")]
+
+        wanted = counting(wanted)
+        return not wanted or counting([x for w in words.tolist() if (x := self.telling.get(w))]) == wanted
+
     def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index into keys, template, place) of every posting met."""
         a, b = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, side="right")
@@ -178,7 +229,7 @@ def license_matches(hashes: np.ndarray, fingerprints: list[tuple[int, int, int]]
                 continue  # inside the band around the diagonal before
             last = d
             n, a, b = align(words, hashes, d, band)
-            if n >= least * len(words):
+            if n >= least * len(words) and index.told(t, hashes[a:b + 1]):
                 found.append((n, a, b))
         free = []
         for n, a, b in sorted(found, key=lambda x: (-x[0], x[1])):
@@ -207,7 +258,8 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     exclusive, by start) and ``coverage`` (the largest share of a template's words
     that was matched; 0 without a match).
 
-    A match has ``least`` or more of a template's words in order. Every run of
+    A match has ``least`` or more of a template's words in order, and the names and
+    versions in its span are the template's (``Index.told``). Every run of
     ``gram + window - 1`` words shared with a template makes a candidate. Null,
     empty and wordless texts match nothing; repeated rows give repeated results.
     """

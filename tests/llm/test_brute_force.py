@@ -317,6 +317,25 @@ def test_license_spans(docs_of):
     assert [got[i].licenses for i in (2, 3, 4, 5)] == ["", "", "Apache-2.0", "MIT"]
 
 
+def test_licenses_told_apart(docs_of):
+    head = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+            "License as published by the Free Software Foundation; either version {} of the License, or (at your option) "
+            "any later version.")
+    wanted = {
+        head.format("program", "", "2"): "GPL-2.0", head.format("program", "", "3"): "GPL-3.0",
+        head.format("library", "Lesser ", "2.1"): "LGPL-2.1", head.format("library", "Library ", "2"): "LGPL-2.0",
+        head.format("program", "Lesser ", "3"): "LGPL-3.0", head.format("program", "Affero ", "3"): "AGPL-3.0",
+        head.format("program", "", "1"): "", "Released under the BSD License.": "BSD", "Released under the Foo License.": "",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0", "Licensed under CC BY 3.0.": "CC-BY-3.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY 1.0.": "",
+        "Licensed under the Apache License, Version 1.1.": "",
+        " ".join(license_scan.TEMPLATES["BSD-2-Clause"][0].split()).replace("Redistributions of", "1. Redistributions of"):
+            "BSD-2-Clause"}
+    got = {r.doc_id: r.licenses for r in license_scan.license_scan(docs_of([f"Some words. {x} More words." for x in wanted])).collect()}
+    assert [got[i] for i in range(len(wanted))] == list(wanted.values())
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(30):
