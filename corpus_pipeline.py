@@ -25,9 +25,9 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep, of documents linked by their 4-word shingles, the one of the smallest id."""
+    """Keep, of documents linked by four fifths of their 5-word shingles, the one of the smallest id."""
     workers_import(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, width=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,6 +78,14 @@ def test_stages_keep_columns_and_odd_rows(spark, docs_of, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_near_copies_of_the_stage(spark, docs_of, tmp_path):
+    one = [f"w{i}" for i in range(50)]
+    other = [*one[:25], "changed", *one[26:]]  # 41 of 51 shingles of 5 words; of 4 words 43 of 51
+    more = [f"v{i}" for i in range(54)]
+    docs = docs_of([" ".join(x) for x in (one, other, more[:44], more)])  # 40 of 50
+    assert sorted(r.doc_id for r in corpus_pipeline.deduplicated(spark, docs, str(tmp_path)).collect()) == [0, 2]
+
+
 def test_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [1.0, None]), (6, [float("nan"), 1.0]),
             (7, [float("inf"), 1.0]), (None, [1.0, 1.0]), (50, [1.0, 1.0]), (50, [2.0, 2.0]), (100, [1.0, 2.0, 3.0]),
