@@ -102,4 +102,66 @@ k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) A
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op9_vp_tree_neighbours": OP9, "op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}
+# Costs and places as the contract fixes them: 0 start, 1 after s, 2 after u, 3 after a.
+OP11 = r"""
+WITH RECURSIVE
+tab AS MATERIALIZED (
+  SELECT list(list_reduce(range(8)::UBIGINT[], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END,
+                          i::UBIGINT) ORDER BY i) AS t FROM range(256) r(i)),
+d AS MATERIALIZED (
+  SELECT coalesce('=' || conv_id, '') AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+f AS MATERIALIZED (
+  SELECT d.*, xor(list_reduce(list_transform(string_split(k, ''), lambda x: ascii(x)::UBIGINT),
+                              lambda a, b: xor(t[(xor(a, b) % 256)::BIGINT + 1], a >> 8), 4294967295::UBIGINT), 4294967295::UBIGINT) % 20 AS fate
+  FROM d, tab),
+g AS (
+  SELECT c, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
+h AS MATERIALIZED (
+  SELECT c, turn, role, text, regexp_replace(text, '[ 	-]+$', '') AS core, substr(role, 1, 1) AS o,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(role || ':' || text)) AS i FROM g),
+r AS MATERIALIZED (
+  SELECT *, CASE WHEN core = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(o) OVER (PARTITION BY c ORDER BY i) || o AS pair FROM h),
+step(p, o, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins AS (
+  SELECT p, p AS q, 0 AS cost, '' AS e FROM range(4) x(p)
+  UNION ALL SELECT p, q, 5, 'I' FROM step WHERE o <> 's'
+  UNION ALL SELECT a.p, b.q, 10, 'II' FROM step a JOIN step b ON a.q = b.p WHERE a.o <> 's' AND b.o <> 's' AND a.p <> b.q),
+best AS (
+  SELECT c, 0::BIGINT AS i, ins.q, ins.cost::BIGINT AS cost, ins.e AS audit FROM (SELECT DISTINCT c FROM d), ins WHERE p = 0
+  UNION ALL
+  SELECT c, i, q, min(cost), arg_min(audit, (cost, audit)) FROM (
+    SELECT b.c, r.i, n.q, b.cost + e.cost + n.cost AS cost, b.audit || e.e || n.e AS audit
+    FROM best b JOIN r ON r.c = b.c AND r.i = b.i + 1
+    JOIN (SELECT p AS p, p AS q, 2 AS cost, 'D' AS e, NULL AS o FROM range(4) x(p)
+          UNION ALL SELECT p, q, 0, 'K', o FROM step
+          UNION ALL SELECT p, q, 1, 'R', o FROM step WHERE o <> 's') e0
+      ON e0.p = b.q AND (e0.e = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (e0.e <> 'K' OR e0.o = r.o)
+    CROSS JOIN LATERAL (SELECT e0.cost + CASE WHEN e0.e <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END AS cost, e0.e AS e, e0.q AS q) e
+    JOIN ins n ON n.p = e.q) GROUP BY c, i, q),
+ends AS (SELECT c, max(i) AS i FROM best GROUP BY c),
+won AS MATERIALIZED (
+  SELECT c, min(cost) AS cost, arg_min(audit, (cost, audit)) AS audit FROM best JOIN ends USING (c, i) WHERE q IN (0, 3) GROUP BY c),
+e AS (SELECT c, k, audit[k] AS e, length(replace(audit[:k], 'I', '')) AS i, length(replace(audit[:k], 'D', '')) AS j
+      FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS k FROM won)),
+sys AS (SELECT c, bool_or(j = 1 AND e.e = 'K' AND r.o = 's') AS s FROM e JOIN r USING (c, i) GROUP BY c),
+line AS (
+  SELECT c, k, CASE WHEN e.e = 'K' THEN r.role WHEN (j - CASE WHEN s THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+         || ':' || CASE WHEN e.e = 'I' THEN '' ELSE r.text END AS x
+  FROM e LEFT JOIN r USING (c, i) LEFT JOIN sys USING (c) WHERE e.e <> 'D'),
+fixed AS (SELECT c, string_agg(x, chr(10) ORDER BY k) AS x FROM line GROUP BY c),
+n AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, won.cost::BIGINT AS cost, audit,
+       sha256(coalesce(x, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM d) JOIN won USING (c) LEFT JOIN n USING (c) LEFT JOIN fixed USING (c)
+"""
+
+ORACLE_SQL = {"op11_conversation_repair": OP11, "op9_vp_tree_neighbours": OP9, "op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup, \
+from . import conversation_repair, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup, \
     token_binary, token_counts, vp_tree
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -57,6 +57,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.conversation_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_source_mixing, op3_ngram_jaccard_join, op4_token_binary, op5_license_scan,
-    op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours, op10_language_id)}
+    op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours, op10_language_id,
+    op11_conversation_repair)}
