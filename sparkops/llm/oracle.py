@@ -120,7 +120,8 @@ g AS (
          CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
          unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
 h AS MATERIALIZED (
-  SELECT c, turn, role, text, regexp_replace(text, '[ 	-]+$', '') AS core, substr(role, 1, 1) AS o,
+  SELECT c, turn, role, text, regexp_replace(text, '[ 	-
+]+$', '') AS core, substr(role, 1, 1) AS o,
          row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(role || ':' || text)) AS i FROM g),
 r AS MATERIALIZED (
   SELECT *, CASE WHEN core = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
@@ -164,4 +165,20 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS
 FROM (SELECT DISTINCT c, conv_id FROM d) JOIN won USING (c) LEFT JOIN n USING (c) LEFT JOIN fixed USING (c)
 """
 
-ORACLE_SQL = {"op11_conversation_repair": OP11, "op9_vp_tree_neighbours": OP9, "op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}
+OP12 = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e,
+         embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fit FROM embeddings),
+link AS MATERIALIZED (
+  SELECT a.r AS x, b.r AS y FROM v a JOIN v b ON a.fit AND b.fit AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+n AS (SELECT x AS r, count(*) AS n FROM link GROUP BY x),
+reach AS (SELECT r AS x, r AS y FROM v UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y),
+g AS (SELECT x AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.y GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v LEFT JOIN n USING (r) LEFT JOIN g USING (r)
+"""
+
+ORACLE_SQL = {"op12_embedding_dedup": OP12, "op11_conversation_repair": OP11, "op9_vp_tree_neighbours": OP9, "op3_ngram_jaccard_join": OP3, "op8_substring_dedup": OP8, "op6_benchmark_decontamination": OP6}

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import conversation_repair, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup, \
-    token_binary, token_counts, vp_tree
+from . import conversation_repair, decontaminate, embedding_dedup, language_id, license_scan, mixing, ngram_join, secret_scan, substring_dedup, \
+    token_alignment, token_binary, token_counts, vp_tree
 from ._common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -61,7 +61,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.conversation_repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                           tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_source_mixing, op3_ngram_jaccard_join, op4_token_binary, op5_license_scan,
     op6_benchmark_decontamination, op7_token_counts, op8_substring_dedup, op9_vp_tree_neighbours, op10_language_id,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_embedding_dedup, op13_token_alignment)}
