@@ -8,11 +8,12 @@ document of a batch, and a step moves, in all documents at once, the pointer who
 token ends first; where both end together it moves both, emits the two tokens as a
 link and cuts a group there. Documents that are through are taken out of the vector.
 
-So that one long document doesn't keep the vector nearly empty, a text is cut into
-pieces, each of them a lane of the vector, at a space between an ASCII letter or digit
-and an ASCII letter: there A starts a new word, and B, if none of its pieces has a blank
-after another character (checked on the vocabulary), can't join across. Each piece is
-encoded with its space before it, as the whole text would have it.
+Texts are cut into units at each space between two characters that are no white space:
+there A starts a new word, and B, if none of its pieces has a blank after another
+character (checked on the vocabulary), can't join across. A unit is encoded with its
+space before it, as in the whole text, and each distinct unit of a batch once. So that
+one long document doesn't keep the state vector nearly empty, its lanes are runs of
+``lane_units`` units.
 
 Counts of linked id pairs are summed in Spark over all documents.
 """
@@ -21,9 +22,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +38,6 @@ from sparkops.operators.joins import salted_join
 
 from ._common import Store, byte_slices, list_array, trimmed
 
-CUT = re.compile(r"(?<=[A-Za-z0-9])\x20(?=[A-Za-z])")
-
 
 def byte_of_char() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: visible
@@ -45,6 +47,23 @@ def byte_of_char() -> dict[str, int]:
     return {**{chr(b): b for b in visible}, **{chr(0x100 + i): b for i, b in enumerate(hidden)}}
 
 
+class Ragged(NamedTuple):
+    """Lists as their lengths and all their items."""
+
+    counts: np.ndarray
+    items: np.ndarray
+
+
+def ragged(lists: list[list[int]]) -> Ragged:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return Ragged(counts, np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum())))
+
+
+def starts_of(counts: np.ndarray) -> np.ndarray:
+    """Where each of consecutive runs starts, and where the last one stops."""
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+
 class Tokenizers:
     """The two tokenizers of a worker, with the bytes of each of their tokens."""
 
@@ -74,22 +93,62 @@ class Tokenizers:
                              pa.large_string())
         self.first_b = 2 * size
 
-    def pieces(self, text: str, size: int) -> list[str]:
-        """The text cut at safe places, some ``size`` characters each."""
-        if not self.cuts or len(text) <= size:
-            return [text]
-        out, at = [], 0
-        while (m := CUT.search(text, at + size)) is not None:
-            out.append(text[at:m.start()])
-            at = m.end()
-        return [*out, text[at:]]
-
-    def encode(self, pieces: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-        """Per tokenizer the number of ids of each piece, and all ids."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        b = self.b.encode(pieces, num_threads=1)
-        return tuple((np.fromiter(map(len, x), np.int64, len(x)),
-                      np.fromiter((i for ids in x for i in ids), np.int64)) for x in (a, b))
+    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Per text the number of its units, and these in order as places in a list of
+        different strings. An empty text has none."""
+        parts = pc.split_pattern(texts, " ") if self.cuts else pa.array([[t] for t in texts.to_pylist()], pa.list_(pa.string()))
+        coded = parts.flatten().dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        starts, ends = (np.array([w != "" and not w[k].isspace() for w in words], bool) for k in (0, -1))
+        new = np.ones(len(code), bool)
+        new[1:] = ends[code[:-1]] & starts[code[1:]]
+        border = starts_of(np.diff(parts.offsets.to_numpy()))
+        new[border[:-1]] = True
+        first = np.flatnonzero(new)
+        stop = np.append(first[1:], len(code))
+        unit = code[first].astype(np.int64)
+        glued: dict[str, int] = {}
+        for k in np.flatnonzero(stop - first > 1):
+            whole = " ".join(words[c] for c in code[first[k]:stop[k]])
+            unit[k] = len(words) + glued.setdefault(whole, len(glued))
+        words += glued
+        some = np.array([w != "" for w in words], bool)[unit]
+        text = np.searchsorted(border, first, side="right") - 1
+        return np.bincount(text[some], minlength=len(texts)), unit[some], words
+
+    def encode(self, units: list[str], group: int = 200) -> tuple[Ragged, Ragged]:
+        """Per tokenizer the ids of each unit. Units go to the library many at a time, parted
+        by the blanks that start them; those that start or end with white space, or stand
+        in a group of other bytes than its text's, alone."""
+        plain = np.array([not u[0].isspace() and not u[-1].isspace() for u in units], bool) & self.cuts
+        some = np.flatnonzero(plain)
+        texts = [" ".join([units[k] for k in some[at:at + group]]) for at in range(0, len(some), group)]
+        widths = np.array([len(units[k].encode()) + 1 for k in some], np.int64)
+        out = []
+        for library, words in ((self.ids_a, self.bytes_a), (self.ids_b, self.bytes_b)):
+            made = ragged(library(texts))
+            data, at = joined(made.items, words)
+            right = [b" " + t.encode() == bytes(data[x:y]) for t, (x, y) in zip(texts, pairwise(at[starts_of(made.counts)]))]
+            apart = np.append(np.flatnonzero(~plain), some[np.repeat(~np.array(right, bool), group)[:len(some)]])
+            # Tokens of the groups that are right, by unit: a unit stops where a token does.
+            kept = np.repeat(np.array(right, bool), made.counts)
+            whole = some[np.repeat(np.array(right, bool), group)[:len(some)]]
+            stops = starts_of(widths[np.searchsorted(some, whole)])
+            ends = starts_of(np.diff(at)[kept])
+            counts = np.zeros(len(units), np.int64)
+            counts[whole] = np.diff(np.searchsorted(ends, stops))
+            alone = ragged(library([units[k] for k in apart]))
+            counts[apart] = alone.counts
+            place = np.concatenate([np.repeat(whole, counts[whole]), np.repeat(apart, alone.counts)])
+            items = np.concatenate([made.items[kept], alone.items])
+            out.append(Ragged(counts, items[np.argsort(place, kind="stable")]))
+        return tuple(out)
+
+    def ids_a(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+
+    def ids_b(self, units: list[str]) -> list[list[int]]:
+        return self.b.encode(units, num_threads=1)
 
 
 @functools.lru_cache(maxsize=1)
@@ -97,11 +156,6 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-def starts_of(counts: np.ndarray) -> np.ndarray:
-    """Where each of consecutive runs starts, and where the last one stops."""
-    return np.concatenate([[0], np.cumsum(counts)])
-
-
 def joined(ids: np.ndarray, words: pa.Array) -> tuple[memoryview, np.ndarray]:
     """The words of all ids, one after another, and where each starts."""
     taken = words.take(pa.array(ids))
@@ -137,29 +191,48 @@ def lockstep(ends_a: np.ndarray, counts_a: np.ndarray, ends_b: np.ndarray, count
     return cut_a, cut_b
 
 
-def align(tok: Tokenizers, texts: list[str], piece_chars: int) -> dict[str, np.ndarray]:
+def runs(counts: np.ndarray, size: int) -> np.ndarray:
+    """Lengths of the runs of at most ``size`` into which sequences of these lengths fall."""
+    number = -(-counts // size)
+    out = np.full(number.sum(), size)
+    some = counts > 0
+    out[np.cumsum(number)[some] - 1] = (counts[some] - 1) % size + 1
+    return out
+
+
+def spread(lists: Ragged, at: np.ndarray) -> Ragged:
+    """The lists at these places."""
+    counts = lists.counts[at]
+    shift = starts_of(lists.counts)[at] - starts_of(counts)[:-1]
+    return Ragged(counts, lists.items[np.arange(counts.sum()) + np.repeat(shift, counts)])
+
+
+def align(tok: Tokenizers, texts: pa.Array, lane_units: int) -> dict[str, np.ndarray]:
     """Of all texts, one after another: ``n_a`` and ``n_b`` tokens (zero where the bytes of
     either tokenizer differ from the text's), ids ``a`` and ``b``, and their cuts."""
-    own = [tok.pieces(t, piece_chars) if t else [] for t in texts]
-    per = np.array([len(p) for p in own], np.int64)
-    (lane_a, a), (lane_b, b) = tok.encode([p for ps in own for p in ps])
-    lanes = starts_of(per)
-    at = {}
-    for x, lane in (("a", lane_a), ("b", lane_b)):
-        at[x] = starts_of(lane)[lanes]  # where each text's tokens start
-    (data_a, pos_a), (data_b, pos_b) = joined(a, tok.bytes_a), joined(b, tok.bytes_b)
-    same = np.zeros(len(texts), bool)
-    for k, t in enumerate(texts):
-        if t:
-            raw, (xa, ya), (xb, yb) = b" " + t.encode(), pos_a[at["a"][k:k + 2]], pos_b[at["b"][k:k + 2]]
-            same[k] = raw == bytes(data_a[xa:ya]) and raw == bytes(data_b[xb:yb])
-    lane_same = np.repeat(same, per)
-    a, b = a[np.repeat(lane_same, lane_a)], b[np.repeat(lane_same, lane_b)]
-    doc = np.repeat(np.arange(len(texts)), per)[lane_same]
-    lane_a, lane_b = lane_a[lane_same], lane_b[lane_same]
-    cut_a, cut_b = lockstep(ends_of(tok.width_a[a], lane_a), lane_a, ends_of(tok.width_b[b], lane_b), lane_b)
-    return {"n_a": np.bincount(doc, lane_a, len(texts)).astype(np.int64), "n_b": np.bincount(doc, lane_b, len(texts)).astype(np.int64),
-            "a": a, "b": b, "cut_a": cut_a, "cut_b": cut_b}
+    per, unit, words = tok.units(texts)
+    used, unit = np.unique(unit, return_inverse=True)
+    made, docs = {}, starts_of(per)
+    same = np.array([t != "" for t in texts.to_pylist()], bool)
+    raw = [b" " + t.encode() for t in texts.to_pylist()]
+    for x, lists, bytes_of in zip("ab", tok.encode([words[k] for k in used]), (tok.bytes_a, tok.bytes_b), strict=True):
+        counts, ids = made[x] = spread(lists, unit)
+        data, at = joined(ids, bytes_of)
+        border = at[starts_of(counts)[docs]].tolist()
+        for k in np.flatnonzero(same):
+            same[k] = raw[k] == bytes(data[border[k]:border[k + 1]])
+    unit_same, out, lanes = np.repeat(same, per), {}, {}
+    per = np.where(same, per, 0)
+    lane = starts_of(runs(per, lane_units))
+    for x, width in (("a", tok.width_a), ("b", tok.width_b)):
+        counts, ids = made[x]
+        out[x] = ids[np.repeat(unit_same, counts)]
+        tokens = starts_of(counts[unit_same])
+        out["n_" + x] = np.diff(tokens[starts_of(per)])
+        lanes[x] = np.diff(tokens[lane])
+        lanes["ends_" + x] = ends_of(width[out[x]], lanes[x])
+    out["cut_a"], out["cut_b"] = lockstep(lanes["ends_a"], lanes["a"], lanes["ends_b"], lanes["b"])
+    return out
 
 
 def digests(tok: Tokenizers, made: dict[str, np.ndarray]) -> list[str]:
@@ -179,20 +252,21 @@ def digests(tok: Tokenizers, made: dict[str, np.ndarray]) -> list[str]:
 def link_counts(made: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links of each text; and for each text its distinct linked pairs (``a * 2**32 + b``):
     their number, the pairs and how often each occurs."""
-    doc = np.repeat(np.arange(len(made["n_a"])), made["n_a"])[made["cut_a"]]
-    code = (made["a"][made["cut_a"]] << 32) + made["b"][made["cut_b"]]
-    by = np.lexsort((code, doc))
-    d, c = doc[by], code[by]
-    new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (c[1:] != c[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(np.append(first, len(d)))
-    n = len(made["n_a"])
-    return np.bincount(doc, minlength=n), np.bincount(d[new], minlength=n), c[new], times
+    n, size_b = len(made["n_a"]), int(made["b"].max(initial=0)) + 1
+    size = (int(made["a"].max(initial=0)) + 1) * size_b
+    if n * size >= 1 << 63:
+        raise ValueError("too many rows in one batch for vocabularies of this size")
+    doc = np.repeat(np.arange(n), made["n_a"])[made["cut_a"]]
+    key = np.sort(doc * size + made["a"][made["cut_a"]] * size_b + made["b"][made["cut_b"]])
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    times = np.diff(np.append(first, len(key)))
+    code = key[first] % size
+    return (np.bincount(doc, minlength=n), np.bincount(key[first] // size, minlength=n),
+            (code // size_b << 32) + code % size_b, times)
 
 
 def alignments(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "doc_id", text_col: str = "text",
-               slice_bytes: int = 2 << 20, piece_chars: int = 1000) -> DataFrame:
+               slice_bytes: int = 2 << 20, lane_units: int = 256) -> DataFrame:
     """Per row of ``docs``: the id, the token ids ``a`` and ``b``, and for each of the links, in
     order, the tokens' places ``link_a`` and ``link_b`` (from 0); the groups lie between links.
     For texts that have no tokens (see ``token_alignment``) the lists are empty."""
@@ -200,7 +274,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizers(path_a, path_b)
         for batch in byte_slices(batches, "text", slice_bytes):
-            m = align(tok, pc.fill_null(batch.column("text"), "").to_pylist(), piece_chars)
+            m = align(tok, pc.fill_null(batch.column("text"), ""), lane_units)
             n_links = link_counts(m)[0]
             place = {x: np.arange(len(m[x])) - np.repeat(starts_of(m["n_" + x])[:-1], m["n_" + x]) for x in "ab"}
             yield pa.RecordBatch.from_arrays(
@@ -215,7 +289,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "doc_
 
 
 def token_alignment(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "doc_id", text_col: str = "text",
-                    slice_bytes: int = 2 << 20, piece_chars: int = 1000, most_pairs: int = 500_000) -> DataFrame:
+                    slice_bytes: int = 2 << 20, lane_units: int = 256, most_pairs: int = 500_000) -> DataFrame:
     """Per row of ``docs``: the id, ``n_a`` and ``n_b`` tokens, ``n_groups``, ``n_links``,
     ``groups_sha256``, ``n_best`` (links whose pair is linked as often, over all rows, as any
     pair of its B id) and ``count_sum`` (how often, over all rows, the links' pairs are linked).
@@ -232,7 +306,7 @@ def token_alignment(docs: DataFrame, path_a: str, path_b: str, *, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizers(path_a, path_b)
         for batch in byte_slices(batches, "text", slice_bytes):
-            m = align(tok, pc.fill_null(batch.column("text"), "").to_pylist(), piece_chars)
+            m = align(tok, pc.fill_null(batch.column("text"), ""), lane_units)
             n_links, n_pairs, codes, times = link_counts(m)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), *(pa.array(x) for x in (m["n_a"], m["n_b"], n_links)), pa.array(digests(tok, m), pa.string()),

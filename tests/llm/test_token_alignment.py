@@ -76,8 +76,8 @@ def test_odd_texts(spark, docs_of, plain):
     for clash in ("id", "row", "a", "b", "codes", "times", "count", "n_a"):
         docs = docs.withColumn(clash, F.lit("x"))
     want = plain(rows)
-    assert rows_of(token_alignment(docs, A, B, slice_bytes=3000, piece_chars=7)) == want
-    assert rows_of(token_alignment(docs, A, B, most_pairs=1)) == want  # one piece a text mostly; counts joined by a shuffle
+    assert rows_of(token_alignment(docs, A, B, slice_bytes=3000, lane_units=3)) == want
+    assert rows_of(token_alignment(docs, A, B, most_pairs=1)) == want  # counts joined by a shuffle
     assert token_alignment(docs.where("false"), A, B).collect() == []
 
 
