@@ -167,6 +167,37 @@ def group_extremes(df: DataFrame, by: str | Sequence[str], col: str,
     return df.groupBy(*_list(by)).agg(F.min(col).alias(min_name), F.max(col).alias(max_name))
 
 
+STATE = ("_sum", "_count", "_min", "_max")
+
+
+def group_state(df: DataFrame, by: str | Sequence[str], col: str) -> DataFrame:
+    """Per group what later rows can be added to: ``_sum``, ``_count``, ``_min`` and ``_max`` of
+    the non-null values of ``col``. Store it, and a day's new rows are all that has to be
+    read the next day (``merge_states``)."""
+    c = F.col(col)
+    return df.groupBy(*_list(by)).agg(F.sum(c).alias("_sum"), F.count(c).alias("_count"), F.min(c).alias("_min"),
+                                      F.max(c).alias("_max"))
+
+
+def merge_states(by: str | Sequence[str], *states: DataFrame) -> DataFrame:
+    """The state of all rows from the states of parts of them. Groups may be missing in any
+    part; ``by`` may name fewer keys than the states have."""
+    keys = _list(by)
+    every = reduce(DataFrame.unionByName, [s.select(*keys, *STATE) for s in states])
+    return every.groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"), F.min("_min").alias("_min"),
+                                    F.max("_max").alias("_max"))
+
+
+def state_stats(state: DataFrame, by: str | Sequence[str],
+                names: Sequence[str] = ("total", "count", "average", "smallest", "largest")) -> DataFrame:
+    """Sum, count, average, min and max per group from a state; a group without values
+    has a null average."""
+    total, count, average, low, high = names
+    return state.select(*_list(by), F.col("_sum").alias(total), F.col("_count").alias(count),
+                        F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count")).alias(average),
+                        F.col("_min").alias(low), F.col("_max").alias(high))
+
+
 def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int = 1,
                    product_name: str = "most_popular_product",
                    avg_name: str = "avg_transaction", by: str | Sequence[str] = (),

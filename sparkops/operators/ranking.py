@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparkops._cols import as_list as _list
 from sparkops.functions.text import words
+from sparkops.session import scratch_path
 
 
 # Spark limits rows per group before the shuffle up to this k
@@ -77,6 +78,53 @@ def zip_by_rank(counts: DataFrame, side_col: str, sides: Sequence[str], word_col
                     w2, F.col(c2).cast("bigint").alias(c2)))
 
 
+def rank_rows(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], rank_col: str = "rank",
+              block: int = 1024) -> DataFrame:
+    """All rows of ``df`` with their place, from 1, among the rows of their ``by`` group in
+    ``order``, for groups of any size: no group is ordered in one task.
+
+    Rows are dealt out by ranges of (group, order) and sorted inside; a row's place is
+    its place inside its part plus the rows of its group in earlier parts. Those are
+    prefix sums over a row for each part and group, in two levels of ``block`` parts. The
+    sorted rows are stored in the shared scratch folder first, so that places and sums
+    are of the same parts. ``order`` should leave no ties; if it does, equal rows
+    get places in any order.
+    """
+    keys, spark = _list(by), df.sparkSession
+    path = scratch_path(spark, "ranked")
+    # Null-safe group keys for the join below.
+    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.struct(F.lit(0).alias("k0"))
+    tagged = df.withColumn("_g", F.to_json(group, {"ignoreNullFields": "false"}))
+    (tagged.repartitionByRange("_g", *order).sortWithinPartitions("_g", *order)
+     .withColumn("_at", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    parts = rows.groupBy("_g", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    parts = parts.withColumn("_block", F.floor(F.col("_part") / block))
+    inner = Window.partitionBy("_g", "_block").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
+    blocks = parts.groupBy("_g", "_block").agg(F.sum("_n").alias("_bn"))
+    all_blocks = F.array_sort(F.collect_list(F.struct("_block", "_bn")))  # parts / block of them
+    earlier = blocks.groupBy("_g").agg(all_blocks.alias("_all")).select("_g", F.explode("_all").alias("_b"), "_all").select(
+        "_g", F.col("_b._block").alias("_block"),
+        F.aggregate(F.filter("_all", lambda x: x.getField("_block") < F.col("_b._block")), F.lit(0).cast("bigint"),
+                    lambda s, x: s + x.getField("_bn")).alias("_base"))
+    starts = parts.join(earlier, ["_g", "_block"]).select("_g", "_part", (F.col("_before") + F.col("_base") - F.col("_first") + 1).alias("_shift"))
+    return rows.join(starts, ["_g", "_part"]).withColumn(rank_col, F.col("_at") + F.col("_shift")).drop("_g", "_part", "_at", "_shift")
+
+
+def zip_all_ranks(counts: DataFrame, side_col: str, sides: Sequence[str], word_col: str, count_col: str,
+                  names: Sequence[str] = ("w_s1", "cnt_s1", "id", "w_s2", "cnt_s2")) -> DataFrame:
+    """``zip_by_rank`` over the whole of both sides: row ``i`` holds the i-th word of each,
+    for i from 0 to the end of the shorter side. Ranks are found by ``rank_rows``, then
+    the sides are joined by rank, so neither is ever in one task."""
+    w1, c1, idn, w2, c2 = names
+    both = counts.filter(F.col(side_col).isin(*sides)).select(F.col(side_col).alias("_s"), F.col(word_col).alias("_w"), F.col(count_col).alias("_c"))
+    ranked = rank_rows(both, "_s", [F.desc("_c"), F.asc("_w")], "_rank")
+    one, two = (ranked.filter(F.col("_s") == s).select((F.col("_rank") - 1).alias(idn), F.col("_w").alias(w), F.col("_c").cast("bigint").alias(c))
+                for s, w, c in ((sides[0], w1, c1), (sides[1], w2, c2)))
+    return one.join(two, idn).select(w1, c1, idn, w2, c2)
+
+
 def _min_first(*fields: Column) -> Column:
     return F.min(F.struct(*fields))
 

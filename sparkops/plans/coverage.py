@@ -64,12 +64,23 @@ QUERY_ROWS: dict[str, tuple[str, ...]] = {
     "repartition_round_robin": ("T1", "A5"),
     "range_source_join": ("S12", "JN1", "A5"),
     "basket_result_roundtrip": ("K1", "K4"),
+    "csv_scan_multiline_split": ("S6", "S9", "K3"),
+    "full_rank_zip": ("JN7", "P12", "R2"),
+    "top3_heavy_hitters": ("A5", "R5"),
+    "bitmap_distinct_counts": ("A10", "K1"),
+    "json_lines_strict": ("S7", "S10", "N4"),
+    "pruned_partition_basket": ("JN6", "F10", "A17", "A18"),
+    "runtime_filter_join": ("JN1", "JN6", "A5"),
+    "bucketed_joins": ("T2", "JN1", "A5"),
+    "load_accounting_written": ("S7", "S8", "S13", "A11"),
+    "merged_states": ("A12", "A14", "A1"),
+    "partition_overwrite": ("K1", "F1"),
+    "job_parameters": ("K5", "S4", "A2"),
 }
 
 # rows exercised by the end-to-end jobs or by plan tests rather than by a
 # registered query (each with the place that covers it)
 OTHER_ROWS: dict[str, str] = {
-    "K5": "python -m sparkops.jobs <job> <inputs> [out] (tests/test_jobs.py)",
     "T3": "broadcast threshold off in the shuffle-study plan tests (tests/test_plans.py)",
     "X7": "not used on purpose: joins use the key columns, not a concatenated key",
 }

@@ -42,3 +42,27 @@ def exchange_count(df: DataFrame) -> int:
 def uses_python(df: DataFrame) -> bool:
     plan = physical_plan(df)
     return any(node in plan for node in PYTHON_NODES)
+
+
+def _nodes(node):
+    """A plan node and all below it, through the stages of adaptive execution."""
+    yield node
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from _nodes(node.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from _nodes(node.plan())
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def metric_total(df: DataFrame, operator: str, metric: str) -> int:
+    """Sum of a metric over the operators of this class name, after ``df`` has run
+    (``collect``, not a write, which plans anew). For tests of what a plan moves."""
+    total = 0
+    for node in _nodes(df._jdf.queryExecution().executedPlan()):
+        found = node.metrics().get(metric)
+        if node.getClass().getSimpleName() == operator and found.isDefined():
+            total += found.get().value()
+    return total

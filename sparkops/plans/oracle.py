@@ -273,5 +273,51 @@ ORACLE_SQL: dict[str, str] = {
     'range_source_join': (
         "SELECT range AS id, count(*) AS lines FROM range(0, 60, 3) JOIN lineitem ON l_quantity = range GROUP BY 1"
     ),
+    'csv_scan_multiline_split': (
+        'SELECT doc_id, text, source FROM documents'
+    ),
+    'full_rank_zip': (
+        "WITH c AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(regexp_split_to_array(lower(text), '\\W+')) AS w "
+        "FROM documents WHERE lang IN ('en', 'fr')) WHERE w <> '' GROUP BY 1, 2), "
+        'r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) - 1 AS id FROM c) '
+        'SELECT a.w AS w_s1, a.n AS cnt_s1, a.id, b.w AS w_s2, b.n AS cnt_s2 FROM r a JOIN r b '
+        "ON a.id = b.id AND a.lang = 'en' AND b.lang = 'fr'"
+    ),
+    'top3_heavy_hitters': (
+        'SELECT user_id AS name, count(*) AS count FROM events GROUP BY 1 ORDER BY count DESC, name NULLS LAST LIMIT 3'
+    ),
+    'bitmap_distinct_counts': (
+        'SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1 '
+        "UNION ALL SELECT 'all', count(DISTINCT o_custkey) FROM orders"
+    ),
+    'json_lines_strict': (
+        'SELECT event_id AS id, CASE WHEN event_id % 8 <> 2 THEN event_type END AS name, '
+        'CASE WHEN event_id % 8 = 6 THEN 0 ELSE user_id END::INTEGER AS k FROM events WHERE event_id % 8 IN (0, 2, 5, 6)'
+    ),
+    'runtime_filter_join': (
+        "SELECT o_custkey, count(*) AS lines, max(l_shipdate) AS last_ship FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+        "WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY 1"
+    ),
+    'bucketed_joins': (
+        'WITH p AS (SELECT o_custkey AS id, c_nationkey, count(*) AS orders, max(o_totalprice) AS m FROM orders '
+        'JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) '
+        'SELECT id, c_nationkey, orders, o_orderkey FROM p JOIN orders ON id = o_custkey AND o_totalprice = m'
+    ),
+    'load_accounting_written': (
+        'SELECT count(*) AS total, count(*) FILTER (p_partkey % 10 > 1) AS loaded, count(*) FILTER (p_partkey % 10 <= 1) AS skipped, '
+        'count(*) FILTER (p_partkey % 10 > 1) AS "rows", (sum(p_size) FILTER (p_partkey % 10 > 1))::BIGINT AS sizes FROM part'
+    ),
+    'merged_states': (
+        'SELECT l_returnflag, sum(l_quantity) AS total, count(l_quantity) AS count, sum(l_quantity) / count(l_quantity) AS average, '
+        'min(l_quantity) AS smallest, max(l_quantity) AS largest FROM lineitem GROUP BY 1'
+    ),
+    'partition_overwrite': (
+        'SELECT event_id, user_id, event_type FROM events'
+    ),
+    'job_parameters': (
+        "SELECT 'dept ' || s_nationkey AS department, round(avg(s_acctbal), 4) AS avg_salary FROM supplier GROUP BY 1"
+    ),
 }
 ORACLE_SQL['basket_result_roundtrip'] = ORACLE_SQL['lookup_filter_basket']
+# The same basket, whatever the layout it is read from.
+ORACLE_SQL['pruned_partition_basket'] = ORACLE_SQL['lookup_filter_basket']

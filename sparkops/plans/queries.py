@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkops.functions import dates, text
+from sparkops.jobs import __main__ as launcher
 from sparkops.jobs import fixed
 from sparkops.jobs import frames as season_jobs
 from sparkops.functions.numeric import avg_null_zero
 from sparkops.operators import aggregate as agg
-from sparkops.operators import joins, ranking, shape
+from sparkops.operators import bitmaps, heavy, joins, ranking, shape
 from sparkops.session import scratch_path
-from sparkops.sources import readers, writers
+from sparkops.sources import readers, records, writers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -496,6 +497,125 @@ def basket_per_group(spark, d):
     return agg.basket_summary(items, "l_orderkey", "l_partkey", by="o_orderpriority")
 
 
+# ---------------------------------------------------------------- at any size
+
+def csv_scan_multiline_split(spark, d):
+    path = scratch_path(spark, "csv_records")
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    writers.write_table(docs, path, "csv", header=True, quoteAll="true", escape='"')
+    return records.read_csv_records(spark, path, "doc_id BIGINT, text STRING, source STRING", empty_as_null=False)
+
+
+def full_rank_zip(spark, d):
+    docs = table(spark, d, "documents").filter(F.col("lang").isin("en", "fr"))
+    counts = ranking.word_count(docs, "text", by=["lang"], word_col="w", count_col="n")
+    return ranking.zip_all_ranks(counts, "lang", ["en", "fr"], "w", "n")
+
+
+def top3_heavy_hitters(spark, d):
+    return heavy.heavy_groups(table(spark, d, "events"), "user_id", 3).withColumnRenamed("user_id", "name")
+
+
+def bitmap_distinct_counts(spark, d):
+    # Customers by order status and priority, stored once as bitmaps; per
+    # priority and over all from those.
+    path = scratch_path(spark, "bitmaps")
+    orders = table(spark, d, "orders")
+    writers.write_table(bitmaps.build_bitmaps(orders, ["o_orderstatus", "o_orderpriority"], "o_custkey"), path)
+    stored = spark.read.parquet(path)
+    each = bitmaps.bitmap_counts(stored, "o_orderpriority", "customers")
+    return each.unionByName(bitmaps.bitmap_counts(stored, name="customers").withColumn("o_orderpriority", F.lit("all")))
+
+
+def json_lines_strict(spark, d):
+    ev = table(spark, d, "events")
+    name, k = F.concat(F.lit('"'), "event_type", F.lit('"')), F.col("user_id").cast("string")
+    kind = F.col("event_id") % 8
+    name = F.when(kind == 1, "17").when(kind == 2, "null").otherwise(name)  # a number where text belongs
+    k = (F.when(kind == 3, F.concat(F.lit('"'), k, F.lit('"'))).when(kind == 4, F.concat(k, F.lit(".5")))
+         .when(kind == 5, F.concat(k, F.lit(".0"))).otherwise(k))
+    body = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "name": '), name)
+    line = F.when(kind == 6, F.concat(body, F.lit("}"))).when(kind == 7, body).otherwise(F.concat(body, F.lit(', "k": '), k, F.lit("}")))
+    path = _write_lines(spark, ev.select(line.alias("line")), "json_strict")
+    return readers.decode_json_strict(readers.read_lines(spark, path), "id BIGINT, name STRING, k INT", defaults={"k": 0})
+
+
+def pruned_partition_basket(spark, d):
+    # The basket of ``lookup_filter_basket`` from a fact stored by nation: the
+    # nation's key is known at run time only, and prunes the folders read.
+    path = scratch_path(spark, "fact_by_nation")
+    nation, supplier, lineitem = (table(spark, d, t) for t in ("nation", "supplier", "lineitem"))
+    fact = lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "l_orderkey", "l_partkey", "l_shipdate", F.col("s_nationkey").alias("nation"))
+    writers.write_partitions(fact, path, "nation")
+    april = spark.read.parquet(path).filter((F.col("l_shipdate") >= _ntz("1999-04-01 00:00:00"))
+                                            & (F.col("l_shipdate") < _ntz("1999-05-01 00:00:00")))
+    tx = joins.lookup_filter(april, nation, F.col("n_name") == "NATION_5", F.col("nation") == F.col("n_nationkey"))
+    code = joins.lookup_key(nation, "n_name", "NATION_5", "n_nationkey", "country_code")
+    return agg.basket_summary(tx, "l_orderkey", "l_partkey").select(
+        code.scalar().alias("country_code"), F.lit("NATION_5").alias("country_name"), "most_popular_product", "avg_transaction")
+
+
+def runtime_filter_join(spark, d):
+    # A dimension too big to broadcast whose filter leaves few keys: with the run-time
+    # filters of ``session.scale_conf`` the fact drops the others before its shuffle.
+    o = table(spark, d, "orders").filter("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'")
+    li = table(spark, d, "lineitem")
+    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey")
+            .agg(F.count(F.lit(1)).alias("lines"), F.max("l_shipdate").alias("last_ship")))
+
+
+def bucketed_joins(spark, d):
+    # Orders and customers stored once by the customer's key; both joins and the
+    # aggregation between them run without a shuffle.
+    o = writers.write_bucketed(table(spark, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey", "o_totalprice"),
+                               scratch_path(spark, "orders_bucketed"), "id", 16)
+    c = writers.write_bucketed(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_nationkey"),
+                               scratch_path(spark, "customer_bucketed"), "id", 16)
+    per = o.join(c, "id").groupBy("id", "c_nationkey").agg(F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest"))
+    return per.join(o, "id").filter(F.col("o_totalprice") >= F.col("largest")).select("id", "c_nationkey", "orders", "o_orderkey")
+
+
+def load_accounting_written(spark, d):
+    part = table(spark, d, "part")
+    first = (F.when(F.col("p_partkey") % 10 == 0, F.lit("")).when(F.col("p_partkey") % 10 == 1, F.lit('""'))
+             .otherwise(F.col("p_partkey").cast("string")))
+    lines = part.select(F.concat_ws(",", first, F.col("p_size").cast("string")).alias("line"))
+    path = _write_lines(spark, lines, "accounted")
+    loaded, counts = readers.load_lines(readers.read_lines(spark, path), "id BIGINT, size INT", scratch_path(spark, "loaded"))
+    n = loaded.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("sizes"))
+    return n.select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("total", "loaded", "skipped")], "rows", "sizes")
+
+
+def merged_states(spark, d):
+    # A state of the years before 1998, stored; then the later rows as increments.
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_shipdate", "l_quantity")
+    path = scratch_path(spark, "state")
+    new_year = _ntz("1998-01-01 00:00:00")
+    writers.write_table(agg.group_state(li.filter(F.col("l_shipdate") < new_year), "l_returnflag", "l_quantity"), path)
+    increment = agg.group_state(li.filter(~F.coalesce(F.col("l_shipdate") < new_year, F.lit(False))), "l_returnflag", "l_quantity")
+    return agg.state_stats(agg.merge_states("l_returnflag", spark.read.parquet(path), increment), "l_returnflag")
+
+
+def partition_overwrite(spark, d):
+    # Two runs that overlap by one type of event leave each event once.
+    path = scratch_path(spark, "events_by_type")
+    ev = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    writers.write_partitions(ev.filter("event_type <= 'login'"), path, "event_type")
+    writers.write_partitions(ev.filter("event_type >= 'login'"), path, "event_type")
+    return spark.read.schema(ev.schema).parquet(path)
+
+
+def job_parameters(spark, d):
+    # A job started by its name, with an input path, an output path and a schema.
+    path, out = scratch_path(spark, "employees"), scratch_path(spark, "salaries")
+    staff = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("salary"),
+                                               F.concat(F.lit("dept "), F.col("s_nationkey").cast("string")).alias("department"))
+    writers.write_table(staff, path, "csv", header=True)
+    launcher.main(["salary_by_department", path, out, "--schema", "id BIGINT, salary DOUBLE, department STRING"], stop=False)
+    return spark.read.parquet(out).select("department", F.round("avg(salary)", 4).alias("avg_salary"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         local_rows, json_scan_nested, csv_scan_typed, csv_scan_multiline, parquet_roundtrip,
@@ -511,5 +631,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         json_lines_defaults, global_avg_attached, join_prepartitioned, basket_per_group,
         global_extreme_records, salted_hot_key_join, csv_pipe_lines, weekday_from_epoch, join_distinct_sorted,
         repartition_round_robin, range_source_join, basket_result_roundtrip,
+        csv_scan_multiline_split, full_rank_zip, top3_heavy_hitters, bitmap_distinct_counts, json_lines_strict,
+        pruned_partition_basket, runtime_filter_join, bucketed_joins, load_accounting_written, merged_states,
+        partition_overwrite, job_parameters,
     ]
 }

@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Most keys of a run-time Bloom filter (some 16 MB), which is sent to every executor.
+FILTER_KEYS = 13_000_000
+
 
 def get_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                 app_name: str = "sparkops", extra: dict | None = None,
@@ -53,6 +56,11 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     each task's share fits in executor memory and spills stay rare. AQE
     then coalesces small partitions and splits skewed ones at run time.
 
+    Joins whose smaller side is filtered but too big to broadcast reduce the
+    larger side before its shuffle by a run-time Bloom filter: for smaller
+    sides of up to a hundredth of the input, at most ``FILTER_KEYS`` keys (some
+    10 bits each), and larger sides of at least a partition a core.
+
     Example: 100 TB (1e14 bytes) on 1000 executors x 8 cores -> 372,530
     shuffle partitions of 256 MiB.
     """
@@ -62,6 +70,12 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
         "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 256 << 20)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(input_bytes // 100),
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(min(total_cores * partition_bytes, input_bytes // 10)),
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(FILTER_KEYS // 4),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(FILTER_KEYS),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(10 * FILTER_KEYS),
     }
 
 

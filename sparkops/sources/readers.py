@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkops.sources.writers import write_table
+
 BAD_RECORD = "_bad_record"
 
 
@@ -37,7 +40,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     are inferred (an extra pass). Malformed cells become null (PERMISSIVE).
 
     ``multiline=True`` allows line breaks inside quoted cells; such files are
-    not split, so write them as many moderate files. ``escape`` defaults to
+    not split (``read_csv_records`` reads them by many tasks). ``escape`` defaults to
     a doubled quote for multi-line files (RFC 4180) and to Spark's backslash
     otherwise. A quoted empty text reads as null, as in the original jobs,
     unless ``empty_as_null`` is off. ``max_columns`` sizes the parser's table of
@@ -152,8 +155,8 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType | str, sep: str = ","
     st = _ddl(schema)
     cols, line, width = list(keep or []), F.col(line_col), len(st.fields)
     if header_value is not None:
-        raw_first = F.substring_index(line, sep, 1)
-        lines = lines.filter(raw_first.isNull() | (raw_first != header_value))
+        first = F.substring_index(line, sep, 1) if keep_quotes else first_cell(line, sep, escape)
+        lines = lines.filter(first.isNull() | (first != header_value))
     if keep_quotes:
         # Of an odd number of quotes the first has none to go with it, and all
         # before it counts as inside.
@@ -180,18 +183,38 @@ def _typed(cell: Column, dtype: T.DataType) -> Column:
     return cell if isinstance(dtype, T.StringType) else _cast(cell, T.StringType(), dtype)
 
 
-def load_accounting(lines: DataFrame, line_col: str = "value", sep: str = ",") -> DataFrame:
+def load_accounting(lines: DataFrame, line_col: str = "value", sep: str = ",", escape: str = "\\") -> DataFrame:
     """One row: total lines, loaded lines (first cell non-empty), skipped.
 
     One scan, one aggregation: a header whose first cell is empty counts as
-    skipped, like any other line without an id.
+    skipped, like any other line without an id. A quoted first cell is read
+    as the parser reads it, so ``""`` is empty.
     """
-    first = F.substring_index(F.col(line_col), sep, 1)
+    first = first_cell(line_col, sep, escape)
     return (lines.agg(F.count(F.lit(1)).alias("total"),
                       F.count_if(first != "").alias("loaded"))
             .withColumn("skipped", F.col("total") - F.col("loaded")))
 
 
+def load_lines(lines: DataFrame, schema: T.StructType | str, path: str, sep: str = ",", line_col: str = "value",
+               escape: str = "\\", fmt: str = "parquet") -> tuple[DataFrame, dict[str, int]]:
+    """Parse delimited lines, write those with a non-empty first cell under ``path``,
+    and count on the way: the table read back, and its accounting (total, loaded,
+    skipped), without a second scan.
+
+    The counts are observed by the job that writes. It has one stage, from the scan
+    to the files, so a lost or repeated task counts once.
+    """
+    first = first_cell(line_col, sep, escape)
+    seen = Observation()
+    counted = lines.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(first != "").alias("loaded"))
+    loaded = parse_csv_lines(counted.filter(first != ""), schema, sep, line_col, escape=escape)
+    write_table(loaded, path, fmt)
+    counts = {"total": 0, "loaded": 0, **seen.get}
+    counts["skipped"] = counts["total"] - counts["loaded"]
+    return lines.sparkSession.read.schema(loaded.schema).format(fmt).load(path), counts
+
+
 def decode_json_lines(lines: DataFrame, schema: T.StructType | str, line_col: str = "value",
                       defaults: Mapping[str, object] | None = None,
                       keep: Sequence[str] | None = None) -> DataFrame:
@@ -214,3 +237,53 @@ def decode_json_lines(lines: DataFrame, schema: T.StructType | str, line_col: st
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items()})
     return out
 
+
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _strict_field(value: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """A variant as ``dtype``, and whether it may stand there: missing and null may."""
+    name, kind = dtype.simpleString(), F.schema_of_variant(value)
+    missing = value.isNull() | (kind == "VOID")
+    typed = F.when(~missing, F.try_variant_get(value, "$", name))
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    if name == "string":
+        fits = kind == "STRING"
+    elif name in _WHOLE:  # 5.0 is a whole number, 5.5 is none
+        fits = (kind == "BIGINT") | (number & (typed.cast("double") == F.try_variant_get(value, "$", "double")))
+    elif name in ("double", "float") or isinstance(dtype, T.DecimalType):
+        fits = number
+    elif name == "boolean":
+        fits = kind == "BOOLEAN"
+    else:
+        fits = F.lit(True)
+    return typed, missing | F.coalesce(fits & typed.isNotNull(), F.lit(False))
+
+
+def decode_json_strict(lines: DataFrame, schema: T.StructType | str, line_col: str = "value",
+                       defaults: Mapping[str, object] | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """JSON text lines -> typed columns, with no conversion between JSON types: a
+    number in a text field, text in a number field, a fraction or an overflow in a
+    whole-number field rejects the record, as do lines that hold no JSON object.
+    Missing and null fields are null, or their value in ``defaults``. (``decode_json_lines``
+    takes the number as text.) Lines are parsed once, to variants.
+
+    Nested fields (structs, arrays, maps) must convert as a whole. Field names are
+    taken literally, case included; an object that repeats a key is rejected.
+    """
+    st, carried = _ddl(schema), list(keep or [])
+    parsed = F.try_parse_json(F.col(line_col))
+    # A generator of none or one, so that no later expression runs the parser again.
+    some = lines.select(*carried, F.explode(F.filter(F.array(parsed), lambda v: F.schema_of_variant(v).startswith("OBJECT"))).alias("_v"))
+    fields = some.select(*carried, *[F.try_variant_get("_v", f"$[{_path_name(f.name)}]", "variant").alias(f"_f{i}")
+                                     for i, f in enumerate(st.fields)])
+    made = [_strict_field(F.col(f"_f{i}"), f.dataType) for i, f in enumerate(st.fields)]
+    out = fields.filter(reduce(lambda a, b: a & b, [ok for _, ok in made])) if made else fields
+    default = defaults or {}
+    return out.select(*carried, *[F.coalesce(c, F.lit(default[f.name])).alias(f.name) if f.name in default else c.alias(f.name)
+                                  for (c, _), f in zip(made, st.fields, strict=True)])
+
+
+def _path_name(name: str) -> str:
+    quote = '"' if "'" in name else "'"
+    return quote + name + quote
