@@ -12,6 +12,7 @@ whole texts.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,7 @@ class Encoder:
             self.tok.no_truncation()
             self.tok.no_padding()
             self.words_apart = drops_blanks(self.tok)
+            self.odd = odd_letters(self.tok) if self.words_apart else set()
             mark = getattr(self.tok.model, "end_of_word_suffix", None)
             self.ends = np.zeros(self.tok.get_vocab_size(), bool)
             for token, i in self.tok.get_vocab().items():
@@ -60,8 +62,8 @@ class Encoder:
     def words(self, texts: list[str], made, empty) -> list:
         """``made(ids)`` of each text without white space, from the cache where it is
         known. A run of letters is one unit of the splitter, and marks after it are
-        another, so these are encoded apart and their values added up; runs of
-        letters go to the library many at a time, parted by blanks."""
+        another (but for ``odd`` letters), so these are encoded apart and their values
+        added up; runs of letters go to the library many at a time, parted by blanks."""
         cache, out = self.cache, []
         if len(cache) > self.cache_words:
             cache.clear()
@@ -70,7 +72,7 @@ class Encoder:
             if t in cache or not t:
                 continue
             core = t if t.isalpha() else t.rstrip(MARKS)
-            if core.isalpha():
+            if core.isalpha() and (core.isascii() or self.odd.isdisjoint(core)):
                 alone[core] = None
                 if len(core) < len(t):
                     whole[t[len(core):]] = None
@@ -122,6 +124,24 @@ def drops_blanks(tok) -> bool:
     return bool(drops) and not any(c.isspace() for a in made["added_tokens"] for c in a["content"])
 
 
+def odd_letters(tok) -> set[str]:
+    """Letters that the tokenizer's normaliser and splitter don't leave inside a run of
+    letters: their normal form holds a mark, say, which goes with the marks after it."""
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    # Each between two plain letters and before a mark: two units, or it is odd.
+    words = [f"a{c}a." for c in letters]
+    if tok.normalizer is not None:
+        forms = tok.normalizer.normalize_str(" ".join(words)).split(" ")
+        if len(forms) != len(words):
+            return {c for c in letters if not c.isascii()}
+        words = forms
+    ends = np.cumsum([len(w) + 1 for w in words])
+    units = np.zeros(len(words), np.int64)
+    for piece, (start, _) in tok.pre_tokenizer.pre_tokenize_str(" ".join(words)):
+        units[np.searchsorted(ends, start, side="right")] += bool(piece.strip())
+    return {c for c, n in zip(letters, units.tolist(), strict=True) if n != 2}
+
+
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 

@@ -45,6 +45,20 @@ def test_token_counts_equal_the_library_on_whole_texts(docs_of):
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len(t.encode()), n > 50), t
 
 
+def test_every_letter_before_a_mark():
+    tok, enc = Tokenizer.from_file(PATH), token_counts.Encoder(PATH)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    assert {"\u0130", "\ufb1d", "\u0958"} <= enc.odd and not any(c.isascii() for c in enc.odd) and len(enc.odd) < len(letters) / 50
+    texts = [f"s{c}. {c}" for c in letters]
+    texts += [f"{a}{c}{marks}" for c in sorted(enc.odd) for a in ("", "x") for marks in (*".,;:!?|", "...", ",!", "")]
+    texts += ["DEN\u0130! S\u0130S\u0130. s\u0130, x", "\u1112\u1161\u11ab. \u1112\u1161"]
+    want = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert token_counts.text_lengths(enc, pa.array(texts)).tolist() == [len(x) for x in want]
+    ids = token_counts.Encoder(PATH)
+    got = [[i for w in ids.words(t.split(" "), tuple, ()) for i in w] for t in texts]
+    assert got == want
+
+
 def test_token_counts_of_other_tokenizers(docs_of):
     import sentencepiece
     texts = ["Some text  with   blanks ", "été 123", ""]
