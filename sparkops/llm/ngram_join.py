@@ -20,18 +20,25 @@ order is the same for all. Documents of equal sets are joined as one.
 
 Only spanning links need verification for the components: a pair whose
 documents are connected already is skipped.
+
+Documents that share much, but too little to link, meet in the lists of many
+combinations. So each document of that index brings a signature: 512 bits, of which
+every token of its set flips one. Two signatures differ in no more bits than the
+sets in tokens, so a pair that differs in more bits than linked sets may differ in
+tokens isn't a pair, and is never built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._common import Store, ascii_words, byte_slices, list_array, rolling, sized, trimmed, within, word_hashes
+from ._common import Store, ascii_words, byte_slices, list_array, mix64, rolling, sized, trimmed, within, word_hashes
 from .sketch import PARTIAL, merge, partial
 
 SIGN = np.uint64(1 << 63)
@@ -85,6 +92,29 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, zone: float
         make, f"id {kind}, n bigint, key binary, na bigint, a array<bigint>, b array<bigint>")
 
 
+WORDS = [f"s{i}" for i in range(8)]  # a signature is eight 64-bit words
+
+
+def signatures(sets: DataFrame) -> DataFrame:
+    """(row, s0 .. s7) of (row, a, b): the parity of the number of tokens per place."""
+    @trimmed
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                n, flips = batch.num_rows, np.zeros(batch.num_rows * 512, np.int64)
+                for side in ("a", "b"):
+                    lists = batch.column(side)
+                    tokens = lists.flatten().to_numpy().view(np.uint64)
+                    of = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+                    flips += np.bincount(of * 512 + (mix64(tokens) & np.uint64(511)).astype(np.int64), minlength=n * 512)
+                words = np.packbits((flips % 2).astype(np.uint8).reshape(n, 512), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(np.ascontiguousarray(w)) for w in words.T)],
+                                                 ["row", *WORDS])
+
+    return sets.select("row", "a", "b").mapInArrow(make, "row bigint, " + ", ".join(f"{w} bigint" for w in WORDS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes that have an edge, by alternating large and small
     stars; root is the smallest node of the component. Each round is stored."""
@@ -214,6 +244,11 @@ class Join:
                   .select("row", "n", F.xxhash64("token", "next").alias("combo")))
         return (self.store.put(singles, "singles"), self.store.put(combos, "combos"), self.store.put(lasts, "lasts"))
 
+    def alike_marks(self) -> Column:
+        """Whether the signatures of a pair differ in no more bits than its sets may in tokens."""
+        bits = reduce(lambda x, y: x + y, [F.bit_count(F.col(w + "1").bitwiseXOR(F.col(w + "2"))) for w in WORDS])
+        return (100 + self.percent) * bits <= (100 - self.percent) * (F.col("n1") + F.col("n2"))
+
     def alike_sizes(self, n1: Column | str, n2: Column | str) -> Column:
         return 100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2)
 
@@ -279,17 +314,19 @@ class Join:
         wanted = self.store.put(wanted, "wanted")
         tokens = self.store.put(self.reps.join(sized(wanted, self.most_rows), "row", "left_semi")
                         .select("row", "n", F.concat("a", "b").alias("t")), "tokens")
-        self.store.drop("sets", "copies")
+        asked = sized(self.store.put(combos.select("row").distinct(), "combo-rows"), self.most_rows)
+        marks = self.store.put(signatures(self.reps.join(asked, "row", "left_semi")), "signatures")
+        self.store.drop("sets", "copies", "combo-rows")
 
         def all_combos(comp: DataFrame | None) -> DataFrame:
-            has = combos.select("combo", "row", "n")
+            has = combos.select("combo", "row", "n").join(sized(marks, self.most_rows // 4), "row")
             if comp is not None:
-                has = has.join(comp, "row", "left").select("combo", "row", "n", F.coalesce("root", "row").alias("root"))
+                has = has.join(comp, "row", "left").select("combo", "row", "n", *WORDS, F.coalesce("root", "row").alias("root"))
                 mixed = has.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
                 has = self.store.put(has.join(mixed.select("combo"), "combo"), "mixed")
             one = has.select("combo", *(F.col(c).alias(c + "1") for c in has.columns if c != "combo"))
             two = has.select("combo", *(F.col(c).alias(c + "2") for c in has.columns if c != "combo"))
-            met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2"))
+            met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2") & self.alike_marks())
             met = met.where("root1 <> root2") if comp is not None else met
             return met.select(F.col("row1").alias("x"), F.col("row2").alias("y")).distinct()
 

@@ -59,6 +59,45 @@ def test_every_letter_before_a_mark():
     assert got == want
 
 
+def test_signatures_differ_in_no_more_bits_than_sets(spark):
+    rng = np.random.default_rng(8)
+    sets = [rng.integers(-2**63, 2**63 - 1, n) for n in (0, 1, 40, 500)]
+    sets += [np.concatenate([sets[3][k:], rng.integers(-2**63, 2**63 - 1, k)]) for k in (1, 30, 200)]
+    rows = [(i, [int(x) for x in s[:len(s) // 3]], [int(x) for x in s[len(s) // 3:]]) for i, s in enumerate(sets)]
+    got = {r.row: tuple(r)[1:] for r in ngram_join.signatures(
+        spark.createDataFrame(rows, "row long, a array<long>, b array<long>")).collect()}
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets):
+            bits = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(got[i], got[j]))
+            apart = len(set(s.tolist()) ^ set(t.tolist()))
+            assert bits <= apart and bits % 2 == apart % 2 and (apart > 60 or bits >= 0.7 * apart)
+
+
+def test_jaccard_join_of_texts_that_share_much(spark, docs_of):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(160):  # one word in twenty differs: near the bound on both sides
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5, 8])):
+            own[at] = f"x{k}.{at}"
+        texts.append(" ".join(own))
+    sets = [frozenset(tuple(t.split()[i:i + 4]) for i in range(117)) for t in texts]
+    linked = {(i, j) for i in range(160) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    root = list(range(160))
+    for _ in root:
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    assert len(set(root)) > 20 and Counter(root).most_common(1)[0][1] > 20
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(docs_of(texts), frequent=10).collect()}
+    assert got == dict(enumerate(root))
+    join = ngram_join.Join(docs_of(texts), id_col="doc_id", text_col="text", width=4, percent=85, zone=0.25, frequent=10,
+                           most_rows=1000, slice_bytes=1 << 20)
+    ids = {r.row: r.id for r in join.members.collect()}
+    links = {(ids[r.x], ids[r.y]) for r in join.links(spanning=False).collect()}
+    assert {(max(p), min(p)) for p in links} == linked
+
+
 def test_token_counts_of_other_tokenizers(docs_of):
     import sentencepiece
     texts = ["Some text  with   blanks ", "été 123", ""]
