@@ -143,7 +143,7 @@ def united(parts: dict[str, list[tuple]], order: int) -> Model:
 
 
 def text_costs(model: Model, texts: pa.Array, cache: dict[str, np.ndarray] | None = None,
-               cache_words: int = 200_000, part_words: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               cache_words: int = 100_000, part_words: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text: costs under each language and the number of symbols. The same per
     part of ``part_words`` words, those with digits (keys, codes) left out, and the
     text of each part."""
@@ -158,8 +158,8 @@ def text_costs(model: Model, texts: pa.Array, cache: dict[str, np.ndarray] | Non
     old = [i for i, x in enumerate(known) if x is not None]
     if old:
         each[old] = [known[i] for i in old]
-    for at in range(0, len(new), 50_000):
-        part = new[at:at + 50_000]
+    for at in range(0, len(new), 10_000):  # bounds the memory for their symbols
+        part = new[at:at + 10_000]
         each[part] = costs = model.costs([words[i] for i in part])
         if cache is not None:
             cache.update((words[i], c) for i, c in zip(part, costs, strict=True) if len(words[i]) <= 32)
@@ -314,7 +314,7 @@ class Predictor:
 
 
 def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text",
-             short_slack: float = 3.0, slice_bytes: int = 8 << 20) -> DataFrame:
+             short_slack: float = 3.0, slice_bytes: int = 2 << 20) -> DataFrame:
     """Per row of ``docs``: the id, ``lang_pred``, ``score`` (0 to 1: the share of
     the language among all by likelihood, of at most 50 symbols' weight),
     ``entropy`` (nats a symbol) and ``rejected``.
@@ -343,18 +343,20 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
 
 
 def accepted(docs: DataFrame, model: Model | None, *, text_col: str = "text", short_slack: float = 3.0,
-             slice_bytes: int = 8 << 20) -> DataFrame:
+             slice_bytes: int = 2 << 20) -> DataFrame:
     """The rows of ``docs`` that ``identify`` doesn't reject, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
+    # Only texts go to Python; the rows wait in the JVM.
+    @F.arrow_udf("boolean")
     @trimmed
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fine(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predictor = Predictor(shared.value, short_slack)
-        for b in byte_slices(batches, at, slice_bytes):
-            yield b.filter(pa.array(~predictor(b.column(at))[3]))
+        for texts in batches:
+            slices = byte_slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text", slice_bytes)
+            yield pa.concat_arrays([pa.array([], pa.bool_()), *(pa.array(~predictor(b.column("text"))[3]) for b in slices)])
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(fine(docs[f"`{text_col}`"]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

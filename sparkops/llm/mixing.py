@@ -67,7 +67,8 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
     block and the place inside (by default the text). A budget is a source's
     weight times ``fill`` times all tokens; rows are taken while the sum before
     them is below it. ``repeats`` must be at least ``fill``. A null source is a
-    source; rows without tokens go along with their block's first row. Equal
+    source; rows without tokens go along with their block's first row, and the rows
+    of a source that has no tokens at all stay, once each, as block 0. Equal
     rows lie in one block and are ordered arbitrarily, so results don't depend
     on which is which. Without any tokens all rows stay, once.
     """
@@ -84,10 +85,10 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
                                                              F.min("h").alias("least")), "op2-sources")
     total = by_source.agg(F.sum("t")).first()[0] or 0
     out = [F.col("doc")[c].alias(c) for c in names]
+    zero = F.lit(0).cast("bigint")
+    once = [*out, zero.cast("int").alias("mix_round"), zero.alias("mix_block"), zero.alias("mix_place"), F.col("n").alias("mix_tokens")]
     if not total:
-        zero = F.lit(0).cast("bigint")
-        return rows.select(*out, zero.cast("int").alias("mix_round"), zero.alias("mix_block"), zero.alias("mix_place"),
-                           F.col("n").alias("mix_tokens"))
+        return rows.select(*once)
     shares = stored(by_source.where("t > 0").withColumn("share", F.col("t") / total), "op2-shares")
     alpha = exponent_for(shares, entropy_share, repeats, fill)
     z = moments(shares, alpha)[1]
@@ -98,16 +99,24 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
                   .withColumn("rest", F.col("budget") % F.col("t")), "op2-plan")
 
     def placed(seed_round: Column, *of: str) -> Column:
-        return F.xxhash64(F.lit(seed), seed_round, *of)
+        return F.xxhash64(F.lit(seed), seed_round.cast("int"), *of)  # the hash depends on the type
 
     dealt = rows.join(plan, ["source", "unnamed"]).withColumn(
         "block", F.pmod(F.xxhash64(F.lit(seed), "h"), F.col("blocks")))
     # Only the last, partial round needs to know which blocks come first.
     sizes = dealt.groupBy("source", "unnamed", "block").agg(F.sum("n").alias("size"), F.first("whole").alias("whole"),
                                                             F.first("rest").alias("rest"))
-    order = Window.partitionBy("source", "unnamed").orderBy(placed(F.col("whole"), "source", "block"), "block")
-    sizes = stored(sizes.withColumn("before", F.coalesce(F.sum("size").over(order.rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))).withColumn("left", F.col("rest") - F.col("before")), "op2-blocks")
+    # Prefix sums in two levels, so that no task orders all blocks of a source: inside
+    # each of 1,024 ranges of the order, and over the ranges.
+    sizes = sizes.withColumn("order", placed(F.col("whole"), "source", "block")).withColumn("range", F.shiftright("order", 54))
+    before = (Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "unnamed", "range").orderBy("order", "block").rowsBetween(*before)
+    sizes = stored(sizes.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0))), "op2-ordered")
+    ranges = sizes.groupBy("source", "unnamed", "range").agg(F.sum("size").alias("base"))
+    outer = Window.partitionBy("source", "unnamed").orderBy("range").rowsBetween(*before)
+    ranges = ranges.withColumn("base", F.coalesce(F.sum("base").over(outer), F.lit(0)))
+    sizes = stored(sizes.join(ranges, ["source", "unnamed", "range"]).withColumn(
+        "left", F.col("rest") - F.col("base") - F.col("before")), "op2-blocks")
     joined = dealt.select("doc", "source", "unnamed", "n", "h", "block", "whole").join(
         sizes.select("source", "unnamed", "block", "size", "left"), ["source", "unnamed", "block"])
     # The block in which the budget ends is cut inside, in the order of the rows' hashes.
@@ -120,5 +129,9 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
     times = (F.col("whole") + F.col("more")).cast("int")
     taken = full.unionByName(cut).where(times > 0).withColumn(
         "round", F.explode(F.sequence(F.lit(0), times - 1)))
-    return taken.select(*out, F.col("round").alias("mix_round"), F.col("block").alias("mix_block"),
-                        placed(F.col("round"), "source", "block").alias("mix_place"), F.col("n").alias("mix_tokens"))
+    mixed = taken.select(*out, F.col("round").alias("mix_round"), F.col("block").alias("mix_block"),
+                         placed(F.col("round"), "source", "block").alias("mix_place"), F.col("n").alias("mix_tokens"))
+    silent = by_source.where("coalesce(t, 0) <= 0").select("source", "unnamed")
+    if not silent.limit(1).count():
+        return mixed
+    return mixed.unionByName(rows.join(silent, ["source", "unnamed"]).select(*once))

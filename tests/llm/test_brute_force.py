@@ -513,5 +513,41 @@ def test_mixing_weights_and_budgets(spark, docs_of):
     assert max(map(len, times.values())) == 2 and len(times) < 600
 
 
+def test_mixing_keeps_sources_without_tokens(docs_of):
+    texts = ["", None, "  ", "one two", "three four five", " ", ""]
+    mixed = mixing.mix(docs_of(texts, source=["blank", "blank", "blank", "s1", "s2", None, "s1"]), key=F.col("doc_id"), repeats=3.0)
+    got = Counter(r.doc_id for r in mixed.collect())
+    assert [got[i] for i in (0, 1, 2, 5)] == [1, 1, 1, 1] and got[3] and got[4]
+
+
+def test_mixing_takes_blocks_in_their_order(docs_of):
+    rng = random.Random(9)
+    texts = ["w " * rng.randrange(1, 9) for _ in range(500)]
+    docs = docs_of(texts, source=["a" if i % 5 else "b" for i in range(500)])
+    rows = mixing.mix(docs, key=F.col("doc_id"), block_tokens=20, entropy_share=0.999, repeats=2.5).collect()
+    n = [len(t.split()) for t in texts]
+    total, weight = {"a": 0, "b": 0}, {}
+    for i, k in enumerate(n):
+        total["a" if i % 5 else "b"] += k
+    for s in "ab":
+        own = [r for r in rows if r.source == s]
+        last = max(r.mix_round for r in own)
+        assert Counter(r.doc_id for r in own if r.mix_round < last) == Counter(
+            {i: last for i in range(500) if ("a" if i % 5 else "b") == s} if last else {})
+        # The last round: whole blocks in the order of mix_place, then a part of the next one.
+        block = {r.doc_id: r.mix_block for r in own} if last else {}
+        part = sorted({(r.mix_place, r.mix_block) for r in own if r.mix_round == last})
+        size, got = Counter(), Counter()
+        for i, b in block.items():
+            size[b] += n[i]
+        for r in own:
+            if r.mix_round == last:
+                got[r.mix_block] += r.mix_tokens
+        if last:
+            assert all(got[b] == size[b] for _, b in part[:-1])
+        weight[s] = sum(r.mix_tokens for r in own)
+    assert abs(sum(weight.values()) - sum(total.values())) <= 2 * 8
+
+
 def test_mixing_without_tokens(docs_of):
     assert mixing.mix(docs_of(["", None, " "])).count() == 3
