@@ -397,7 +397,7 @@ def fingerprints(texts: pa.Array, width: int) -> pa.Array:
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
-                percent: int = 85, most_rows: int = 500_000) -> DataFrame:
+                percent: int = 85, most_rows: int = 500_000, slice_bytes: int = 2 << 20) -> DataFrame:
     """The rows of ``docs``, of each component only the one of the smallest id (any of
     them, if several have it or all ids are null), with all their columns. Rows
     without words are in no component and stay."""
@@ -411,9 +411,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     known = kept.groupBy("id", "key").agg(F.count("*").alias("n"), F.max((F.col("row") == F.col("first")).cast("int")).alias("stays"))
     known = store.put(known.where("stays = 0 or n > 1"), "known")
     store.drop("placed")
+
     @F.arrow_udf("binary")
-    def key(texts: pa.Array) -> pa.Array:
-        return fingerprints(texts, width)
+    @trimmed
+    def key(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            slices = byte_slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text", slice_bytes)
+            yield pa.concat_arrays([pa.array([], pa.binary()), *(fingerprints(b.column("text"), width) for b in slices)])
 
     key_name = "_key"
     while key_name in docs.columns:
