@@ -6,18 +6,20 @@ the model, so any block is read alone and a damaged one is found by its
 checksum and harms no other.
 
 The model predicts an id from order 2 (the two ids before), order 1 (the one
-before) and order 0 (adaptive frequencies of classes of ids). The chances of
-the three are mixed by adaptive weights, which depend on how well the two
-contexts predicted so far; where both predict the same id, their weights add
-up. The mixture drives a carry-propagating range coder with a low end of 48
-bits. Blocks are coded side by side, one token of each at a time, with array
-operations.
+before) and order 0 (how often the block holds each id: a table before the
+code). The chances of the three are mixed by adaptive weights, which depend on
+how well the two contexts predicted so far; where both predict the same id,
+their weights add up. The mixture drives a carry-propagating range coder with a
+low end of 60 bits, one step an id. Blocks are coded side by side, one token of
+each at a time, with array operations.
 """
 
 from __future__ import annotations
 
 import functools
+import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,203 +31,253 @@ from pyspark.taskcontext import TaskContext
 from ._common import byte_slices, list_array, scratch_path, stored, trimmed
 from .token_counts import encoder
 
-MAGIC = b"tcm1"
-TABLE = 11  # bits of the hash tables of a context order
+MAGIC = b"tcm2"
+HEAD = len(MAGIC) + 4  # with the checksum of the code
+TABLE = 11  # bits of the hash table of the order-2 contexts
 LEVELS = 4  # how often a context's prediction has come true, at most 3
-MASK48 = np.uint64((1 << 48) - 1)
-B16, B32 = np.uint64(16), np.uint64(32)
-SPLIT = 56_000  # of 65536: the most that orders 2 and 1 get
-
-
-def class_count(id_bits: int) -> int:
-    return 2 * id_bits + 2
+TOTAL = 22  # bits of the chances of one step
+STEP = 124  # of 2**TOTAL for a weight of 1: orders 2 and 1 get at most 31 of 32
+LOW, WORD = 60, 32  # bits of the coder's low end and of a word of code
+LEAST = 1 << (LOW - WORD)
+MOST_IDS = 1 << 15  # of a block
+
+
+class Tables:
+    """Order 0 of several blocks (lanes): which ids a block holds and how often. A
+    block's ids are numbered in ascending order (ranks), and the chance of a rank is
+    its share of the block, in units of ``1 << bits`` of its lane."""
+
+    def __init__(self, counts: list[np.ndarray], sizes: np.ndarray):
+        distinct = np.fromiter(map(len, counts), np.int64, len(counts))
+        self.base = np.cumsum(distinct) - distinct
+        flat = np.concatenate([*counts, np.zeros(0, np.int64)]).astype(np.int64)
+        self.bits = np.frexp(np.maximum(sizes - 1, 0).astype(np.float64))[1].astype(np.int32)
+        self.shares = np.int64(1) << self.bits.astype(np.int64)
+        n, bits = np.repeat(np.maximum(sizes, 1), distinct), np.repeat(self.bits.astype(np.int64), distinct)
+        ends = np.cumsum(flat)
+        ends -= np.repeat(np.cumsum(sizes) - sizes, distinct)
+        begin, end = ((ends - flat) << bits) // n, (ends << bits) // n
+        self.packed = (begin << 15 | (end - begin - 1)).astype(np.int32)
+        self.ranks = np.arange(len(flat)) - np.repeat(self.base, distinct)
+        self.widths = end - begin
 
 
 class Model:
-    """State of the predictions of several blocks (lanes) at once."""
-
-    def __init__(self, lanes: int, id_bits: int):
-        self.classes = class_count(id_bits)
-        # By order, context and lane: predicted id times LEVELS, plus the level.
-        self.known = [np.zeros(lanes << TABLE, np.uint32) for _ in range(2)]
-        self.weight = [np.full(lanes * LEVELS**2, 1 << 15, np.int32) for _ in range(2)]
-        k = np.arange(self.classes + 1)
-        self.cdf = np.tile((k << 15) // self.classes, (lanes, 1)).astype(np.int32)
-        # What the frequencies move to after class c: all to c, but 4 to each other.
-        self.target = np.where(k[None, :] <= k[:-1, None], 4 * k, (1 << 15) - 4 * (self.classes - k)).astype(np.int32)
-        self.prev = [np.zeros(lanes, np.uint32) for _ in range(2)]
+    """State of the predictions of several blocks (lanes) at once. Orders 2 and 1 keep
+    for each context the rank that they expect and how sure they are of it."""
+
+    def __init__(self, tables: Tables):
+        lanes = len(tables.base)
+        self.tables = tables
+        self.known1 = np.zeros(len(tables.packed) + 1, np.int32)  # rank times LEVELS, plus the level
+        self.known2 = np.zeros(lanes << TABLE, np.int32)
+        self.weight2 = np.full(lanes * LEVELS**2, 1 << 14, np.int32)
+        self.weight1 = self.weight2.copy()
+        self.slot1 = tables.base.copy()  # as if rank 0 had come before
+        self.hashed = np.zeros(lanes, np.int64)
+        self.before = np.zeros(lanes, np.int64)
+        self.lane2 = np.arange(lanes) << TABLE
+        self.lane_context = np.arange(lanes) * LEVELS**2
 
     def predict(self, n: int) -> None:
-        """Set guesses and chances for the first ``n`` lanes."""
-        one, two = self.prev[0][:n], self.prev[1][:n]
-        lane = self.lane = np.arange(n)
-        shift = np.uint32(32 - TABLE)
-        first = (one * np.uint32(0x9E3779B1)) >> shift
-        second = ((one * np.uint32(0x85EBCA6B)) ^ (two * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))) * np.uint32(0x9E3779B1) >> shift
-        at = lane << TABLE
-        self.slot = [at + first, at + second]
-        k1, k2 = (known[slot] for known, slot in zip(self.known, self.slot, strict=True))
-        self.levels = [k1 & np.uint32(LEVELS - 1), k2 & np.uint32(LEVELS - 1)]
-        self.g1, self.g2 = k1 >> np.uint32(2), k2 >> np.uint32(2)
-        self.context = lane * LEVELS**2 + (self.levels[1] * np.uint32(LEVELS) + self.levels[0])
-        self.w1, self.w2 = self.weight[0][self.context], self.weight[1][self.context]
-        f2 = 8 + ((self.w2 * (SPLIT >> 4)) >> 12)
-        f1 = 8 + (((SPLIT + 8 - f2) * (self.w1 >> 4)) >> 12)
-        same = self.g1 == self.g2
-        self.f2 = np.where(same, f2 + f1 - 1, f2)
-        self.f1 = np.where(same, 1, f1)
-        self.rest = 65536 - self.f2 - self.f1
-
-    def class_low(self, c: np.ndarray) -> np.ndarray:
-        return self.f2 + self.f1 + ((self.rest * self.cdf[self.lane, c]) >> 15)
-
-    def update(self, ids: np.ndarray, outcome: np.ndarray, classes: np.ndarray) -> None:
-        n, lane = len(ids), self.lane
-        for order, guess in ((0, self.g1), (1, self.g2)):
-            level, hit = self.levels[order], guess == ids
-            stays = hit | (level > 1)
-            level = np.where(hit, np.minimum(level + np.uint32(1), np.uint32(LEVELS - 1)), level >> np.uint32(1))
-            self.known[order][self.slot[order]] = np.where(stays, guess, ids) << np.uint32(2) | level
-        self.weight[1][self.context] = self.w2 + (((outcome == 2) * 65535 - self.w2) >> 5)
+        """Set guesses and chances for the first ``n`` lanes: order 2 takes the chances
+        below ``end2``, order 1 those below ``end1``, and of the rest a rank of order 0
+        takes ``unit`` times its share."""
+        self.slot2 = ((self.hashed[:n] ^ self.before[:n]) >> 20 & ((1 << TABLE) - 1)) + self.lane2[:n]
+        self.k1, self.k2 = self.known1.take(self.slot1[:n]), self.known2.take(self.slot2)
+        self.g1, self.g2 = self.k1 >> 2, self.k2 >> 2
+        self.context = self.lane_context[:n] + ((self.k2 & 3) << 2 | self.k1 & 3)
+        self.w1, self.w2 = self.weight1.take(self.context), self.weight2.take(self.context)
+        end2 = (self.w2 + 1) * STEP
+        end1 = end2 + (((STEP << 15) - end2 >> 6) * self.w1 >> 9) + STEP
+        bits = self.tables.bits[:n]
+        self.unit = (1 << TOTAL) - end1 >> bits
+        self.end1 = (1 << TOTAL) - (self.unit << bits)
+        self.end2 = np.where(self.g1 == self.g2, self.end1, end2)
+
+    def interval(self, at: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of what came, which lies at place ``at`` of the tables."""
+        packed = self.tables.packed.take(at)
+        start = np.where(hit1, self.end2, self.end1 + self.unit * (packed >> 15))
+        size = np.where(hit1, self.end1 - self.end2, self.unit * ((packed & 0x7FFF) + 1))
+        return np.where(hit2, 0, start), np.where(hit2, self.end2, size)
+
+    def update(self, ranks: np.ndarray, at: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit1``: order 1 was right, whether or not order 2 was, too."""
+        n = len(ranks)
+        anew = ranks << 2
+        for known, slot, k, hit in ((self.known2, self.slot2, self.k2, hit2), (self.known1, self.slot1[:n], self.k1, hit1)):
+            full = k | 3
+            # A miss halves a level of 2 or 3, and else the guess is replaced.
+            known[slot] = np.where(hit, np.minimum(k + 1, full), np.where(k & 2, full - 2, anew))
+        self.weight2[self.context] = self.w2 + ((hit2 * np.int32(32767)) - self.w2 >> 5)
         # Order 1 is asked only if order 2 has failed.
-        self.weight[0][self.context] = np.where(outcome != 2, self.w1 + (((outcome == 1) * 65535 - self.w1) >> 5), self.w1)
-        escaped = np.flatnonzero(outcome == 0)
-        rows = self.cdf[escaped]
-        self.cdf[escaped] = rows + ((self.target[classes[escaped]] - rows) >> 5)
-        self.prev[1][:n] = self.prev[0][:n]
-        self.prev[0][:n] = ids
-
-
-def class_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, bits inside the class, and place inside: two classes to a power of two."""
-    v = ids.astype(np.int64) + 2
-    e = np.frexp(v.astype(np.float64))[1].astype(np.int64) - 1  # 2**e <= v
-    half = (v >> (e - 1)) & 1
-    bits = e - 1
-    return 2 * (e - 1) + half, bits, v & ((1 << bits) - 1)
-
-
-def id_of(classes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    e = classes // 2 + 1
-    return (1 << e) + ((classes & 1) << (e - 1)) + place - 2
+        moved = self.w1 + ((hit1 * np.int32(32767)) - self.w1 >> 5)
+        self.weight1[self.context] = np.where(hit2, self.w1, moved)
+        self.before[:n] = self.hashed[:n] * 0x2545F491 & 0xFFFFFFFF
+        self.hashed[:n] = ranks * np.int64(0x9E3779B1) & 0xFFFFFFFF
+        self.slot1[:n] = at
+
+
+def packed_numbers(numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Numbers below 2**35, 7 bits a byte, the lowest first (the high bit says that one
+    goes on), and where each ends."""
+    more = [numbers >> 7 * k for k in range(5)]
+    rows = np.stack([m & 127 | ((m > 127) << 7) for m in more], axis=1).astype(np.uint8)
+    taken = np.stack([m > 0 if k else m >= 0 for k, m in enumerate(more)], axis=1)
+    return rows[taken].tobytes(), np.cumsum(taken.sum(axis=1))
+
+
+def unpacked_numbers(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(data, np.uint8).astype(np.int64)
+    last = np.flatnonzero(raw < 128)
+    if not len(last):
+        return raw[:0], raw[:0]
+    first = np.concatenate([[0], last[:-1] + 1])
+    nth = np.arange(len(raw)) - np.repeat(first, last + 1 - first)
+    return np.add.reduceat((raw & 127) << 7 * nth[:len(raw)], first), last + 1
+
+
+def packed_tables(ids: list[np.ndarray], counts: list[np.ndarray]) -> list[bytes]:
+    """For each block, its ascending ids as gaps, and their counts, deflated."""
+    numbers = [x for i, c in zip(ids, counts, strict=True) for x in (np.diff(i.astype(np.int64), prepend=-1) - 1, c - 1)]
+    raw, ends = packed_numbers(np.concatenate([*numbers, np.zeros(0, np.int64)]))
+    ends = np.concatenate([[0], ends])[np.cumsum([0] + [2 * len(i) for i in ids])].tolist()
+    out = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        made = zlib.compressobj(6, zlib.DEFLATED, -10, 4)
+        out.append(made.compress(raw[a:b]) + made.flush())
+    return out
 
 
-def ordered(blocks: list) -> list[int]:
-    """Longest first, so that the lanes that still run are the leading ones."""
-    return sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
+def unpacked_tables(coded: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, bytes]]:
+    """For each block, ids, counts, and what follows the table."""
+    raw, rest = [], []
+    for c in coded:
+        made = zlib.decompressobj(-15)
+        raw.append(made.decompress(c))
+        rest.append(made.unused_data)
+    numbers, ends = unpacked_numbers(b"".join(raw))
+    cuts = np.searchsorted(ends, np.cumsum([0] + [len(r) for r in raw]), side="right").tolist()
+    out = []
+    for a, b, r in zip(cuts[:-1], cuts[1:], rest, strict=True):
+        half = (a + b) // 2
+        out.append(((np.cumsum(numbers[a:half] + 1) - 1).astype(np.uint32), numbers[half:b] + 1, r))
+    return out
 
 
-def lengths_of(blocks: list) -> np.ndarray:
-    """How many blocks still run at each step."""
-    sizes = np.array([len(b) for b in blocks], np.int64)
-    most = int(sizes.max()) if len(sizes) else 0
-    return np.cumsum(np.bincount(sizes, minlength=most + 1)[::-1])[::-1][1:]
+def longest_first(sizes: list[int]) -> tuple[list[int], np.ndarray, list[int]]:
+    """An order of blocks in which those that still run are the leading ones, their
+    sizes, and how many run at each step."""
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    ranked = np.array([sizes[i] for i in order], np.int64)
+    most = int(ranked[0]) if len(ranked) else 0
+    return order, ranked, np.cumsum(np.bincount(ranked, minlength=most + 1)[::-1])[::-1][1:].tolist()
 
 
-def encode_blocks(blocks: list[np.ndarray], id_bits: int = 16) -> list[bytes]:
-    """The code of each block of ids (below ``2**id_bits``)."""
-    order = ordered(blocks)
+def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
+    """The code of each block of at most ``MOST_IDS`` ids."""
+    order, sizes, steps = longest_first([len(b) for b in blocks])
     lanes = len(order)
-    sorted_blocks = [blocks[i] for i in order]
-    steps = lengths_of(sorted_blocks)
-    ids = np.zeros((len(steps), lanes), np.uint32)
-    for j, b in enumerate(sorted_blocks):
-        ids[:len(b), j] = b
-    model = Model(lanes, id_bits)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
-    out = np.zeros((lanes, 2 * len(steps) + 4), np.uint32)
+    if lanes and sizes[0] > MOST_IDS:
+        raise ValueError(f"a block holds at most {MOST_IDS} ids")
+    ranks = np.zeros((len(steps), lanes), np.int32)
+    rank_of = np.zeros(max((int(b.max()) + 1 for b in blocks if len(b)), default=0), np.int32)
+    held, counts = [], []
+    for j, i in enumerate(order):
+        ids, count = np.unique(blocks[i], return_counts=True)
+        rank_of[ids] = np.arange(len(ids))
+        ranks[:len(blocks[i]), j] = rank_of[blocks[i]]
+        held.append(ids)
+        counts.append(count)
+    heads = packed_tables(held, counts)
+    tables = Tables(counts, sizes)
+    model = Model(tables)
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << LOW, np.int64)
+    out = np.zeros((lanes, len(steps) * TOTAL // WORD + 3), np.uint32)
     used = np.zeros(lanes, np.int64)
 
-    def put(n: int, start: np.ndarray, size: np.ndarray) -> None:
-        unit = span[:n] >> B16
-        base = low[:n] + unit * start.astype(np.uint64)
-        carry = np.flatnonzero(base > MASK48)
-        if len(carry):
-            out[carry, used[carry] - 1] += 1
-            base &= MASK48
-        width = unit * size.astype(np.uint64)
-        short = np.flatnonzero(width < (1 << 32))
-        if len(short):
-            out[short, used[short]] = (base[short] >> B32).astype(np.uint32)
-            used[short] += 1
-            base[short] = (base[short] << B16) & MASK48
-            width[short] <<= B16
-        low[:n], span[:n] = base, width
-
-    for t, n in enumerate(steps.tolist()):
-        x = ids[t, :n]
+    def put_word(at: np.ndarray) -> None:
+        here = low[at]
+        over = np.flatnonzero(here >> LOW)
+        lane, word = at[over], used[at[over]]
+        while len(lane):  # a carry goes on over words of ones
+            word = word - 1
+            out[lane, word] += 1
+            on = out[lane, word] == 0
+            lane, word = lane[on], word[on]
+        out[at, used[at]] = (here >> LOW - WORD) & 0xFFFFFFFF
+        used[at] += 1
+        low[at] = (here & LEAST - 1) << WORD
+
+    for t, n in enumerate(steps):
         model.predict(n)
-        c, bits, place = class_of(x)
-        outcome = np.where(x == model.g2, 2, np.where(x == model.g1, 1, 0))
-        a, b = model.class_low(c), model.class_low(c + 1)
-        escaped = outcome == 0
-        put(n, np.where(outcome == 2, 0, np.where(escaped, a, model.f2)),
-            np.where(outcome == 2, model.f2, np.where(escaped, b - a, model.f1)))
-        room = 16 - np.where(escaped, bits, 0)
-        put(n, np.where(escaped, place, 0) << room, 1 << room)
-        model.update(x, outcome, c)
-    for j in range(3):  # the low end itself closes the code
-        out[np.arange(lanes), used + j] = ((low >> np.uint64(32 - 16 * j)) & np.uint64(0xFFFF)).astype(np.uint32)
-    used += 3
-    for k in range(out.shape[1] - 1, 0, -1):  # carries into earlier words
-        over = out[:, k] >> 16
-        if over.any():
-            out[:, k - 1] += over
-    words = (out & 0xFFFF).astype("<u2")
+        x = ranks[t, :n]
+        at = tables.base[:n] + x
+        hit2, hit1 = x == model.g2, x == model.g1
+        start, size = model.interval(at, hit2, hit1)
+        unit = span[:n] >> TOTAL
+        low[:n] += unit * start
+        unit *= size
+        span[:n] = unit
+        short = np.flatnonzero(unit < LEAST)
+        if len(short):
+            put_word(short)
+            span[short] <<= WORD
+        model.update(x, at, hit2, hit1)
+    for _ in range(2):  # the low end itself closes the code
+        put_word(np.arange(lanes))
     coded: list[bytes] = [b""] * lanes
     for j, i in enumerate(order):
-        coded[i] = words[j, :used[j]].tobytes() if len(blocks[i]) else b""
+        if len(blocks[i]):
+            coded[i] = heads[j] + out[j, :used[j]].astype("<u4").tobytes()
     return coded
 
 
-def decode_blocks(coded: list[bytes], sizes: list[int], id_bits: int = 16) -> list[np.ndarray]:
+def decode_blocks(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each block, from its code and number of ids."""
-    order = sorted(range(len(coded)), key=lambda i: -sizes[i])
+    order, ranked, steps = longest_first(sizes)
     lanes = len(order)
-    steps = lengths_of([range(sizes[i]) for i in order])
-    longest = max((len(c) for c in coded), default=0) // 2 + 4
-    words = np.zeros((lanes, longest), np.uint64)
-    for j, i in enumerate(order):
-        w = np.frombuffer(coded[i], "<u2")
-        words[j, :len(w)] = w
-    used = np.full(lanes, 3, np.int64)
-    code = (words[:, 0] << B32) | (words[:, 1] << B16) | words[:, 2] if lanes else np.zeros(0, np.uint64)
-    span = np.full(lanes, 1 << 48, np.uint64)
-    ids = np.zeros((len(steps), lanes), np.uint32)
-    model = Model(lanes, id_bits)
-
-    def take(n: int, start: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
-        rest = code[:n] - unit * start.astype(np.uint64)
-        width = unit * size.astype(np.uint64)
-        short = np.flatnonzero(width < (1 << 32))
+    parsed = unpacked_tables([coded[i] for i in order])
+    tables = Tables([p[1] for p in parsed], ranked)
+    model = Model(tables)
+    longest = max((len(p[2]) for p in parsed), default=0) // 4 + 2
+    words = np.zeros((lanes, longest), np.int64)
+    for j, p in enumerate(parsed):
+        words[j, 1:1 + len(p[2]) // 4] = np.frombuffer(p[2], "<u4")
+    # The coder's low end has 4 bits less than two words.
+    words = (words[:, :-1] << 28 | words[:, 1:] >> 4) & 0xFFFFFFFF
+    code = words[:, 0] << WORD | words[:, 1] if lanes else np.zeros(0, np.int64)
+    span, used = np.full(lanes, 1 << LOW, np.int64), np.full(lanes, 2, np.int64)
+    ranks = np.zeros((len(steps), lanes), np.int32)
+    shares = np.where(ranked > 0, tables.shares, 0)
+    by_share = np.repeat(tables.ranks.astype(np.int16), tables.widths)
+    share_base = np.cumsum(shares) - shares
+    for t, n in enumerate(steps):
+        model.predict(n)
+        unit = span[:n] >> TOTAL
+        v = code[:n] // unit
+        share = share_base[:n] + ((v - model.end1) / model.unit).astype(np.int64)
+        hit2, hit1 = v < model.end2, v < model.end1
+        x = by_share.take(share, mode="clip").astype(np.int32)
+        x = np.where(hit2, model.g2, np.where(hit1, model.g1, x))
+        at = tables.base[:n] + x
+        hit1 = x == model.g1
+        start, size = model.interval(at, hit2, hit1)
+        code[:n] -= unit * start
+        unit *= size
+        span[:n] = unit
+        short = np.flatnonzero(unit < LEAST)
         if len(short):
-            rest[short] = (rest[short] << B16) | words[short, np.minimum(used[short], longest - 1)]
+            code[short] = code[short] << WORD | words[short, np.minimum(used[short], longest - 2)]
             used[short] += 1
-            width[short] <<= B16
-        code[:n], span[:n] = rest, width
-
-    for t, n in enumerate(steps.tolist()):
-        model.predict(n)
-        unit = span[:n] >> B16
-        v = np.minimum(code[:n] // unit, 65535).astype(np.int64)
-        outcome = np.where(v < model.f2, 2, np.where(v < model.f2 + model.f1, 1, 0))
-        escaped = outcome == 0
-        lows = (model.rest[:, None] * model.cdf[:n]) >> 15
-        c = np.minimum((lows <= (v - model.f2 - model.f1)[:, None]).sum(axis=1) - 1, model.classes - 1)
-        c = np.maximum(c, 0)
-        a, b = model.class_low(c), model.class_low(c + 1)
-        take(n, np.where(outcome == 2, 0, np.where(escaped, a, model.f2)),
-             np.where(outcome == 2, model.f2, np.where(escaped, b - a, model.f1)), unit)
-        room = 16 - np.where(escaped, c // 2, 0)
-        unit = span[:n] >> B16
-        place = np.where(escaped, np.minimum(code[:n] // unit, 65535).astype(np.int64) >> room, 0)
-        take(n, place << room, 1 << room, unit)
-        x = np.where(outcome == 2, model.g2, np.where(outcome == 1, model.g1, id_of(c, place))).astype(np.uint32)
-        ids[t, :n] = x
-        model.update(x, outcome, c)
+            span[short] <<= WORD
+        ranks[t, :n] = x
+        model.update(x, at, hit2, hit1)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
     for j, i in enumerate(order):
-        out[i] = ids[:sizes[i], j].copy()
+        if sizes[i]:
+            out[i] = parsed[j][0][ranks[:sizes[i], j]]
     return out
 
 
@@ -266,7 +318,7 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
     if enc.words_apart:
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        each = enc.words(coded.dictionary.to_pylist(), lambda ids: np.array(ids, "<u4").tobytes(), b"")
+        each = enc.words(coded.dictionary.to_pylist(), lambda ids: array("I", ids).tobytes(), b"")
         flat, size = np.frombuffer(b"".join(each), np.uint32), np.fromiter(map(len, each), np.int64, len(each)) // 4
         index, offsets = coded.indices.to_numpy(), lists.offsets.to_numpy()
         start = np.cumsum(size) - size
@@ -282,13 +334,14 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-              end_id: int = 1, block_ids: int = 2048, lanes: int = 4096, id_bits: int = 16,
+              end_id: int = 1, block_ids: int = 2048, lanes: int = 4096,
               slice_bytes: int = 8 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in ascending order of
     ``id_col`` (null ids first; equal ids in any order), as blocks of at most
     ``block_ids`` ids. A block holds whole documents, but a document of more ids
     than that, which goes on in blocks of its own. Rows of a file: part and block (the order), docs, lens (of the document's ids here),
-    goes_on (the last document continues), n, crc, code."""
+    goes_on (the last document continues), n, crc (of the ids), code (whose first
+    bytes are a mark and the crc32 of the rest)."""
     kind = docs.schema[id_col].dataType
 
     @trimmed
@@ -299,13 +352,13 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
 
         def flush() -> pa.RecordBatch:
             nonlocal block
-            coded = encode_blocks([w[3] for w in waiting], id_bits)
+            coded = encode_blocks([w[3] for w in waiting])
             rows = pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(waiting), pa.int32()), pa.array(range(block, block + len(waiting)), pa.int64()),
                  pa.array([w[0] for w in waiting], pa.list_(arrow_kind)), pa.array([w[1] for w in waiting], pa.list_(pa.int64())),
                  pa.array([w[2] for w in waiting]), pa.array([len(w[3]) for w in waiting], pa.int64()),
                  pa.array([zlib.crc32(w[3].astype("<u4").tobytes()) for w in waiting], pa.int64()),
-                 pa.array([MAGIC + c for c in coded], pa.binary())],
+                 pa.array([MAGIC + struct.pack("<I", zlib.crc32(c)) + c for c in coded], pa.binary())],
                 ["part", "block", "docs", "lens", "goes_on", "n", "crc", "code"])
             block += len(waiting)
             waiting.clear()
@@ -315,8 +368,6 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
         for b in byte_slices(batches, "text", slice_bytes):
             arrow_kind = b.schema.field("id").type
             counts, ids = token_ids(b.column("text"), tokenizer_path, end_id)
-            if len(ids) and int(ids.max()) >> id_bits:
-                raise ValueError("an id has more than id_bits bits")
             at = 0
             for name, n in zip(b.column("id").to_pylist(), counts.tolist(), strict=True):
                 if n > room and room < block_ids:
@@ -348,7 +399,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                         "crc bigint, code binary").write.option("compression", "none").parquet(path))
 
 
-def read_ids(spark, path: str, *, id_col: str = "doc_id", id_bits: int = 16, lanes: int = 4096,
+def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 4096,
              keep_ids: bool = False) -> DataFrame:
     """Decode the blocks of ``path``, check their checksums, and return per document
     its id, ``start`` (the ids of all documents before it), ``n_tokens``,
@@ -363,12 +414,16 @@ def read_ids(spark, path: str, *, id_col: str = "doc_id", id_bits: int = 16, lan
             for from_row in range(0, b.num_rows, lanes):
                 s = b.slice(from_row, lanes)
                 sizes, code = s.column("n").to_pylist(), s.column("code").to_pylist()
-                if any(not c.startswith(MAGIC) for c in code):
-                    raise ValueError("not a block of token ids")
-                blocks = decode_blocks([c[len(MAGIC):] for c in code], sizes, id_bits)
+                place = [f"part {p}, block {k}" for p, k in zip(s.column("part").to_pylist(), s.column("block").to_pylist(), strict=True)]
+                for c, at in zip(code, place, strict=True):
+                    if not c.startswith(MAGIC):
+                        raise ValueError(f"not a block of token ids: {at}")
+                    if struct.pack("<I", zlib.crc32(memoryview(c)[HEAD:])) != c[len(MAGIC):HEAD]:
+                        raise ValueError(f"damaged block: {at}")
+                blocks = decode_blocks([c[HEAD:] for c in code], sizes)
                 for i, (ids, crc) in enumerate(zip(blocks, s.column("crc").to_pylist(), strict=True)):
                     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
-                        raise ValueError(f"damaged block: part {s.column('part')[i]}, block {s.column('block')[i]}")
+                        raise ValueError(f"damaged block: {place[i]}")
                 per = np.array([len(x) for x in s.column("lens")], np.int64)
                 lens = s.column("lens").flatten().to_numpy()
                 ids = np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)

@@ -146,6 +146,46 @@ def test_token_files_round_trip_and_damage(spark, docs_of, tmp_path):
         token_binary.read_ids(spark, bad).collect()
 
 
+def test_codec_beats_its_parts(spark):
+    """Smaller than deflate of the same blocks and than the entropy of the block's ids
+    with their table: orders 2 and 1 gain more than the coder loses."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r.text]
+    tok = Tokenizer.from_file(PATH)
+    ids = np.array([i for t in texts for i in tok.encode(t, add_special_tokens=False).ids], np.uint32)
+    blocks = [ids[a:a + 2048] for a in range(0, min(len(ids), 200_000), 2048)]
+    coded = token_binary.encode_blocks(blocks)
+    size = sum(map(len, coded))
+    assert size < sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks)
+    held = [np.unique(b, return_counts=True) for b in blocks]
+    tables = sum(map(len, token_binary.packed_tables([u for u, _ in held], [c for _, c in held])))
+    bits = sum(float(-(c * np.log2(c / c.sum())).sum()) for _, c in held)
+    assert size < tables + bits / 8
+    back = token_binary.decode_blocks(coded, [len(b) for b in blocks])
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back, strict=True))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_codec_of_long_blocks_wide_ids_and_certain_runs(seed):
+    rng = np.random.default_rng(seed)
+    blocks = [rng.integers(0, 1 << 24, 3000).astype(np.uint32), np.arange(32_768, dtype=np.uint32)]
+    blocks += [np.repeat(rng.integers(0, 9, 40), rng.integers(1, 300, 40)).astype(np.uint32) for _ in range(5)]
+    blocks += [np.where(rng.random(20_000) < 0.999, 7, rng.integers(0, 60_000, 20_000)).astype(np.uint32)]
+    back = token_binary.decode_blocks(token_binary.encode_blocks(blocks), [len(b) for b in blocks])
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back, strict=True))
+    with pytest.raises(ValueError, match="at most"):
+        token_binary.encode_blocks([np.zeros(32_769, np.uint32)])
+    assert token_binary.decode_blocks(token_binary.encode_blocks([]), []) == []
+
+
+def test_damaged_code_is_found_before_it_is_decoded(spark, docs_of, tmp_path):
+    path, bad = str(tmp_path / "ids"), str(tmp_path / "bad")
+    token_binary.write_ids(docs_of(["some words here " * 30, "x"]), path, PATH)
+    longer = F.concat(F.col("code"), F.unhex(F.lit("00")))
+    spark.read.parquet(path).withColumn("code", longer).write.parquet(bad)
+    with pytest.raises(Exception, match="damaged block: part"):
+        token_binary.read_ids(spark, bad).collect()
+
+
 # --- secrets
 
 def test_secrets(docs_of):
