@@ -136,9 +136,8 @@ def odd_letters(tok) -> set[str]:
             return {c for c in letters if not c.isascii()}
         words = forms
     ends = np.cumsum([len(w) + 1 for w in words])
-    units = np.zeros(len(words), np.int64)
-    for piece, (start, _) in tok.pre_tokenizer.pre_tokenize_str(" ".join(words)):
-        units[np.searchsorted(ends, start, side="right")] += bool(piece.strip())
+    starts = [start for piece, (start, _) in tok.pre_tokenizer.pre_tokenize_str(" ".join(words)) if piece.strip()]
+    units = np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(words))
     return {c for c, n in zip(letters, units.tolist(), strict=True) if n != 2}
 
 
