@@ -1,11 +1,11 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Every text is searched for credential patterns. The value of each candidate is
-hashed, and the hashes are counted over the corpus by distinct repositories
-and distinct owners. A value held by many owners is a copied example; a value
-of one owner alone, dense enough to be a real key, looks live. Free-standing
-keys (no name before them) are too uncertain to be reported by their shape;
-they are reported only if the count shows a single owner.
+hashed, and the hashes are counted over the corpus by distinct repositories,
+distinct owners and rows. A value of many owners, repositories or rows is a copied
+example; one of few of each, dense enough to be a real key, looks live.
+Free-standing keys (no name before them) are too uncertain to be reported by
+their shape; they are reported only if the counts are those of a live value.
 """
 
 from __future__ import annotations
@@ -119,29 +119,43 @@ def ownership(scanned: DataFrame) -> DataFrame:
     repositories and owners count as one, unnamed, each. Pairs are made distinct
     map-side first, so a value copied to a third of the corpus shuffles as the
     number of its repositories and owners, not of its copies."""
-    one = scanned.select(F.explode("found").alias("x"), F.coalesce("repo", F.lit("")).alias("repo"),
-                         F.coalesce("owner", F.lit("")).alias("owner"))
-    pairs = one.groupBy(F.col("x.value_hash").alias("value_hash"), "repo", "owner").agg(F.count("*").alias("n"))
+    one = scanned.select(F.explode(F.array_distinct("found.value_hash")).alias("value_hash"),
+                         F.coalesce("repo", F.lit("")).alias("repo"), F.coalesce("owner", F.lit("")).alias("owner"))
+    pairs = one.groupBy("value_hash", "repo", "owner").agg(F.count("*").alias("n"))
     owners = pairs.groupBy("value_hash", "owner").agg(F.sum("n").alias("n"), F.count("*").alias("repos_of_owner"))
     repos = pairs.select("value_hash", "repo").distinct().groupBy("value_hash").agg(F.count("*").alias("n_repos"))
     return (owners.groupBy("value_hash").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_owners"))
             .join(repos, "value_hash"))
 
 
+def with_verdicts(each: DataFrame, verdicts: DataFrame, parts: int = 1000) -> DataFrame:
+    """Candidates with the verdict on their value. Values that hold more than one in
+    ``parts`` of all (row, value) pairs, of which there are fewer than ``parts``, are
+    broadcast, so that no task gets all copies of a value; the others are joined."""
+    bound = (verdicts.agg(F.sum("n_rows")).first()[0] or 0) // parts
+    often = F.broadcast(verdicts.where(F.col("n_rows") > bound))
+    hot = each.join(often, "value_hash")
+    cold = each.join(often.select("value_hash"), "value_hash", "left_anti")
+    return hot.unionByName(cold.join(verdicts.where(F.col("n_rows") <= bound), "value_hash"))
+
+
 def secret_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source",
                 owner_col: str = "source", min_free: int = 20, min_entropy: float = 3.5, live_owners: int = 1,
-                example_owners: int = 3, slice_bytes: int = 8 << 20) -> DataFrame:
+                live_repos: int = 2, live_rows: int = 8, example_owners: int = 3, example_repos: int = 3,
+                example_rows: int = 32, slice_bytes: int = 8 << 20) -> DataFrame:
     """Per row of ``docs``: the id, counts of the three base kinds, the sha256 of
     the base spans, ``spans`` (base ones and the added kind ``owned``, as
     kind:start:end in code points, by start and kind), and of the spans reported:
-    ``n_live`` (dense values of at most ``live_owners`` owners) and ``n_example``
-    (values of at least ``example_owners`` owners).
+    ``n_live`` (dense values that look live: of at most ``live_owners`` owners,
+    ``live_repos`` repositories and ``live_rows`` rows) and ``n_example`` (of at
+    least ``example_owners`` owners, ``example_repos`` repositories or
+    ``example_rows`` rows). A row counts once, however often it holds the value.
 
     A base span is the whole match. ``owned`` spans are runs of ``min_free`` or
     more key characters with both letter cases and a digit, off the base spans,
-    of ``min_entropy`` bits a character, whose value at most ``live_owners``
-    owners hold. Null and empty texts have no spans. Repeated rows count as
-    rows of one repository and owner; they are returned a row each.
+    of ``min_entropy`` bits a character, whose value looks live. Null and empty
+    texts have no spans. Repeated rows count as rows of one repository and owner;
+    they are returned a row each.
     """
     if min_free < 20:
         raise ValueError("min_free must be 20 or more")
@@ -149,13 +163,16 @@ def secret_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = stored(scan(docs, id_col, text_col, F.col(repo_col), F.col(owner_col), min_free, min_entropy,
                         slice_bytes).withColumn("row", F.monotonically_increasing_id()), "op1-scan")
     each = found.select("row", F.explode("found").alias("x")).select("row", "x.*")
-    judged = (each.join(ownership(found), "value_hash")
-              .where((F.col("kind") < 3) | (F.col("n_owners") <= live_owners)))
+    live = ((F.col("n_owners") <= live_owners) & (F.col("n_repos") <= live_repos) & (F.col("n_rows") <= live_rows))
+    example = ((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+               | (F.col("n_rows") >= example_rows))
+    verdicts = stored(ownership(found).select("value_hash", "n_rows", live.alias("live"), example.alias("example")),
+                      "op1-verdicts")
+    judged = with_verdicts(each, verdicts).where("kind < 3 or live")
     text = F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1), "start", "stop")
     per_row = judged.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", text.alias("t")))).alias("s"),
-        F.count_if((F.col("n_owners") <= live_owners) & F.col("dense")).alias("n_live"),
-        F.count_if(F.col("n_owners") >= example_owners).alias("n_example"))
+        F.count_if(F.col("live") & F.col("dense")).alias("n_live"), F.count_if("example").alias("n_example"))
     zero = F.lit(0).cast("bigint")
     return (found.drop("found", "repo", "owner").join(per_row, "row", "left")
             .select(F.col("id").alias(id_col), "n_assign", "n_access", "n_hex", "base_sha256",

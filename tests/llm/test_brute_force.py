@@ -209,6 +209,27 @@ def test_secrets(docs_of):
     assert all("owned" not in got[i].spans for i in (8, 9, 10))  # three owners hold it: an example
 
 
+def test_copies_in_one_repository_are_no_live_keys(docs_of):
+    copied, few, key = "aB3" + "xY7zQ9pL2mN8kJ4h" * 2, "bC4" + "wX6yR8oK1nM7jI3g" * 2, "0123456789abcdef" * 2
+    texts = [f"key {copied} {copied} token={key}"] * 50 + [f"key {few} {few}"] * 8 + [f"secret=q{copied}"]
+    got = {r.doc_id: r for r in secret_scan.secret_scan(docs_of(texts, source=["one"] * 58 + ["two"])).collect()}
+    for i in range(50):  # rows of one repository and owner, but many of them
+        assert "owned" not in got[i].spans and (got[i].n_live, got[i].n_example) == (0, 2)
+    for i in range(50, 58):  # a row counts once, though it holds the key twice
+        assert got[i].spans.count("owned") == 2 and (got[i].n_live, got[i].n_example) == (2, 0)
+    assert got[58].n_live == 1
+
+
+@pytest.mark.parametrize("parts", [1, 3, 1000])
+def test_verdicts_of_hot_values(spark, parts):
+    values = ["a"] * 70 + ["b"] * 20 + [f"c{i}" for i in range(30)]
+    each = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "row long, value_hash string")
+    verdicts = each.groupBy("value_hash").agg(F.count("*").alias("n_rows"))
+    got = secret_scan.with_verdicts(each, verdicts, parts).collect()
+    count = Counter(values)
+    assert sorted((r.row, r.value_hash, r.n_rows) for r in got) == [(i, v, count[v]) for i, v in enumerate(values)]
+
+
 def test_ownership_counts(spark, docs_of):
     texts = ["token=samevalue1"] * 6 + ["token=onlyhere99"] * 2
     docs = docs_of(texts, source=["a", "a", "b", "b", "c", None, "z", "z"])
@@ -481,6 +502,34 @@ def test_languages_that_no_model_has_learnt(docs_of):
     assert [got[i].rejected for i in (360, 361, 362)] == [False] * 3
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_each_language_left_out_is_rejected(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    named = docs.where("lang is not null and text rlike '[A-Za-z]{3}'")
+    learnt = named.where((F.col("lang") != left_out) & ~language_id.held_out())
+    got = language_id.identify(named, language_id.train(learnt, key=F.col("doc_id"))).join(named.select("doc_id", "lang"), "doc_id")
+    share = {r.other: r.bad for r in got.groupBy((F.col("lang") == left_out).alias("other")).agg(
+        F.avg(F.col("rejected").cast("int")).alias("bad")).collect()}
+    assert share[True] >= 0.95 and share[False] <= 0.01
+
+
+def test_long_rows_do_not_end_the_sample(docs_of):
+    rng = random.Random(3)
+    syllables = {"aa": ["ka", "to", "mi"], "bb": ["sch", "ung", "ver"], "cc": ["eau", "que", "oi"]}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(n))
+
+    # A language with long rows and short ones, one with short ones, one with rows over the bound only.
+    rows = [("aa", 3000 if i % 2 else 20) for i in range(40)] + [("bb", 20)] * 40 + [("cc", 3000)] * 10
+    texts, langs = [text(x, n) for x, n in rows], [x for x, _ in rows]
+    docs = docs_of(texts, lang=langs)
+    model = language_id.train(docs, key=F.col("doc_id"), max_chars=8000)
+    assert model.langs == ["aa", "bb", "cc"]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, model).collect()}
+    assert [got[i] for i in range(len(texts))] == langs
+
+
 def test_kneser_ney_is_a_distribution():
     words_ = ["abab", "abc", "bca", "cab"]
     counts = np.array([5, 3, 2, 1])
