@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ._common import byte_slices, mix64, trimmed
 
 BASE_SYMBOLS = 1 << 11  # the uniform distribution under order 1
+FEW = 30  # foreign texts that a language's own bound asks for
+WIDE = 0.4  # nats a symbol
 
 
 @functools.cache
@@ -203,8 +205,8 @@ def bounds(calibration: np.ndarray, langs: int, slack: float) -> np.ndarray:
         if not len(mine):
             continue
         strange = foreign[fits & (other == j) & np.isfinite(foreign)]
-        if not len(strange):  # the nearest to no other language
-            strange = foreign[fits & (own != j) & np.isfinite(foreign)]
+        if len(strange) < FEW:  # too few are nearest to this language: those of all languages
+            strange = foreign[fits & np.isfinite(foreign)]
         high = np.max(mine)
         if not len(strange):  # one language alone: against equal chances for all symbols
             middle = np.median(mine)
@@ -213,7 +215,8 @@ def bounds(calibration: np.ndarray, langs: int, slack: float) -> np.ndarray:
         low = np.quantile(strange, 0.02)
         if high >= low:  # a few odd texts don't decide
             high = np.quantile(mine, 0.99)
-        out[j] = high + max(0.65 * (low - high), 0.1)
+        gap = low - high
+        out[j] = high + max(min(0.65 * gap, max(0.25 * gap, WIDE)), 0.1)
     return out
 
 
@@ -228,24 +231,31 @@ def train(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", ke
     """Fit on a bounded sample: of each language the ``max_docs`` rows first by the
     hash of ``key``, whole texts, as far as ``max_chars`` characters in all. The
     next ``rest_docs`` rows calibrate the rejection in the same way: the bound lies
-    0.65 of the way from their largest cost to what one in 50 texts that are
-    nearest to this language without their own model falls below; if these sides
-    overlap, from the cost that one in 100 exceeds, and 0.1 over it at least. Of a single language it lies ``slack`` of the way from the
-    median cost to that of equal chances for all symbols. ``short_slack`` is that
-    of ``identify``. The limits keep a language's model below ``max_chars`` grams an
-    order, which is what the driver gets. Rows of null language or text are left
-    out. No rows: None."""
+    between their largest cost and what one in 50 texts that are nearest to this
+    language without their own model falls below (of all languages' texts, if fewer
+    than ``FEW`` are). It lies 0.65 of the way, but where the sides are far apart no
+    more than a quarter or ``WIDE``, as languages that nothing was learnt from may
+    cost less than the learnt ones do under one another. If the sides overlap, it is
+    counted from the cost that one in 100 exceeds, and lies 0.1 over it at least. Of
+    a single language it lies ``slack`` of the way from the median cost to that of
+    equal chances for all symbols. ``short_slack`` is that of ``identify``.
+
+    Rows of over an eighth of ``max_chars`` are taken last, the shortest first, so
+    that a long one doesn't end the sample; a language always has its first row,
+    however long. So a language's model has at most ``max_chars`` grams an order,
+    or as many as its shortest text has characters, which is what the driver gets.
+    Rows of null language or text are left out. No rows: None."""
     kept = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key).alias("h"),
         F.length(text_col).cast("bigint").alias("n"))
-    kept = kept.where((F.col("n") > 0) & (F.col("n") <= max_chars))
+    kept = kept.where("n > 0").withColumn("long", F.when(F.col("n") > max_chars // 8, F.col("n")))
     # Far more rows than needed pass this bound of the hash, but a bounded number, so
     # that no language gathers in one task what it has in all.
     share = F.least(F.lit(1.0), F.lit(8.0 * (max_docs + rest_docs)) / F.col("rows"))
     rows = kept.groupBy("lang").agg(F.count("*").alias("rows"))
     # One row per language, of which the driver gets a whole model below.
     kept = kept.join(F.broadcast(rows), "lang").where(F.col("h") / 2.0**64 + 0.5 <= share).drop("rows")
-    by = Window.partitionBy("lang").orderBy("h", "n", F.xxhash64("text"))
+    by = Window.partitionBy("lang").orderBy(F.asc_nulls_first("long"), "h", "n", F.xxhash64("text"))
     first = kept.withColumn("r", F.row_number().over(by)).where(F.col("r") <= max_docs + rest_docs)
     first = (first.withColumn("rest", F.col("r") > max_docs)
              .withColumn("sum", F.sum("n").over(Window.partitionBy("lang", "rest").orderBy("r")))
