@@ -23,37 +23,44 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("bigint")
 
 
-def moments(shares: DataFrame, exponent: float) -> tuple[float, float, float]:
+def moments(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
     """(entropy in nats, sum of the powers, largest weight over share) of the
-    weights at an exponent; one aggregation over the table of sources."""
-    power = F.pow(F.col("share"), F.lit(exponent))
-    z, s, r = shares.agg(F.sum(power), F.sum(power * F.log("share")), F.max(power / F.col("share"))).first()
-    return math.log(z) - exponent * s / z, z, r / z
-
-
-def exponent_for(shares: DataFrame, entropy_share: float | None, repeats: float, fill: float, steps: int = 30) -> float:
+    weights at each exponent; one aggregation over the table of sources."""
+    power = F.pow("share", "a")
+    rows = (shares.withColumn("a", F.explode(F.array(*map(F.lit, exponents)))).groupBy("a")
+            .agg(F.sum(power).alias("z"), F.sum(power * F.log("share")).alias("s"),
+                 F.max(power / F.col("share")).alias("r")).collect())
+    found = {r.a: (math.log(r.z) - r.a * r.s / r.z, r.z, r.r / r.z) for r in rows}
+    return [found[a] for a in exponents]
+
+
+def bisect(shares: DataFrame, holds, low: float, high: float, rounds: int = 5, halvings: int = 6) -> tuple[float, float]:
+    """The ends of the interval in which ``holds`` (of the moments at an exponent) goes
+    from true at ``low`` to false at ``high``, after ``rounds * halvings`` halvings:
+    each round looks at all middles that its halvings may come to in one job."""
+    parts = 1 << halvings
+    for _ in range(rounds):
+        grid = [low + (high - low) * i / parts for i in range(parts + 1)]
+        found = moments(shares, grid[1:-1])
+        at, width = 0, parts
+        while width > 1:
+            width //= 2
+            at += width if holds(found[at + width - 1]) else 0
+        low, high = grid[at], grid[at + 1]
+    return low, high
+
+
+def exponent_for(shares: DataFrame, entropy_share: float | None, repeats: float, fill: float) -> float:
     """The exponent whose weights have ``entropy_share`` of the largest entropy (the
     one of equal weights), or the next larger one at which no source's budget is
     over ``repeats`` times its tokens; ``fill`` is the budget over all tokens."""
-    def bisect(enough) -> float:
-        """The largest exponent up to 1 (least change) for which enough() holds."""
-        if enough(1.0):
-            return 1.0
-        low, high = 0.0, 1.0
-        for _ in range(steps):
-            mid = (low + high) / 2
-            low, high = (mid, high) if enough(mid) else (low, mid)
-        return low
-
-    most = moments(shares, 0.0)[0]
-    alpha = 1.0 if entropy_share is None else bisect(lambda a: moments(shares, a)[0] >= entropy_share * most)
-    if moments(shares, alpha)[2] * fill <= repeats:
+    equal, same = moments(shares, [0.0, 1.0])
+    alpha = 1.0  # the largest that is enough changes least
+    if entropy_share is not None and same[0] < entropy_share * equal[0]:
+        alpha = bisect(shares, lambda m: m[0] >= entropy_share * equal[0], 0.0, 1.0)[0]
+    if moments(shares, [alpha])[0][2] * fill <= repeats:
         return alpha
-    low, high = alpha, 1.0  # at 1 every source is repeated alike
-    for _ in range(steps):
-        mid = (low + high) / 2
-        low, high = (low, mid) if moments(shares, mid)[2] * fill <= repeats else (mid, high)
-    return high
+    return bisect(shares, lambda m: m[2] * fill > repeats, alpha, 1.0)[1]  # at 1 every source is repeated alike
 
 
 def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text", tokens: Column | None = None,
@@ -91,7 +98,7 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
         return rows.select(*once)
     shares = stored(by_source.where("t > 0").withColumn("share", F.col("t") / total), "op2-shares")
     alpha = exponent_for(shares, entropy_share, repeats, fill)
-    z = moments(shares, alpha)[1]
+    z = moments(shares, [alpha])[0][1]
     budget = F.floor(F.pow("share", F.lit(alpha)) / z * (fill * total) + 0.5)
     plan = shares.select("source", "unnamed", "t", budget.alias("budget"),
                          F.ceil(F.col("t") / block_tokens).alias("blocks"))
