@@ -31,7 +31,7 @@ class Encoder:
     """A tokenizer of a worker. ``cache_words`` bounds the memory for the lengths
     or ids of words that were met before; the cache starts anew when full."""
 
-    def __init__(self, path: str, cache_words: int = 250_000):
+    def __init__(self, path: str, cache_words: int = 400_000):
         self.path, self.cache_words, self.cache = path, cache_words, {}
         self.words_apart = False
         if path.endswith(".json"):
@@ -85,7 +85,7 @@ class Encoder:
             if v is None:
                 if t:
                     core = t.rstrip(MARKS)
-                    v = cache[core] + cache[t[len(core):]]  # not kept: it is quickly made again
+                    v = cache[t] = cache[core] + cache[t[len(core):]]
                 else:
                     v = empty
             out.append(v)
