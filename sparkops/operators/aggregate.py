@@ -207,21 +207,28 @@ def basket_summary(items: DataFrame, tx_col: str, product_col: str, scale: int =
     as ``decimal(38, scale)`` (null when there are no lines; ``exact`` gives
     the real ratio rounded half-up instead of the integer division).
 
-    Without ``by`` one row, with ``by`` one row per group. Both results are
-    derived from ONE aggregate by (group, transaction, product), read
+    Without ``by`` one row, with ``by`` one row per group. Without it both
+    results are derived from ONE aggregate by (transaction, product), read
     unfiltered by both branches; null products lose through an ordering flag
-    rather than a filter. With ``by`` that aggregate is dealt out by (group,
-    product) explicitly: the input (often a large join already dealt by
-    transaction) needs no shuffle for it, and without an exchange above it
-    both branches would compute the join.
+    rather than a filter. With ``by`` the branches share the lines themselves,
+    dealt out once by all three columns: the input is often a large join
+    already dealt by transaction, where an aggregate by these columns would
+    keep nearly every line in two hash maps beside the join's sorts. Naming
+    every column keeps any from being pruned in one branch only, so the join
+    runs once; as a rebalancing, repeated lines are split by size, and each
+    branch combines before its own shuffle.
     """
     gs = _list(by)
     prod = F.col(product_col)
-    shared = items.groupBy(*gs, tx_col, product_col).agg(F.count(F.lit(1)).alias("_n"))
     if gs:
-        shared = shared.repartition(*gs, product_col)
-    per_prod = shared.groupBy(*gs, product_col).agg(F.sum("_n").alias("_pn"))
-    lines, txs = F.sum("_n"), F.count_distinct(tx_col)
+        keys = list(dict.fromkeys([*gs, tx_col, product_col]))
+        shared = items.select(*keys).hint("rebalance", *[F.col(c) for c in keys])
+        per_prod = shared.groupBy(*dict.fromkeys([*gs, product_col])).agg(F.count(F.lit(1)).alias("_pn"))
+        lines, txs = F.count(F.lit(1)), F.count_distinct(tx_col)
+    else:
+        shared = items.groupBy(tx_col, product_col).agg(F.count(F.lit(1)).alias("_n"))
+        per_prod = shared.groupBy(product_col).agg(F.sum("_n").alias("_pn"))
+        lines, txs = F.sum("_n"), F.count_distinct(tx_col)
     if exact:  # the real ratio, rounded half-up to ``scale``
         per_tx = F.when(txs > 0, F.round(lines.cast("decimal(38,0)") / txs, scale)).cast(f"decimal(38,{scale})")
     else:  # the jobs' integer division, then ``scale`` digits

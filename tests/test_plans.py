@@ -3,6 +3,8 @@
 the scan, map-side partial aggregation, pre-shuffle top-k, no cross joins
 and no Python in any registered query."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,31 @@ def test_shared_aggregate_is_scanned_once(spark):
     assert final.count("FileScan parquet") == 1
 
 
+def test_basket_keeps_lines_out_of_hash_maps(spark, no_autobroadcast):
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["basket_per_group"](spark, SF001)
+        df.collect()
+        final = physical_plan(df).split("== Initial Plan ==")[0]
+        # no aggregate by (group, order, part) beside the join's sorts, and the join itself is reused
+        assert not re.search(r"HashAggregate\(keys=\[o_orderpriority#\d+, l_orderkey#\d+L?, l_partkey", final)
+        assert re.search(r"ReusedExchange \[o_orderpriority#\d+, l_orderkey#\d+L?, l_partkey", final)
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+
+
+def test_basket_counts_repeated_lines_and_nulls(spark):
+    from sparkops.operators.aggregate import basket_summary
+    rows = [("g", 1, "b")] * 5 + [("g", 2, "a")] * 3 + [("g", 3, "a")] * 2 + [("g", 3, None)] * 9 + [(None, None, "c")] * 2
+    found = basket_summary(spark.createDataFrame(rows, "g string, t int, p string"), "t", "p", by="g").collect()
+    assert {(r.g, r.most_popular_product, None if r.avg_transaction is None else int(r.avg_transaction)) for r in found} == \
+        {("g", "a", 6), (None, "c", None)}
+
+
 def test_basket_branches_share_the_join(spark, no_autobroadcast):
     old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
