@@ -25,7 +25,9 @@ Documents that share much, but too little to link, meet in the lists of many
 combinations. So each document of that index brings a signature: 512 bits, of which
 every token of its set flips one. Two signatures differ in no more bits than the
 sets in tokens, so a pair that differs in more bits than linked sets may differ in
-tokens isn't a pair, and is never built.
+tokens isn't a pair, and is never built. Pairs that remain are alike and share many
+combinations; each document brings its least ones, too, and a pair whose least ones
+meet is built in the list of the least that they share, not in every list.
 """
 
 from __future__ import annotations
@@ -115,6 +117,16 @@ def signatures(sets: DataFrame) -> DataFrame:
     return sets.select("row", "a", "b").mapInArrow(make, "row bigint, " + ", ".join(f"{w} bigint" for w in WORDS))
 
 
+LEAST = 8  # combinations that a document brings
+
+
+def least_combos(combos: DataFrame) -> DataFrame:
+    """(row, least) of (row, combo): its smallest combinations."""
+    nth = F.row_number().over(Window.partitionBy("row").orderBy("combo"))
+    few = combos.select("row", "combo", nth.alias("nth")).where(F.col("nth") <= LEAST)
+    return few.groupBy("row").agg(F.collect_list("combo").alias("least"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes that have an edge, by alternating large and small
     stars; root is the smallest node of the component. Each round is stored."""
@@ -249,6 +261,17 @@ class Join:
         bits = reduce(lambda x, y: x + y, [F.bit_count(F.col(w + "1").bitwiseXOR(F.col(w + "2"))) for w in WORDS])
         return (100 + self.percent) * bits <= (100 - self.percent) * (F.col("n1") + F.col("n2"))
 
+    def combo_pairs(self, has: DataFrame) -> DataFrame:
+        """(x, y) of the entries (combo, row, n, least, signature) whose documents meet in a
+        list and are alike by size and marks; with a column root, of different roots only."""
+        one, two = (has.select("combo", *(F.col(c).alias(f"{c}{i}") for c in has.columns if c != "combo")) for i in (1, 2))
+        met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2") & self.alike_marks())
+        met = met.where("root1 <> root2") if "root" in has.columns else met
+        # All lists that both are in lead to the same pair: the first of the least shared will do.
+        first = F.array_min(F.array_intersect("least1", "least2"))
+        met = met.where(F.coalesce(first == F.col("combo"), F.lit(True)))
+        return met.select(F.col("row1").alias("x"), F.col("row2").alias("y"))
+
     def alike_sizes(self, n1: Column | str, n2: Column | str) -> Column:
         return 100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2)
 
@@ -315,20 +338,16 @@ class Join:
         tokens = self.store.put(self.reps.join(sized(wanted, self.most_rows), "row", "left_semi")
                         .select("row", "n", F.concat("a", "b").alias("t")), "tokens")
         asked = sized(self.store.put(combos.select("row").distinct(), "combo-rows"), self.most_rows)
-        marks = self.store.put(signatures(self.reps.join(asked, "row", "left_semi")), "signatures")
+        marks = self.store.put(signatures(self.reps.join(asked, "row", "left_semi")).join(least_combos(combos), "row"), "signatures")
         self.store.drop("sets", "copies", "combo-rows")
 
         def all_combos(comp: DataFrame | None) -> DataFrame:
-            has = combos.select("combo", "row", "n").join(sized(marks, self.most_rows // 4), "row")
+            has = combos.select("combo", "row", "n").join(sized(marks, self.most_rows // 8), "row")
             if comp is not None:
-                has = has.join(comp, "row", "left").select("combo", "row", "n", *WORDS, F.coalesce("root", "row").alias("root"))
+                has = has.join(comp, "row", "left").withColumn("root", F.coalesce("root", "row"))
                 mixed = has.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
                 has = self.store.put(has.join(mixed.select("combo"), "combo"), "mixed")
-            one = has.select("combo", *(F.col(c).alias(c + "1") for c in has.columns if c != "combo"))
-            two = has.select("combo", *(F.col(c).alias(c + "2") for c in has.columns if c != "combo"))
-            met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2") & self.alike_marks())
-            met = met.where("root1 <> root2") if comp is not None else met
-            return met.select(F.col("row1").alias("x"), F.col("row2").alias("y")).distinct()
+            return self.combo_pairs(has).distinct()
 
         if not spanning:
             found = self.verify(self.store.put(pairs.unionByName(all_combos(None)).distinct(), "all"), tokens)

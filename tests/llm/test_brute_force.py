@@ -73,6 +73,21 @@ def test_signatures_differ_in_no_more_bits_than_sets(spark):
             assert bits <= apart and bits % 2 == apart % 2 and (apart > 60 or bits >= 0.7 * apart)
 
 
+def test_alike_pairs_are_built_once(spark, docs_of):
+    join = ngram_join.Join(docs_of(["a b c d e"]), id_col="doc_id", text_col="text", width=4, percent=85, zone=0.25,
+                           frequent=10, most_rows=1000, slice_bytes=1 << 20)
+    # 12 documents of one signature in the same 20 lists; two more share only their largest ones with these
+    lists = {r: range(20) for r in range(12)} | {12: [*range(-10, 0), 17, 18], 13: [*range(-30, -20), 17, 18]}
+    combos = spark.createDataFrame([(c, r, 100) for r, own in lists.items() for c in own], "combo long, row long, n long")
+    marks = spark.createDataFrame([(r, *range(8)) for r in lists], "row long, " + ", ".join(f"{w} long" for w in ngram_join.WORDS))
+    has = combos.join(marks.join(ngram_join.least_combos(combos), "row"), "row")
+    got = [(r.x, r.y) for r in join.combo_pairs(has).collect()]
+    assert set(got) == {(i, j) for j in range(14) for i in range(j)}
+    assert sum(j < 12 for _, j in got) == 12 * 11 // 2
+    rooted = has.withColumn("root", F.col("row") % 2)
+    assert {(r.x, r.y) for r in join.combo_pairs(rooted).collect()} == {(i, j) for i, j in got if (i + j) % 2}
+
+
 def test_jaccard_join_of_texts_that_share_much(spark, docs_of):
     rng = random.Random(6)
     base = [f"w{i}" for i in range(120)]
