@@ -32,12 +32,30 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Write ``df`` once. The shuffle files of the write go with it: without this setting
+    they stay until the driver's JVM happens to collect what they belong to."""
+    conf = df.sparkSession.conf
+    old = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if old is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, old)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to a fresh table below the shared checkpoint folder and read
     it back: lineage is cut, and any executor can read any part again."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,7 +69,7 @@ class Store:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """``stored``, under a name."""
         path = scratch_path(self.spark, f"{self.tag}-{name}")
-        df.write.parquet(path)
+        write_table(df, path)
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

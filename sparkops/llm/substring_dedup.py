@@ -162,7 +162,10 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     single = store.put(single_windows(touched.select("row", "words").join(some, "row"), width), "single")
     again = single.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     single = single.where("once").join(again, ["w1", "w2"]).select("row", F.col("pos").alias("start"), F.col("pos").alias("last"))
-    removed = whole.unionByName(single).groupBy("row").agg(F.collect_list(F.struct("start", "last")).alias("at"))
+    # Stored, so that the shuffles above are gone before the texts are moved.
+    removed = store.put(whole.unionByName(single).groupBy("row").agg(F.collect_list(F.struct("start", "last")).alias("at")),
+                        "removed")
+    store.drop("kinds", "single")
 
     @trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -98,3 +98,21 @@ def test_vectors(spark):
     # Both rows 50 find one another; 100 has no other vector of its length.
     assert by[50, 1] == {50} and 100 not in {q for q, _ in by} and max(k for _, k in by) == 3
     assert vp_tree.nearest(t.where("false"), F.col("id") % 50 == 0).collect() == []
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    from sparkops.llm._common import SHUFFLE_CLEANUP, write_table
+
+    def held():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    had, rows = spark.conf.get(SHUFFLE_CLEANUP, None), spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    for n in range(2):  # the same rows may be written again
+        before = held()
+        write_table(rows, str(tmp_path / f"out{n}"))
+        assert held() <= before
+        assert sorted(map(tuple, spark.read.parquet(str(tmp_path / f"out{n}")).collect())) == [(k, 143 - (k == 6)) for k in range(7)]
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == had
+    with pytest.raises(Exception, match="already exists"):
+        write_table(rows, str(tmp_path / "out0"))
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == had
