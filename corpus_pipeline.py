@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkops.llm import decontaminate, language_id, mixing, ngram_join, token_binary
-from sparkops.llm._common import stored, table, workers_import
+from sparkops.llm._common import small_batches, stored, table, workers_import
 from sparkops.llm.queries import tokenizer_path
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in none of the languages that their labels teach."""
     workers_import(spark)
+    small_batches(spark)
     model = language_id.train(docs.where(~language_id.held_out()), key=F.col("doc_id"))
     return language_id.accepted(docs, model)
 
@@ -27,6 +28,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep, of documents linked by four fifths of their 5-word shingles, the one of the smallest id."""
     workers_import(spark)
+    small_batches(spark)
     return ngram_join.one_of_each(docs, width=5, percent=80)
 
 
@@ -43,6 +45,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the token files and return what they hold of each document."""
     workers_import(spark)
+    small_batches(spark)
     return token_binary.token_binary(docs, tokenizer_path())
 
 

@@ -27,6 +27,19 @@ def workers_import(spark) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+BATCH_ROWS, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Let the session send texts to Python in batches of at most ``rows`` rows (a smaller
+    number that it has stays): a batch is held several times over outside the heap of the
+    JVM and in the worker, for each task of an executor."""
+    for key, most in ((BATCH_ROWS, rows), (BATCH_BYTES, size)):
+        has = spark.conf.get(key, None)  # None: as it comes with Spark
+        if has is None or (has.lstrip("-").isdigit() and not 0 < int(has) <= most):
+            spark.conf.set(key, str(most))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

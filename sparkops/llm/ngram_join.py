@@ -416,12 +416,12 @@ def fingerprints(texts: pa.Array, width: int) -> pa.Array:
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
-                percent: int = 85, most_rows: int = 500_000, slice_bytes: int = 2 << 20) -> DataFrame:
+                percent: int = 85, most_rows: int = 500_000, slice_bytes: int = 1 << 19) -> DataFrame:
     """The rows of ``docs``, of each component only the one of the smallest id (any of
     them, if several have it or all ids are null), with all their columns. Rows
     without words are in no component and stay."""
     store = Store(docs.sparkSession, "op3-kept")
-    placed = placed_rows(docs, id_col, text_col, width=width, percent=percent, most_rows=most_rows)
+    placed = placed_rows(docs, id_col, text_col, width=width, percent=percent, most_rows=most_rows, slice_bytes=slice_bytes)
     placed = store.put(placed.where("key is not null"), "placed")
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("x"))
     kept = placed.join(first.select("root", F.col("x.row").alias("first")), "root")

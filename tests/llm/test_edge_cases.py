@@ -116,3 +116,28 @@ def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         write_table(rows, str(tmp_path / "out0"))
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == had
+
+
+def test_pipeline_sends_small_batches(spark, docs_of):
+    from sparkops.llm._common import BATCH_BYTES, BATCH_ROWS, small_batches
+
+    def largest():
+        def sizes(batches):
+            import pyarrow as pa
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+        return spark.range(6000).coalesce(1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    had = {k: spark.conf.get(k, None) for k in (BATCH_ROWS, BATCH_BYTES)}
+    try:
+        for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[1], corpus_pipeline.STAGES[4]):
+            spark.conf.unset(BATCH_ROWS)
+            stage(spark, docs_of(["one two three four five"] * 4), "")
+            assert largest() <= 1000
+        spark.conf.set(BATCH_ROWS, "300")
+        small_batches(spark)
+        assert spark.conf.get(BATCH_ROWS) == "300"
+    finally:
+        for key, value in had.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
