@@ -28,6 +28,10 @@ sets in tokens, so a pair that differs in more bits than linked sets may differ
 tokens isn't a pair, and is never built. Pairs that remain are alike and share many
 combinations; each document brings its least ones, too, and a pair whose least ones
 meet is built in the list of the least that they share, not in every list.
+
+Of a large group of near copies nearly all pairs are linked, and few links connect it:
+each document is first compared with a few drawn from its lists. What is left are pairs
+of documents still apart, and those of a list's largest component needn't meet there.
 """
 
 from __future__ import annotations
@@ -118,6 +122,7 @@ def signatures(sets: DataFrame) -> DataFrame:
 
 
 LEAST = 8  # combinations that a document brings
+HUBS = 4  # documents of a list that all others of the list are compared with first
 
 
 def least_combos(combos: DataFrame) -> DataFrame:
@@ -263,14 +268,18 @@ class Join:
 
     def combo_pairs(self, has: DataFrame) -> DataFrame:
         """(x, y) of the entries (combo, row, n, least, signature) whose documents meet in a
-        list and are alike by size and marks; with a column root, of different roots only."""
+        list and are alike by size and marks; with a column root, of different roots only; with
+        a column main, one of the list's roots, its documents aren't compared with each other."""
         one, two = (has.select("combo", *(F.col(c).alias(f"{c}{i}") for c in has.columns if c != "combo")) for i in (1, 2))
-        met = one.join(two, "combo").where((F.col("row1") < F.col("row2")) & self.alike_sizes("n1", "n2") & self.alike_marks())
+        once = F.col("row1") < F.col("row2")
+        if "main" in has.columns:
+            one, once = one.where("root1 <> main1"), once | (F.col("root2") == F.col("main2"))
+        met = one.join(two, "combo").where(once & self.alike_sizes("n1", "n2") & self.alike_marks())
         met = met.where("root1 <> root2") if "root" in has.columns else met
         # All lists that both are in lead to the same pair: the first of the least shared will do.
         first = F.array_min(F.array_intersect("least1", "least2"))
         met = met.where(F.coalesce(first == F.col("combo"), F.lit(True)))
-        return met.select(F.col("row1").alias("x"), F.col("row2").alias("y"))
+        return met.select(F.least("row1", "row2").alias("x"), F.greatest("row1", "row2").alias("y"))
 
     def alike_sizes(self, n1: Column | str, n2: Column | str) -> Column:
         return 100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2)
@@ -305,19 +314,19 @@ class Join:
                               .where(100 * both >= self.percent * (F.col("n1") + F.col("n2") - both)).select("x", "y"),
                               "links")
 
-    def pivots(self, combos: DataFrame, comp: DataFrame | None) -> DataFrame:
-        """For each document of the combination index one partner of another component
-        so far: the one met most among the smallest of its combinations."""
-        has = combos.join(comp, "row", "left") if comp is not None else combos.withColumn("root", F.lit(None))
-        has = has.select("combo", "row", "n", F.coalesce("root", "row").alias("root"))
-        who = F.struct("root", "row", "n")
-        ends = has.groupBy("combo").agg(F.min(who).alias("lo"), F.max(who).alias("hi")).where("lo.root <> hi.root")
-        met = has.join(ends, "combo").withColumn("to", F.when(F.col("root") != F.col("lo.root"), F.col("lo"))
-                                                 .otherwise(F.col("hi")))
-        met = met.where(self.alike_sizes("n", "to.n")).groupBy("row", F.col("to.row").alias("p")).agg(
-            F.count("*").alias("c"))
-        return met.groupBy("row").agg(F.max_by("p", F.struct("c", -F.col("p"))).alias("p")).select(
-            F.least("row", "p").alias("x"), F.greatest("row", "p").alias("y")).distinct()
+    def pivots(self, has: DataFrame, turn: int) -> DataFrame:
+        """(x, y) of entries as for ``combo_pairs``: the documents of a list meet the ``HUBS``
+        of the list, the first by a hash that differs between lists and turns, where both are
+        alike by size and marks and, with a column root, of different roots. Only the lists
+        of a document's least combinations take part: at most ``HUBS`` rows an entry."""
+        has = has.where(F.array_contains("least", F.col("combo")))
+        drawn = Window.partitionBy("combo").orderBy(F.xxhash64("row", "combo", F.lit(turn)), "row")
+        hubs = has.withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= HUBS)
+        names = [c for c in has.columns if c in ("row", "n", "root", *WORDS)]
+        one, two = (e.select("combo", *(F.col(c).alias(f"{c}{i}") for c in names)) for i, e in ((1, has), (2, hubs)))
+        met = one.join(two, "combo").where((F.col("row1") != F.col("row2")) & self.alike_sizes("n1", "n2") & self.alike_marks())
+        met = met.where("root1 <> root2") if "root" in names else met
+        return met.select(F.least("row1", "row2").alias("x"), F.greatest("row1", "row2").alias("y")).distinct()
 
     def apart(self, pairs: DataFrame, comp: DataFrame) -> DataFrame:
         """Pairs whose documents are in different components so far."""
@@ -341,25 +350,26 @@ class Join:
         marks = self.store.put(signatures(self.reps.join(asked, "row", "left_semi")).join(least_combos(combos), "row"), "signatures")
         self.store.drop("sets", "copies", "combo-rows")
 
-        def all_combos(comp: DataFrame | None) -> DataFrame:
+        def entries(comp: DataFrame | None) -> DataFrame:
             has = combos.select("combo", "row", "n").join(sized(marks, self.most_rows // 8), "row")
             if comp is not None:
                 has = has.join(comp, "row", "left").withColumn("root", F.coalesce("root", "row"))
-                mixed = has.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-                has = self.store.put(has.join(mixed.select("combo"), "combo"), "mixed")
-            return self.combo_pairs(has).distinct()
+                roots = has.groupBy("combo", "root").agg(F.count("*").alias("c"))
+                mixed = roots.groupBy("combo").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("c", "root")).alias("main"))
+                has = self.store.put(has.join(mixed.where("roots > 1").select("combo", "main"), "combo"), "mixed")
+            return has
 
         if not spanning:
-            found = self.verify(self.store.put(pairs.unionByName(all_combos(None)).distinct(), "all"), tokens)
+            found = self.verify(self.store.put(pairs.unionByName(self.combo_pairs(entries(None)).distinct()).distinct(), "all"), tokens)
             self.tidy()
             return found
         star = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
-        found = self.verify(star.unionByName(self.pivots(combos, None)).distinct(), tokens)
+        found = self.verify(star.unionByName(self.pivots(entries(None), 0)).distinct(), tokens)
         comp = None
-        for last in (False, True):
+        for turn, last in ((1, False), (2, True)):
             nodes = components(found.select(F.col("x").alias("u"), F.col("y").alias("v")))
             comp = nodes.select(F.col("node").alias("row"), "root")
-            left = self.apart(pairs, comp).unionByName(all_combos(comp)) if last else self.pivots(combos, comp)
+            left = self.apart(pairs, comp).unionByName(self.combo_pairs(entries(comp))) if last else self.pivots(entries(comp), turn)
             found = found.unionByName(self.verify(self.store.put(left.distinct(), "left"), tokens))
         self.tidy()
         return found

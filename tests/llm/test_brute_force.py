@@ -88,6 +88,42 @@ def test_alike_pairs_are_built_once(spark, docs_of):
     assert {(r.x, r.y) for r in join.combo_pairs(rooted).collect()} == {(i, j) for i, j in got if (i + j) % 2}
 
 
+def test_few_pairs_of_a_large_group_of_near_copies_are_built(spark, docs_of):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(600)]
+    texts = []
+    for k in range(150):  # seven of ten pairs are linked: up to 12 other words in both together
+        own = list(base)
+        for at in rng.sample(range(600), rng.randrange(3, 9)):
+            own[at] = f"x{k}.{at}"
+        texts.append(" ".join(own))
+    _, roots, links = joined(texts)
+    assert len(links) > 7000 and len(set(roots)) == 1
+    join = ngram_join.Join(docs_of(texts), id_col="doc_id", text_col="text", width=4, percent=85, zone=0.25, frequent=10,
+                           most_rows=1000, slice_bytes=1 << 20)
+    built, of_lists = [], join.combo_pairs
+    join.combo_pairs = lambda has: built.append(of_lists(has).count()) or of_lists(has)
+    asked, verify = [], join.verify
+    join.verify = lambda pairs, tokens: asked.append(pairs.count()) or verify(pairs, tokens)
+    found = join.links().collect()
+    assert sum(built) < 150 and sum(asked) < 5000
+    parts = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(found, "u long, v long")).collect()}
+    assert len({*parts, *parts.values()}) == 150 and len(set(parts.values())) == 1
+
+
+def test_pairs_of_the_main_root_are_not_compared(spark, docs_of):
+    join = ngram_join.Join(docs_of(["a b c d e"]), id_col="doc_id", text_col="text", width=4, percent=85, zone=0.25,
+                           frequent=10, most_rows=1000, slice_bytes=1 << 20)
+    combos = spark.createDataFrame([(c, r, 100) for r in range(12) for c in range(5)], "combo long, row long, n long")
+    marks = spark.createDataFrame([(r, *range(8)) for r in range(12)], "row long, " + ", ".join(f"{w} long" for w in ngram_join.WORDS))
+    has = combos.join(marks.join(ngram_join.least_combos(combos), "row"), "row").withColumn(
+        "root", F.when(F.col("row").isin(2, 11), F.col("row")).when(F.col("row").isin(4, 7), F.lit(4)).otherwise(F.lit(0)))
+    want = sorted((r.x, r.y) for r in join.combo_pairs(has).collect())
+    assert len(want) == 66 - 28 - 1
+    for main in (0, 4, 11):
+        assert sorted((r.x, r.y) for r in join.combo_pairs(has.withColumn("main", F.lit(main))).collect()) == want
+
+
 def test_jaccard_join_of_texts_that_share_much(spark, docs_of):
     rng = random.Random(6)
     base = [f"w{i}" for i in range(120)]
