@@ -19,7 +19,6 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.taskcontext import TaskContext
 
 from ._common import byte_slices, list_array, scratch_path, stored, trimmed
-from .token_counts import encoder
+from .token_counts import encoder, spread
 
 MAGIC = b"tcm2"
 HEAD = len(MAGIC) + 4  # with the checksum of the code
@@ -69,8 +68,9 @@ class Model:
     def __init__(self, tables: Tables):
         lanes = len(tables.base)
         self.tables = tables
-        self.known1 = np.zeros(len(tables.packed) + 1, np.int32)  # rank times LEVELS, plus the level
-        self.known2 = np.zeros(lanes << TABLE, np.int32)
+        kind = np.uint16 if tables.ranks.max(initial=0) < 1 << 14 else np.int32
+        self.known1 = np.zeros(len(tables.packed) + 1, kind)  # rank times LEVELS, plus the level
+        self.known2 = np.zeros(lanes << TABLE, kind)
         self.weight2 = np.full(lanes * LEVELS**2, 1 << 14, np.int32)
         self.weight1 = self.weight2.copy()
         self.slot1 = tables.base.copy()  # as if rank 0 had come before
@@ -300,32 +300,47 @@ def _zero_bytes(k: int) -> tuple[int, ...]:
     return tuple(_moved(half, row) for row in half)
 
 
+@functools.cache
+def _zero_tables(k: int) -> np.ndarray:
+    """``_zero_bytes(k)`` of each value of each of the four bytes of a crc32."""
+    return np.array([[_moved(_zero_bytes(k), v << 8 * j) for v in range(256)] for j in range(4)], np.int64)
+
+
+def crc_moved(crcs: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    """What so many zero bytes after each do to crc32s: a sequence's crc32 is those of
+    its parts, each moved on by the bytes after it, joined by exclusive or."""
+    crcs = crcs.astype(np.int64)
+    for k in range(int(zeros.max(initial=0)).bit_length()):
+        at = np.flatnonzero(zeros >> k & 1)
+        v, t = crcs[at], _zero_tables(k)
+        crcs[at] = t[0][v & 255] ^ t[1][v >> 8 & 255] ^ t[2][v >> 16 & 255] ^ t[3][v >> 24]
+    return crcs
+
+
 def crc_joined(first: int, second: int, length: int) -> int:
     """crc32 of a sequence of bytes from those of its two parts and the length of the
-    second: the first is moved on by as many zero bytes."""
-    k = 0
-    while length >> k:
-        if length >> k & 1:
-            first = _moved(_zero_bytes(k), first)
-        k += 1
-    return first ^ second
+    second."""
+    return int(crc_moved(np.array([first]), np.array([length]))[0]) ^ second
 
 
 def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens per text (with the end id), and all ids."""
-    enc = encoder(path, "ids")
+    enc = encoder(path)
     texts = pc.fill_null(texts, "")
     if enc.words_apart:
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        each = enc.words(coded.dictionary.to_pylist(), lambda ids: array("I", ids).tobytes(), b"")
-        flat, size = np.frombuffer(b"".join(each), np.uint32), np.fromiter(map(len, each), np.int64, len(each)) // 4
-        index, offsets = coded.indices.to_numpy(), lists.offsets.to_numpy()
+        units, places = enc.units(coded.dictionary)
+        each = enc.values(units)
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        start = (np.cumsum(size) - size)[places].ravel()
+        flat = np.frombuffer(b"".join(each), np.uint32)[spread(start, size[places].ravel())]
+        size = size[places].sum(axis=1)
         start = np.cumsum(size) - size
+        index, offsets = coded.indices.to_numpy(), lists.offsets.to_numpy()
         n = size[index]
-        sums = np.concatenate([[0], np.cumsum(n)])
-        counts = np.diff(sums[offsets])
-        ids = flat[np.arange(sums[-1]) + np.repeat(start[index] - sums[:-1], n)]
+        counts = np.diff(np.concatenate([[0], np.cumsum(n)])[offsets])
+        ids = flat[spread(start[index], n)]
     else:
         made = enc.encode(texts.to_pylist())
         counts = np.fromiter(map(len, made), np.int64, len(made))
@@ -334,8 +349,8 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-              end_id: int = 1, block_ids: int = 2048, lanes: int = 1024,
-              slice_bytes: int = 2 << 20) -> None:
+              end_id: int = 1, block_ids: int = 2048, lanes: int = 3072,
+              slice_bytes: int = 8 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in ascending order of
     ``id_col`` (null ids first; equal ids in any order), as blocks of at most
     ``block_ids`` ids. A block holds whole documents, but a document of more ids
@@ -388,7 +403,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                             yield flush()
         if names:
             waiting.append((names, lens, False, np.concatenate(parts)))
-        encoder(tokenizer_path, "ids").cache.clear()
+        encoder(tokenizer_path).cache.clear()
         if waiting:
             yield flush()
 
@@ -399,7 +414,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                         "crc bigint, code binary").write.option("compression", "none").parquet(path))
 
 
-def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 2048,
+def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 3072,
              keep_ids: bool = False) -> DataFrame:
     """Decode the blocks of ``path``, check their checksums, and return per document
     its id, ``start`` (the ids of all documents before it), ``n_tokens``,
@@ -460,20 +475,24 @@ def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 2048,
     rest = placed.where(F.col("continues") | F.col("goes_on"))
     by_place = Window.partitionBy("part").orderBy("block", "nth")
     rest = rest.withColumn("doc", F.sum((~F.col("continues")).cast("long")).over(by_place))
+    behind = Window.partitionBy("part", "doc").orderBy("block", "nth").rowsBetween(1, Window.unboundedFollowing)
+    rest = rest.select("part", "doc", "block", "nth", "id", (F.col("base") + F.col("before")).alias("start"), "n", "crc",
+                       F.coalesce(F.sum("n").over(behind), F.lit(0)).alias("behind"), *(["ids"] if keep_ids else []))
 
-    def join(key, table):
-        table = table.sort_by([("block", "ascending"), ("nth", "ascending")])
-        crc = 0
-        for c, n in zip(table["crc"].to_pylist(), table["n"].to_pylist(), strict=True):
-            crc = crc_joined(crc, c, 4 * n)
-        ids = pa.array([[i for x in table["ids"].to_pylist() for i in x]], pa.list_(pa.int64()))
-        return pa.table({"id": table["id"].slice(0, 1), "start": [table["base"][0].as_py() + table["before"][0].as_py()],
-                         "n_tokens": [pc.sum(table["n"]).as_py()], "ids_crc32": pa.array([crc], pa.int64()), "ids": ids})
-
-    long = rest.groupBy("part", "doc").applyInArrow(
-        join, f"id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>")
-    out = alone.unionByName(long).withColumnRenamed("id", id_col)
-    return out if keep_ids else out.drop("ids")
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            moved = crc_moved(b.column("crc").to_numpy(), 4 * b.column("behind").to_numpy())
+            yield b.set_column(b.schema.get_field_index("crc"), "crc", pa.array(moved))
+
+    of_doc = [F.first("id").alias("id"), F.min("start").alias("start"), F.sum("n").alias("n_tokens"),
+              F.bit_xor("crc").alias("ids_crc32")]
+    if keep_ids:
+        ordered = F.sort_array(F.collect_list(F.struct("block", "nth", "ids")))
+        of_doc.append(F.flatten(F.transform(ordered, lambda p: p["ids"])).alias("ids"))
+    else:
+        alone = alone.drop("ids")
+    long = rest.mapInArrow(move, rest.schema).groupBy("part", "doc").agg(*of_doc).drop("part", "doc")
+    return alone.unionByName(long).withColumnRenamed("id", id_col)
 
 
 def token_binary(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",

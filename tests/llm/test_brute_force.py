@@ -59,6 +59,24 @@ def test_every_letter_before_a_mark():
     assert got == want
 
 
+def test_units_of_letters_are_encoded_once_whatever_their_case_and_marks():
+    tok, enc = Tokenizer.from_file(PATH), token_counts.Encoder(PATH)
+    marks = ["", ".", "!?", "$$$", "***", "%&", "'", "'s", "|>", "_", "-x"]
+    cores = ["word", "Word", "WORD", "été", "ÉTÉ", "ΣΟΦΟΣ", "İx", "straße", "<|endoftext|>", "<|ENDOFTEXT", "a1", "\u1112\u1161", "e\u0301"]
+    texts = [c + m for c in cores for m in marks]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(i) for i in enc.words(texts, tuple, ())] == want
+    assert [list(i) for i in enc.words(texts[::-1], tuple, ())] == want[::-1]  # from the cache
+    assert "word" in enc.cache and not {"Word", "word.", "word$$$", "WORD***"} & set(enc.cache)
+    text = pa.array([" ".join(texts), None, "", texts[5]])
+    assert token_counts.text_lengths(enc, text.fill_null("")).tolist() == [sum(map(len, want)), 0, 0, len(want[5])]
+    # Every letter that skips the normaliser comes out as with it.
+    plain = sorted(enc.plain)
+    assert len(plain) > 500 and "\u03a3" not in enc.plain and "\u0130" not in enc.plain
+    texts = [f"{a}{c}{b}" for c in plain for a in ("", "x", "É") for b in ("", "y")]
+    assert [list(i) for i in enc.words(texts, tuple, ())] == [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def test_signatures_differ_in_no_more_bits_than_sets(spark):
     rng = np.random.default_rng(8)
     sets = [rng.integers(-2**63, 2**63 - 1, n) for n in (0, 1, 40, 500)]
@@ -179,6 +197,16 @@ def test_crc_of_parts():
     assert token_binary.crc_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
+def test_crcs_of_pieces_are_moved_all_at_once():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 300_000).astype(np.uint8).tobytes()
+    cuts = [0, *sorted(rng.integers(0, len(data), 40).tolist()), len(data)]
+    parts = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    behind = np.array([len(data) - b for b in cuts[1:]])
+    moved = token_binary.crc_moved(np.array([zlib.crc32(p) for p in parts]), behind)
+    assert np.bitwise_xor.reduce(moved) == zlib.crc32(data)
+
+
 def test_token_files_round_trip_and_damage(spark, docs_of, tmp_path):
     texts = [t or None for t in ODD] + ["many words " * 40, "x"]
     tok = Tokenizer.from_file(PATH)
