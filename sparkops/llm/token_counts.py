@@ -110,7 +110,9 @@ class Encoder:
             cache.update(zip(ascii_letters, self.encode_letters(ascii_letters, self.lean[0]), strict=True))
             cache.update(zip(plain, self.encode_letters([u.lower() for u in plain], self.lean[1]), strict=True))
         cache.update(zip(letters, self.encode_letters(letters, self.tok), strict=True))
-        cache.update(zip(other, map(id_bytes, self.encode(other)), strict=True))
+        for at in range(0, len(other), 20_000):
+            part = other[at:at + 20_000]
+            cache.update(zip(part, map(id_bytes, self.encode(part)), strict=True))
         return [cache[u] if v is None else v for u, v in zip(units, out, strict=True)]
 
     def words(self, texts: list[str], made, empty) -> list:
