@@ -349,8 +349,8 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-              end_id: int = 1, block_ids: int = 2048, lanes: int = 3072,
-              slice_bytes: int = 8 << 20) -> None:
+              end_id: int = 1, block_ids: int = 2048, lanes: int = 2048,
+              slice_bytes: int = 4 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in ascending order of
     ``id_col`` (null ids first; equal ids in any order), as blocks of at most
     ``block_ids`` ids. A block holds whole documents, but a document of more ids
@@ -414,7 +414,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str =
                         "crc bigint, code binary").write.option("compression", "none").parquet(path))
 
 
-def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 3072,
+def read_ids(spark, path: str, *, id_col: str = "doc_id", lanes: int = 2048,
              keep_ids: bool = False) -> DataFrame:
     """Decode the blocks of ``path``, check their checksums, and return per document
     its id, ``start`` (the ids of all documents before it), ``n_tokens``,
