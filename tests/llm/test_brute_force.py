@@ -495,6 +495,44 @@ def test_neighbours_exact_and_recall(spark):
                 assert score == pytest.approx(float(unit[i] @ unit[q]), abs=1e-12)
 
 
+def test_neighbours_of_groups(spark):
+    """Several trees a group, in single precision, of two lengths, without a broadcast."""
+    rng = np.random.default_rng(5)
+    v = [rng.normal(size=6 if i % 7 else 3).astype(np.float32) for i in range(2500)]
+    for i in range(600, 900):
+        v[i] = v[601]  # a very common vector
+    rows = [(int(i), [float(x) for x in v[i]]) for i in rng.permutation(len(v))]
+    rows += rows[:200]  # rows that come twice
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    shard_rows = max(1, len(rows) // (12 * spark.sparkContext.defaultParallelism))  # some three trees a group
+    found = vp_tree.nearest(t, F.col("id") % 50 == 0, factor=1.0, shard_rows=shard_rows, leaf=4, block_rows=7)
+    got = Counter((r.query_id, r["rank"], r.vec_id) for r in found.collect())
+    want = Counter()
+    for dim in (3, 6):
+        ids = np.array([i for i, x in rows if len(x) == dim])
+        unit = np.array([x for _, x in rows if len(x) == dim])
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        for at in np.nonzero(ids % 50 == 0)[0]:
+            score = np.round(unit @ unit[at], 12)
+            order = np.lexsort((ids, -score))
+            want.update((int(ids[at]), rank, int(ids[i])) for rank, i in enumerate(order[order != at][:5], 1))
+    assert got == want
+    # What a broadcast holds goes through the driver, here the queries once for each shard.
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_neighbours_above_a_bound():
+    rng = np.random.default_rng(6)
+    units, queries = (vp_tree.unit(rng.normal(size=(n, 5))) for n in (700, 60))
+    tree = vp_tree.build(units, 16)
+    cos = queries @ units.T
+    least = np.sort(cos, axis=1)[:, -4]
+    least[:20] = 0.9999  # above all or nearly all
+    q, r = vp_tree.search(tree, units, queries, 6, 1.0, least)
+    assert len(set(zip(q.tolist(), r.tolist()))) == len(q)
+    assert set(zip(q.tolist(), r.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(cos >= least[:, None] - vp_tree.NEAR))))
+
+
 # --- licences
 
 def test_license_spans(docs_of):
