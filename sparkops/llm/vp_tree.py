@@ -28,7 +28,7 @@ from ._common import stored, trimmed
 
 NEAR = 1e-10  # more than the rounding errors of a dot product of unit vectors
 NEAR_CHORD = 1e-7  # and of the chord made of it
-HELD = 96 << 20  # bytes of vectors that a task holds as trees
+HELD = 96 << 20  # about as many bytes of vectors a task holds as trees
 
 
 def build(units: np.ndarray, leaf: int, seed: int = 0) -> dict[str, np.ndarray]:
@@ -254,16 +254,16 @@ def nearest(table: DataFrame, queries: Column, *, id_col: str = "vec_id", vector
     all_rows = vectors(table, id_col, vector_col)
     n, values = all_rows.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
     size = 4 if isinstance(all_rows.schema["v"].dataType.elementType, T.FloatType) else 8
-    shards, cores = max(1, -(-n // shard_rows)), table.sparkSession.sparkContext.defaultParallelism
-    groups = max(-(-values * size // HELD), min(shards, 4 * cores))
-    trees = -(-shards // groups)
+    least, cores = -(-values * size // HELD), table.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-n // shard_rows), least)  # what they hold doesn't depend on the number of groups
+    groups = max(least, min(shards, 4 * cores))
 
-    deal = lambda parts, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(parts))
-    planted = all_rows.select("dim", deal(groups, 1).alias("group"), deal(trees, 2).alias("shard"), "row", "id", "v")
+    planted = all_rows.select("dim", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).alias("shard"), "row", "id", "v")
+    planted = planted.withColumn("group", F.col("shard") % groups)
     # The queries follow the last shard of each group.
     asked = all_rows.where(queries).select(
-        "dim", F.explode(F.sequence(F.lit(0), F.lit(groups - 1).cast("bigint"))).alias("group"),
-        F.lit(trees).cast("bigint").alias("shard"), "row", "id", "v")
+        "dim", F.lit(shards).cast("bigint").alias("shard"), "row", "id", "v",
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1).cast("bigint"))).alias("group"))
     keys = ["dim", "group", "shard"]
     # More partitions than groups: few of them get two.
     sent = planted.unionByName(asked).repartition(4 * groups, "dim", "group").sortWithinPartitions(*keys)
@@ -271,10 +271,10 @@ def nearest(table: DataFrame, queries: Column, *, id_col: str = "vec_id", vector
     @trimmed
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = [], None
-        for (dim, number, shard), part in pieces(batches, keys, lambda key: block_rows if key[2] == trees else n):
+        for (dim, number, shard), part in pieces(batches, keys, lambda key: block_rows if key[2] == shards else n):
             if group != (dim, number):
                 held, group = [], (dim, number)
-            if shard < trees:
+            if shard < shards:
                 held.append(plant(part, k, leaf))
             elif held:
                 yield neighbours(held, part, k, factor)
